@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash
+from . import langid, mixing, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,15 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(warc.write_archives(_table(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.profiles(docs))
+
+
 MIXING_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, text,
@@ -45,9 +54,23 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
 FROM p
 """
 
+WARC_SQL = """
+WITH p AS (SELECT page_id, CAST(encode(coalesce(html, '')) AS BLOB) AS payload FROM pages),
+h AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS digest FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i: ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111'][strpos('0123456789abcdef', substr(digest, i, 1))]), '') AS bits FROM h),
+f AS (SELECT digest, min(page_id) AS first_id FROM h GROUP BY digest)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT) + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT) + CAST(substr(bits, 5 * i + 5, 1) AS INT) AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM b JOIN f USING (digest)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
+    "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
+    "op8_language": op8_language,
 }
 
-ORACLES: dict[str, str] = {"op3_mixing": MIXING_SQL}
+ORACLES: dict[str, str] = {"op3_mixing": MIXING_SQL, "op5_warc": WARC_SQL}
