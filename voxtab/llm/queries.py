@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, simhash, warc
+from . import langid, mixing, pii, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.write_archives(_table(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(_table(spark, sf_dir, "documents"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.profiles(docs))
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
+    "op7_pii": op7_pii,
     "op8_language": op8_language,
 }
 
