@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, pii, simhash, warc
+from . import decontaminate, langid, mixing, pii, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.profiles(docs))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).withColumn("score", F.round("score", 6))
+
+
 MIXING_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, text,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_pii": op7_pii,
     "op8_language": op8_language,
+    "op9_decontaminate": op9_decontaminate,
 }
 
 ORACLES: dict[str, str] = {"op3_mixing": MIXING_SQL, "op5_warc": WARC_SQL}
