@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, mixing, pii, simhash, warc
+from . import covertree, decontaminate, langid, mixing, pii, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,19 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
 FROM p
 """
 
+COVER_TREE_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.98),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+"""
+
 WARC_SQL = """
 WITH p AS (SELECT page_id, CAST(encode(coalesce(html, '')) AS BLOB) AS payload FROM pages),
 h AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS digest FROM p),
@@ -75,6 +92,7 @@ FROM b JOIN f USING (digest)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cover_tree": op1_cover_tree,
     "op3_mixing": op3_mixing,
     "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
@@ -83,4 +101,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": op9_decontaminate,
 }
 
-ORACLES: dict[str, str] = {"op3_mixing": MIXING_SQL, "op5_warc": WARC_SQL}
+ORACLES: dict[str, str] = {"op1_cover_tree": COVER_TREE_SQL, "op3_mixing": MIXING_SQL, "op5_warc": WARC_SQL}
