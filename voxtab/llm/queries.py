@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, decontaminate, langid, mixing, pii, simhash, warc
+from . import covertree, decontaminate, langid, mixing, pii, simhash, suffixdedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,12 @@ def op1_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixdedup.removed(_table(spark, sf_dir, "documents"))
+    left = F.octet_length("kept").cast("long")
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - left).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
@@ -93,6 +99,7 @@ FROM b JOIN f USING (digest)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree": op1_cover_tree,
+    "op2_suffix_array": op2_suffix_array,
     "op3_mixing": op3_mixing,
     "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
