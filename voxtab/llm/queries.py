@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, decontaminate, langid, mixing, pii, simhash, suffixdedup, warc
+from . import covertree, decontaminate, langid, mixing, pii, simhash, suffixdedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,11 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).withColumn("score", F.round("score", 6))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 MIXING_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, text,
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pii": op7_pii,
     "op8_language": op8_language,
     "op9_decontaminate": op9_decontaminate,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {"op1_cover_tree": COVER_TREE_SQL, "op3_mixing": MIXING_SQL, "op5_warc": WARC_SQL}
