@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 WINDOW, STRIDE = 48, 24
 WORD_BITS, GRAM_BITS, WIDTH, HIDDEN = 18, 16, 4, 8
 #: About so many labelled documents of each class are learned from, and their longest text.
-TRAINING_DOCUMENTS, TRAINING_CHARS = 3000, 30_000
+TRAINING_DOCUMENTS, TRAINING_CHARS = 2000, 10_000
 STEPS, BATCH = 500, 128
 #: Documents that the odds of a word are drawn to the usual ones by; folds of the training documents; share of inputs left out.
 PRIOR, FOLDS, DROPPED = 4.0, 5, 0.2
@@ -43,7 +43,7 @@ class Words:
         edge = np.flatnonzero(word[1:] != word[:-1]) + 1
         start, end = edge[::2], edge[1::2]
         size = np.array([len(r) + 3 for r in raws], np.int64)
-        self.text = np.searchsorted(np.cumsum(size) + 3, start, "right")
+        self.text = np.searchsorted(np.cumsum(size) + 3, start, "right").astype(np.int32)
         # A word's hash: its bytes times powers by place, summed; wrapping is part of it.
         at = np.flatnonzero(word)
         owner = np.repeat(np.arange(len(start)), end - start)
@@ -55,12 +55,12 @@ class Words:
         else:
             h = np.empty(0, np.uint64)
         h ^= h >> np.uint64(29)
-        self.word = (h * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+        self.word = (h * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - WORD_BITS)).astype(np.int32)
         # 4-grams from the blank before a word to the blank after it.
         ok = (at + 2 <= end[owner]) | (at == start[owner])
         at, owner = at[ok], owner[ok]
         code = buf[at - 1] | buf[at] << np.uint32(8) | buf[at + 1] << np.uint32(16) | np.where(word[at + 1], buf[at + 2], 32).astype(np.uint32) << np.uint32(24)
-        self.gram = (code * np.uint32(0x9E3779B1) >> np.uint32(32 - GRAM_BITS)).astype(np.int64)
+        self.gram = (code * np.uint32(0x9E3779B1) >> np.uint32(32 - GRAM_BITS)).astype(np.int32)
         self.grams = np.bincount(owner, minlength=len(start))
         self.first = np.cumsum(self.grams) - self.grams
 
@@ -177,8 +177,9 @@ def start_model(rng: np.random.Generator) -> dict[str, np.ndarray]:
 
 def _odds(ids: np.ndarray, text: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
     """For each id how far the odds of toxicity of the documents that hold it lie above the usual odds, drawn to 0 where they are few."""
-    rate = (y[np.unique(text)].sum() + 0.5) / (len(np.unique(text)) + 1)
-    docs, own = np.divmod(np.unique(text * size + ids), size)
+    texts = np.flatnonzero(np.bincount(text))
+    rate = (y[texts].sum() + 0.5) / (len(texts) + 1)
+    docs, own = np.divmod(np.unique(text.astype(np.int64) * size + ids), size)
     hit, all_ = np.bincount(own, weights=y[docs], minlength=size), np.bincount(own, minlength=size)
     p = (hit + PRIOR * rate) / (all_ + PRIOR)
     return (np.log(p / (1 - p)) - np.log(rate / (1 - rate))).astype(np.float32)
