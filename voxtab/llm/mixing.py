@@ -52,9 +52,9 @@ def targets(sources: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS) -> Dat
     before = rise.rowsBetween(W.unboundedPreceding, -1)
     s = s.withColumn("rest", F.sum(F.col("source_size").cast("double")).over(W.partitionBy()) - F.coalesce(F.sum("limit").over(before), F.lit(0.0)))
     s = s.withColumn("open", F.sum("weight").over(W.partitionBy()) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    # The first source that its share of the rest does not fill sets the level; with only empty sources all is 0.
+    # The first source that its share of the rest does not fill sets the level (later ones give a lower share); with only empty sources all is 0.
     s = s.withColumn("share", F.col("rest") / F.col("open"))
-    level = F.min(F.when(F.col("limit") >= F.col("weight") * F.col("share"), F.col("share"))).over(W.partitionBy())
+    level = F.max(F.when(F.col("limit") >= F.col("weight") * F.col("share"), F.col("share"))).over(W.partitionBy())
     return s.select("source", "source_size", F.least(F.col("limit"), F.col("weight") * F.coalesce(level, F.lit(0.0))).alias("target"))
 
 

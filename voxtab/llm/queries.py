@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, decontaminate, langid, mixing, pii, simhash, suffixdedup, toxicity, warc
+from . import covertree, decontaminate, langid, mixing, pii, quality, simhash, suffixdedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.write_archives(_table(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -66,7 +71,7 @@ s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY so
 w AS (SELECT *, CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS weight, CAST(3 * source_size AS DOUBLE) AS lim FROM s),
 r AS (SELECT *, sum(source_size) OVER () - coalesce(sum(lim) OVER (ORDER BY lim / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
              sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY lim / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS open FROM w),
-l AS (SELECT coalesce(min(CASE WHEN lim >= weight * (rest / open) THEN rest / open END), 0) AS level FROM r),
+l AS (SELECT coalesce(max(CASE WHEN lim >= weight * (rest / open) THEN rest / open END), 0) AS level FROM r),
 g AS (SELECT source, source_size, least(lim, weight * level) AS target FROM r, l),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM g),
 p AS (SELECT d.doc_id, d.size, e.source_size, e.target, e.epochs, CAST(floor(e.target) AS BIGINT) - e.epochs * e.source_size AS budget,
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree": op1_cover_tree,
     "op2_suffix_array": op2_suffix_array,
     "op3_mixing": op3_mixing,
+    "op4_quality": op4_quality,
     "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
     "op7_pii": op7_pii,
