@@ -331,49 +331,58 @@ def repeated(shards: list[list[tuple[int, int, bytes]]], length: int):
 def _solved(requests: DataFrame, length: int) -> DataFrame:
     """``doc, place`` of the removed strings, from shards and single strings."""
 
-    def run(batches):
-        key, rows, total = None, [], 0
-        last = None
+    def sort(shards):
+        order = sorted(range(len(shards)), key=lambda i: -sum(len(r[2]) + 1 for r in shards[i]))
+        tags = [r[3] for i in order for r in shards[i]]
+        for doc, start, n, segment in repeated([[r[:3] for r in shards[i]] for i in order], length):
+            yield doc, (start * 4096 + n) * 32768 + tags[segment]
 
-        def sort(shards):
-            plain = [[(d, s, raw) for d, s, raw, _ in shard] for shard in shards]
-            order = sorted(range(len(plain)), key=lambda i: -sum(len(r[2]) + 1 for r in plain[i]))
-            tags = [r[3] for i in order for r in shards[i]]
-            for doc, start, n, segment in repeated([plain[i] for i in order], length):
-                yield doc, (start * 4096 + n) * 32768 + tags[segment]
+    def packed(doc, place):
+        return pa.record_batch([_long(doc), _long(place)], ["doc", "place"])
 
-        def packed(found):
-            return pa.record_batch([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["doc", "place"])
+    def run(batches):
+        # Shards of like size are sorted together, so that a long one does not hold up many short ones.
+        pools: dict[int, list] = {}
+        sizes: dict[int, int] = {}
+        key, rows, total = None, [], 0
+        last = (0, 0, 0, 0)
+        any_single = False
+
+        def closed(end: bool = False):
+            if rows:
+                pool = int(total).bit_length() // 2
+                pools.setdefault(pool, []).append(rows)
+                sizes[pool] = sizes.get(pool, 0) + total
+            for pool in [k for k, v in sizes.items() if v > (_SORT if k < 7 else 4 * _SORT) or (end and v)]:
+                found = list(sort(pools.pop(pool)))
+                sizes.pop(pool)
+                if found:
+                    yield packed(*zip(*found))
 
-        shards: list[list] = []
         for batch in batches:
-            found = []
-            columns = [batch.column(i).to_pylist() for i in range(6)]
-            for k, h, d, p, kind, raw in zip(*columns):
-                if kind == WHOLE:
-                    found.append((d, p))
-                elif kind == SINGLE:
-                    if last is not None and last[:2] == (k, h):
-                        if (d, p >> 27) != last[2:]:
-                            found.append((d, p))
-                    else:
-                        last = (k, h, d, p >> 27)
-                else:
-                    if k != key:
-                        if rows:
-                            shards.append(rows)
-                        if total > _SORT:
-                            found += sort(shards)
-                            shards, total = [], 0
-                        key, rows = k, []
-                    rows.append((d, p >> 27, raw, p & 32767))
-                    total += len(raw)
-            if found:
-                yield packed(found)
-        if rows:
-            shards.append(rows)
-        if shards and (found := list(sort(shards))):
-            yield packed(found)
+            k, h, d, p, kind = (batch.column(i).to_numpy() for i in range(5))
+            whole = kind == WHOLE
+            if whole.any():
+                yield packed(d[whole], p[whole])
+            for i in np.flatnonzero(kind == SORTED).tolist():
+                if k[i] != key:
+                    yield from closed()
+                    key, rows, total = k[i], [], 0
+                raw = batch.column(5)[i].as_py()
+                rows.append((int(d[i]), int(p[i]) >> 27, raw, int(p[i]) & 32767))
+                total += len(raw)
+            single = np.flatnonzero(kind == SINGLE)
+            if len(single):
+                k, h, d, p = k[single], h[single], d[single], p[single]
+                start = p >> 27
+                new = np.r_[not any_single or (k[0], h[0]) != last[:2], (k[1:] != k[:-1]) | (h[1:] != h[:-1])]
+                lead = np.maximum.accumulate(np.where(new, np.arange(len(k)), -1))
+                first_d, first_s = np.where(lead < 0, last[2], d[lead]), np.where(lead < 0, last[3], start[lead])
+                later = ~new & ((d != first_d) | (start != first_s))
+                if later.any():
+                    yield packed(d[later], p[later])
+                last, any_single = (k[-1], h[-1], first_d[-1], first_s[-1]), True
+        yield from closed(True)
 
     n = shuffle_partitions(requests.sparkSession)
     dealt = requests.repartition(n, "key").withColumn("start", F.shiftright("place", 27)).sortWithinPartitions("kind", "key", "hash", "doc", "start")
