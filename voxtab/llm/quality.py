@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: About so many labelled documents of each class, pool documents, and their longest text.
-TRAINING_DOCUMENTS, POOL_DOCUMENTS, TRAINING_CHARS = 1500, 2500, 12_000
+TRAINING_DOCUMENTS, POOL_DOCUMENTS, TRAINING_CHARS = 1200, 2000, 10_000
 ROUNDS, SURE = 3, 0.95
 #: Share of the pool that a view labels in a round, at most, for each class.
 GROWTH = 0.15
@@ -99,12 +99,31 @@ class Page:
         total = np.r_[0.0, np.cumsum(w[self.gram], dtype=np.float64)]
         return (total[self.first + self.size] - total[self.first]) / np.maximum(self.size, 1)
 
-    def binned(self, edges: np.ndarray) -> np.ndarray:
-        """The columns of each document's metadata that are 1."""
-        parts = [self.named]
-        for k in range(len(NUMBERS)):
-            parts.append((LANGS + SOURCES + k * (BINS + 1) + np.searchsorted(edges[k], self.numbers[:, k], "right"))[:, None])
-        return np.concatenate(parts, axis=1)
+    def counts(self):
+        """Of each text its trigrams and their shares; one empty trigram for an empty text."""
+        for f, s in zip(self.first.tolist(), self.size.tolist()):
+            ids, n = np.unique(self.gram[f : f + s], return_counts=True)
+            yield (ids, (n / s).astype(np.float32)) if s else (np.zeros(1, np.int32), np.zeros(1, np.float32))
+
+
+def binned(named: np.ndarray, numbers: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """The columns of each document's metadata that are 1."""
+    parts = [named]
+    for k in range(len(NUMBERS)):
+        parts.append((LANGS + SOURCES + k * (BINS + 1) + np.searchsorted(edges[k], numbers[:, k], "right"))[:, None])
+    return np.concatenate(parts, axis=1)
+
+
+def pages(rows: list[tuple]):
+    """The rows in pages of about ``_CHUNK`` bytes."""
+    at = 0
+    while at < len(rows):
+        to, total = at, 0
+        while to < len(rows) and (to == at or total + len(rows[to][0]) <= _CHUNK):
+            total += len(rows[to][0])
+            to += 1
+        yield at, to, Page(rows[at:to])
+        at = to
 
 
 def _sigmoid(x):
@@ -121,7 +140,7 @@ class View:
         self.w, self.b, self.ridge, self.rate, self.width = np.zeros(width), 0.0, ridge, rate, width
 
     def logit(self) -> np.ndarray:
-        return np.add.reduceat(self.w[self.column] * self.value, self.first) + self.b
+        return np.add.reduceat(self.w.astype(np.float32)[self.column] * self.value, self.first, dtype=np.float64) + self.b
 
     def fit(self, y: np.ndarray, weight: np.ndarray, steps: int) -> None:
         """Some steps of Adam on the weighted log loss; ``weight`` 0 leaves a document out."""
@@ -130,7 +149,7 @@ class View:
         weight = weight / weight.sum()
         for k in range(1, steps + 1):
             d = weight * (_sigmoid(self.logit()) - y)
-            g = np.bincount(self.column, weights=np.repeat(d, self.size) * self.value, minlength=self.width) + self.ridge * self.w
+            g = np.bincount(self.column, weights=np.repeat(d.astype(np.float32), self.size) * self.value, minlength=self.width) + self.ridge * self.w
             a, s = 0.9 * a + 0.1 * g, 0.99 * s + 0.01 * g * g
             a0, s0 = 0.9 * a0 + 0.1 * d.sum(), 0.99 * s0 + 0.01 * d.sum() ** 2
             self.w -= self.rate * (a / (1 - 0.9**k)) / (np.sqrt(s / (1 - 0.99**k)) + 1e-9)
@@ -160,8 +179,15 @@ def co_train(labelled: list[tuple], y: list[int], pool: list[tuple], share: floa
         one = 5.0 if not len(y_all) or y_all[0] else -5.0
         return {"gram": np.zeros(1 << GRAM_BITS, np.float32), "edges": np.zeros((len(NUMBERS), BINS)), "meta": np.zeros(LANGS + SOURCES + len(NUMBERS) * (BINS + 1)), "b": (0.0, 0.0), "cal": ((0.0, one), (0.0, one)), "weights": (0.5, 0.5), "prior": 0.0}
     rng = np.random.default_rng(seed)
-    page = Page(labelled + pool)
-    n, known = page.n, len(labelled)
+    numbers, named, columns, values = [], [], [], []
+    for _, _, page in pages(labelled + pool):
+        numbers.append(page.numbers)
+        named.append(page.named)
+        for ids, n in page.counts():
+            columns.append(ids)
+            values.append(n)
+    numbers, named = np.concatenate(numbers), np.concatenate(named)
+    n, known = len(columns), len(labelled)
     held = np.zeros(n, bool)
     held[:known] = rng.permutation(known) % 4 == 0
     for c in (0, 1):  # both classes are learned from and calibrated on
@@ -169,13 +195,8 @@ def co_train(labelled: list[tuple], y: list[int], pool: list[tuple], share: floa
         if held[own].all() or not held[own].any():
             held[own[:1]] = len(own) > 1
             held[own[1:2]] = False
-    edges = np.stack([np.sort(np.r_[np.quantile(page.numbers[:, k], CUTS), SHARES]) for k in range(len(NUMBERS))])
-    columns, values = [], []
-    for f, s in zip(page.first.tolist(), page.size.tolist()):
-        ids, count = np.unique(page.gram[f : f + s], return_counts=True)
-        columns.append(ids if len(ids) else np.zeros(1, np.int32))
-        values.append(count / s if len(ids) else np.zeros(1))
-    meta = page.binned(edges)
+    edges = np.stack([np.sort(np.r_[np.quantile(numbers[:, k], CUTS), SHARES]) for k in range(len(NUMBERS))])
+    meta = binned(named, numbers, edges)
     content = View(columns, values, 1 << GRAM_BITS, 1e-6, 2.0)
     layout = View(list(meta), [np.ones(meta.shape[1])] * n, LANGS + SOURCES + len(NUMBERS) * (BINS + 1), 1e-3, 0.1)
     views = (content, layout)
@@ -214,16 +235,9 @@ def co_train(labelled: list[tuple], y: list[int], pool: list[tuple], share: floa
 def odds_of(m: dict, rows: list[tuple]) -> np.ndarray:
     """Log odds of good quality of ``(text bytes, lang, source, n_chars)`` rows."""
     out = np.empty(len(rows))
-    at = 0
-    while at < len(rows):
-        to, total = at, 0
-        while to < len(rows) and (to == at or total + len(rows[to][0]) <= _CHUNK):
-            total += len(rows[to][0])
-            to += 1
-        page = Page(rows[at:to])
-        views = (page.content(m["gram"]) + m["b"][0], m["meta"][page.binned(m["edges"])].sum(axis=1) + m["b"][1])
+    for at, to, page in pages(rows):
+        views = (page.content(m["gram"]) + m["b"][0], m["meta"][binned(page.named, page.numbers, m["edges"])].sum(axis=1) + m["b"][1])
         out[at:to] = sum(w * (a * np.clip(x, -20, 20) + b) for w, x, (a, b) in zip(m["weights"], views, m["cal"])) + m["prior"]
-        at = to
     return out
 
 
