@@ -121,7 +121,7 @@ _NODE = ["label", "dim", "path"]
 def _centres(members: DataFrame) -> DataFrame:
     """``label, dim, path, centres`` (flat) of each node, from a sample of its rows."""
 
-    def choose(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def choose(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         x = _unit(np.concatenate(frame["x"].to_numpy()), len(frame))
         return pd.DataFrame({"label": [key[0]], "dim": [key[1]], "path": [key[2]], "centres": [x[spread(x, FANOUT)].ravel().tolist()]})
 
@@ -183,7 +183,7 @@ def _top(classes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
 def _packed(rows: DataFrame) -> DataFrame:
     """One row for each block: its ids, counts and vectors."""
 
-    def pack(key, f: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"label": [key[0]], "dim": [key[1]], "path": [key[2]], "cids": [f["cid"].to_numpy(np.int64).tobytes()], "reps": [f["rep"].to_numpy(np.int64).tobytes()], "ns": [f["n"].to_numpy(np.int64).tobytes()], "xs": [np.concatenate(f["x"].to_numpy()).astype(np.float32).tobytes()]})
 
     return rows.groupBy(*_NODE).applyInPandas(pack, "label long, dim int, path string, cids binary, reps binary, ns binary, xs binary")
@@ -212,7 +212,7 @@ def _compared(blocks: DataFrame, pairs: DataFrame, cosine: float) -> DataFrame:
     """``cid, links`` counts and ``a, b`` edges of the pairs of blocks."""
     found = "kind int, a long, b long"
 
-    def one(key, f: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("side")
         get = lambda k, c: np.frombuffer(f[c].iloc[k], np.int64)
         same = len(f) == 1
