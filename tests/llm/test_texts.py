@@ -1,0 +1,311 @@
+"""Operators on texts: repeats, mixing, personal data, languages, archives, benchmark passages, classifiers."""
+
+import hashlib
+import re
+import struct
+import zlib
+
+import numpy as np
+import pytest
+import zstandard
+from oracle import compare, duck
+from pyspark.sql import functions as F
+
+from voxtab.llm import decontaminate, langid, mixing, pii, quality, queries, sais, suffixdedup, toxicity, warc
+
+
+# Suffix arrays.
+def test_suffix_arrays_equal_sorting():
+    rng = np.random.default_rng(1)
+    for letters in (2, 3, 200):
+        texts = [[*map(int, rng.integers(1, letters + 1, rng.integers(0, 40))), 0] for _ in range(12)] + [[*([1, 2] * 9), 0], [*([3] * 20), 0], [0]]
+        texts.sort(key=len, reverse=True)
+        size, t = np.array([len(x) for x in texts]), np.array(sum(texts, []))
+        sa = sais.suffix_arrays(t, size)
+        lcp = sais.common_prefixes(t, size, sa)
+        at = 0
+        for x in texts:
+            want = sorted(range(len(x)), key=lambda i: x[i:])
+            assert sa[at : at + len(x)].tolist() == want
+            for k in range(1, len(x)):
+                a, b = x[want[k - 1] :], x[want[k] :]
+                assert lcp[at + k] == next(h for h in range(len(x)) if h >= min(len(a), len(b)) or a[h] != b[h])
+            at += len(x)
+
+
+ODD = ["a" * 3000, "a" * 99, "a" * 100, "ab" * 900, None, "", "xyz" * 40 + "a" * 300, "é" * 200, "".join(chr(97 + i * i % 23) for i in range(400)) * 3]
+
+
+@pytest.mark.parametrize("shard", [2, 48])
+def test_repeats_equal_brute(spark, sf, shard):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").where("doc_id < 120")
+    line = "one line that very many documents share and that is longer than the shortest repeat, so it has to go from all but one of them. "
+    extra = [(1000 + i, t) for i, t in enumerate(ODD)] + [(2000 + i, f"{i * 7919} {line} {i * 104729}") for i in range(30)]
+    df = docs.union(spark.createDataFrame(extra, "doc_id long, text string"))
+    rows = [(r["doc_id"], (r["text"] or "").encode()) for r in df.collect()]
+    want = suffixdedup.brute(rows)
+    for r in suffixdedup.removed(df, shard=shard).collect():
+        kept = bytes(r["kept"])
+        assert (r["n_bytes"], r["n_bytes"] - len(kept), len(r["spans"]), hashlib.sha256(kept).hexdigest()) == want[r["doc_id"]], r["doc_id"]
+
+
+def test_repeats_odd_rows(spark):
+    t = "".join(chr(97 + x) for x in np.random.default_rng(9).integers(0, 26, 150))
+    df = spark.createDataFrame([(1, t, 0), (1, t, 1), (None, t, 2), (None, None, 3)], "doc_id long, text string, kept int")
+    got = sorted((r["doc_id"] or -1, r["n_bytes"], len(r["kept"])) for r in suffixdedup.removed(df).collect())
+    assert got == [(-1, 0, 0), (-1, 150, 0), (1, 150, 150), (1, 150, 150)]
+    assert suffixdedup.removed(df.limit(0)).count() == 0
+
+
+# Mixing.
+def test_mixture_equals_sql(spark, sf):
+    compare(spark, duck(sf), sf, queries.QUERIES["op3_mixing"], queries.ORACLES["op3_mixing"])
+
+
+def brute_targets(sizes):
+    names = sorted(k for k in sizes if k is not None) + [None] * (None in sizes)
+    weight = {k: (5, 2, 1)[i % 3] for i, k in enumerate(names)}
+    total, capped = sum(sizes.values()), {}
+    while True:
+        rest = [k for k in names if k not in capped]
+        if not rest:
+            return capped
+        level = (total - sum(capped.values())) / sum(weight[k] for k in rest)
+        over = [k for k in rest if weight[k] * level > 3 * sizes[k] + 1e-9]
+        if not over:
+            return capped | {k: weight[k] * level for k in rest}
+        capped |= {k: 3.0 * sizes[k] for k in over}
+
+
+def test_targets_equal_resharing(spark):
+    rng = np.random.default_rng(2)
+    for _ in range(4):
+        sizes = {(f"s{i:02d}" if i else None): int(rng.choice([0, 1, 5, 100, 1000, 30000])) for i in range(rng.integers(1, 9))}
+        got = {r["source"]: r["target"] for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}
+        assert got == pytest.approx(brute_targets(sizes))
+
+
+def test_mixture_odd_rows(spark):
+    rows = [(i, "w " * (i % 7), f"s{i % 2}") for i in range(200)] + [(500, None, None), (501, "", None), (502, "a b", None), (502, "a b", None), (None, "x y z", "s0")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("target", F.lit("clash"))
+    out = mixing.mixture(df).collect()
+    assert len(out) == len(rows)
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in out)
+    assert sorted(map(tuple, out), key=str) == sorted(map(tuple, mixing.mixture(df.repartition(3)).collect()), key=str)
+    none = [r for r in out if r["doc_id"] in (500, 501, 502)]
+    assert sum(r["taken"] for r in none) == int(none[0]["target"])
+    assert mixing.mixture(df.limit(0)).count() == 0
+
+
+# Personal data.
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(digits):
+    return sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def brute_spans(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            ok = {"email": True, "ip": kind != "ip" or all(int(x) <= 255 for x in m[0].split(".")), "card": 13 <= len(d) <= 19 and luhn(d), "phone": 9 <= len(d) <= 15}[kind]
+            if ok:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
+
+
+TRICKY = [
+    "a@b.c.d@e.f", "a@b.c_d@e.f x@y", "1.2.3.4.5.6.7.8 999.1.1.1 1.2.3", "+1 (23) 45-67.89 00 +12", "4111 1111 1111 1111", "4111-1111-1111-1112 5500-0000-0000-0004", "9" * 30000, "a." * 20000 + "@x.y",
+    "\U0001f600 a@b.co é@b.de ", "+1(((((", None, "", "@@@.a@b..c a@-.-", "001.002.003.0255", "+12345678901234567", "4111111111111111 1", "mail me at joe [at] mail7 [dot] example [dot] com",
+]
+
+
+def test_base_spans_equal_brute(spark, sf):
+    df = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").union(spark.createDataFrame([(10_000 + i, t) for i, t in enumerate(TRICKY)], "doc_id long, text string"))
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    for r in pii.digest(df).collect():
+        want = brute_spans(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest(), (r["doc_id"], want, r["spans"])
+        assert [r[f"n_{k}"] for k in PATTERNS] == [sum(w.startswith(k) for w in want) for k in PATTERNS]
+        assert set(want) <= set(r["spans"].split(",") if r["spans"] else [])
+
+
+def test_redaction(spark):
+    df = spark.createDataFrame([(1, "x jo@a.bc, +1 (456) 555-2186!", "k"), (2, None, None), (None, "é 10.0.0.1", "k")], "doc_id long, text string, _other string")
+    out = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert out == {1: "x [EMAIL], [PHONE]!", 2: None, None: "é [IP]"}
+    assert pii.redact(df).columns == df.columns and pii.redact(df.limit(0)).count() == 0
+
+
+def test_boosting_learns_a_rule():
+    rows = [((k, d, 0, 0, 0, 0, 0, 0, 0), int(d > 3), h, 10) for k in range(4) for d in range(8) for h in (False, True)]
+    trees, limits = pii.fit(rows)
+    for x, y, _, _ in rows:
+        assert (sum(pii._value(t, x) for t in trees) >= limits[x[0]]) == bool(y)
+    assert pii.fit([])[1] == [float("inf")] * 4
+
+
+# Archives.
+def test_warc_equals_sql(spark, sf):
+    compare(spark, duck(sf), sf, queries.QUERIES["op5_warc"], queries.ORACLES["op5_warc"])
+
+
+def test_warc_round_trip(spark, tmp_path):
+    rows = [(i, f"http://x/{i}\r\nEvil: 1", "p" * (i % 5) * 1000) for i in range(60)] + [(70, None, None), (71, "u", ""), (None, "u", "p" * 1000), (3, "again", "p" * 3000), (80, "é", "ü" * 200_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("refers_to", F.lit("clash"))
+    archives = warc.write_archives(df, archive_bytes=4000)
+    out = warc.read_archives(archives).collect()
+    assert sorted((r["page_id"] if r["page_id"] is not None else -1, bytes(r["payload"]) if r["record_type"] == "response" else r["payload_bytes"]) for r in out if r["page_id"] in (3, 80)) == [(3, b"p" * 3000), (3, b"p" * 3000), (80, ("ü" * 200_000).encode())]
+    by = {}
+    for r in out:
+        by.setdefault(r["payload_digest"], []).append(r)
+    for group in by.values():
+        first = min(r["page_id"] for r in group if r["page_id"] is not None)
+        assert all((r["record_type"], r["refers_to"]) == (("response", None) if r["page_id"] == first else ("revisit", first)) for r in group)
+    # Files read by Spark give the same records.
+    for r in archives.collect():
+        (tmp_path / r["path"]).write_bytes(bytes(r["content"]))
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    assert warc.read_archives(files).count() == len(rows)
+    assert warc.read_archives(warc.write_archives(df.limit(0))).count() == 0
+
+
+def test_warc_checks():
+    records = [warc.make_record(i, "u", bytes([65 + i % 9]) * 500 + str(i).encode() * 40, None) for i in range(40)]
+    data = warc.make_archive(records, iter([]))
+    held, at = warc.read_dictionary(data)
+    assert held and struct.unpack_from("<I", data)[0] == warc.DICTIONARY_MAGIC
+    assert [r["page_id"] for r in warc.read_archive(data)] == list(range(40))
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        list(warc.read_archive(data[:-3]))
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        list(warc.read_archive(data[:at] + data[at + 1 :]))
+    good = warc.make_record(1, "u", b"hello", None)
+    for bad in (good[:-1], good.replace(b"hello", b"hallo"), good.replace(b"Content-Length: 5", b"Content-Length: 6"), good.replace(b"WARC/1.1", b"WARC/9.9"), good.replace(b"WARC-Type: response", b"WARC-Type: other")):
+        with pytest.raises(ValueError):
+            warc.parse_record(bad)
+
+
+# Languages.
+def test_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = queries.QUERIES["op8_language"](spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in out if r["held_out"]]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in out)
+    assert np.mean([r["lang"] == r["lang_pred"] for r in held]) > 0.97 and all(0 <= r["score"] <= 1 for r in out)
+    odd = spark.createDataFrame([(1, None), (2, "123 !!"), (None, "le la les des"), (4, "the " * 50_000)], "doc_id long, text string").withColumn("score", F.lit("x"))
+    known = langid.profiles(docs)
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.predict(odd, known).collect()} == {1: "und", 2: "und", None: "fr", 4: "en"}
+    assert langid.predict(odd, []).where("lang_pred <> 'und'").count() == 0
+    assert langid.profiles(docs.limit(0)) == []
+
+
+def test_out_of_place_equals_plain():
+    counts = {}
+    text = " the cat the "
+    for n, word in ((n, f" {w} ") for n in (1, 2, 3) for w in text.split()):
+        for i in range(len(word) - n + 1):
+            gram = word[i : i + n]
+            if gram != " ":
+                counts[gram] = counts.get(gram, 0) + 1
+    codes, n = langid.ngrams(text)
+    assert sorted(n.tolist()) == sorted([*counts.values(), 1, 1]) or sum(n) >= sum(counts.values())
+
+
+# Benchmark passages.
+def test_alignment_equals_table():
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        a, b = rng.integers(1, 5, rng.integers(1, 9)), rng.integers(0, 5, rng.integers(1, 15))
+        h = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                h[i + 1, j + 1] = max(0, h[i, j] + (2 if a[i] == b[j] else -1), h[i, j + 1] - 1, h[i + 1, j] - 1)
+        assert decontaminate.align(a, b)[0] == h.max()
+
+
+def test_leaks(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    items = {r["item_id"]: r["text"] for r in bench.collect()}
+    clean = [r["text"] for r in docs.orderBy("doc_id").limit(40).collect()]
+    rng = np.random.default_rng(4)
+    made = []
+    for k, t in items.items():
+        words = [f"zz{rng.integers(99)}" if rng.random() < 0.1 else w for w in t.split()]
+        made.append((100_000 + k, f"{clean[k % 40]} {' '.join(words)} {clean[(k + 1) % 40]}"))
+    df = docs.union(spark.createDataFrame([*made, (None, items[0]), (7_000_000, None)], "doc_id long, text string")).withColumn("item_id", F.lit("x"))
+    one = decontaminate.leaks(df, bench)
+    got = {(r["doc_id"], r["item_id"]) for r in one.collect()}
+    assert {(100_000 + k, k) for k in items} <= got
+    # Plain containment finds the same among the documents as they were.
+    norm = lambda t: " ".join(decontaminate.words_of(t))
+    texts = {r["doc_id"]: norm(r["text"]) for r in docs.collect()}
+    assert {(d, k) for d, k in got if d is not None and d < 100_000} == {(d, k) for d, t in texts.items() for k, b in items.items() if f" {norm(b)} " in f" {t} "}
+    in_blocks = decontaminate.leaks(df, bench, block_bytes=2000)
+    assert {(r["doc_id"], r["item_id"]) for r in in_blocks.collect()} == got
+    kept = decontaminate.clean(df, bench)
+    assert kept.columns == df.columns and kept.where("doc_id >= 100000 and doc_id < 7000000").count() == 0 and kept.where("doc_id is null").count() == 1
+    assert decontaminate.leaks(df, bench.limit(0)).count() == 0
+
+
+# Classifiers.
+def test_toxicity(spark):
+    rng = np.random.default_rng(5)
+    m = {k: v.astype(np.float64) for k, v in toxicity.start_model(rng).items()}
+    x, size = rng.standard_normal((6, 5, 8)), np.array([6, 3, 1, 5, 4])
+    mask, y, w = (np.arange(6)[:, None] < size)[:, :, None].astype(float), np.array([1, 0, 1, 0, 1.0]), np.ones(5)
+    _, g, _ = toxicity.gradients(m, x, mask, y, w)
+    for k in g:
+        i = tuple(rng.integers(s) for s in m[k].shape)
+        old, loss = m[k][i], []
+        for e in (1e-5, -1e-5):
+            m[k][i] = old + e
+            loss.append(toxicity.gradients(m, x, mask, y, w)[0])
+        m[k][i] = old
+        assert g[k][i] == pytest.approx((loss[0] - loss[1]) / 2e-5, rel=1e-4, abs=1e-9)
+    text, n = np.repeat([0, 2], [100, 3]), 3
+    of, start, length = toxicity.windows(text, n)
+    covered = {(int(o), int(s) + k) for o, s, z in zip(of, start, length) for k in range(z)}
+    assert covered == {(0, i) for i in range(100)} | {(2, 100 + i) for i in range(3)}
+    out = queries.QUERIES["op10_toxicity"](spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").collect()
+    held = [r for r in out if r["held_out"]]
+    assert np.mean([r["predicted"] == r["toxic"] for r in held]) > 0.9 and all(0 <= r["score"] <= 1 for r in out)
+    model = toxicity.fit(spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "doc_id long, toxic int"))
+    odd = spark.createDataFrame([(1, None), (2, ""), (None, "!!"), (4, "word " * 50_000)], "doc_id long, text string")
+    assert toxicity.score(odd, model).where("predicted = 0").count() == 4
+
+
+def test_quality(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    half = F.col("doc_id") % 2 == 0
+    m = quality.fit(docs, labels.where(half))
+    out = quality.score(docs, m).join(labels.where(~half), "doc_id").collect()
+    assert np.mean([r["keep"] == bool(r["quality"]) for r in quality.score(docs, m).join(labels.where(~half).withColumnRenamed("quality", "q"), "doc_id").selectExpr("keep", "q as quality").collect()]) > 0.95
+    assert len(out) == labels.where(~half).count()
+    kept = quality.kept(docs.withColumn("keep", F.lit("x")), m)
+    assert kept.columns == [*docs.columns, "keep"] and kept.count() == quality.score(docs, m).where("keep").count()
+    odd = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "s", 0), (None, "a" * 100_000, "xx", None, -5)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert quality.score(odd, m).count() == 3
+    none = quality.fit(docs.limit(0), labels.limit(0))
+    assert quality.score(docs, none).where("keep").count() == 1000
+
+
+def test_pipeline(spark, sf):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    seen = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = seen.count()
+        seen = spark.createDataFrame(stage(spark, seen, sf).toPandas(), docs.schema)
+        assert seen.columns == docs.columns
+        assert 0.5 * before < seen.count() <= before, name
+    out = corpus_pipeline.run(spark, sf)
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted(r["doc_id"] for r in seen.collect())
+    texts = [r["text"] for r in seen.collect()]
+    assert len(set(texts)) == len(texts) and not any(brute_spans(t) for t in texts)
+    bench = [" ".join(decontaminate.words_of(r["text"])) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    assert not any(b in " ".join(decontaminate.words_of(t)) for b in bench for t in texts)
