@@ -213,11 +213,11 @@ def tetrahedra(p: np.ndarray) -> np.ndarray:
 def delaunay(points: DataFrame) -> DataFrame:
     """All edges of the Delaunay tetrahedra of each region, both ways, with weight 1.
 
-    Regions of fewer than five points have none. A region is one image crop, which one task holds.
+    Regions of fewer than five points, or of points in one plane, have none. A region is one image crop, which one task holds.
     """
     kinds = dict(points.dtypes)
 
-    def one(key, f: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("label")
         t, label = tetrahedra(f[["z", "y", "x"]].to_numpy(np.float64)), f["label"].to_numpy()
         pairs = np.unique(np.concatenate([t[:, [i, j]] for i in range(4) for j in range(4) if i != j]), axis=0) if len(t) else np.empty((0, 2), np.int64)
