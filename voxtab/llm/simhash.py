@@ -196,13 +196,15 @@ def _compared(keyed: DataFrame, radius: int, words: tuple[str, ...] = ("fp",)) -
             rep, fp = table.column("rep").to_numpy(), np.stack([table.column(c).to_numpy().view(np.uint64) for c in words], axis=1)
             mask, key = table.column("mask").to_numpy(), table.column("key").to_numpy()
             group = np.cumsum(np.r_[True, (mask[1:] != mask[:-1]) | (key[1:] != key[:-1])])
-            label = np.arange(len(fp))
+            # Sets are of classes, not of rows: a class that comes by several keys is joined once.
+            reps, own = np.unique(rep, return_inverse=True)
+            label = np.arange(len(reps))
             for a, b in close_pairs(fp, group, radius):
-                merge(label, a, b)
+                merge(label, own[a], own[b])
             while (label[label] != label).any():
                 label = label[label]
-            far = label != np.arange(len(fp))
-            return pa.record_batch([pa.array(rep[far]), pa.array(rep[label[far]])], ["a", "b"])
+            far = label != np.arange(len(reps))
+            return pa.record_batch([pa.array(reps[far]), pa.array(reps[label[far]])], ["a", "b"])
 
         held, rows = [], 0
         for batch in batches:
@@ -263,7 +265,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, radius: i
 
 
 #: The long fingerprints: words of 64 bits, the tables in which a pair can meet, and the largest distance.
-WIDE, TABLES = 4, 64
+WIDE, TABLES = 4, 32
 #: Two texts whose five-word shingles are 0.8 alike differ in 39 of 256 bits on average, with a deviation of 6.
 WIDE_RADIUS = 46
 
@@ -271,12 +273,12 @@ WIDE_RADIUS = 46
 def wide_links(classes: DataFrame, radius: int = WIDE_RADIUS, tables: int = TABLES) -> DataFrame:
     """Edges among classes (``rep``, ``w0`` to ``w3``) within ``radius`` of 256 bits that agree on all sampled bits of a table.
 
-    A table samples about as many bits as the number of classes has, so unrelated classes seldom
-    meet, whatever the size of the input. A key with more than ``LARGE_KEY`` classes, which then
+    A table samples five bits fewer than the number of classes has, so some tens of unrelated classes
+    meet, whatever the size of the input: they fit one word of the bit planes. A key with more than ``LARGE_KEY`` classes, which then
     are mostly copies of each other, samples further bits until it is small.
     """
     words = tuple(f"w{k}" for k in range(WIDE))
-    bits = min(40, max(12, int(np.ceil(np.log2(max(2, classes.count()))))))
+    bits = min(40, max(12, int(np.ceil(np.log2(max(2, classes.count())))) - 5))
     rng = np.random.default_rng(64)
     order = np.stack([rng.permutation(WIDE * BITS) for _ in range(tables)])
 
@@ -308,6 +310,13 @@ def wide_links(classes: DataFrame, radius: int = WIDE_RADIUS, tables: int = TABL
         rest, old, bits = stored(keyed.join(large, ["mask", "key"], "left_semi").select("rep", *words, "mask")), True, min(WIDE * BITS - 16, bits + 24)
 
 
+def _contracted(edges: DataFrame) -> DataFrame:
+    """The same sets with few edges: each node keeps its smallest neighbour, and its other ones are joined to that."""
+    g = edges.groupBy("a").agg(F.min("b").alias("b"), F.collect_set("b").alias("all"))
+    others = g.select(F.explode("all").alias("a"), "b").where("a <> b")
+    return g.select("a", "b").union(others.distinct())
+
+
 def wide_duplicates(docs: DataFrame, shingle: int = 5, seed: int = 42, radius: int = WIDE_RADIUS) -> DataFrame:
     """``doc_id, component_id`` of each document with an id, by fingerprints of 256 bits.
 
@@ -324,7 +333,7 @@ def wide_duplicates(docs: DataFrame, shingle: int = 5, seed: int = 42, radius: i
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
     marks = stored(texts.mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in words)))
     classes = stored(marks.groupBy(*words).agg(F.min("doc_id").alias("rep")))
-    found = components(wide_links(classes, radius))
+    found = components(_contracted(stored(wide_links(classes, radius))))
     mapped = stored(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*words, F.coalesce("component", "rep").alias("component_id")))
     return marks.join(mapped, words).select("doc_id", "component_id")
 
