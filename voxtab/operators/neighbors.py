@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import expressions as E
+from ..sources.tables import checkpointed
 
 EDGE = ("ROI", "focal", "neighbor", "weight")
 #: Above so many points in a region, points meet by grid cell instead of all with all.
@@ -137,7 +138,7 @@ def knn(points: DataFrame, k: int, self_loops: bool = False, bucket: bool | None
             full = found.groupBy("ROI", "focal").agg(F.max("_n").alias("_m")).where(F.col("_m") == k).select("ROI", "focal")
             done = found.join(full, ["ROI", "focal"], "left_semi").select(*EDGE)
             out = done if out is None else out.union(done)
-            todo = todo.join(full, ["ROI", "focal"], "left_anti").checkpoint()
+            todo = checkpointed(todo.join(full, ["ROI", "focal"], "left_anti"))
             if todo.isEmpty():
                 break
             r *= 2

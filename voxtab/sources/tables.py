@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,14 @@ def read_table(spark: SparkSession, path: str, **partition) -> DataFrame:
     return df
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` with its lineage cut, in the folder of ``spark.checkpoint.dir``; in one of our own only where that is unset."""
+    sc = df.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
+
+
 def write_table(df: DataFrame, path: str, overwrite: bool = False, partition_by=()) -> None:
     """Without ``overwrite`` a table that exists is an error."""
     df.write.partitionBy(*partition_by).mode("overwrite" if overwrite else "errorifexists").parquet(path)
