@@ -36,14 +36,18 @@ def test_suffix_arrays_equal_sorting():
 ODD = ["a" * 3000, "a" * 99, "a" * 100, "ab" * 900, None, "", "xyz" * 40 + "a" * 300, "é" * 200, "".join(chr(97 + i * i % 23) for i in range(400)) * 3]
 
 
-@pytest.mark.parametrize("shard", [2, 48])
-def test_repeats_equal_brute(spark, sf, shard):
+@pytest.mark.parametrize(("shard", "rows_"), [(2, 20), (48, 20), (48, 3)])
+def test_repeats_equal_brute(spark, sf, monkeypatch, shard, rows_):
+    monkeypatch.setattr(suffixdedup, "SAMPLED", 2)
+    monkeypatch.setattr(suffixdedup, "HEAVY_ROWS", rows_)
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").where("doc_id < 120")
     line = "one line that very many documents share and that is longer than the shortest repeat, so it has to go from all but one of them. "
     extra = [(1000 + i, t) for i, t in enumerate(ODD)] + [(2000 + i, f"{i * 7919} {line} {i * 104729}") for i in range(30)]
     df = docs.union(spark.createDataFrame(extra, "doc_id long, text string"))
     rows = [(r["doc_id"], (r["text"] or "").encode()) for r in df.collect()]
     want = suffixdedup.brute(rows)
+    if rows_ < 20:
+        assert suffixdedup.heavy_keys(df.select(F.col("doc_id").alias("doc"), F.coalesce("text", F.lit("")).alias("text")), 100, suffixdedup.GRAM)
     for r in suffixdedup.removed(df, shard=shard).collect():
         kept = bytes(r["kept"])
         assert (r["n_bytes"], r["n_bytes"] - len(kept), len(r["spans"]), hashlib.sha256(kept).hexdigest()) == want[r["doc_id"]], r["doc_id"]
@@ -133,9 +137,10 @@ def test_base_spans_equal_brute(spark, sf):
 
 
 def test_redaction(spark):
-    df = spark.createDataFrame([(1, "x jo@a.bc, +1 (456) 555-2186!", "k"), (2, None, None), (None, "é 10.0.0.1", "k")], "doc_id long, text string, _other string")
+    df = spark.createDataFrame([(1, "x jo@a.bc, +1 (456) 555-2186!", "k"), (2, None, None), (None, "é 10.0.0.1", "k")], "doc_id long, text string, _base string")
     out = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
     assert out == {1: "x [EMAIL], [PHONE]!", 2: None, None: "é [IP]"}
+    assert sorted(r["_base"] or "" for r in pii.redact(df).collect()) == ["", "k", "k"]
     assert pii.redact(df).columns == df.columns and pii.redact(df.limit(0)).count() == 0
 
 
