@@ -35,13 +35,23 @@ def test_basic_shape(box):
     assert one["NumberOfPixels"] == 72 and one["PhysicalSize"] == 72.0
     assert (one["Centroid"]["x"], one["Centroid"]["y"], one["Centroid"]["z"]) == (1.75, 2.5, 4.0)
     assert one["BoundingBox"]["lower-x"] == 1 and one["BoundingBox"]["upper-x"] == 7
-    # Sides 6, 4 and 3 in physical units: areas of opposite faces twice each.
-    assert one["Perimeter"] == pytest.approx(2 * (6 * 4 + 6 * 3 + 4 * 3))
     assert one["FeretDiameter"] == pytest.approx(math.sqrt(4**2 + 3**2 + 2.5**2))
     assert one["Roundness"] == pytest.approx(one["EquivalentSphericalPerimeter"] / one["Perimeter"])
     assert r[2]["FeretDiameter"] == 0 and r[2]["Elongation"] == pytest.approx(2.0) and r[2]["Flatness"] == pytest.approx(2.0)
 
 
+def test_surface_of_a_ball(spark, monkeypatch):
+    at = [(z, y, x) for z in range(-9, 10) for y in range(-15, 16) for x in range(-15, 16)]
+    rows = [(1, z + 20, y + 20, x + 20, int(4 * z * z + y * y + x * x <= 14.3**2)) for z, y, x in at]
+    ball = spark.createDataFrame(rows, "ROI int, z int, y int, x int, label int")
+    got = shape.surface(ball, (2.0, 1.0, 1.0)).first()["Perimeter"]
+    assert got == pytest.approx(4 * math.pi * 14.3**2, rel=0.03)
+    assert sum(shape.intercept_weights((1.0, 1.0, 1.0))) == pytest.approx(3.0, abs=0.02)
+    # One plane of voxels has no other neighbours; bricks of any size give the same.
+    monkeypatch.setattr(shape, "BRICK", 5)
+    assert shape.surface(ball, (2.0, 1.0, 1.0)).first()["Perimeter"] == pytest.approx(got)
+
+
 def test_moments_equal_numpy(box):
     p = np.array([(x, y, z) for z, y, x in itertools.product(range(1, 4), range(1, 5), range(1, 7))]) * np.array([0.5, 1.0, 2.0])
     want = np.linalg.eigvalsh(np.cov(p.T, bias=True) + np.diag(np.array([0.5, 1.0, 2.0]) ** 2 / 12))

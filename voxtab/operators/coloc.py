@@ -24,9 +24,16 @@ def _two(voxels: DataFrame, a: str, b: str, keys) -> DataFrame:
     return objects(voxels).select(*keys, F.col(names.q(a)).cast("double").alias("a"), F.col(names.q(b)).cast("double").alias("b")).where("a is not null and b is not null")
 
 
+def pearson_of(a: str, b: str) -> Column:
+    """Pearson's correlation as an aggregate; null where it is not defined."""
+    x, y = (F.col(names.q(c)).cast("double") for c in (a, b))
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
+    return F.when((F.count(x) >= 2) & (F.min(x) != F.max(x)) & (F.min(y) != F.max(y)), F.corr(x, y))
+
+
 def pearson(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
-    flat = (F.min("a") == F.max("a")) | (F.min("b") == F.max("b"))
-    return _two(voxels, a, b, keys).groupBy(*keys).agg(F.when((F.count("*") >= 2) & ~flat, F.corr("a", "b")).alias("value"))
+    return objects(voxels).groupBy(*keys).agg(pearson_of(a, b).alias("value"))
 
 
 def _rank(keys, c: str) -> Column:

@@ -11,6 +11,9 @@ from . import shape
 from .shape import KEYS, objects
 
 
+_WEIGHTED = ("Weighted", "CenterOf")
+
+
 def skewness(v: Column) -> Column:
     """Third central moment over the cubed sample deviation."""
     n = F.count(v)
@@ -40,19 +43,27 @@ def _simple(v: Column, feature: str) -> Column | None:
     return made[feature]() if feature in made else None
 
 
+def sums(channels, want, scale) -> dict[str, Column]:
+    """The aggregates of the wanted features by name; weighted ones as moment sums in ``_m_<channel>``."""
+    out = {names.intensity(c, f): _simple(F.col(names.q(c)), f) for c in channels for f in want if not f.startswith(_WEIGHTED)}
+    if any(f.startswith(_WEIGHTED) for f in want):
+        out |= {f"_m_{c}": F.struct(*shape.moment_sums(scale, F.col(names.q(c)))) for c in channels}
+    return out
+
+
+def finished(df: DataFrame, channels, want, scale) -> DataFrame:
+    """``df`` with the weighted features in place of their sums."""
+    weighted = [f for f in want if f.startswith(_WEIGHTED)]
+    for c in channels if weighted else ():
+        df = _weighted(df, c, weighted, scale)
+    return df
+
+
 def features(voxels: DataFrame, channels, props=names.INTENSITY_FEATURES, scale=(1.0, 1.0, 1.0), keys=KEYS) -> DataFrame:
     """``<channel>_<Feature>`` of each object. The median is exact."""
     want = names.requested(props, names.INTENSITY_FEATURES)
-    simple = [(c, f) for c in channels for f in want if not f.startswith(("Weighted", "CenterOf"))]
-    weighted = [f for f in want if f.startswith(("Weighted", "CenterOf"))]
-    v = objects(voxels)
-    aggs = [_simple(F.col(names.q(c)), f).alias(names.intensity(c, f)) for c, f in simple]
-    if weighted:
-        aggs += [s for c in channels for s in (F.struct(*shape.moment_sums(scale, F.col(names.q(c)))).alias(f"_m_{c}"),)]
-    out = v.groupBy(*keys).agg(*aggs)
-    for c in channels if weighted else ():
-        out = _weighted(out, c, weighted, scale)
-    return out.select(*keys, *(names.q(names.intensity(c, f)) for c in channels for f in want))
+    out = objects(voxels).groupBy(*keys).agg(*(v.alias(k) for k, v in sums(channels, want, scale).items()))
+    return finished(out, channels, want, scale).select(*keys, *(names.q(names.intensity(c, f)) for c in channels for f in want))
 
 
 def _weighted(df: DataFrame, channel: str, want, scale) -> DataFrame:

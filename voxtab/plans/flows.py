@@ -76,18 +76,27 @@ def measure(
             v = models.apply_z_model(v, c, *z_models[c], mask, scale)
         if time_factors is not None:
             v = models.apply_t_factor(v, c, time_factors)
-    parts = [intensity.features(v, used, intensity_props, scale)]
-    if is_reference:
-        parts.insert(0, shape.features(v, scale, label_props))
-        if parent:
-            parts.append(hierarchy.parents(v, parent))
-        if distance_to:
-            parts.append(distance.features(v, distance_to[0], distance_to[1], scale=scale))
-        if pairs:
-            parts.append(coloc.features(v, pairs, metrics))
-        if neighborhood.measure:
-            m = v.where(F.col(q(neighborhood.label_img_mask)) != 0) if neighborhood.label_img_mask else None
-            parts.append(aggregate.preset(aggregate.Neighborhoods.from_voxels(v, scale, m)))
+    want = names.requested(intensity_props, names.INTENSITY_FEATURES)
+    values = [names.intensity(c, f) for c in used for f in want]
+    sums = intensity.sums(used, want, scale)
+    if not is_reference:
+        return intensity.features(v, used, intensity_props, scale)
+    by_sum = [(a, b) for a, b in pairs if "PearsonR" in names.requested(metrics, coloc.METRICS)]
+    sums |= {names.coloc(a, b, "PearsonR"): coloc.pearson_of(a, b) for a, b in by_sum}
+    # Everything that sums give comes from one pass; the rest is joined to it.
+    one = intensity.finished(shape.features(v, scale, label_props, more=sums), used, want, scale)
+    shapes = [c for c in one.columns if c not in sums and c not in values]
+    parts = [one.select(*(q(c) for c in [*shapes, *values, *(names.coloc(a, b, "PearsonR") for a, b in by_sum)]))]
+    if parent:
+        parts.append(hierarchy.parents(v, parent))
+    if distance_to:
+        parts.append(distance.features(v, distance_to[0], distance_to[1], scale=scale))
+    ranks = [m for m in names.requested(metrics, coloc.METRICS) if m != "PearsonR"]
+    if pairs and ranks:
+        parts.append(coloc.features(v, pairs, ranks))
+    if neighborhood.measure:
+        m = v.where(F.col(q(neighborhood.label_img_mask)) != 0) if neighborhood.label_img_mask else None
+        parts.append(aggregate.preset(aggregate.Neighborhoods.from_voxels(v, scale, m)))
     return hierarchy.aligned(parts)
 
 

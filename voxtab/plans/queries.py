@@ -61,10 +61,9 @@ def fields(df: DataFrame, *keys: str, digits: int = 4) -> DataFrame:
 def feature_table(spark, sf_dir):
     """The flagship: shape, intensity and correlation in one pass over the voxels."""
     v = views.vox(spark, sf_dir)
-    n = F.count("*")
-    simple = [intensity._simple(F.col("ch0"), f).alias(f"ch0_{f}") for f in ("Mean", "Minimum", "Maximum", "Sum", "Variance", "StandardDeviation")]
-    out = shape.objects(v).groupBy("ROI", "label").agg(n.alias("NumberOfPixels"), (n * F.lit(1.0)).alias("PhysicalSize"), F.avg("z").alias("Centroid-z"), *simple, F.avg("ch2").alias("ch2_Mean"), F.sum("ch2").alias("ch2_Sum"), F.corr("ch0", "ch2").alias("ch0|ch2_PearsonR"))
-    return fields(out, "ROI", "label")
+    more = intensity.sums(["ch0"], ("Mean", "Minimum", "Maximum", "Sum", "Variance", "StandardDeviation"), (1.0, 1.0, 1.0)) | intensity.sums(["ch2"], ("Mean", "Sum"), (1.0, 1.0, 1.0))
+    out = shape.fused(v.withColumns({"y": F.lit(0), "x": F.lit(0)}), (1.0, 1.0, 1.0), ("NumberOfPixels", "PhysicalSize", "Centroid"), more | {"ch0|ch2_PearsonR": coloc.pearson_of("ch0", "ch2")})
+    return fields(out.withColumn("Centroid-z", F.col("Centroid.z")).drop("Centroid"), "ROI", "label")
 
 
 @query("shape_basic", "grid", """SELECT CAST(ROI AS BIGINT) AS "ROI", label, count(*) AS "NumberOfPixels", round(count(*) * 0.5, 4) AS "PhysicalSize", round(avg(x) * 0.5, 4) AS "Centroid-x", round(avg(y) * 0.5, 4) AS "Centroid-y", round(avg(z) * 2.0, 4) AS "Centroid-z",
@@ -89,11 +88,18 @@ _FACES = """d AS (SELECT label, lead(label) OVER (PARTITION BY z, y ORDER BY x)
     f AS (SELECT label, n AS neighbor, sum(a) AS area FROM (SELECT label, n, a FROM d WHERE ok AND n <> label UNION ALL SELECT n, label, a FROM d WHERE ok AND n <> label) GROUP BY 1, 2)"""
 
 
-@query("shape_perimeter", "grid", f"""-- , {_FACES}, b AS (SELECT label, sum(0.25 * (CAST(z = z0 AS INT) + CAST(z = z1 AS INT)) + CAST(y = y0 AS INT) + CAST(y = y1 AS INT) + CAST(x = x0 AS INT) + CAST(x = x1 AS INT)) AS border,
+def _entries() -> str:
+    """Entries of lines into objects, for each direction by the voxel before along it, weighted."""
+    parts = []
+    for (dz, dy, dx), w in zip(shape.DIRECTIONS, shape.intercept_weights(SCALE)):
+        parts.append(f"SELECT a.label, CAST({w!r} AS DOUBLE) AS w FROM grid a LEFT JOIN grid b ON b.z = a.z - ({dz}) AND b.y = a.y - ({dy}) AND b.x = a.x - ({dx}) WHERE a.label <> 0 AND a.label <> coalesce(b.label, 0)")
+    return f"s AS (SELECT label, sum(w) AS s FROM ({' UNION ALL '.join(parts)}) GROUP BY label)"
+
+
+@query("shape_perimeter", "grid", f"""-- , {_entries()}, b AS (SELECT label, sum(0.25 * (CAST(z = z0 AS INT) + CAST(z = z1 AS INT)) + CAST(y = y0 AS INT) + CAST(y = y1 AS INT) + CAST(x = x0 AS INT) + CAST(x = x1 AS INT)) AS border,
     4 * pi() * pow(pow(3 * count(*) * 0.5 / (4 * pi()), 1.0 / 3), 2) AS sphere
-    FROM grid, (SELECT min(z) z0, max(z) z1, min(y) y0, max(y) y1, min(x) x0, max(x) x1 FROM grid) WHERE label <> 0 GROUP BY label),
-    i AS (SELECT label, sum(area) AS inner_ FROM f GROUP BY label)
-    SELECT CAST(0 AS BIGINT) AS "ROI", b.label, round(coalesce(inner_, 0) + border, 4) AS "Perimeter", round(border / (coalesce(inner_, 0) + border), 4) AS "PerimeterOnBorderRatio", round(sphere / (coalesce(inner_, 0) + border), 4) AS "Roundness" FROM b LEFT JOIN i USING (label)""")
+    FROM grid, (SELECT min(z) z0, max(z) z1, min(y) y0, max(y) y1, min(x) x0, max(x) x1 FROM grid) WHERE label <> 0 GROUP BY label)
+    SELECT CAST(0 AS BIGINT) AS "ROI", label, round(s, 4) AS "Perimeter", round(border / s, 4) AS "PerimeterOnBorderRatio", round(sphere / s, 4) AS "Roundness" FROM b JOIN s USING (label)""")
 def shape_perimeter(spark, sf_dir):
     return fields(shape.perimeter(views.grid(spark, sf_dir), SCALE).select("ROI", "label", "Perimeter", "PerimeterOnBorderRatio", "Roundness"), "ROI", "label")
 
