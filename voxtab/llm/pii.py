@@ -86,15 +86,19 @@ def _valid(kind: str, s: Column) -> Column:
     return F.lit(True)
 
 
-def _guarded(text: Column, kind: str, spans: Column) -> Column:
+def _flags(docs: DataFrame, text: Column) -> DataFrame:
+    """``docs`` with what tells texts without any match of a kind, read once for all kinds."""
+    return docs.withColumns({"_digit": text.rlike("[0-9]"), "_at": text.contains("@") | text.rlike(r"[\[({]at[\])}]")})
+
+
+def _guarded(kind: str, spans: Column) -> Column:
     """The spans only where the text has a character without which the kind has no match."""
-    need = {"email": text.contains("@") | text.rlike(r"[\[({]at[\])}]"), "phone": text.rlike("[0-9]"), "card": text.rlike("[0-9]"), "ip": text.rlike("[0-9]")}[kind]
-    return F.when(need, spans).otherwise(F.array().cast(_SPAN))
+    return F.when(F.col("_at") if kind == "email" else F.col("_digit"), spans).otherwise(F.array().cast(_SPAN))
 
 
 def base_spans(text: Column, kind: str) -> Column:
     found = _matches(text, KINDS.index(kind), BASE[kind])
-    return _guarded(text, kind, F.filter(found, lambda x: _valid(kind, x["text"])))
+    return _guarded(kind, F.filter(found, lambda x: _valid(kind, x["text"])))
 
 
 def _place(c: Column) -> Column:
@@ -124,8 +128,8 @@ def found(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_base`` (all base spans) and ``_cand`` (span, features, whether a base span of its kind meets it)."""
     text = text_of()
     base = F.concat(*(base_spans(text, k) for k in KINDS))
-    loose = F.concat(*(_guarded(text, k, _matches(text, KINDS.index(k), LOOSE[k])) for k in KINDS))
-    d = docs.withColumn("_base", base)
+    loose = F.concat(*(_guarded(k, _matches(text, KINDS.index(k), LOOSE[k])) for k in KINDS))
+    d = _flags(docs, text).withColumn("_base", base)
 
     def described(x):
         met = F.exists("_base", lambda b: (b["kind"] == x["kind"]) & (b["start"] < x["end"]) & (x["start"] < b["end"]))
@@ -238,7 +242,7 @@ def with_spans(docs: DataFrame) -> DataFrame:
 
     bare = lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
     every = F.concat(F.transform("_base", bare), F.transform(F.filter("_cand", added), bare))
-    return cands.withColumn("_all", F.array_sort(F.array_distinct(every))).drop("_cand")
+    return cands.withColumn("_all", F.array_sort(F.array_distinct(every))).drop("_cand", "_digit", "_at")
 
 
 def written(spans: Column) -> Column:
@@ -256,7 +260,7 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with each run of overlapping spans replaced by the kind of its first, as in ``[EMAIL]``. Null texts stay null."""
-    d = with_spans(docs)
+    d = with_spans(docs.select("doc_id", "text", F.struct("*").alias("_row")))
     text = F.col("text")
     tags = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     by_start = F.array_sort("_all", lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
@@ -268,4 +272,9 @@ def redact(docs: DataFrame) -> DataFrame:
         return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], kept, F.get(tags, x["kind"]))).otherwise(acc["out"]).alias("out"))
 
     done = F.aggregate(by_start, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text) - acc["at"])))
-    return d.withColumn("text", F.when(F.size("_all") > 0, done).otherwise(text)).select(docs.columns)
+    new = F.when(F.size("_all") > 0, done).otherwise(text)
+    return d.select(*(new.alias(c) if c == "text" else F.col(f"_row.{q(c)}").alias(c) for c in docs.columns))
+
+
+def q(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
