@@ -13,7 +13,8 @@ segment. Equal strings have equal keys, so each shard, all segments of one key,
    suffix array is built by induced sorting; runs of suffixes with a common prefix of ``LENGTH``
    bytes or more are the repeated strings. Keys with more than ``SHARD`` different segments (a
    line that very many documents share) send their strings one by one, by their own hash, so
-   that no shard grows with the data.
+   that no shard grows with the data. Keys that a sample of the texts shows to be of this kind
+   are sent so from the start; this changes where strings meet, not what is found.
 3. The removed strings of each document are joined with its text once more (the same exchange of
    the texts) and merged into runs.
 
@@ -37,6 +38,9 @@ LENGTH = 100
 GRAM = 24
 #: Strings of one segment at most, and different segments of one shard at most.
 SEGMENT, SHARD = 512, 48
+#: One text in so many is looked at for keys with very many different segments: at least
+#: ``HEAVY_ROWS`` of the sample's, and more than ``HEAVY_SHARE`` of them, which bounds the list.
+SAMPLED, HEAVY_ROWS, HEAVY_SHARE = 64, 20, 1e-5
 #: Bytes that are cut or sorted in one go.
 _CHUNK = 2_000_000
 _SORT = 400_000
@@ -144,11 +148,30 @@ def _bytes(column) -> list[bytes]:
 _PLACE = "key long, hash long, doc long, place long, kind int"
 
 
-def _segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
+def heavy_keys(texts: DataFrame, length: int, gram: int) -> list[int]:
+    """Keys that very many different segments share, by a sample of the texts; at most ``1 / HEAVY_SHARE``."""
+    part = texts.where(F.pmod(F.xxhash64("doc", "text"), F.lit(SAMPLED)) == 0)
+    keys = stored(_segments(part, length, gram).where(F.col("kind") != WHOLE).select("key", "hash").distinct().groupBy("key").agg(F.count("*").alias("n")))
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    return [r["key"] for r in keys.where(F.col("n") >= F.lit(max(HEAVY_ROWS, HEAVY_SHARE * total))).select("key").collect()]
+
+
+def _single(raws, text, start, n, length):
+    """The strings of segments one by one: index of the segment, start, and both halves of a hash."""
+    of = np.repeat(np.arange(len(n)), n)
+    at = start[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    digest = xxhash.xxh3_128_digest
+    halves = np.frombuffer(b"".join([digest(raws[i][s : s + length]) for i, s in zip(text[of].tolist(), at.tolist())]), "<u8").reshape(-1, 2)
+    return of, at, halves[:, 0], halves[:, 1]
+
+
+def _segments(texts: DataFrame, length: int, gram: int, heavy: list[int] = ()) -> DataFrame:
     """``key, hash, doc, place`` of the segments, first places of a batch; the other places with kind ``WHOLE``.
 
     Kind ``SORTED`` marks a segment that may repeat itself, and needs its strings compared even alone.
+    Segments with a ``heavy`` key are sent as single strings.
     """
+    heavy_ = np.sort(np.array(heavy, np.int64).view(np.uint64))
 
     def run(batches):
         for batch in batches:
@@ -160,7 +183,14 @@ def _segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 digest = xxhash.xxh3_64_intdigest
                 hashed = np.array([digest(raws[lo + i][s : s + m + length - 1]) for i, s, m in zip(text.tolist(), start.tolist(), n.tolist())], np.uint64)
                 doc = docs[lo:hi][text]
-                place = _where(start, n, np.array([_tag(r) for r in raws[lo:hi]])[text])
+                tags = np.array([_tag(r) for r in raws[lo:hi]])
+                if len(heavy_) and (many := np.isin(key, heavy_)).any():
+                    of, at, k, h = _single(raws[lo:hi], text[many], start[many], n[many], length)
+                    few = ~many
+                    key, hashed = np.r_[key[few], k], np.r_[hashed[few], h]
+                    loops, n = np.r_[loops[few], np.zeros(len(of), bool)], np.r_[n[few], np.ones(len(of), np.int64)]
+                    text, start, doc = np.r_[text[few], text[many][of]], np.r_[start[few], at], np.r_[doc[few], doc[many][of]]
+                place = _where(start, n, tags[text])
                 order = np.lexsort((start, doc, hashed, key))
                 k, h, d, s = key[order], hashed[order], doc[order], start[order]
                 same = np.r_[False, (k[1:] == k[:-1]) & (h[1:] == h[:-1])]
@@ -409,7 +439,7 @@ def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int
     Texts shorter than ``length`` lose nothing.
     """
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("doc_id").cast("long"))
-    known = stored(_settled(_segments(texts, length, gram), shard))
+    known = stored(_settled(_segments(texts, length, gram, heavy_keys(texts, length, gram)), shard))
     by_doc = lambda rows, *what: rows.groupBy("doc").agg(F.collect_list(F.struct(*what)).alias("places"))
     wanted = by_doc(known.where(F.col("kind") != WHOLE), "key", "place", "kind")
     base = texts.select("doc", "doc_id", "text")
