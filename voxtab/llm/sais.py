@@ -43,31 +43,38 @@ def suffix_arrays(t: np.ndarray, size: np.ndarray) -> np.ndarray:
     ends = np.cumsum(count)
     starts = ends - count
 
+    # An empty place holds 0; the place before a text's first letter is another text's final 0, which is in neither.
+    is_l, is_small = ~is_s, is_s.copy()
+    is_small[off + size - 1] = False
+
     def induce(sa: np.ndarray) -> None:
         most = int(size[0])
-        active = np.searchsorted(-size, -np.arange(most), "left")
-        head = starts.copy()
+        active = np.searchsorted(-size, -np.arange(most), "left").tolist()
+        head, tail = starts.copy(), ends.copy()
         for i in range(most):
             o = off[: active[i]]
-            j = o + sa[o + i] - 1
-            ok = (j >= o) & ~is_s[j]
-            o, j = o[ok], j[ok]
+            j = o + sa[o + i]
+            j -= 1
+            ok = is_l[j].nonzero()[0]
+            j = j[ok]
             b = bucket[j]
-            sa[head[b]] = j - o
-            head[b] += 1
-        tail = ends.copy()
+            h = head[b]
+            sa[h] = j - o[ok]
+            head[b] = h + 1
         for i in range(most - 1, -1, -1):
             o = off[: active[i]]
-            j = o + sa[o + i] - 1
-            ok = (j >= o) & is_s[j]
-            o, j = o[ok], j[ok]
+            j = o + sa[o + i]
+            j -= 1
+            ok = is_small[j].nonzero()[0]
+            j = j[ok]
             b = bucket[j]
-            tail[b] -= 1
-            sa[tail[b]] = j - o
+            h = tail[b] - 1
+            sa[h] = j - o[ok]
+            tail[b] = h
 
     def placed(at: np.ndarray) -> np.ndarray:
         """A new array with the suffixes ``at``, sorted by bucket, at the ends of their buckets."""
-        sa = np.full(n, -1, np.int64)
+        sa = np.zeros(n, np.int64)
         b = bucket[at]
         sa[ends[b] - 1 - _runs_from_ends(b)] = at - off[owner[at]]
         sa[off] = size - 1  # the final 0 alone is the smallest suffix, also where it is the whole text

@@ -383,7 +383,11 @@ def _solved(requests: DataFrame, length: int) -> DataFrame:
                 pool = int(total).bit_length() // 2
                 pools.setdefault(pool, []).append(rows)
                 sizes[pool] = sizes.get(pool, 0) + total
-            for pool in [k for k, v in sizes.items() if v > (_SORT if k < 7 else 4 * _SORT) or (end and v)]:
+            if end:  # the steps are those of the longest shard, so what is left of the long ones goes together
+                for pool in [k for k in sizes if 5 <= k < max(sizes)]:
+                    pools[max(sizes)] += pools.pop(pool)
+                    sizes.pop(pool)
+            for pool in [k for k, v in sizes.items() if v > (_SORT if k < 7 else 3 * _SORT) or (end and v)]:
                 found = list(sort(pools.pop(pool)))
                 sizes.pop(pool)
                 if found:
