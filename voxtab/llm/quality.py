@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: About so many labelled documents of each class, pool documents, and their longest text.
 TRAINING_DOCUMENTS, POOL_DOCUMENTS, TRAINING_CHARS = 1200, 2000, 10_000
@@ -284,10 +285,12 @@ def score(docs: DataFrame, m: dict) -> DataFrame:
 def kept(docs: DataFrame, m: dict) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns; each row is judged by itself."""
 
+    kinds = (pa.string(), pa.string(), pa.string(), pa.int64())
+
     def run(batches):
         for batch in batches:
-            p = odds_of(m, _rows(batch.columns[-4:]))
-            yield pa.RecordBatch.from_arrays(batch.columns[:-4], names=batch.schema.names[:-4]).filter(pa.array(p >= 0))
+            rows = batch.column(0)
+            p = odds_of(m, _rows([rows.field(c).cast(k) for c, k in zip(_COLUMNS, kinds)]))
+            yield batch.filter(pa.array(p >= 0))
 
-    kinds = ("string", "string", "string", "long")
-    return docs.select("*", *(F.col(c).cast(k).alias(f"_{c}") for c, k in zip(_COLUMNS, kinds))).mapInArrow(run, docs.schema)
+    return docs.select(F.struct("*").alias("row")).mapInArrow(run, T.StructType([T.StructField("row", docs.schema)])).select("row.*")
