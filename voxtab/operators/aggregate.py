@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from ..functions.names import q
+from ..sources.tables import checkpointed
 from . import neighbors as N
 from . import shape
 
@@ -151,8 +152,10 @@ class Neighborhoods:
 
     @classmethod
     def from_voxels(cls, voxels: DataFrame, scale=(1.0, 1.0, 1.0), mask: DataFrame | None = None) -> Neighborhoods:
+        # One row for each object, which every query joins: taken from the voxels once.
         c = shape.centroids(voxels, scale)
-        return cls(c.select("ROI", "label", *(F.col(f"Centroid.{a}").alias(a) for a in "zyx")), N.touch(voxels, scale), mask)
+        points = checkpointed(c.select("ROI", "label", *(F.col(f"Centroid.{a}").alias(a) for a in "zyx")))
+        return cls(points, N.touch(voxels, scale), mask)
 
     def add(self, *queries) -> Neighborhoods:
         return replace(self, queries=(*self.queries, *queries))
