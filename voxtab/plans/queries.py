@@ -390,11 +390,11 @@ def unnest_structs(spark, sf_dir):
     return fields(reshape.unnest(_feat(spark, sf_dir).select("ROI", "label", "Centroid"), "Centroid"), "ROI", "label")
 
 
-@query("tall_first_non_null", "vox", """-- , u AS (SELECT label, CASE WHEN z < 4 THEN ch0 END AS a, CASE WHEN z >= 4 THEN ch1 END AS b, CASE WHEN z = 1 THEN ROI END AS roi FROM vox) SELECT CAST(label AS INT) AS label, 'o' || label AS key, round(min(a), 4) AS a, round(min(b), 4) AS b, CAST(min(roi) AS BIGINT) AS roi FROM u GROUP BY u.label""")
+@query("tall_first_non_null", "vox", """-- , u AS (SELECT label, CASE WHEN z < 4 THEN ch0 END AS a, CASE WHEN z >= 4 THEN ch1 END AS b, CASE WHEN z = 1 THEN ROI END AS roi FROM vox) SELECT CAST(label AS INT) AS label, 'o' || label AS key, round(min(a), 4) AS a, round(min(b), 4) AS b, coalesce(CAST(min(roi) AS BIGINT), -1) AS roi FROM u GROUP BY u.label""")
 def tall_first_non_null(spark, sf_dir):
     v = views.vox(spark, sf_dir)
     u = v.select(F.concat(F.lit("o"), F.col("label").cast("string")).alias("key"), "label", F.when(F.col("z") < 4, F.col("ch0")).alias("a"), F.when(F.col("z") >= 4, F.col("ch1")).alias("b"), F.when(F.col("z") == 1, F.col("ROI")).alias("roi"))
-    return reshape.to_tall(u, "key").select("label", "key", r("a").alias("a"), r("b").alias("b"), F.col("roi").cast("long").alias("roi"))
+    return reshape.to_tall(u, "key").select("label", "key", r("a").alias("a"), r("b").alias("b"), F.coalesce(F.col("roi").cast("long"), F.lit(-1).cast("long")).alias("roi"))
 
 
 @query("split_channel_pair", None, """SELECT c_custkey AS label, split_part(p, '|', 1) AS first, split_part(p, '|', 2) AS second, CASE WHEN split_part(p, '|', 1) = 'BUILDING_1' THEN split_part(p, '|', 2) ELSE split_part(p, '|', 1) END AS channel, CASE WHEN split_part(p, '|', 2) = 'BUILDING_1' THEN split_part(p, '|', 2) ELSE split_part(p, '|', 1) END AS channel_ref,
@@ -420,10 +420,10 @@ def pad_align(spark, sf_dir):
     return reshape.padded(g.where("x < 40"), g.where("y < 30"), "label")
 
 
-@query("align_features", "vox", """-- , a AS (SELECT ROI, label, count(*) AS n FROM vox WHERE z < 3 GROUP BY ALL), b AS (SELECT ROI, label, max(ch0) AS m FROM vox WHERE z > 5 GROUP BY ALL) SELECT CAST(coalesce(a.ROI, b.ROI) AS BIGINT) AS "ROI", CAST(coalesce(a.label, b.label) AS BIGINT) AS label, n, round(m, 4) AS m FROM a FULL JOIN b ON a.ROI = b.ROI AND a.label = b.label""")
+@query("align_features", "vox", """-- , a AS (SELECT ROI, label, count(*) AS n FROM vox WHERE z < 3 GROUP BY ALL), b AS (SELECT ROI, label, max(ch0) AS m FROM vox WHERE z > 5 GROUP BY ALL) SELECT CAST(coalesce(a.ROI, b.ROI) AS BIGINT) AS "ROI", CAST(coalesce(a.label, b.label) AS BIGINT) AS label, coalesce(n, 0) AS n, round(m, 4) AS m FROM a FULL JOIN b ON a.ROI = b.ROI AND a.label = b.label""")
 def align_features(spark, sf_dir):
     v = views.vox(spark, sf_dir)
-    return fields(hierarchy.aligned([v.where("z < 3").groupBy("ROI", "label").agg(F.count("*").alias("n")), v.where("z > 5").groupBy("ROI", "label").agg(F.max("ch0").alias("m"))]), "ROI", "label")
+    return fields(hierarchy.aligned([v.where("z < 3").groupBy("ROI", "label").agg(F.count("*").alias("n")), v.where("z > 5").groupBy("ROI", "label").agg(F.max("ch0").alias("m"))]).fillna(0, ["n"]), "ROI", "label")
 
 
 @query("pyramid_level", "grid", """SELECT 0 AS "ROI", z, y // 2 AS y, x // 2 AS x, arg_min(label, row(z, y, x)) AS label, round(avg(v), 4) AS v FROM grid GROUP BY z, y // 2, x // 2""")
@@ -444,12 +444,13 @@ def sample_rows(spark, sf_dir):
 
 
 # Times and cohorts.
+_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _DELTA = "d AS (SELECT *, CAST(floor(epoch_us(acquisitionTime - min(acquisitionTime) OVER (PARTITION BY acquisition)) / 1000000.0) / 60.0 AS FLOAT) AS minutes FROM times)".replace("epoch_us(acquisitionTime - min(acquisitionTime) OVER (PARTITION BY acquisition))", "(epoch_us(acquisitionTime) - min(epoch_us(acquisitionTime)) OVER (PARTITION BY acquisition))")
 
 
-@query("time_delta", "times", f"""-- , {_DELTA} SELECT acquisition, well, ROI AS "ROI", acquisitionTime AS "acquisitionTime", round(CAST(minutes AS DOUBLE), 2) AS minutes FROM d""")
+@query("time_delta", "times", f"""-- , {_DELTA} SELECT acquisition, well, ROI AS "ROI", strftime(acquisitionTime, '%Y-%m-%d %H:%M:%S.%f') AS "acquisitionTime", round(CAST(minutes AS DOUBLE), 2) AS minutes FROM d""")
 def time_delta(spark, sf_dir):
-    return flows.time_deltas(views.times(spark, sf_dir)).select("acquisition", "well", "ROI", "acquisitionTime", F.round(F.col("timeDeltaMinutes").cast("double"), 2).alias("minutes"))
+    return flows.time_deltas(views.times(spark, sf_dir)).select("acquisition", "well", "ROI", F.date_format("acquisitionTime", _TIME).alias("acquisitionTime"), F.round(F.col("timeDeltaMinutes").cast("double"), 2).alias("minutes"))
 
 
 def _sites(spark, sf_dir) -> DataFrame:
@@ -560,7 +561,7 @@ def well_ids(spark, sf_dir):
 
 
 @query("site_metadata", None, """-- ""
-    WITH m AS (SELECT user_id % 8 AS w, user_id % 4 AS f, min(ts) AS t, count(*) AS n FROM events GROUP BY ALL) SELECT 'A' || lpad(CAST(w + 1 AS VARCHAR), 2, '0') AS well_id, f AS "FieldIndex", CAST(f * 10 AS DOUBLE) AS x_micrometer, CAST(-f AS DOUBLE) AS y_micrometer, t AS "Time", n AS images FROM m""")
+    WITH m AS (SELECT user_id % 8 AS w, user_id % 4 AS f, min(ts) AS t, count(*) AS n FROM events GROUP BY ALL) SELECT 'A' || lpad(CAST(w + 1 AS VARCHAR), 2, '0') AS well_id, f AS "FieldIndex", CAST(f * 10 AS DOUBLE) AS x_micrometer, CAST(-f AS DOUBLE) AS y_micrometer, strftime(t, '%Y-%m-%d %H:%M:%S.%f') AS "Time", n AS images FROM m""")
 def site_metadata(spark, sf_dir):
     e = views.table(spark, sf_dir, "events")
     records = e.select(F.lit(1).alias("Row"), (F.col("user_id") % 8 + 1).alias("Column"), (F.col("user_id") % 4).alias("FieldIndex"), (F.col("user_id") % 4 * 10).cast("double").alias("X"), (F.col("user_id") % 4).cast("double").alias("Y"), F.col("ts").cast("timestamp").cast("string").alias("Time"), F.lit("IMG").alias("Type"), F.lit("image.tif").alias("MeasurementRecord"))
@@ -568,7 +569,7 @@ def site_metadata(spark, sf_dir):
     keys = ["well_id", "FieldIndex"]
     metadata.check_consistent(img, keys, ["X", "Y"], "stage positions")
     sites = img.groupBy(*keys).agg(F.avg("X").alias("x_micrometer"), F.avg("Y").alias("y_micrometer"), F.count("*").alias("images"))
-    return sites.join(metadata.earliest(img), keys).withColumn("Time", F.col("Time").cast("timestamp_ntz"))
+    return sites.join(metadata.earliest(img), keys).withColumn("Time", F.date_format("Time", _TIME))
 
 
 @query("z_step_sizes", "vox", """SELECT 'W' || ROI AS well_id, CAST(0 AS INT) AS "FieldIndex", 2.0::DOUBLE AS pixel_size_z, CAST(max(z) - min(z) + 1 AS INT) AS z_pixel FROM vox GROUP BY ROI""")
