@@ -256,6 +256,17 @@ def test_leaks(spark):
     assert decontaminate.leaks(df, bench.limit(0)).count() == 0
 
 
+def test_leaks_in_copied_documents(spark):
+    item = [f"b{i}" for i in range(40)]
+    edited = ["zz" if i % 7 == 3 else w for i, w in enumerate(item)]  # of the trigrams 17 of 38 occur nowhere
+    part = item[:30]  # its trigrams are frequent, those of the rest are not
+    rows = [(i, f"x{i} {' '.join(edited)} y{i}") for i in range(300)] + [(1000 + i, f"x{i} {' '.join(part)} y{i}") for i in range(300)]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(f"c{i}" for i in range(20)))], "item_id long, text string")
+    for given in (rows[:300], [*rows[300:], (5000, " ".join(item))], [*rows, (5000, " ".join(item)), (5001, "b0 b1 b2 and no more")]):
+        df = spark.createDataFrame(given, "doc_id long, text string")
+        assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(df, bench).collect()} == {(i, 1) for i, _ in given if i != 5001}
+
+
 # Classifiers.
 def test_toxicity(spark):
     rng = np.random.default_rng(5)

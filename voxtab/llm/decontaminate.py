@@ -1,17 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment of words.
-
-Each benchmark item is cut into word n-grams. How many documents hold each of them is counted
-over the whole corpus, and the n-grams that are rare beside the item's other ones are its
-seeds (what an item's copies make frequent stays a seed, since it is frequent all over the
-item). Every place where a document holds a seed is aligned with the item, which finds copies
-with words replaced, added or left out. Documents are only mapped, never shuffled; the
-benchmark is taken in blocks of bounded size, one after another, each against all documents.
+"""Benchmark decontamination: n-gram seeds and Smith-Waterman alignment of words.
+
+Each benchmark item is cut into word n-grams, and all of them are its seeds, however many
+documents hold them. Every place where a document holds a seed is aligned with the item, which
+finds copies with words replaced, added or left out. A place is passed over only where the
+words that it shares with the item, counted with repeats, are too few for any alignment to
+reach the score. Documents are only mapped, never shuffled; the benchmark is taken in blocks of
+bounded size, one after another, each against all documents.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEED_WORDS = 3
-#: A seed is in at most RARE times as many documents as the item's quartile n-gram, and SLACK more.
-RARE, SLACK = 10, 10
 #: An item is found where the alignment's score is this share of a full match or more.
 SIMILARITY = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -60,6 +57,7 @@ class Items:
         self.base = len(self.vocabulary) + 1
         self.ids = [i for i, _ in texts]
         self.words = [np.array([self.vocabulary[x] for x in w], np.int64) for _, w in texts]
+        self.bags = [np.unique(w, return_counts=True) for w in self.words]
         codes = [self._codes(w) for w in self.words]
         self.seeds = np.unique(np.concatenate(codes)) if codes else np.empty(0, np.int64)
         self.places: dict[int, list[tuple[int, int]]] = {}
@@ -96,21 +94,12 @@ class Items:
         ok = self.seeds[found] == code
         return at[ok], code[ok]
 
-    def keep_rare(self, documents: dict[int, int]) -> None:
-        """Keep the n-grams that are rare for their item as its seeds."""
-        keep: dict[int, list[tuple[int, int]]] = {}
-        own: dict[int, list[tuple[int, int]]] = {}
-        for code, places in self.places.items():
-            for k, p in places:
-                own.setdefault(k, []).append((code, p))
-        for k, seeds in own.items():
-            counts = sorted(documents.get(code, 0) for code, _ in seeds)
-            limit = RARE * counts[len(counts) // 4] + SLACK
-            for code, p in seeds:
-                if documents.get(code, 0) <= limit:
-                    keep.setdefault(code, []).append((k, p))
-        self.places = keep
-        self.seeds = np.array(sorted(keep), np.int64)
+    def shared(self, k: int, window: np.ndarray) -> int:
+        """How many words ``window`` shares with item ``k``, with repeats: no alignment matches more."""
+        kinds, count = self.bags[k]
+        at = np.searchsorted(kinds, window)
+        at[at == len(kinds)] = 0
+        return int(np.minimum(np.bincount(at[kinds[at] == window], minlength=len(kinds)), count).sum())
 
     def search(self, text: str | None, similarity: float):
         """``(item id, score as a share of a full match, word at which the copy ends)`` of each item found, best place only."""
@@ -127,9 +116,11 @@ class Items:
             for j in range(1, len(ordered) + 1):
                 if j == len(ordered) or ordered[j] - ordered[j - 1] > slack or ordered[j] - ordered[first] > 64 * len(item):
                     lo = max(0, ordered[first] - slack)
-                    score, end = align(item, w[lo : ordered[j - 1] + len(item) + slack])
-                    best = max(best, (score / (MATCH * len(item)), lo + end))
+                    window = w[lo : ordered[j - 1] + len(item) + slack]
                     first = j
+                    if self.shared(k, window) / len(item) >= similarity:
+                        score, end = align(item, window)
+                        best = max(best, (score / (MATCH * len(item)), lo + end))
             if best[0] >= similarity:
                 yield self.ids[k], best[0], best[1]
 
@@ -155,16 +146,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     for rows in _blocks(benchmark, block_bytes):
         items = Items(rows, seed_words)
 
-        def count(batches, items=items):
-            seen: Counter[int] = Counter()
-            for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    seen.update(np.unique(items.hits(items.encode(text))[1]).tolist())
-            yield pa.record_batch([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["seed", "n"])
-
-        held = d.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-        items.keep_rare({r["seed"]: r["n"] for r in held.collect()})
-
         def search(batches, items=items):
             kinds = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int64())])
             for batch in batches:
