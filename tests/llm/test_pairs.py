@@ -9,7 +9,7 @@ import xxhash
 from oracle import compare, duck
 from pyspark.sql import functions as F
 
-from voxtab.llm import common, covertree, queries, simhash
+from voxtab.llm import common, covertree, queries, setjoin, simhash
 
 
 def reach(nodes, links):
@@ -168,3 +168,27 @@ def test_one_of_each(spark, monkeypatch, large):
     ids = [r["doc_id"] for r in kept.collect()]
     assert ids.count(None) == 1 and set(range(60)) <= set(ids)
     assert len([i for i in ids if i is not None and i >= 100]) <= 2
+
+
+def brute_components(texts):
+    """Smallest index of each text's component, by all pairs of five-word sets."""
+    words = [t.lower().split() for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
+    alike = lambda x, y: 5 * len(x & y) >= 4 * len(x | y)
+    return reach(range(len(texts)), [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if alike(sets[i], sets[j])])
+
+
+def test_set_join_equals_all_pairs(spark):
+    rng = np.random.default_rng(7)
+    fresh = lambda n: [f"w{i}" for i in rng.integers(0, 3000, n)]
+    texts = [" ".join(fresh(int(rng.integers(3, 250)))) for _ in range(60)]
+    texts += [edited(texts[i % 60], rng, s) for i, s in enumerate(np.repeat([0.01, 0.02, 0.03, 0.05], 40))]
+    texts += [edited(texts[1], rng, 0.02) for _ in range(150)]  # one text in many copies, about half of their pairs alike
+    passage = fresh(60)
+    texts += [" ".join([*passage, *fresh(int(rng.integers(1, 30)))]) for _ in range(150)]  # mostly a shared passage
+    line = " ".join(fresh(12))
+    texts += [" ".join([*[line] * 30, *fresh(40)]) for _ in range(20)] + ["", " \n", "a b", "A  b", "a b c"]  # a repeated line is one
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: r["component_id"] for r in setjoin.near_duplicates(df).collect()}
+    assert got == brute_components(texts)
+    assert setjoin.near_duplicates(df.limit(0)).count() == 0

@@ -1,0 +1,187 @@
+"""Near-duplicates by the exact similarity of word shingle sets.
+
+Two texts are linked if their sets of five-word shingles are ``ALIKE`` (Jaccard) or more.
+Equal sets become one node before anything else. Of a set of ``n`` shingles, put in an order that
+is the same for all texts, the first ``n - ceil(0.8 n) + 1`` hold one that both texts of any link
+have among theirs (prefix filter); only nodes that meet in such a key are compared. The order puts
+shingles that are frequent in a sample last. It decides how many nodes meet, never which links exist.
+
+All that meet need not be compared, since links are wanted for their components only: first
+each node of a key is compared with the key's smallest node, then, in keys that hold more than
+one component, with one node drawn for each key, and then all pairs that are still in two
+components. Every comparison is of the whole sets.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from .common import components, stored
+
+#: The least similarity of a link, as a fraction.
+ALIKE = (4, 5)
+#: Texts, about, in which frequent shingles are counted; those in ``OFTEN`` of them or more, ``LISTED`` at most, come last.
+SAMPLE, OFTEN, LISTED = 4000, 3, 200_000
+
+
+class _Digests(dict):
+    """XXH64 of words, kept while there are not too many."""
+
+    def __init__(self, seed: int):
+        self.seed = seed
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 1 << 18:
+            self.clear()
+        self[word] = out = xxhash.xxh64_intdigest(word, self.seed)
+        return out
+
+
+def shingles(text: str | None, size: int, digests: _Digests) -> np.ndarray:
+    """The distinct hashes of all runs of ``size`` words, ascending; a shorter text is one run, one without words none."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    w = np.array([digests[x] for x in words], np.uint64)
+    size = min(size, len(w))
+    run = np.full(len(w) - size + 1, size, np.uint64)
+    for k in range(size):
+        run = run * np.uint64(0x9E3779B97F4A7C15) + w[k : len(w) - size + 1 + k]
+    run = (run ^ run >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.unique(run ^ run >> np.uint64(29))
+
+
+def _node(own: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(own.tobytes())
+
+
+def _frequent(texts: DataFrame, shingle: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are frequent in the sample, ascending, and their counts."""
+
+    def run(batches):
+        digests = _Digests(seed)
+        for batch in batches:
+            own = [shingles(t, shingle, digests) for t in batch.column(0).to_pylist()]
+            gram, n = np.unique(np.concatenate([*own, np.empty(0, np.uint64)]), return_counts=True)
+            yield pa.record_batch([pa.array(gram.view(np.int64)), pa.array(n)], ["gram", "n"])
+
+    share = max(1, texts.count() // SAMPLE)
+    sample = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select("text")
+    counts = sample.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
+    rows = counts.orderBy(F.desc("n"), "gram").limit(LISTED).toPandas()
+    gram, n = rows["gram"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
+    order = np.argsort(gram)
+    return gram[order], n[order]
+
+
+def _fit(m: str, n: str) -> Column:
+    """Whether sets of these sizes can be alike."""
+    p, q = ALIKE
+    return F.least(m, n) * q >= F.greatest(m, n) * p
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, classes: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """Those of ``pairs`` (``a``, ``b``) whose sets are alike; each set is made anew from a text that has it."""
+    p, q = ALIKE
+
+    def sets(batches):
+        digests = _Digests(seed)
+        for batch in batches:
+            own = [shingles(t, shingle, digests) for t in batch.column(0).to_pylist()]
+            nodes = np.array([_node(x) for x in own], np.uint64).view(np.int64)
+            yield pa.record_batch([pa.array(nodes), pa.array([x.tobytes() for x in own], pa.binary())], ["node", "grams"])
+
+    def compare(batches):
+        for batch in batches:
+            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            ok = []
+            for s, t in zip(x, y):
+                s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                ok.append(q * both >= p * (len(s) + len(t) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    asked = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    ids = classes.join(asked, "node").select(F.col("rep").alias("doc_id")).distinct()
+    made = texts.join(stored(ids), "doc_id", "left_semi").select("text").mapInArrow(sets, "node long, grams binary")
+    # An id can have several texts, and those can be anything.
+    made = stored(made.join(asked, "node", "left_semi").dropDuplicates(["node"]))
+    first, second = (made.select(F.col("node").alias(c), F.col("grams").alias(f"of_{c}")) for c in "ab")
+    return pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "of_a", "of_b").mapInArrow(compare, "a long, b long")
+
+
+def links(texts: DataFrame, classes: DataFrame, marks: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """``a``, ``b``: nodes that are alike, enough of them to join all that are, directly or through others."""
+    p, q = ALIKE
+    firsts = marks.groupBy("node").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    keyed = firsts.select("node", "n", F.posexplode("prefix").alias("pos", "key"))
+    met = stored(keyed.withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1").drop("m"))
+    labels, done, found = None, None, None
+    for step in ("smallest", "drawn", "all"):
+        if labels is None:
+            rows = met.withColumn("label", F.col("node"))
+        else:
+            rows = met.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        keys = rows.groupBy("key").agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi"),
+            F.min_by(F.struct("node", "n", "label"), F.col("node") if step == "smallest" else F.xxhash64("key", "node")).alias("one"),
+        ).where("lo <> hi")
+        if step != "all":
+            one = keys.select("key", F.col("one.node").alias("node2"), F.col("one.n").alias("n2"), F.col("one.label").alias("label2"))
+            pairs = rows.join(one, "key").where(_fit("n", "n2"))
+        else:
+            left = stored(rows.join(keys.select("key"), "key", "left_semi"))
+            right = left.select("key", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "pos", "label")))
+            # At the first key that both have, what follows in the order bounds what they share.
+            rest = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"))
+            pairs = left.join(right, "key").where(F.col("node") < F.col("node2")).where(_fit("n", "n2") & (rest * (p + q) >= (F.col("n") + F.col("n2")) * p))
+        pairs = pairs.where("label <> label2").select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+        pairs = stored(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            continue
+        edges = stored(_alike(pairs, texts, classes, shingle, seed))
+        done = pairs if done is None else done.union(pairs)
+        found = edges if found is None else found.union(edges)
+        if step != "all":
+            labels = stored(components(found).select("node", F.col("component").alias("label")))
+    return found if found is not None else met.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, seed: int = 42) -> DataFrame:
+    """``doc_id, component_id`` of each document with an id; the component is the smallest ``doc_id`` reached by links.
+
+    Texts without words are equal to each other. Repeated rows give repeated rows.
+    """
+    p, q = ALIKE
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
+    frequent, times = _frequent(texts, shingle, seed)
+
+    def run(batches):
+        digests = _Digests(seed)
+        for batch in batches:
+            nodes, sizes, prefixes = [], [], []
+            for text in batch.column(1).to_pylist():
+                own = shingles(text, shingle, digests)
+                n = len(own)
+                nodes.append(_node(own))
+                sizes.append(n)
+                if n and len(frequent):
+                    at = np.searchsorted(frequent, own)
+                    at[at == len(frequent)] = 0
+                    own = own[np.argsort(np.where(frequent[at] == own, times[at], 0), kind="stable")]
+                prefixes.append(own[: n + (-p * n // q) + 1 if n else 0].view(np.int64))
+            prefix = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, prefixes)]), pa.int32()), pa.array(np.concatenate([*prefixes, np.empty(0, np.int64)])))
+            yield pa.record_batch([batch.column(0), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), prefix], ["doc_id", "node", "n", "prefix"])
+
+    marks = stored(texts.mapInArrow(run, "doc_id long, node long, n int, prefix array<long>"))
+    classes = stored(marks.groupBy("node").agg(F.min("doc_id").alias("rep")))
+    # A document may come under several nodes if its id is repeated, so components are of ids.
+    ends = links(texts, classes, marks, shingle, seed)
+    ends = ends.join(classes.select(F.col("node").alias("a"), F.col("rep").alias("x")), "a").join(classes.select(F.col("node").alias("b"), F.col("rep").alias("y")), "b")
+    found = components(ends, "x", "y")
+    mapped = stored(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("node", F.coalesce("component", "rep").alias("component_id")))
+    return marks.join(mapped, "node").select("doc_id", "component_id")

@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import setjoin
 from .common import components, shuffle_partitions, stored
 
 BITS = 64
@@ -29,43 +30,24 @@ LARGE_KEY = 2048
 _JOBS = 1 << 17
 
 
-def majority(text: str | None, shingle: int, seed: int, wide: int = 1) -> np.ndarray:
-    """The majority of each bit over the XXH64 of all word shingles, repeats included, as ``wide`` words.
-
-    Words after the first come from the same hashes, mixed with another odd number each.
-    """
+def fingerprint(text: str | None, shingle: int, seed: int) -> int:
+    """The majority of each bit over the XXH64 of all word shingles, repeats included."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return np.zeros(wide, np.uint64)
+        return 0
     grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
     digest = xxhash.xxh64_intdigest
-    ones, total, chunk = np.zeros((wide, BITS), np.int64), 0, []
-
-    def count():
-        a = np.array(chunk, np.uint64)
-        for k in range(wide):
-            ones[k] += _ones(a if not k else _mixed(a, k))
-
+    ones, total, chunk = np.zeros(BITS, np.int64), 0, []
     for gram in grams:
         chunk.append(digest(gram, seed))
         if len(chunk) == 4096:
-            count()
+            ones += _ones(np.array(chunk, np.uint64))
             total += len(chunk)
             chunk = []
     if chunk:
-        count()
+        ones += _ones(np.array(chunk, np.uint64))
         total += len(chunk)
-    return np.packbits(ones * 2 > total, axis=1, bitorder="little").view(np.uint64).reshape(-1)
-
-
-def fingerprint(text: str | None, shingle: int, seed: int) -> int:
-    return int(majority(text, shingle, seed)[0])
-
-
-def _mixed(a: np.ndarray, k: int) -> np.ndarray:
-    a = a * np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) & (1 << 64) - 1)
-    a = (a ^ a >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
-    return a ^ a >> np.uint64(29)
+    return int(np.packbits(ones * 2 > total, bitorder="little").view(np.uint64)[0])
 
 
 def _ones(a: np.ndarray) -> np.ndarray:
@@ -187,13 +169,13 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _compared(keyed: DataFrame, radius: int, words: tuple[str, ...] = ("fp",)) -> DataFrame:
+def _compared(keyed: DataFrame, radius: int) -> DataFrame:
     """Edges between each class and the smallest row of its set, among classes of equal ``mask``, ``key``."""
 
     def run(batches):
         def solve(table):
             table = table.combine_chunks()
-            rep, fp = table.column("rep").to_numpy(), np.stack([table.column(c).to_numpy().view(np.uint64) for c in words], axis=1)
+            rep, fp = table.column("rep").to_numpy(), table.column("fp").to_numpy().view(np.uint64)
             mask, key = table.column("mask").to_numpy(), table.column("key").to_numpy()
             group = np.cumsum(np.r_[True, (mask[1:] != mask[:-1]) | (key[1:] != key[:-1])])
             # Sets are of classes, not of rows: a class that comes by several keys is joined once.
@@ -264,85 +246,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, radius: i
     return marks.join(mapped, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-#: The long fingerprints: words of 64 bits, the tables in which a pair can meet, and the largest distance.
-WIDE, TABLES = 4, 32
-#: Two texts whose five-word shingles are 0.8 alike differ in 39 of 256 bits on average, with a deviation of 6.
-WIDE_RADIUS = 46
-
-
-def wide_links(classes: DataFrame, radius: int = WIDE_RADIUS, tables: int = TABLES) -> DataFrame:
-    """Edges among classes (``rep``, ``w0`` to ``w3``) within ``radius`` of 256 bits that agree on all sampled bits of a table.
-
-    A table samples five bits fewer than the number of classes has, so some tens of unrelated classes
-    meet, whatever the size of the input: they fit one word of the bit planes. A key with more than ``LARGE_KEY`` classes, which then
-    are mostly copies of each other, samples further bits until it is small.
-    """
-    words = tuple(f"w{k}" for k in range(WIDE))
-    bits = min(40, max(12, int(np.ceil(np.log2(max(2, classes.count())))) - 5))
-    rng = np.random.default_rng(64)
-    order = np.stack([rng.permutation(WIDE * BITS) for _ in range(tables)])
-
-    def keys(batches, bits, old):
-        for batch in batches:
-            w = np.stack([batch.column(1 + k).to_numpy() for k in range(WIDE)], axis=1).copy()
-            flags = np.unpackbits(w.view(np.uint8), axis=1, bitorder="little")
-            masks = batch.column(1 + WIDE).to_numpy() if old else None
-            for t in range(tables):
-                rows = np.flatnonzero(masks == t) if old else np.arange(len(w))
-                if not len(rows):
-                    continue
-                packed = np.packbits(flags[rows][:, order[t, :bits]], axis=1)
-                key = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in packed], np.uint64).view(np.int64)
-                yield pa.record_batch([batch.column(0).take(pa.array(rows)), *(pa.array(w[rows, k]) for k in range(WIDE)), pa.array(np.full(len(rows), t)), pa.array(key)], ["rep", *words, "mask", "key"])
-
-    schema = "rep long, " + ", ".join(f"{c} long" for c in words) + ", mask long, key long"
-    rest, old, found = classes.select("rep", *words), False, None
-    while True:
-        keyed = rest.mapInArrow(lambda b, bits=bits, old=old: keys(b, bits, old), schema)
-        many = stored(keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1"))
-        large = many.where(F.col("n") > LARGE_KEY).select("mask", "key")
-        done = bits >= WIDE * BITS - 16 or large.isEmpty()
-        small = many if done else many.where(F.col("n") <= LARGE_KEY)
-        edges = _compared(keyed.join(small.select("mask", "key"), ["mask", "key"], "left_semi").select("rep", *words, "mask", "key"), radius, words)
-        found = edges if found is None else found.union(edges)
-        if done:
-            return found
-        rest, old, bits = stored(keyed.join(large, ["mask", "key"], "left_semi").select("rep", *words, "mask")), True, min(WIDE * BITS - 16, bits + 24)
-
-
-def _contracted(edges: DataFrame) -> DataFrame:
-    """The same sets with few edges: each node keeps its smallest neighbour, and its other ones are joined to that."""
-    g = edges.groupBy("a").agg(F.min("b").alias("b"), F.collect_set("b").alias("all"))
-    others = g.select(F.explode("all").alias("a"), "b").where("a <> b")
-    return g.select("a", "b").union(others.distinct())
-
-
-def wide_duplicates(docs: DataFrame, shingle: int = 5, seed: int = 42, radius: int = WIDE_RADIUS) -> DataFrame:
-    """``doc_id, component_id`` of each document with an id, by fingerprints of 256 bits.
-
-    For copies that differ in single words, which 64 bits within two do not link: texts whose
-    five-word shingles are 0.8 alike or more. Texts without words are equal to each other.
-    """
-
-    def run(batches):
-        for batch in batches:
-            w = np.array([majority(t, shingle, seed, WIDE) for t in batch.column(1).to_pylist()], np.uint64).reshape(-1, WIDE).view(np.int64)
-            yield pa.record_batch([batch.column(0), *(pa.array(w[:, k].copy()) for k in range(WIDE))], ["doc_id", *words])
-
-    words = [f"w{k}" for k in range(WIDE)]
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
-    marks = stored(texts.mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in words)))
-    classes = stored(marks.groupBy(*words).agg(F.min("doc_id").alias("rep")))
-    found = components(_contracted(stored(wide_links(classes, radius))))
-    mapped = stored(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*words, F.coalesce("component", "rep").alias("component_id")))
-    return marks.join(mapped, words).select("doc_id", "component_id")
-
-
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that represent their group: those whose ``doc_id`` is the component's smallest.
 
-    Groups are those of :func:`wide_duplicates`. Rows with a null ``doc_id`` stay. Of rows that
+    Groups are those of :func:`setjoin.near_duplicates`: texts whose five-word shingles are 0.8 alike
+    or more, which 64 bits within two do not link. Rows with a null ``doc_id`` stay. Of rows that
     repeat a ``doc_id`` all stay or all go.
     """
-    gone = wide_duplicates(docs, **how).where("component_id < doc_id").select("doc_id").distinct()
+    gone = setjoin.near_duplicates(docs, **how).where("component_id < doc_id").select("doc_id").distinct()
     return docs.join(stored(gone), "doc_id", "left_anti").select(docs.columns)
