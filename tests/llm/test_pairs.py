@@ -9,7 +9,7 @@ import xxhash
 from oracle import compare, duck
 from pyspark.sql import functions as F
 
-from voxtab.llm import common, covertree, queries, setjoin, simhash
+from voxtab.llm import common, covertree, queries, simhash, simhash_sets
 
 
 def reach(nodes, links):
@@ -154,20 +154,23 @@ def edited(text, rng, share):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("large", [4, 2048])
-def test_one_of_each(spark, monkeypatch, large):
-    monkeypatch.setattr(simhash, "LARGE_KEY", large)
+def test_one_of_each(spark):
     rng = np.random.default_rng(6)
     vocabulary = [f"w{i}" for i in range(3000)]
     texts = [" ".join(rng.choice(vocabulary, int(rng.integers(80, 400)))) for _ in range(60)]
-    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, edited(texts[i], rng, 0.02)) for i in range(30)] + [(200 + i, f" {texts[5].upper()}\n") for i in range(20)]
-    rows += [(300 + i, edited(texts[7], rng, 0.01)) for i in range(15)] + [(None, texts[0])]
-    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("component_id", F.lit(1))
-    kept = simhash.one_of_each(df)
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, edited(texts[i], rng, 0.01)) for i in range(30)] + [(200 + i, f" {texts[5].upper()}\n") for i in range(20)]
+    fresh = " ".join(rng.choice(vocabulary, 100))
+    # Without an id: like a row that has one; two rows of one text; one text more. With one: a repeated row, two texts under one id.
+    rows += [(None, texts[0]), (None, fresh), (None, fresh), (None, None), (3, texts[3]), (70, texts[9]), (70, " ".join(rng.choice(vocabulary, 90)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("component_id", F.lit(1)).withColumn("node", F.lit("x"))
+    kept = simhash_sets.one_of_each(df)
     assert kept.columns == df.columns
-    ids = [r["doc_id"] for r in kept.collect()]
-    assert ids.count(None) == 1 and set(range(60)) <= set(ids)
-    assert len([i for i in ids if i is not None and i >= 100]) <= 2
+    got = kept.collect()
+    ids = [r["doc_id"] for r in got]
+    assert sorted(i for i in ids if i is not None) == [*range(60), 70]
+    assert sorted(r["text"] or "" for r in got if r["doc_id"] is None) == ["", fresh]
+    assert [r["text"] for r in got if r["doc_id"] == 70] == [rows[-1][1]]
+    assert simhash_sets.one_of_each(df.limit(0)).count() == 0
 
 
 def brute_components(texts):
@@ -178,7 +181,10 @@ def brute_components(texts):
     return reach(range(len(texts)), [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if alike(sets[i], sets[j])])
 
 
-def test_set_join_equals_all_pairs(spark):
+@pytest.mark.parametrize(("crowd", "block", "rounds"), [(1024, 256, 3), (7, 5, 1), (1024, 256, 0)])
+def test_set_join_equals_all_pairs(spark, monkeypatch, crowd, block, rounds):
+    for name, value in (("CROWD", crowd), ("BLOCK", block), ("ROUNDS", rounds)):
+        monkeypatch.setattr(simhash_sets, name, value)
     rng = np.random.default_rng(7)
     fresh = lambda n: [f"w{i}" for i in rng.integers(0, 3000, n)]
     texts = [" ".join(fresh(int(rng.integers(3, 250)))) for _ in range(60)]
@@ -189,6 +195,18 @@ def test_set_join_equals_all_pairs(spark):
     line = " ".join(fresh(12))
     texts += [" ".join([*[line] * 30, *fresh(40)]) for _ in range(20)] + ["", " \n", "a b", "A  b", "a b c"]  # a repeated line is one
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
-    got = {r["doc_id"]: r["component_id"] for r in setjoin.near_duplicates(df).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in simhash_sets.near_duplicates(df).collect()}
     assert got == brute_components(texts)
-    assert setjoin.near_duplicates(df.limit(0)).count() == 0
+    assert simhash_sets.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_band_keys_meet(spark):
+    """Pairs at 0.8 exactly share a key and lie within the radius, however many texts there are."""
+    rng = np.random.default_rng(8)
+    met, near = 0, 0
+    for _ in range(400):
+        x = rng.integers(0, 1 << 63, 450, np.uint64)
+        a, b = np.unique(x[:405]), np.unique(np.r_[x[:360], x[405:]])  # 360 of 450 shared
+        met += bool((simhash_sets.band_keys(a) == simhash_sets.band_keys(b)).any())
+        near += bin(int.from_bytes((simhash_sets.wide_fingerprint(a) ^ simhash_sets.wide_fingerprint(b)).tobytes(), "little")).count("1") <= simhash_sets.RADIUS
+    assert met == near == 400

@@ -21,7 +21,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import setjoin
 from .common import components, shuffle_partitions, stored
 
 BITS = 64
@@ -37,20 +36,20 @@ def fingerprint(text: str | None, shingle: int, seed: int) -> int:
         return 0
     grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
     digest = xxhash.xxh64_intdigest
-    ones, total, chunk = np.zeros(BITS, np.int64), 0, []
+    total_ones, total, chunk = np.zeros(BITS, np.int64), 0, []
     for gram in grams:
         chunk.append(digest(gram, seed))
         if len(chunk) == 4096:
-            ones += _ones(np.array(chunk, np.uint64))
+            total_ones += ones(np.array(chunk, np.uint64))
             total += len(chunk)
             chunk = []
     if chunk:
-        ones += _ones(np.array(chunk, np.uint64))
+        total_ones += ones(np.array(chunk, np.uint64))
         total += len(chunk)
-    return int(np.packbits(ones * 2 > total, bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(total_ones * 2 > total, bitorder="little").view(np.uint64)[0])
 
 
-def _ones(a: np.ndarray) -> np.ndarray:
+def ones(a: np.ndarray) -> np.ndarray:
     # Eight hashes are added at a time: byte lanes of a 64-bit word hold the counts of one bit position of each byte.
     lanes = np.empty((8, 8), np.int64)
     mask = np.uint64(0x0101010101010101)
@@ -244,14 +243,3 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, radius: i
     found = components(links(classes, radius))
     mapped = stored(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id")))
     return marks.join(mapped, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
-
-
-def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` that represent their group: those whose ``doc_id`` is the component's smallest.
-
-    Groups are those of :func:`setjoin.near_duplicates`: texts whose five-word shingles are 0.8 alike
-    or more, which 64 bits within two do not link. Rows with a null ``doc_id`` stay. Of rows that
-    repeat a ``doc_id`` all stay or all go.
-    """
-    gone = setjoin.near_duplicates(docs, **how).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(stored(gone), "doc_id", "left_anti").select(docs.columns)
