@@ -54,10 +54,10 @@ def brute_vectors(rows, cosine=0.98):
     return sorted(out + [(r[0], 0, comp[r[0]]) for r in rows if id(r) not in used and r[0] is not None])
 
 
-@pytest.mark.parametrize("block", [8, 1024])
-def test_cover_tree_equals_brute(spark, monkeypatch, block):
-    monkeypatch.setattr(covertree, "BLOCK", block)
-    monkeypatch.setattr(covertree, "FANOUT", 4)
+@pytest.mark.parametrize(("block", "fanout"), [(8, 4), (8, 64), (1024, 256)])
+def test_cover_tree_equals_brute(spark, monkeypatch, block, fanout):
+    for name, value in (("BLOCK", block), ("FANOUT", fanout), ("SAMPLE", 4 * fanout), ("PART", 16)):
+        monkeypatch.setattr(covertree, name, value)
     rng = np.random.default_rng(2)
     rows = []
     for i in range(150):
@@ -75,6 +75,53 @@ def test_cover_tree_equals_brute(spark, monkeypatch, block):
     assert covertree.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_scaled_copies_and_lines(spark):
+    """Very many vectors of one direction, or of two, end and link all with all of their direction."""
+    both = spark.range(20000).select(F.col("id").alias("vec_id"), F.array((F.col("id") + 1) * 0.37, (F.col("id") + 1) * 0.74).alias("embedding"), F.lit(1).alias("label"))
+    got = covertree.near_duplicates(both).groupBy("n_links", "component_id").count().collect()
+    assert [tuple(r) for r in got] == [(19999, 0, 20000)]
+    line = spark.range(3000).select(F.col("id").alias("vec_id"), F.array((F.col("id") - 1000).cast("float")).alias("embedding"), F.lit(1).alias("label"))
+    got = {tuple(r) for r in covertree.near_duplicates(line).groupBy("n_links", "component_id").count().collect()}
+    assert got == {(999, 0, 1000), (0, 1000, 1), (1998, 1001, 1999)}
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_tight_groups_equal_brute(spark, monkeypatch, block):
+    """Groups within half the chord, whose pairs the bounds settle, beside single vectors and wider groups."""
+    monkeypatch.setattr(covertree, "BLOCK", block)
+    rng = np.random.default_rng(11)
+    middles = rng.standard_normal((5, 12))
+    rows = []
+    for k, (n, wide) in enumerate([(120, 0.01), (90, 0.03), (60, 0.08), (40, 0.3), (30, 1.0)]):
+        rows += [(len(rows) + i, (middles[k] * 1.3**i + rng.standard_normal(12) * wide * 1.3**i).tolist(), 0) for i in range(n)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in covertree.near_duplicates(df).collect())
+    assert got == brute_vectors(rows)
+
+
+def test_doubles_are_not_rounded(spark):
+    """Pairs a little above and below the cosine, of components too small for single precision."""
+    angle = math.acos(0.98)
+    rows = [(0, 0.0), (1, angle - 1e-9), (2, -angle - 1e-9)]
+    df = spark.createDataFrame([(i, [math.cos(a) * 1e-200, math.sin(a) * 1e-200], 1) for i, a in rows], "vec_id long, embedding array<double>, label int")
+    assert [tuple(r)[:3] for r in covertree.near_duplicates(df).orderBy("vec_id").collect()] == [(0, 1, 0), (1, 1, 0), (2, 0, 2)]
+
+
+def test_tree_is_nested(monkeypatch):
+    x = np.random.default_rng(12).standard_normal((400, 3))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    order, t = covertree.grow(x, 17)
+    x = x[order]
+    assert sorted(order) == list(range(400)) and order[t.centre[0]] == 17
+    for k in range(len(t.lo)):
+        own = np.arange(t.lo[k], t.hi[k])
+        assert t.centre[k] in own and np.isclose(np.linalg.norm(x[own] - x[t.centre[k]], axis=1).max(), t.radius[k])
+        kids = np.arange(t.kids[k], t.kids_end[k])
+        if len(kids):
+            assert t.centre[kids[0]] == t.centre[k] and (t.radius[kids] <= covertree.halved(t.radius[k]) + 1e-12).all()
+            assert [*t.lo[kids], t.hi[kids[-1]]] == [t.lo[k], *t.hi[kids]]
+
+
 def test_repeated_vector_rows(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 5), (1, [1.0, 0.0], 5), (None, [1.0, 0.0], 5)], "vec_id long, embedding array<float>, label int")
     assert sorted((r["n_links"], r["component_id"]) for r in covertree.near_duplicates(df).where("vec_id = 1").collect()) == [(1, 1), (1, 1)]
