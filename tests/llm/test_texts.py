@@ -271,7 +271,7 @@ def test_leaks_in_copied_documents(spark):
 def test_toxicity(spark):
     rng = np.random.default_rng(5)
     m = {k: v.astype(np.float64) for k, v in toxicity.start_model(rng).items()}
-    x, size = rng.standard_normal((6, 5, 8)), np.array([6, 3, 1, 5, 4])
+    x, size = rng.standard_normal((6, 5, 2 * toxicity.WIDTH)), np.array([6, 3, 1, 5, 4])
     mask, y, w = (np.arange(6)[:, None] < size)[:, :, None].astype(float), np.array([1, 0, 1, 0, 1.0]), np.ones(5)
     _, g, _ = toxicity.gradients(m, x, mask, y, w)
     for k in g:
@@ -294,6 +294,72 @@ def test_toxicity(spark):
     assert toxicity.score(odd, model).where("predicted = 0").count() == 4
 
 
+def test_network_equals_plain():
+    """The forward pass for one window at a time, gate by gate."""
+    rng = np.random.default_rng(6)
+    m = {k: v.astype(np.float64) for k, v in toxicity.start_model(rng).items()}
+    h, d = toxicity.HIDDEN, 2 * toxicity.WIDTH
+    size = [7, 1, 4]
+    x = rng.standard_normal((7, 3, d))
+    mask = (np.arange(7)[:, None] < size)[:, :, None].astype(float)
+    got, _ = toxicity.forward(m, x, mask)
+    sig = lambda v: 1 / (1 + np.exp(-v))
+    for k, n in enumerate(size):
+        states = np.zeros((n, 2 * h))
+        for part, order, side in (("f", range(n), slice(0, h)), ("b", reversed(range(n)), slice(h, 2 * h))):
+            s = np.zeros(h)
+            for t in order:
+                w = x[t, k] @ m[f"w{part}"] + m[f"b{part}"]
+                u = [s @ m[f"u{part}"][:, i * h : (i + 1) * h] for i in range(3)]
+                z, r = sig(w[:h] + u[0]), sig(w[h : 2 * h] + u[1])
+                s = (1 - z) * np.tanh(w[2 * h :] + r * u[2]) + z * s
+                states[t, side] = s
+        e = np.array([np.exp(np.tanh(s @ m["att"]) @ m["v"]) for s in states])
+        assert got[k] == pytest.approx((e / e.sum()) @ states @ m["out"] + m["b"][0])
+
+
+def test_toxicity_scores_equal_plain_and_odd_labels(spark):
+    texts = ["Some words and an idiot here, " * 40, "", "one", "zwei Wörter", "!! 12"]
+    raws = [t.encode() for t in texts]
+    m = toxicity.train(raws * 3, [1, 0, 0, 0, 0] * 3, steps=30)
+    got = toxicity.score_texts(m, raws)
+    for raw, score in zip(raws, got):
+        w = toxicity.Words([raw])
+        v = w.vectors(m)
+        starts = range(0, max(1, len(v) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE) if len(v) else ()
+        one = [toxicity.forward(m, v[s : s + toxicity.WINDOW][:, None], np.ones((len(v[s : s + toxicity.WINDOW]), 1, 1)))[0][0] for s in starts]
+        assert score == pytest.approx(max(one, default=-15), abs=1e-4)
+    whole, parts = toxicity.Words(raws), toxicity.Words.of(raws)
+    assert all((getattr(whole, c) == getattr(parts, c)).all() for c in ("text", "word", "gram", "grams", "first"))
+    # One toxic document wherever it stands, one without words, labels of one class, none.
+    for labels in (*([int(i == k) for i in range(12)] for k in range(12)), [1] * 12, [0] * 12):
+        assert np.isfinite(toxicity.score_texts(toxicity.train([f"word{i} and more".encode() for i in range(12)], labels, steps=5), raws)).all()
+    m = toxicity.train([b"!!", *raws[2:4]], [1, 0, 0], steps=5)
+    assert m["scale"].tolist() == [0.0, np.log(1.5 / 2.5)]
+    docs = spark.createDataFrame([(i, "a text of words", i) for i in range(20)] + [(3, "a text of words", 0), (None, None, 0)], "doc_id long, text string, score int")
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, 0, 1), (None, 1, 1), (4, None, None), (7, 5, 5)], "doc_id long, toxic int, quality int")
+    assert toxicity.score(docs, toxicity.fit(docs, labels)).count() == 22
+    assert quality.score(docs.selectExpr("*", "'en' as lang", "'s' as source", "null as n_chars"), quality.fit(docs.selectExpr("*", "'en' as lang", "'s' as source", "1 as n_chars"), labels)).count() == 22
+
+
+def test_quality_scores_equal_plain():
+    rng = np.random.default_rng(7)
+    rows = [(("plain words of a text " * int(rng.integers(1, 9))).encode(), "en", "a", 5) for _ in range(40)] + [(("#$ BUY " * int(rng.integers(1, 9))).encode(), None, "b", None) for _ in range(40)]
+    with np.errstate(all="raise", under="ignore"):
+        m = quality.co_train(rows[:30] + rows[40:70], [1] * 30 + [0] * 30, rows)
+        # One label a class: nothing is held out.
+        assert (quality.odds_of(quality.co_train([rows[0], rows[41]], [1, 0], rows), rows[:40]) > 0).all()
+    assert (quality.odds_of(m, rows[:40]) > 0).all() and (quality.odds_of(m, rows[40:]) < 0).all()
+    together = quality.odds_of(m, rows)
+    assert together == pytest.approx([quality.odds_of(m, [r])[0] for r in rows])
+    # The content view by hand, for a text without repeated words.
+    text = b"Abc def"
+    code = lambda g: (int.from_bytes(g, "little") * 0x9E3779B1 & 0xFFFFFFFF) >> 32 - quality.GRAM_BITS
+    padded = b"\n\n" + text
+    want = np.mean([m["gram"][code(padded[i : i + 3])] for i in range(len(text))])
+    assert quality.Page([(text, None, None, None)]).content(m["gram"])[0] == pytest.approx(want)
+
+
 def test_quality(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     half = F.col("doc_id") % 2 == 0

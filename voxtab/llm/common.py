@@ -47,6 +47,21 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def chance(*columns) -> Column:
+    """A number from 0 to 1 that a hash of the columns gives."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
+def bounded(rows: DataFrame, most_bytes: int) -> list:
+    """``rows`` (with ``doc_id`` and ``text``), or so many of them that their texts are about ``most_bytes``, on the driver.
+
+    Texts of every length have the same chance, by a hash of the id.
+    """
+    rows = stored(rows)
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return rows.where(chance("doc_id", F.lit("bytes")) < F.lit(most_bytes / max(1, total))).collect()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of ``edges``: ``node``, ``component`` (smallest node reached).
 

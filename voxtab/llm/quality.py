@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: About so many labelled documents of each class, pool documents, and their longest text.
-TRAINING_DOCUMENTS, POOL_DOCUMENTS, TRAINING_CHARS = 1200, 2000, 10_000
+from .common import bounded, chance
+
+#: About so many labelled documents of each class, pool documents, and bytes of the texts of each of the two.
+TRAINING_DOCUMENTS, POOL_DOCUMENTS, TRAINING_BYTES = 1200, 2000, 12 << 20
 ROUNDS, SURE = 3, 0.95
 #: Share of the pool that a view labels in a round, at most, for each class.
 GROWTH = 0.15
@@ -173,7 +175,10 @@ def calibrated(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def co_train(labelled: list[tuple], y: list[int], pool: list[tuple], share: float | None = None, seed: int = 5) -> dict:
-    """A model from labelled documents (1 good, 0 bad), a pool without labels, and the usual share of good ones."""
+    """A model from labelled documents (1 good, 0 bad), a pool without labels, and the usual share of good ones.
+
+    With labels of one class only, all documents are of that class; with none, all are good.
+    """
     y_all = np.array(y, np.float64)
     prior = float(np.clip(share if share is not None else (y_all.mean() if len(y_all) else 1.0), 0.02, 0.98))
     if not len(y_all) or y_all.min() == y_all.max():
@@ -221,8 +226,10 @@ def co_train(labelled: list[tuple], y: list[int], pool: list[tuple], share: floa
                 picked = known + free[np.argsort(-sure[free], kind="stable")[:most]]
                 target[other][picked] = c
                 weight[other][picked] = 0.5 / max(1, ((target[other] == c) & (weight[other] > 0)).sum())
-    hy = y_all[held[:known]]
-    logits = [v.logit()[:known][held[:known]] for v in views]
+    # Where a class has one label, none is held out, and the views are calibrated on what they learned from.
+    used = held[:known] if len(np.unique(y_all[held[:known]])) == 2 else np.ones(known, bool)
+    hy = y_all[used]
+    logits = [v.logit()[:known][used] for v in views]
     cal = [calibrated(x, hy) for x in logits]
     odds = [a * np.clip(x, -20, 20) + b for x, (a, b) in zip(logits, cal)]
     # How much of each calibrated view the combination takes.
@@ -250,18 +257,23 @@ def _rows(columns) -> list[tuple]:
     return [((t or "").encode("utf-8", "surrogatepass"), a, s, k) for t, a, s, k in zip(texts, lang, source, n)]
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENTS, pool: int = POOL_DOCUMENTS, longest: int = TRAINING_CHARS) -> dict:
-    """A model from about ``most`` labelled documents of each class and ``pool`` others, chosen by a hash of their ids."""
+def fit(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENTS, pool: int = POOL_DOCUMENTS, longest: int = TRAINING_BYTES) -> dict:
+    """A model from about ``most`` labelled documents of each class and ``pool`` others, chosen by a hash of their ids.
+
+    Texts of every length take part, those of the labelled and those of the others with about
+    ``longest`` bytes. A document with several labels takes part with the better one; rows without
+    an id or a label of 0 or 1 do not count as labelled.
+    """
     known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1))
+    known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    chance = lambda seed: F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = known.where(chance("quality") < F.when(F.col("y") == 1, F.lit(most / max(1, sizes.get(1, 0)))).otherwise(F.lit(most / max(1, sizes.get(0, 0))))).dropDuplicates(["doc_id"])
+    part = lambda c: F.lit(most / max(1, sizes.get(c, 0)))
+    chosen = known.where(chance("doc_id", F.lit("quality")) < F.when(F.col("y") == 1, part(1)).otherwise(part(0)))
     d = docs.select(F.col("doc_id").cast("long"), *(F.col(c) for c in _COLUMNS))
     total = d.count()
-    short = d.where(F.coalesce(F.length("text"), F.lit(0)) <= longest)
     # About 2 * most rows of two numbers, and about ``pool`` documents, whatever the size of the input.
-    rows = short.join(F.broadcast(chosen), "doc_id").select("doc_id", *_COLUMNS, "y").collect()
-    others = short.where(chance("pool") < F.lit(pool / max(1, total))).select("doc_id", *_COLUMNS).collect()
+    rows = bounded(d.join(F.broadcast(chosen), "doc_id").select("doc_id", *_COLUMNS, "y"), longest)
+    others = bounded(d.where(chance("doc_id", F.lit("pool")) < F.lit(pool / max(1, total))).select("doc_id", *_COLUMNS), longest)
     mine = {r["doc_id"] for r in rows}
     row = lambda r: ((r["text"] or "").encode("utf-8", "surrogatepass"), r["lang"], r["source"], r["n_chars"])
     order = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "")
@@ -271,7 +283,11 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENTS, pool
 
 
 def score(docs: DataFrame, m: dict) -> DataFrame:
-    """``doc_id, quality, keep`` of every row: the combined probability of good quality, and whether it is at least a half."""
+    """``doc_id, quality, keep`` of every row: the combined probability of good quality, and whether it is at least a half.
+
+    Null texts count as empty, and each null of the metadata as a value of its own. Repeated rows
+    give repeated rows.
+    """
 
     def run(batches):
         for batch in batches:

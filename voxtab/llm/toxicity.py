@@ -4,8 +4,11 @@ Each word enters as two vectors: one of the word itself (hashed) and the mean of
 character 4-grams (hashed), so that inflected or unseen forms of a known stem are recognised.
 Two gated recurrent layers read a window of words from both ends; attention weighs the states
 of the window's words and one output unit scores it. A document is scored by its worst
-window; windows overlap by half and cover the whole text. The network is trained on a
-bounded sample of labelled documents, on the driver; scoring runs on all documents in tasks.
+window; windows overlap by half and cover the whole text. Vectors and network are learned
+together from the labels of documents: in each step the window that the network scores worst
+stands for its document. The network is trained on a bounded sample of labelled documents, on
+the driver, and calibrated on some that it did not learn from; scoring runs on all documents in
+tasks.
 """
 
 from __future__ import annotations
@@ -15,14 +18,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded, chance
+
 #: Words of a window and from one window's start to the next.
 WINDOW, STRIDE = 48, 24
-WORD_BITS, GRAM_BITS, WIDTH, HIDDEN = 18, 16, 4, 8
-#: About so many labelled documents of each class are learned from, and their longest text.
-TRAINING_DOCUMENTS, TRAINING_CHARS = 2000, 10_000
-STEPS, BATCH = 500, 128
-#: Documents that the odds of a word are drawn to the usual ones by; folds of the training documents; share of inputs left out.
-PRIOR, FOLDS, DROPPED = 4.0, 5, 0.2
+WORD_BITS, GRAM_BITS, WIDTH, HIDDEN = 18, 16, 8, 12
+#: About so many labelled documents of each class are learned from, and so many bytes of their texts.
+TRAINING_DOCUMENTS, TRAINING_BYTES = 2000, 16 << 20
+#: Steps, documents in a step, windows of a document from which a step takes the worst (drawn anew in each step).
+STEPS, BATCH, WINDOWS = 400, 48, 24
+#: Learning rate of the vectors, share of inputs left out, share of the documents kept for calibration.
+RATE, DROPPED, CALIBRATION = 0.2, 0.2, 0.1
 _CHUNK = 1_500_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -32,6 +38,18 @@ _IS_WORD[97:123] = True
 _IS_WORD[128:] = True
 
 
+def _parts(raws: list[bytes]):
+    """Ranges of texts of about ``_CHUNK`` bytes together."""
+    at = 0
+    while at < len(raws):
+        to, total = at, 0
+        while to < len(raws) and (to == at or total + len(raws[to]) <= _CHUNK):
+            total += len(raws[to])
+            to += 1
+        yield at, to
+        at = to
+
+
 class Words:
     """The words of texts laid end to end: their hashes, and those of their character 4-grams."""
 
@@ -64,6 +82,21 @@ class Words:
         self.grams = np.bincount(owner, minlength=len(start))
         self.first = np.cumsum(self.grams) - self.grams
 
+    @classmethod
+    def of(cls, raws: list[bytes]) -> Words:
+        """The words of very many texts, taken by parts, so that what lies beside them stays small."""
+        parts, texts, grams = [], 0, 0
+        for at, to in _parts(raws):
+            w = cls(raws[at:to])
+            w.text += texts
+            w.first += grams
+            texts, grams = to, grams + len(w.gram)
+            parts.append(w)
+        out = cls.__new__(cls)
+        for c in ("text", "word", "gram", "grams", "first"):
+            setattr(out, c, np.concatenate([getattr(w, c) for w in parts or [cls([])]]))
+        return out
+
     def vectors(self, m: dict[str, np.ndarray]) -> np.ndarray:
         if not len(self.word):
             return np.empty((0, 2 * WIDTH), np.float32)
@@ -175,83 +208,55 @@ def start_model(rng: np.random.Generator) -> dict[str, np.ndarray]:
     return m | {"att": f(2 * h, h), "v": f(h), "out": f(2 * h), "b": f(1, s=0), "word": f(1 << WORD_BITS, WIDTH, s=0.05), "gram": f(1 << GRAM_BITS, WIDTH, s=0.05)}
 
 
-def _odds(ids: np.ndarray, text: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
-    """For each id how far the odds of toxicity of the documents that hold it lie above the usual odds, drawn to 0 where they are few."""
-    texts = np.flatnonzero(np.bincount(text))
-    rate = (y[texts].sum() + 0.5) / (len(texts) + 1)
-    docs, own = np.divmod(np.unique(text.astype(np.int64) * size + ids), size)
-    hit, all_ = np.bincount(own, weights=y[docs], minlength=size), np.bincount(own, minlength=size)
-    p = (hit + PRIOR * rate) / (all_ + PRIOR)
-    return (np.log(p / (1 - p)) - np.log(rate / (1 - rate))).astype(np.float32)
+def _one_score(y: np.ndarray) -> np.ndarray:
+    """For a model without a network: the log odds of the labels, or near 0 where there are none."""
+    return np.array([0.0, np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)) if len(y) else -4.0])
 
 
 def train(raws: list[bytes], labels: list[int], seed: int = 7, steps: int = STEPS) -> dict[str, np.ndarray]:
     """A model fitted on texts and their labels.
 
-    The first component of each input vector holds the odds that its word or 4-gram adds, and what is learned on top.
+    Where a class has no text with words there is nothing to tell the classes by, and every text
+    gets the share of toxic labels as its score.
     """
     rng = np.random.default_rng(seed)
     m = start_model(rng)
     y = np.array(labels, np.float64)
-    m["scale"] = np.array([1.0, 0.0])
-    if not len(y) or y.min() == y.max():
-        m["scale"] = np.array([0.0, -4.0 if not y.sum() else 4.0])
-        return m
-    w = Words(raws)
-    gram_text = np.repeat(w.text, w.grams)
-    # Each document sees the odds that the other folds give, so the network learns how far to trust them.
-    fold = rng.permutation(len(y)) % FOLDS
-    word_odds, gram_odds = np.zeros(len(w.word), np.float32), np.zeros(len(w.gram), np.float32)
-    for k in range(FOLDS):
-        own, own_gram = fold[w.text] == k, fold[gram_text] == k
-        word_odds[own] = _odds(w.word[~own], w.text[~own], y, 1 << WORD_BITS)[w.word[own]]
-        gram_odds[own_gram] = _odds(w.gram[~own_gram], gram_text[~own_gram], y, 1 << GRAM_BITS)[w.gram[own_gram]]
-    gram_odds = np.add.reduceat(gram_odds, w.first) / w.grams if len(w.word) else gram_odds
-    check = fold == FOLDS - 1  # for calibration only
-    if y[check].min(initial=1) == y[check].max(initial=0):
-        check[:] = False
-    fit = ~check
+    m["scale"] = _one_score(y)
+    w = Words.of(raws)
     of, start, size = windows(w.text, len(raws))
+    count = np.bincount(of, minlength=len(raws))
+    first = np.cumsum(count) - count
+    check = rng.permutation(len(y)) < int(CALIBRATION * len(y))
+    both = lambda own: all((own & (count > 0) & (y == c)).any() for c in (0, 1))
+    if not (both(check) and both(~check)):
+        check[:] = False
+    bad, good = (np.flatnonzero(~check & (count > 0) & (y == c)) for c in (1, 0))
+    if not len(bad) or not len(good):
+        return m
     state: dict[str, tuple] = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in m.items() if k not in ("word", "gram", "scale")}
     seen = {k: np.full(len(m[k]), 1e-3, np.float32) for k in ("word", "gram")}
-    pool = np.flatnonzero(fit[of])
-    by = of[pool]
-
-    def worst(score):
-        """Of each text its window of largest score."""
-        order = np.lexsort((-score, by))
-        return pool[order[np.r_[True, by[order][1:] != by[order][:-1]]]]
-
     for step in range(steps):
-        if step in (0, steps // 3, 2 * steps // 3):
-            v = w.vectors(m)
-            v[:, 0] += word_odds
-            v[:, WIDTH] += gram_odds
-            if step == 0:
-                total = np.r_[0, np.cumsum(np.maximum(word_odds, 0) ** 2 + np.maximum(gram_odds, 0) ** 2)]
-                hot = worst((total[start + size] - total[start])[pool])
-            else:
-                hot = worst(np.concatenate([forward(m, *_gather(v, start[p], size[p], WINDOW))[0] for p in np.array_split(pool, len(pool) // 2048 + 1)]))
-            bad, good, clean = hot[y[of[hot]] == 1], hot[y[of[hot]] == 0], pool[y[by] == 0]
-        third = BATCH // 3
-        pick = np.concatenate((rng.choice(bad, third), rng.choice(good, third), rng.choice(clean, BATCH - 2 * third)))
-        v_at = start[pick] + np.arange(WINDOW)[:, None]
-        on = np.arange(WINDOW)[:, None] < size[pick]
-        v_at = np.where(on, v_at, start[pick])
-        ids = np.unique(v_at)
-        place = np.searchsorted(ids, v_at)
-        gram_at = np.concatenate([np.arange(w.first[i], w.first[i] + w.grams[i]) for i in ids])
-        gram_of = np.repeat(np.arange(len(ids)), w.grams[ids])
-        share = (1 / w.grams[ids]).astype(np.float32)
-        mean = np.zeros((len(ids), WIDTH), np.float32)
-        np.add.at(mean, gram_of, m["gram"][w.gram[gram_at]])
-        x = np.concatenate((m["word"][w.word[ids]], mean * share[:, None]), axis=1)
-        x[:, 0] += word_odds[ids]
-        x[:, WIDTH] += gram_odds[ids]
+        docs = np.concatenate((rng.choice(bad, BATCH // 2), rng.choice(good, BATCH - BATCH // 2)))
+        some = [first[d] + (np.arange(count[d]) if count[d] <= WINDOWS else rng.choice(count[d], WINDOWS, replace=False)) for d in docs]
+        own, some = np.repeat(np.arange(len(docs)), [len(x) for x in some]), np.concatenate(some)
+        on = np.arange(WINDOW)[:, None] < size[some]
+        ids, place = np.unique(np.where(on, start[some] + np.arange(WINDOW)[:, None], start[some]), return_inverse=True)
+        place = place.reshape(on.shape)
+        grams = w.grams[ids]
+        of_word, begin = np.repeat(np.arange(len(ids)), grams), np.cumsum(grams) - grams
+        gram = w.gram[np.repeat(w.first[ids] - begin, grams) + np.arange(grams.sum())]
+        share = (1 / grams).astype(np.float32)[:, None]
+        x = np.concatenate((m["word"][w.word[ids]], np.add.reduceat(m["gram"][gram], begin) * share), axis=1)
+        logit, _ = forward(m, x[place], on[:, :, None].astype(np.float32))
+        # At first the choice of the window is left to chance, more than to a network that knows nothing.
+        logit = logit + max(0.0, 1 - step / (0.3 * steps)) * rng.gumbel(size=len(logit))
+        order = np.lexsort((-logit, own))
+        worst = order[np.r_[True, own[order][1:] != own[order][:-1]]]
+        place, mask = place[:, worst], on[:, worst, None].astype(np.float32)
         # Words go missing at random, so that no single one decides.
         keep = (rng.random((len(ids), 2)) >= DROPPED).repeat(WIDTH, axis=1).astype(np.float32)
-        x *= keep
-        _, g, dx = gradients(m, x[place], on[:, :, None].astype(np.float32), y[of[pick]].astype(np.float32), np.ones(len(pick), np.float32))
+        _, g, dx = gradients(m, (x * keep)[place], mask, y[docs].astype(np.float32), np.ones(len(docs), np.float32))
         rate = 0.01 * (1 - step / steps) + 0.001
         for k, (a, b) in state.items():
             a *= 0.9
@@ -260,25 +265,18 @@ def train(raws: list[bytes], labels: list[int], seed: int = 7, steps: int = STEP
             b += 0.001 * g[k] ** 2
             m[k] -= rate * (a / (1 - 0.9 ** (step + 1))) / (np.sqrt(b / (1 - 0.999 ** (step + 1))) + 1e-8)
         dv = np.zeros_like(x)
-        np.add.at(dv, place, dx * on[:, :, None])
+        np.add.at(dv, place, dx * mask)
         dv *= keep
-        for k, rows, grad in (("word", w.word[ids], dv[:, :WIDTH]), ("gram", w.gram[gram_at], (dv[:, WIDTH:] * share[:, None])[gram_of])):
-            own, back = np.unique(rows, return_inverse=True)
-            total_g = np.zeros((len(own), WIDTH), np.float32)
-            np.add.at(total_g, back, grad)
-            seen[k][own] += (total_g**2).sum(axis=1)
-            m[k][own] -= 0.05 * total_g / np.sqrt(seen[k][own])[:, None]
-    # Calibrate the worst window's logit on documents that were not learned from, with odds of the other folds.
-    v = w.vectors(m)
-    v[:, 0] += word_odds
-    v[:, WIDTH] += gram_odds
-    logit = np.full(len(y), -15.0)
-    for p in np.array_split(np.arange(len(of)), len(of) // 2048 + 1):
-        np.maximum.at(logit, of[p], forward(m, *_gather(v, start[p], size[p], WINDOW))[0])
-    held = check if check.any() else fit
-    m["scale"] = _platt(logit[held], y[held])
-    m["word"][:, 0] += _odds(w.word, w.text, y, 1 << WORD_BITS)
-    m["gram"][:, 0] += _odds(w.gram, gram_text, y, 1 << GRAM_BITS)
+        used = dv.any(axis=1)
+        used_gram = used[of_word]
+        for k, rows, grad in (("word", w.word[ids[used]], dv[used, :WIDTH]), ("gram", gram[used_gram], (dv[:, WIDTH:] * share)[of_word[used_gram]])):
+            one, back = np.unique(rows, return_inverse=True)
+            total = np.zeros((len(one), WIDTH), np.float32)
+            np.add.at(total, back, grad)
+            seen[k][one] += (total**2).sum(axis=1)
+            m[k][one] -= RATE * total / np.sqrt(seen[k][one])[:, None]
+    held = check if check.any() else np.ones(len(y), bool)
+    m["scale"] = _platt(score_texts(m, [r for r, h in zip(raws, held) if h]), y[held])
     return m
 
 
@@ -300,12 +298,7 @@ def _platt(logit: np.ndarray, y: np.ndarray) -> np.ndarray:
 def score_texts(m: dict[str, np.ndarray], raws: list[bytes]) -> np.ndarray:
     """The logit of each text's worst window; -15 for a text without words."""
     out = np.full(len(raws), -15.0)
-    at = 0
-    while at < len(raws):
-        to, total = at, 0
-        while to < len(raws) and (to == at or total + len(raws[to]) <= _CHUNK):
-            total += len(raws[to])
-            to += 1
+    for at, to in _parts(raws):
         w = Words(raws[at:to])
         v = w.vectors(m)
         of, start, size = windows(w.text, to - at)
@@ -314,7 +307,6 @@ def score_texts(m: dict[str, np.ndarray], raws: list[bytes]) -> np.ndarray:
             p = order[lo : lo + 4096]
             logit, _ = forward(m, *_gather(v, start[p], size[p], int(size[p].max())))
             np.maximum.at(out, at + of[p], logit)
-        at = to
     return out
 
 
@@ -322,16 +314,19 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = TRAINING_DOCUMENTS, longest: int = TRAINING_CHARS) -> list:
-    """About ``most`` labelled texts of each class that are not held out, chosen by a hash of the id."""
+def sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = TRAINING_DOCUMENTS, longest: int = TRAINING_BYTES) -> list:
+    """About ``most`` labelled texts of each class that are not held out, and ``longest`` bytes together, chosen by a hash of the id.
+
+    Texts of every length take part; a document with several labels takes part with one of them.
+    """
     known = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out())
+    known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    chance = F.pmod(F.xxhash64("doc_id", F.lit(label)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = known.where(chance < F.when(F.col("y") == 1, F.lit(most / max(1, sizes.get(1, 0)))).otherwise(F.lit(most / max(1, sizes.get(0, 0))))).dropDuplicates(["doc_id"])
+    part = lambda c: F.lit(most / max(1, sizes.get(c, 0)))
+    chosen = known.where(chance("doc_id", F.lit(label)) < F.when(F.col("y") == 1, part(1)).otherwise(part(0)))
     # About 2 * most rows of two numbers, whatever the size of the input.
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(F.length("text") <= longest)
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").collect()
-    return sorted(rows, key=lambda r: (r["doc_id"], r["text"]))
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("text is not null").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
+    return sorted(bounded(texts, longest), key=lambda r: (r["doc_id"], r["text"]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, **how) -> dict[str, np.ndarray]:
@@ -342,7 +337,8 @@ def fit(docs: DataFrame, labels: DataFrame, **how) -> dict[str, np.ndarray]:
 def score(docs: DataFrame, m: dict[str, np.ndarray]) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row, from all windows of its whole text.
 
-    Null and empty texts and texts without letters get the score of no toxic window, near 0.
+    Null and empty texts and texts without letters get the score of no toxic window, near 0 (the
+    share of toxic labels where the model has no network). Repeated rows give repeated rows.
     """
 
     def run(batches):
