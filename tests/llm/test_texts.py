@@ -58,6 +58,13 @@ def test_repeats_odd_rows(spark):
     df = spark.createDataFrame([(1, t, 0), (1, t, 1), (None, t, 2), (None, None, 3)], "doc_id long, text string, kept int")
     got = sorted((r["doc_id"] or -1, r["n_bytes"], len(r["kept"])) for r in suffixdedup.removed(df).collect())
     assert got == [(-1, 0, 0), (-1, 150, 0), (1, 150, 150), (1, 150, 150)]
+    # Different texts of one id, and texts without an id: each loses what is its own.
+    u = t[::-1]
+    rows = [(0, t), *((7, f"{t[:140]}{i}") for i in range(300)), (None, u), (None, u), (None, f"{u}x")]
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_bytes"], len(r["kept"])) for r in suffixdedup.removed(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert [g for g in got if g[0] == 7] == sorted((7, 140 + len(str(i)), len(str(i))) for i in range(300))
+    # Which of the two texts without an id comes first is settled by their hashes.
+    assert [g for g in got if g[0] == -1] in ([(-1, 150, 0), (-1, 150, 0), (-1, 151, 151)], [(-1, 150, 150), (-1, 150, 150), (-1, 151, 1)]) and got.count((0, 150, 150)) == 1
     assert suffixdedup.removed(df.limit(0)).count() == 0
 
 

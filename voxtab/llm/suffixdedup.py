@@ -18,7 +18,9 @@ segment. Equal strings have equal keys, so each shard, all segments of one key,
 3. The removed strings of each document are joined with its text once more (the same exchange of
    the texts) and merged into runs.
 
-Segments and single strings are called equal if two independent 64-bit hashes are.
+Segments of one key are called equal if 64 bits of their hash are, single strings if 128 bits are.
+Equal segments are known as such before any bytes move, so a suffix array sorts each different
+segment of a shard once, however many copies of it there are.
 """
 
 from __future__ import annotations
@@ -119,22 +121,25 @@ def _batches(sizes):
         at = to
 
 
-#: ``where`` holds a start, the number of strings from there, and 15 bits of the text's hash, which
-#: tell texts apart that repeat a ``doc_id``.
+#: ``where`` holds a start (31 bits, a text is shorter), the number of strings from there (10 bits), and
+#: 22 bits of the text's hash, which tell texts apart that repeat a ``doc_id``.
+_START_AT, _STRINGS_AT, _TAGS = 32, 22, (1 << 22) - 1
+
+
 def _where(start, n, tag):
-    return (np.asarray(start, np.int64) * 4096 + n) * 32768 + tag
+    return np.asarray(start, np.int64) << _START_AT | np.asarray(n, np.int64) << _STRINGS_AT | tag
 
 
 def _start(where):
-    return where >> 27
+    return where >> _START_AT
 
 
 def _strings(where):
-    return where >> 15 & 4095
+    return where >> _STRINGS_AT & 1023
 
 
 def _tag(raw: bytes) -> int:
-    return xxhash.xxh32_intdigest(raw) & 32767
+    return xxhash.xxh3_64_intdigest(raw) & _TAGS
 
 
 def _long(x) -> pa.Array:
@@ -271,7 +276,7 @@ def _settled(places: DataFrame, shard: int) -> DataFrame:
             yield pa.record_batch([*(pa.array([e[i] for e in extra], pa.int64()) for i in range(4)), pa.array([e[4] for e in extra], pa.int32())], ["key", "hash", "doc", "place", "kind"])
 
     n = shuffle_partitions(places.sparkSession)
-    dealt = places.repartition(n, "key").withColumn("start", F.shiftright("place", 27)).sortWithinPartitions("key", "hash", "doc", "start")
+    dealt = places.repartition(n, "key").withColumn("start", F.shiftright("place", _START_AT)).sortWithinPartitions("key", "hash", "doc", "start")
     return dealt.select("key", "hash", "doc", "place", "kind").mapInArrow(run, _PLACE)
 
 
@@ -284,12 +289,12 @@ def _requests(joined: DataFrame, length: int) -> DataFrame:
             docs, raws, wanted = batch.column(0).to_numpy(), _bytes(batch.column(1)), batch.column(2)
             out: list[list] = [[] for _ in names]
             single: dict[tuple[int, int], tuple[int, int]] = {}
-            spent = []
+            spent, tied = [], []
             for i, raw in enumerate(raws):
                 tag = _tag(raw)
                 for want in wanted[i].as_py() or ():
                     place = want["place"]
-                    if place & 32767 != tag:
+                    if place & _TAGS != tag:
                         continue
                     s, n = _start(place), _strings(place)
                     if want["kind"] == SORTED:
@@ -299,15 +304,17 @@ def _requests(joined: DataFrame, length: int) -> DataFrame:
                     for j in range(s, s + n):
                         digest = xxhash.xxh3_128_digest(raw[j : j + length])
                         at = (int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True))
-                        mine = (int(docs[i]), (j * 4096 + 1) * 32768 + tag)
+                        mine = (int(docs[i]), j << _START_AT | 1 << _STRINGS_AT | tag)
                         other = single.setdefault(at, mine)
-                        if (other[0], other[1] >> 27) == (mine[0], mine[1] >> 27):
+                        if (other[0], _start(other[1])) == (mine[0], _start(mine[1])):
+                            if other[1] != mine[1]:  # another text of the same id: neither is the earlier one
+                                tied.append((at, mine))
                             continue
-                        if (mine[0], mine[1] >> 27) < (other[0], other[1] >> 27):
+                        if (mine[0], _start(mine[1])) < (other[0], _start(other[1])):
                             single[at], mine = mine, other
                         spent.append(mine)
-                if len(out[0]) > 20_000 or len(single) + len(spent) > 200_000 or i + 1 == len(raws):
-                    for (a, b), (d, p) in single.items():
+                if len(out[0]) > 20_000 or len(single) + len(spent) + len(tied) > 200_000 or i + 1 == len(raws):
+                    for (a, b), (d, p) in [*single.items(), *tied]:
                         for column, value in zip(out, (a, b, d, p, SINGLE, None)):
                             column.append(value)
                     for k, (d, p) in enumerate(spent):
@@ -316,7 +323,7 @@ def _requests(joined: DataFrame, length: int) -> DataFrame:
                     if out[0]:
                         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
                         yield pa.record_batch([pa.array(c, t) for c, t in zip(out, kinds)], names)
-                    out, single, spent = [[] for _ in names], {}, []
+                    out, single, spent, tied = [[] for _ in names], {}, [], []
 
     return joined.mapInArrow(run, _PLACE + ", bytes binary")
 
@@ -365,7 +372,7 @@ def _solved(requests: DataFrame, length: int) -> DataFrame:
         order = sorted(range(len(shards)), key=lambda i: -sum(len(r[2]) + 1 for r in shards[i]))
         tags = [r[3] for i in order for r in shards[i]]
         for doc, start, n, segment in repeated([[r[:3] for r in shards[i]] for i in order], length):
-            yield doc, (start * 4096 + n) * 32768 + tags[segment]
+            yield doc, start << _START_AT | n << _STRINGS_AT | tags[segment]
 
     def packed(doc, place):
         return pa.record_batch([_long(doc), _long(place)], ["doc", "place"])
@@ -403,12 +410,12 @@ def _solved(requests: DataFrame, length: int) -> DataFrame:
                     yield from closed()
                     key, rows, total = k[i], [], 0
                 raw = batch.column(5)[i].as_py()
-                rows.append((int(d[i]), int(p[i]) >> 27, raw, int(p[i]) & 32767))
+                rows.append((int(d[i]), _start(int(p[i])), raw, int(p[i]) & _TAGS))
                 total += len(raw)
             single = np.flatnonzero(kind == SINGLE)
             if len(single):
                 k, h, d, p = k[single], h[single], d[single], p[single]
-                start = p >> 27
+                start = _start(p)
                 new = np.r_[not any_single or (k[0], h[0]) != last[:2], (k[1:] != k[:-1]) | (h[1:] != h[:-1])]
                 lead = np.maximum.accumulate(np.where(new, np.arange(len(k)), -1))
                 first_d, first_s = np.where(lead < 0, last[2], d[lead]), np.where(lead < 0, last[3], start[lead])
@@ -419,14 +426,14 @@ def _solved(requests: DataFrame, length: int) -> DataFrame:
         yield from closed(True)
 
     n = shuffle_partitions(requests.sparkSession)
-    dealt = requests.repartition(n, "key").withColumn("start", F.shiftright("place", 27)).sortWithinPartitions("kind", "key", "hash", "doc", "start")
+    dealt = requests.repartition(n, "key").withColumn("start", F.shiftright("place", _START_AT)).sortWithinPartitions("kind", "key", "hash", "doc", "start")
     return dealt.drop("start").mapInArrow(run, "doc long, place long")
 
 
 def spans_of(size: int, places: list[int], length: int) -> list[tuple[int, int]]:
     """Maximal runs of bytes that the strings at ``places`` cover."""
     out: list[list[int]] = []
-    for start, n in sorted((int(p) >> 27, int(p) >> 15 & 4095) for p in places):
+    for start, n in sorted((_start(int(p)), _strings(int(p))) for p in places):
         end = min(size, start + n + length - 1)
         if out and start <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
@@ -438,11 +445,14 @@ def spans_of(size: int, places: list[int], length: int) -> list[tuple[int, int]]
 def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
     """``doc_id, spans`` (half-open byte runs that go) and ``kept`` (the remaining bytes) of each row.
 
-    A null text counts as empty and a null ``doc_id`` as larger than all others. Rows that repeat
-    a ``doc_id`` are one document for order: of equal strings at one id and start none is earlier.
-    Texts shorter than ``length`` lose nothing.
+    A null text counts as empty. A row without an id comes after those with one (below 2^62), by a
+    number that its text gives. Rows that repeat a ``doc_id`` are one document for order, as are rows
+    without an id that have one text: of equal strings at one id and start none is earlier. Of
+    different texts of one id each has its own runs. Texts shorter than ``length`` lose nothing.
     """
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("doc_id").cast("long"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    nameless = F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit((1 << 62) - 1))
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), nameless).alias("doc"), text.alias("text"), F.col("doc_id").cast("long"))
     known = stored(_settled(_segments(texts, length, gram, heavy_keys(texts, length, gram)), shard))
     by_doc = lambda rows, *what: rows.groupBy("doc").agg(F.collect_list(F.struct(*what)).alias("places"))
     wanted = by_doc(known.where(F.col("kind") != WHOLE), "key", "place", "kind")
@@ -458,7 +468,7 @@ def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int
             spans, kept = [], []
             for i, raw in enumerate(raws):
                 tag = _tag(raw)
-                own = spans_of(len(raw), [p for p in places[i].as_py() or () if p & 32767 == tag], length)
+                own = spans_of(len(raw), [p for p in places[i].as_py() or () if p & _TAGS == tag], length)
                 spans.append([{"start": a, "end": b} for a, b in own])
                 edges = [0, *(x for s in own for x in s), len(raw)]
                 kept.append(b"".join(raw[edges[j] : edges[j + 1]] for j in range(0, len(edges), 2)))
@@ -475,7 +485,7 @@ def brute(rows: list[tuple[int, bytes]], length: int = LENGTH) -> dict[int, tupl
             first.setdefault(raw[i : i + length], (doc, i))
     out = {}
     for doc, raw in rows:
-        own = spans_of(len(raw), [(i * 4096 + 1) * 32768 for i in range(len(raw) - length + 1) if first[raw[i : i + length]] != (doc, i)], length)
+        own = spans_of(len(raw), [i << _START_AT | 1 << _STRINGS_AT for i in range(len(raw) - length + 1) if first[raw[i : i + length]] != (doc, i)], length)
         kept = bytes(b for i, b in enumerate(raw) if not any(s <= i < e for s, e in own))
         out[doc] = (len(raw), len(raw) - len(kept), len(own), hashlib.sha256(kept).hexdigest())
     return out
