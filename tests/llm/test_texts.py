@@ -200,6 +200,27 @@ def test_warc_checks():
             warc.parse_record(bad)
 
 
+def test_archives_always_have_a_dictionary(spark, tmp_path):
+    """Of few, empty, large and equal records, through files and back."""
+    rng = np.random.default_rng(3)
+    large = "".join(map(chr, rng.integers(97, 123, 70_000)))
+    for n, rows in enumerate(([(1, None, None)], [(1, "u", "")], [(i, "u", "<p>same</p>") for i in range(40)], [(i, f"u{i}", f"{i}{large}") for i in range(5)])):
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+        archives = warc.write_archives(pages)
+        folder = (tmp_path / str(n)).as_uri()
+        saved = warc.save_archives(archives, folder)
+        warc.save_archives(archives, folder)
+        assert saved.count() == archives.count() == len(list((tmp_path / str(n)).iterdir()))
+        for r in archives.collect():
+            held, at = warc.read_dictionary(bytes(r["content"]))
+            assert held.startswith(warc.RAW_DICTIONARY_MAGIC) and at > 8
+        got = warc.read_archives(spark.read.format("binaryFile").load(folder)).collect()
+        first = {}
+        for i, _, html in rows:
+            first.setdefault(html or "", i)
+        assert sorted((r["page_id"], r["payload"].decode(), r["refers_to"]) for r in got) == [(i, (h or "") if first[h or ""] == i else "", None if first[h or ""] == i else first[h or ""]) for i, _, h in rows]
+
+
 # Languages.
 def test_languages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
@@ -214,16 +235,46 @@ def test_languages(spark):
     assert langid.profiles(docs.limit(0)) == []
 
 
-def test_out_of_place_equals_plain():
-    counts = {}
-    text = " the cat the "
-    for n, word in ((n, f" {w} ") for n in (1, 2, 3) for w in text.split()):
-        for i in range(len(word) - n + 1):
-            gram = word[i : i + n]
-            if gram != " ":
-                counts[gram] = counts.get(gram, 0) + 1
-    codes, n = langid.ngrams(text)
-    assert sorted(n.tolist()) == sorted([*counts.values(), 1, 1]) or sum(n) >= sum(counts.values())
+def test_out_of_place_equals_plain(spark):
+    """Profiles and distances by plain lists of strings, in scripts of few and of many letters."""
+    rng = np.random.default_rng(8)
+    speech = {"aa": "abcdefgh", "bb": "efghijkl", "cc": "αβγδεζηθ", "dd": "".join(map(chr, range(0x4E00, 0x4E60))), "ee": "".join(map(chr, range(0x4E40, 0x4EA0)))}
+    rows = []
+    for k, (lang, letters) in enumerate(speech.items()):
+        for i in range(30):
+            words = ["".join(rng.choice(list(letters), int(rng.integers(1, 6)))) for _ in range(int(rng.integers(1, 25)))]
+            rows.append((100 * k + i, "4, ".join(words).title(), lang))
+
+    def grams(text):
+        words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        padded = f" {' '.join(words)} "
+        every = [padded[i : i + n] for n in (1, 2, 3) for i in range(len(padded) - n + 1)] if words else []
+        return [g for g in every if g != " "]
+
+    def order(counts):
+        point = lambda g: sum(ord(c) << 21 * i for i, c in enumerate(reversed(g)))
+        return sorted(counts, key=lambda g: (-counts[g], point(g)))[:300]
+
+    learned = {}
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2:
+            own = learned.setdefault(lang, {})
+            for g in grams(text):
+                own[g] = own.get(g, 0) + 1
+    known = {lang: order(c) for lang, c in learned.items()}
+    df = spark.createDataFrame([*rows, (900, rows[5][1], None), (900, rows[5][1], None)], "doc_id long, text string, lang string")
+    want = {}
+    for i, text, _ in [*rows, (900, rows[5][1], None)]:
+        counts = {}
+        for g in grams(text):
+            counts[g] = counts.get(g, 0) + 1
+        own = order(counts)
+        far = {lang: sum(abs(p.index(g) - k) if g in p else 300 for k, g in enumerate(own)) for lang, p in known.items()}
+        best = min(sorted(far), key=far.get)
+        want[i] = (best, pytest.approx(1 - far[best] / (300 * len(own))))
+    got = langid.predict(df, langid.profiles(df)).collect()
+    assert len(got) == len(rows) + 2
+    assert {r["doc_id"]: (r["lang_pred"], r["score"]) for r in got} == want
 
 
 # Benchmark passages.
@@ -259,7 +310,7 @@ def test_leaks(spark):
     in_blocks = decontaminate.leaks(df, bench, block_bytes=2000)
     assert {(r["doc_id"], r["item_id"]) for r in in_blocks.collect()} == got
     kept = decontaminate.clean(df, bench)
-    assert kept.columns == df.columns and kept.where("doc_id >= 100000 and doc_id < 7000000").count() == 0 and kept.where("doc_id is null").count() == 1
+    assert kept.columns == df.columns and kept.where("doc_id >= 100000 and doc_id < 7000000").count() == 0 and kept.where("doc_id is null").count() == 0
     assert decontaminate.leaks(df, bench.limit(0)).count() == 0
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,13 +11,15 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where the session names none."""
+    """The folder of ``spark.checkpoint.dir``; one of our own only where a local session names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     sc = spark.sparkContext
     own = sc._jsc.sc().getCheckpointDir()
     if own.isEmpty():
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         own = sc._jsc.sc().getCheckpointDir()
     return own.get().rstrip("/")
@@ -26,12 +29,24 @@ def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it again.
 
     Cuts the lineage: a lost executor costs no recomputation before this point, and
-    the reader learns the true sizes.
+    the reader learns the true sizes. :func:`forget` removes the table.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Remove :func:`stored` tables that nothing reads any more."""
+    for table in tables:
+        path = getattr(table, "stored_path", None) if table is not None else None
+        if path:
+            spark = table.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -77,7 +92,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
         hooked = stored(labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label")))
         up = hooked.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        labels = stored(hooked.join(up, "label").select("node", "old", F.least("label", "above").alias("label")))
+        after = stored(hooked.join(up, "label").select("node", "old", F.least("label", "above").alias("label")))
+        forget(labels, hooked)
+        labels = after
         if labels.where("old <> label").isEmpty():
+            forget(both)
             return labels.select("node", F.col("label").alias("component"))
-        labels = labels.select("node", "label")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, stored
+from .common import components, forget, stored
 from .simhash import merge
 
 #: Most vectors of a node that one task takes whole, about.
@@ -217,7 +217,9 @@ _INFO = ["centre", "radius", "weight", "least"]
 
 def _top(classes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """The rows with the path of their block, and for each level the nodes made on it: ``label, dim, parent, path`` and what ``_INFO`` names."""
-    done, levels, work, centre = [], [], stored(classes.withColumn("path", F.lit(""))), None
+    done, levels, centre = [], [], None
+    work = stored(classes.withColumn("path", F.lit("")))
+    passed = [work]
     while True:
         sizes = work.groupBy(*_NODE).agg(F.count("*").alias("size"))
         sizes = stored(sizes.withColumn("centre", F.lit(None).cast("array<double>")) if centre is None else sizes.join(centre, _NODE))
@@ -235,9 +237,12 @@ def _top(classes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         levels.append(stored(made.join(of, ["label", "dim", "parent"]).select("label", "dim", "parent", "path", F.slice("centres", place + 1, F.col("dim")).alias("centre"), "radius", "weight", "least")))
         centre = levels[-1].select(*_NODE, "centre")
         work = dealt.drop("far")
+        passed.append(dealt)
     blocks = done[0]
     for x in done[1:]:
         blocks = blocks.unionByName(x)
+    blocks = stored(blocks)
+    forget(*passed)
     return blocks, levels
 
 
@@ -359,7 +364,6 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     rows = v.withColumn("cid", F.when(usable, F.xxhash64("label", size, "x"))).withColumn("cid2", F.when(usable, F.xxhash64(F.lit("again"), size, "label", "x")))
     classes = stored(_classes(rows))
     members, levels = _top(classes)
-    members = stored(members)
     blocks = stored(_packed(members, levels, single))
     pairs, whole = _pairs(blocks, levels, cosine)
     found = stored(_compared(blocks, pairs, cosine, single))

@@ -157,6 +157,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     return found
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` in which no item is found. Rows with a null ``doc_id`` stay."""
-    return docs.join(leaks(docs, benchmark, **how).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, seed_words: int = SEED_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` in which no item is found, with all their columns. Rows are judged by their own text, with or without an id."""
+    kept = docs.select(F.struct("*").alias("row"))
+    schema = kept.schema
+    for rows in _blocks(benchmark, block_bytes):
+        items = Items(rows, seed_words)
+
+        def run(batches, items=items):
+            for batch in batches:
+                texts = batch.column(0).field("text").cast(pa.string()).to_pylist()
+                yield batch.filter(pa.array([next(items.search(t, similarity), None) is None for t in texts], pa.bool_()))
+
+        kept = kept.mapInArrow(run, schema)
+    return kept.select("row.*")

@@ -17,18 +17,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import chance, stored
+
 RANKS = 300
 #: About so many training documents of each language are counted; they are chosen by a hash of the id.
 TRAINING_DOCUMENTS = 4000
 _BLANK = 32
+#: Bits of a code point; an n-gram is the code points of its letters, one after another.
+_POINT = 21
 
 
 @cache
 def _letters() -> np.ndarray:
-    """For each code point its folded letter of 10 bits, or a blank. Letters below U+0400 stay apart from each other."""
+    """For each code point itself where it is a letter, else a blank."""
     points = np.arange(sys.maxunicode + 1, dtype=np.int64)
-    folded = np.where(points < 1024, points, 256 + (points * 2654435761 >> 7) % 768)
-    return np.where([chr(p).isalpha() for p in points], folded, _BLANK).astype(np.int64)
+    return np.where([chr(p).isalpha() for p in points], points, _BLANK)
 
 
 def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -38,21 +41,19 @@ def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     c = c[np.r_[True, (c[1:] != _BLANK) | (c[:-1] != _BLANK)]]
     if len(c) < 3:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    two = c[:-1] << 10 | c[1:]
-    three = two[:-1] << 10 | c[2:]
-    codes = np.concatenate((c[c != _BLANK], two | 1 << 30, three | 2 << 30))
+    two = c[:-1] << _POINT | c[1:]
+    codes = np.concatenate((c[c != _BLANK], two, two[:-1] << _POINT | c[2:]))
     codes.sort()
     first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
     return codes[first], np.diff(np.r_[first, len(codes)])
 
 
 def ranked(codes: np.ndarray, counts: np.ndarray, ranks: int = RANKS) -> np.ndarray:
-    """The most frequent codes, ties by code."""
-    order = (-counts << 33) + codes
-    if len(order) > ranks:
-        order = np.partition(order, ranks - 1)[:ranks]
-    order.sort()
-    return order & (1 << 33) - 1
+    """The most frequent codes, ties by code (which ascend)."""
+    if len(codes) > ranks:
+        least = np.partition(counts, len(counts) - ranks)[len(counts) - ranks]
+        codes, counts = codes[counts >= least], counts[counts >= least]
+    return codes[np.argsort(-counts, kind="stable")[:ranks]]
 
 
 def held_out() -> Column:
@@ -60,14 +61,14 @@ def held_out() -> Column:
 
 
 def profiles(docs: DataFrame, ranks: int = RANKS, training_documents: int = TRAINING_DOCUMENTS) -> list[tuple[str, list[int]]]:
-    """``(language, its codes by rank)`` by language, learned from the rows that are not held out."""
+    """``(language, its codes by rank)`` by language, learned from the rows that are not held out.
+
+    The driver gets ``ranks`` numbers for each language that occurs.
+    """
     known = docs.select("doc_id", F.col("text").cast("string"), F.col("lang").cast("string")).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    # One entry for each language there is a label for.
-    share = {r["lang"]: training_documents / r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not share:
-        return []
-    chance = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("lang")), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    part = known.where(chance < F.create_map(*(F.lit(x) for pair in share.items() for x in pair))[F.col("lang")]).select("lang", "text")
+    part = F.lit(training_documents) / F.count("*")
+    share = stored(known.groupBy("lang").agg(part.alias("share")))
+    part = known.join(share, "lang").where(chance("doc_id", F.lit("lang")) < F.col("share")).select("lang", "text")
 
     def run(batches):
         totals: dict[str, dict[int, int]] = {}

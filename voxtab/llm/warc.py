@@ -12,10 +12,12 @@ import base64
 import hashlib
 import re
 import struct
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 ARCHIVE_BYTES = 4 << 20
 SAMPLE_BYTES = 1 << 20
 DICTIONARY_BYTES = 16 << 10
+#: Bytes of a record that the dictionary is learned from, and of a piece of them.
+SAMPLED_BYTES, PIECE_BYTES = 8192, 1024
 _URN = "urn:x-page:"
 
 
@@ -149,19 +153,22 @@ def read_archive(data: bytes) -> Iterator[dict]:
         at = end
 
 
+def dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict:
+    """A dictionary learned from the starts of the records, in pieces; from the fixed parts of records where they are too few or too alike."""
+    pieces = [r[at : at + PIECE_BYTES] for r in records for at in range(0, min(len(r), SAMPLED_BYTES), PIECE_BYTES)]
+    usual = [make_record(i, f"http://example.org/{i}", b"<html><head><title></title></head><body></body></html>" * (i % 3), None if i % 4 else i) for i in range(128)]
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, pieces if len(pieces) >= 64 else pieces + usual)
+    except zstandard.ZstdError:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, usual)
+
+
 def make_archive(records: list[bytes], more: Iterator[bytes], archive_bytes: int = ARCHIVE_BYTES) -> bytes:
     """An archive of ``records``, which also teach the dictionary, and of ``more`` until it is long enough."""
-    sample = [r[:8192] for r in records]
     out = bytearray()
-    held = None
-    if len(sample) >= 16:
-        try:
-            held = zstandard.train_dictionary(DICTIONARY_BYTES, sample)
-        except zstandard.ZstdError:  # too little or too uniform to learn from
-            held = None
-    if held is not None:
-        packed = zstandard.ZstdCompressor(level=9).compress(held.as_bytes())
-        out += struct.pack("<II", DICTIONARY_MAGIC, len(packed)) + packed
+    held = dictionary(records)
+    packed = zstandard.ZstdCompressor(level=9).compress(held.as_bytes())
+    out += struct.pack("<II", DICTIONARY_MAGIC, len(packed)) + packed
     writer = zstandard.ZstdCompressor(level=6, dict_data=held, write_checksum=True, write_content_size=True)
     for record in records:
         out += writer.compress(record)
@@ -208,6 +215,27 @@ def write_archives(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> Data
     return stored(rows.mapInArrow(run, "path string, content binary"))
 
 
+def save_archives(archives: DataFrame, folder: str) -> DataFrame:
+    """Write each archive as a file of ``folder`` (a URI that all tasks reach) and give the paths.
+
+    Names come from the contents and files are renamed when complete, so a task that runs twice does
+    no harm. ``spark.read.format("binaryFile")`` reads them again for :func:`read_archives`.
+    """
+
+    def run(batches):
+        store, top = fs.FileSystem.from_uri(folder)
+        store.create_dir(top, recursive=True)
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                part = f"{top}/_{path}-{uuid.uuid4().hex}"
+                with store.open_output_stream(part, compression=None) as out:
+                    out.write(content.as_buffer())
+                store.move(part, f"{top}/{path}")
+            yield pa.record_batch([pa.array([f"{folder.rstrip('/')}/{p}" for p in batch.column(0).to_pylist()], pa.string())], ["path"])
+
+    return stored(archives.select("path", "content").mapInArrow(run, "path string"))
+
+
 def read_archives(archives: DataFrame) -> DataFrame:
     """All records of ``path, content`` rows. A record that does not hold fails the job with its path."""
     kinds = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
