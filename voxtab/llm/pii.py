@@ -2,10 +2,20 @@
 
 Strict patterns with checks give the base spans, which always stay. Generators of high recall
 propose further spans, which may overlap: written-out addresses, loose number groups, dotted
-groups. Each candidate gets small binned features of its format and of the characters around
-it. Boosted trees learn which candidates look like data that a strict pattern confirms; they
-are fitted on counts of (features, confirmed), a table whose size is bounded by the number of
-bins and that covers every candidate of the corpus. A threshold for each kind, calibrated on
+groups, long tokens. Each candidate gets small binned features of its format (in which the marks
+that make a span strict, such as ``+`` and ``@``, do not show) and of the characters around it.
+
+There are no labels, so the boosted trees learn from what the strict patterns confirm, told
+otherwise: each base span is rewritten in loose forms at its place (``[at]`` for ``@``, no ``+``,
+other separators), which are the positive examples; the negative ones are base spans that were
+spoiled (a wrong check digit, no domain, digits regrouped as a date) and candidates that fail the
+checks or belong to another kind. Candidates that hold but are not confirmed are not learned from;
+they are what the trees decide. Secrets have no strict pattern: long tokens that a name such as
+``token`` or ``password`` is assigned to are the positive examples; other long tokens, and quoted
+ones as they would stand in prose, the negative ones; the name itself is no feature.
+
+The trees are fitted on counts of (features, label), a table whose size is bounded by the number
+of bins and that covers every candidate of the corpus. A threshold for each kind, calibrated on
 the documents that the trees did not learn from, selects the spans that are added.
 
 The patterns are written so that Java's matcher needs linear time and no recursion on long
@@ -21,7 +31,8 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone", "secret")
+EMAIL, IP, CARD, PHONE, SECRET = range(5)
 _LOCAL = "A-Za-z0-9._%+-"
 BASE = {
     "email": rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -29,17 +40,23 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+_AT, _DOT = r"(?:@|\[at\]|\(at\)|\{at\})", r"(?:\.|\[dot\]|\(dot\)|\{dot\})"
+_POINT = r"(?:\.|\[\.\]|\(\.\)|:)"
 #: Candidates beside the base spans.
 LOOSE = {
-    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+\x20?(?:@|\[at\]|\(at\)|\{{at\}})\x20?[A-Za-z0-9-]{{1,63}}+(?:\x20?(?:\.|\[dot\]|\(dot\)|\{{dot\}})\x20?[A-Za-z0-9-]{{1,63}}+){{0,8}}+",
-    "ip": r"(?<![0-9])[0-9]{1,4}+(?:[.:][0-9]{1,4}+){3,7}+",
+    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+\x20?{_AT}\x20?[A-Za-z0-9-]{{1,63}}+(?:\x20?{_DOT}\x20?[A-Za-z0-9-]{{1,63}}+){{0,8}}+",
+    "ip": rf"(?<![0-9])[0-9]{{1,4}}+(?:{_POINT}[0-9]{{1,4}}+){{3,7}}+",
     "card": r"(?<![0-9])[0-9](?:[\x20./-]?[0-9]){11,22}+",
-    "phone": r"(?<![0-9+])(?:\+|00|\()?[0-9](?:[\x20().0-9/-]{0,2}[0-9]){6,14}+",
+    "phone": r"(?<![0-9+])(?:\+|00|\()?[0-9](?:[\x20()./-]{0,2}[0-9]){6,16}+",
+    "secret": r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+={0,2}+",
 }
+#: What a secret is assigned to, at the end of the text before it.
+NAMED = r"(?:token|secret|passw(?:or)?d|pwd|api.?key|auth|bearer|credential|private.?key)[a-z_]*[\"']?\s*[:=]\s*[\"']?$"
+CUE = "mail|phone|tel|call|fax|mobil|card|visa|konto|tarjeta|carte|addr|host|contact"
 ROUNDS, RATE, RIDGE = 16, 0.4, 1.0
-#: A kind's threshold keeps the share of confirmed candidates above it at this or more.
+#: A kind's threshold keeps the share of positive examples above it at this or more.
 PRECISION = 0.95
-FEATURES = ("kind", "digits", "length", "plus", "marks", "left", "right", "cue", "lead")
+FEATURES = ("kind", "valid", "digits", "length", "first", "last", "parts", "shape", "left", "right", "cue")
 _SPAN = "array<struct<kind:int,start:int,end:int,text:string>>"
 
 
@@ -106,44 +123,112 @@ def _place(c: Column) -> Column:
     return F.when((c == "") | c.rlike(r"^\s"), 0).when(c.rlike(r"^\p{L}"), 1).when(c.rlike("^[0-9]"), 2).otherwise(3)
 
 
-def _features(text: Column, x: Column) -> Column:
-    s, d = x["text"], F.length(_digits(x["text"]))
-    before = F.when(x["start"] > 0, F.substring(text, x["start"], F.lit(1))).otherwise(F.lit(""))
-    after = F.substring(text, x["end"] + 1, F.lit(1))
-    context = F.lower(F.substring(text, F.greatest(F.lit(1), x["start"] - 23), F.least(x["start"], F.lit(24))))
-    marks = F.length(F.regexp_replace(s, "[A-Za-z0-9]", ""))
+def _context(text: Column, start: Column) -> Column:
+    return F.lower(F.substring(text, F.greatest(F.lit(1), start - 23), F.least(start, F.lit(24))))
+
+
+def _plain(kind: Column, s: Column) -> Column:
+    """A candidate's text with its usual marks in place of written-out ones."""
+    email = F.regexp_replace(F.regexp_replace(s, rf"\x20?{_AT}\x20?", "@"), rf"\x20?{_DOT}\x20?", ".")
+    ip = F.regexp_replace(s, r"\[\.\]|\(\.\)", ".")
+    return F.when(kind == EMAIL, email).when(kind == IP, ip).otherwise(s)
+
+
+def _holds(kind: Column, plain: Column) -> Column:
+    """Whether the checks of its kind hold for a candidate, whatever form it has."""
+    email = plain.rlike(rf"^[{_LOCAL}]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}}$")
+    ip = plain.rlike(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$") & _valid("ip", plain)
+    return F.when(kind == EMAIL, email).when(kind == IP, ip).when(kind == CARD, _valid("card", plain)).when(kind == PHONE, _valid("phone", plain)).otherwise(F.lit(True))
+
+
+def _features(text: Column, kind: Column, s: Column, start: Column, end: Column) -> Column:
+    plain = _plain(kind, s)
+    digits = F.length(_digits(s))
+    before = F.when(start > 0, F.substring(text, start, F.lit(1))).otherwise(F.lit(""))
+    after = F.substring(text, end + 1, F.lit(1))
+    size = lambda c: F.when(c == 0, 0).when(c < 3, 1).when(c == 3, 2).when(c == 4, 3).otherwise(4)
+    groups = F.size(F.split(F.regexp_replace(s, "^[^0-9]+|[^0-9]+$", ""), "[^0-9]+"))
+    dots = F.length(plain) - F.length(F.replace(plain, F.lit("."), F.lit("")))
+    hexa, cased = s.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), s.rlike("[a-z]") & s.rlike("[A-Z]")
     return F.struct(
-        x["kind"].alias("kind"),
-        F.when(d < 4, 0).when(d < 9, 1).when(d < 12, 2).when(d < 13, 3).when(d < 16, 4).when(d < 17, 5).when(d < 20, 6).otherwise(7).alias("digits"),
-        F.least(F.floor(F.length(s) / 6).cast("int"), F.lit(5)).alias("length"),
-        F.when(s.startswith("+"), 2).when(s.contains("@"), 1).otherwise(0).alias("plus"),
-        F.least(marks, F.lit(5)).alias("marks"),
+        kind.alias("kind"),
+        F.when(_holds(kind, plain), 1).otherwise(0).alias("valid"),
+        F.when(digits < 4, 0).when(digits < 9, 1).when(digits < 12, 2).when(digits < 13, 3).when(digits < 16, 4).when(digits < 17, 5).when(digits < 20, 6).otherwise(7).alias("digits"),
+        F.least(F.floor(F.length(plain) / 8).cast("int"), F.lit(5)).alias("length"),
+        size(F.length(F.regexp_extract(s, "[0-9]+", 0))).alias("first"),
+        size(F.length(F.regexp_extract(s, "([0-9]+)[^0-9]*$", 1))).alias("last"),
+        F.when(kind == SECRET, 0).otherwise(F.least(F.when(kind == EMAIL, dots).otherwise(groups), F.lit(5))).alias("parts"),
+        F.when(kind == SECRET, F.when(hexa, 0).when(cased, 1).otherwise(2)).when((kind == IP) & s.contains(":"), 1).otherwise(0).alias("shape"),
         _place(before).alias("left"), _place(after).alias("right"),
-        F.when(context.rlike("mail|phone|tel|call|fax|mobil|card|visa|konto|tarjeta|carte|addr|host|contact"), 1).otherwise(0).alias("cue"),
-        F.when(s.rlike("^[+(]"), 0).when(s.rlike("^0"), 1).when(s.rlike("^[1-9]"), 2).otherwise(3).alias("lead"),
+        F.when(kind == SECRET, 0).when(_context(text, start).rlike(CUE), 1).otherwise(0).alias("cue"),
     )
 
 
-def found(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_base`` (all base spans) and ``_cand`` (span, features, whether a base span of its kind meets it)."""
-    text = text_of()
-    base = F.concat(*(base_spans(text, k) for k in KINDS))
+def _retold(x: Column) -> Column:
+    """A base span in loose forms, and spoiled: ``(text, y)``."""
+    s, d = x["text"], _digits(x["text"])
+    bare = F.regexp_replace(s, r"^\+", "")
+    local = F.regexp_replace(bare, r"^[0-9]{1,3}[\x20.-]*(?=\(?[0-9])", "")
+    joined = lambda c: F.regexp_replace(c, "([0-9]+)[^0-9]+([0-9]+)$", "$1$2")
+    fours = lambda mark: F.regexp_replace(d, "([0-9]{4})(?=[0-9])", f"$1{mark}")
+    good = (
+        (s, F.regexp_replace(F.replace(s, F.lit("@"), F.lit(" [at] ")), r"\.", " [dot] "), F.replace(s, F.lit("@"), F.lit("(at)"))),
+        (s, F.regexp_replace(s, r"\.", "[.]")),
+        (s, d, fours("."), fours("-")),
+        (bare, F.concat(F.lit("00"), bare), F.regexp_replace(bare, "[^0-9]+", "."), local, joined(bare), joined(F.regexp_replace(local, "[()]", ""))),
+    )
+    wrong = F.concat(F.substring(d, F.lit(1), F.length(d) - 1), F.translate(F.substring(d, -1, 1), "0123456789", "1234567890"))
+    bad = (
+        (F.regexp_replace(s, r"@([A-Za-z0-9-]+)\..*$", " (at) $1"), F.regexp_replace(s, r"@([A-Za-z0-9-]+)\..*$", "@$1")),
+        (F.concat(F.lit("9"), F.lpad(s, 15, "7")), F.concat(s, F.lit(".1")), F.replace(s, F.lit("."), F.lit(":"))),
+        (wrong, F.regexp_replace(wrong, "([0-9]{4})(?=[0-9])", "$1 ")),
+        (d, F.regexp_replace(d, "^([0-9]{4})([0-9]{2})([0-9]{2})([0-9]*)$", "$1-$2-$3 $4"), F.concat(d, d)),
+    )
+    told = lambda k: F.array(*(F.struct(c.alias("text"), F.lit(y).alias("y")) for forms, y in ((good[k], 1), (bad[k], 0)) for c in forms))
+    kind = x["kind"]
+    return F.when(kind == EMAIL, told(EMAIL)).when(kind == IP, told(IP)).when(kind == CARD, told(CARD)).otherwise(told(PHONE))
+
+
+def _found(docs: DataFrame) -> DataFrame:
+    """``row`` (all of a row of ``docs``), its ``text``, ``base`` spans and ``loose`` candidates."""
+    d = _flags(docs.select(F.struct("*").alias("row"), text_of().alias("text")), F.col("text"))
+    text = F.col("text")
+    base = F.concat(*(base_spans(text, k) for k in KINDS if k in BASE))
     loose = F.concat(*(_guarded(k, _matches(text, KINDS.index(k), LOOSE[k])) for k in KINDS))
-    d = _flags(docs, text).withColumn("_base", base)
+    return d.select("row", "text", base.alias("base"), loose.alias("loose"))
+
 
-    def described(x):
-        met = F.exists("_base", lambda b: (b["kind"] == x["kind"]) & (b["start"] < x["end"]) & (x["start"] < b["end"]))
-        return F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), _features(text, x).alias("f"), met.alias("met"))
+def _meets(x: Column, b: Column) -> Column:
+    return (b["start"] < x["end"]) & (x["start"] < b["end"])
 
-    return d.withColumn("_cand", F.transform(F.concat("_base", loose), described))
 
+def examples(docs: DataFrame) -> DataFrame:
+    """``held`` and ``e``, one row for each example: its features ``f`` and ``y``, 1 for data and 0 for what is none."""
+    d = _found(docs)
+    text = F.col("text")
+
+    def of_base(x):
+        return F.transform(_retold(x), lambda t: F.struct(_features(text, x["kind"], t["text"], x["start"], x["end"]).alias("f"), t["y"].alias("y")))
+
+    def of_loose(x):
+        own = F.exists("base", lambda b: (b["kind"] == x["kind"]) & _meets(x, b))
+        other = F.exists("base", lambda b: (b["kind"] != x["kind"]) & _meets(x, b))
+        named = F.when(other, 0).when(_context(text, x["start"]).rlike(NAMED), 1).otherwise(0)
+        y = F.when(x["kind"] == SECRET, named).when(own, None).when(other | ~_holds(x["kind"], _plain(x["kind"], x["text"])), 0)
+        f = _features(text, x["kind"], x["text"], x["start"], x["end"])
+        one = F.array(F.struct(f.alias("f"), y.alias("y")))
+        prose = F.struct(f.withField("left", F.lit(0)).withField("right", F.lit(0)).alias("f"), F.lit(0).alias("y"))
+        return F.when((x["kind"] == SECRET) & (named == 1) & (f["left"] == 3), F.concat(one, F.array(prose))).otherwise(one)
+
+    told = F.concat(F.flatten(F.transform("base", of_base)), F.filter(F.flatten(F.transform("loose", of_loose)), lambda e: e["y"].isNotNull()))
+    held = F.pmod(F.xxhash64("text", F.lit("pii")), F.lit(4)) == 0
+    return d.where((F.size("base") > 0) | (F.size("loose") > 0)).select(held.alias("held"), F.explode(told).alias("e"))
 
-def counts(cands: DataFrame) -> list[tuple[tuple[int, ...], int, bool, int]]:
-    """``(features, 1 if confirmed, held out, rows)``: at most as many as there are combinations of bins."""
-    held = F.pmod(F.xxhash64("doc_id", F.lit("pii")), F.lit(4)) == 0
-    rows = cands.select(held.alias("held"), F.explode("_cand").alias("c")).select("held", "c.met", "c.f.*")
-    table = rows.groupBy("held", "met", *FEATURES).agg(F.count("*").alias("n"))
-    return [(tuple(int(r[f]) for f in FEATURES), int(r["met"]), r["held"], r["n"]) for r in table.collect()]
+
+def counts(docs: DataFrame) -> list[tuple[tuple[int, ...], int, bool, int]]:
+    """``(features, y, held out, rows)``: at most as many as there are combinations of bins."""
+    table = examples(docs).select("held", "e.y", "e.f.*").groupBy("held", "y", *FEATURES).agg(F.count("*").alias("n"))
+    return [(tuple(int(r[f]) for f in FEATURES), int(r["y"]), r["held"], r["n"]) for r in table.collect()]
 
 
 def _leaf(rows) -> float:
@@ -186,28 +271,34 @@ def _value(tree, x) -> float:
 
 
 def fit(table, rounds: int = ROUNDS, depth: int = 3):
-    """Trees and the threshold of each kind (infinite where no threshold is precise enough)."""
-    learn = [(x, y, n) for x, y, held, n in table if not held]
-    sums = [0.0] * len(learn)
-    trees = []
-    for _ in range(rounds if learn else 0):
-        rows = []
-        for (x, y, n), s in zip(learn, sums):
-            p = 1 / (1 + math.exp(-s))
-            rows.append((x, n * (y - p), n * p * (1 - p)))
-        tree = _tree(rows, depth)
-        trees.append(tree)
-        sums = [s + _value(tree, x) for (x, _, _), s in zip(learn, sums)]
-    limits = []
+    """Trees and the threshold of each kind: half-way to the next lower score (infinite where no threshold is precise enough)."""
+    forests, limits = [], []
     for kind in range(len(KINDS)):
-        scored = sorted(((sum(_value(t, x) for t in trees), y, n) for x, y, held, n in table if held and x[0] == kind), reverse=True)
+        learn = [(x, y, n) for x, y, held, n in table if x[0] == kind and not held]
+        sums = [0.0] * len(learn)
+        trees = []
+        for _ in range(rounds if learn else 0):
+            rows = []
+            for (x, y, n), s in zip(learn, sums):
+                p = 1 / (1 + math.exp(-s))
+                rows.append((x, n * (y - p), n * p * (1 - p)))
+            tree = _tree(rows, depth)
+            trees.append(tree)
+            sums = [s + _value(tree, x) for (x, _, _), s in zip(learn, sums)]
+        scored = sorted(((score(trees, x), y, n) for x, y, held, n in table if held and x[0] == kind), reverse=True)
         limit, hit, all_ = math.inf, 0, 0
-        for k, (score, y, n) in enumerate(scored):
+        for k, (value, y, n) in enumerate(scored):
             hit, all_ = hit + y * n, all_ + n
-            if (k + 1 == len(scored) or scored[k + 1][0] < score) and hit >= PRECISION * all_:
-                limit = score
+            below = scored[k + 1][0] if k + 1 < len(scored) else value - 2
+            if below < value and hit and hit >= PRECISION * all_:
+                limit = (value + below) / 2
+        forests.append(trees)
         limits.append(limit)
-    return trees, limits
+    return forests, limits
+
+
+def score(trees, x) -> float:
+    return sum(_value(t, x) for t in trees)
 
 
 def _score(trees, f: Column) -> Column:
@@ -224,25 +315,26 @@ def _score(trees, f: Column) -> Column:
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_base`` and ``_all``: base and added spans by kind, start and end, each once.
+    """``row`` (a struct of all columns of ``docs``), ``text``, ``base`` and ``spans``: base and added spans by kind, start and end, each once.
 
-    A null text counts as empty. Every column stays; rows that repeat each get their spans. A
-    table without candidates adds nothing.
+    A null text counts as empty. Rows that repeat each get their spans. A corpus without base spans
+    of a kind (without assigned tokens, for secrets) gives no examples, and nothing of it is added.
     """
-    cands = found(docs)
-    trees, limits = fit(counts(cands))
-    chosen = F.lit(False)
+    forests, limits = fit(counts(docs))
+    d = _found(docs)
+    text = F.col("text")
 
     def added(x):
-        ok = chosen
-        for kind, limit in enumerate(limits):
-            if limit < math.inf:
-                ok = ok | ((x["kind"] == kind) & (_score(trees, x["f"]) >= F.lit(limit - 1e-9)))
-        return ok
+        f = _features(text, x["kind"], x["text"], x["start"], x["end"])
+        chosen = F.lit(False)
+        for kind, (trees, least) in enumerate(zip(forests, limits)):
+            if least < math.inf:
+                chosen = F.when(x["kind"] == kind, _score(trees, f) >= F.lit(least)).otherwise(chosen)
+        return ~F.exists("base", lambda b: _meets(x, b)) & chosen
 
     bare = lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
-    every = F.concat(F.transform("_base", bare), F.transform(F.filter("_cand", added), bare))
-    return cands.withColumn("_all", F.array_sort(F.array_distinct(every))).drop("_cand", "_digit", "_at")
+    every = F.concat(F.transform("base", bare), F.transform(F.filter("loose", added), bare))
+    return d.select("row", "text", "base", F.array_sort(F.array_distinct(every)).alias("spans"))
 
 
 def written(spans: Column) -> Column:
@@ -252,18 +344,19 @@ def written(spans: Column) -> Column:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the number of base spans by kind, the digest of the base spans, and all spans."""
+    """``doc_id``, the number of base spans by kind, the digest of the base spans, all spans, and how many those are."""
     d = with_spans(docs.select("doc_id", "text"))
-    count = lambda k: F.size(F.filter("_base", lambda x: x["kind"] == k)).cast("long")
-    return d.select(F.col("doc_id").cast("long"), *(count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)), F.sha2(written(F.col("_base")), 256).alias("base_sha256"), written(F.col("_all")).alias("spans"))
+    count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
+    counted = [count(k).alias(f"n_{name}") for k, name in enumerate(KINDS) if name in BASE]
+    return d.select(F.col("row.doc_id").cast("long").alias("doc_id"), *counted, F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with each run of overlapping spans replaced by the kind of its first, as in ``[EMAIL]``. Null texts stay null."""
-    d = with_spans(docs.select("doc_id", "text", F.struct("*").alias("_row")))
+    d = with_spans(docs)
     text = F.col("text")
     tags = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    by_start = F.array_sort("_all", lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
+    by_start = F.array_sort("spans", lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc, x):
@@ -272,8 +365,8 @@ def redact(docs: DataFrame) -> DataFrame:
         return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], kept, F.get(tags, x["kind"]))).otherwise(acc["out"]).alias("out"))
 
     done = F.aggregate(by_start, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text) - acc["at"])))
-    new = F.when(F.size("_all") > 0, done).otherwise(text)
-    return d.select(*(new.alias(c) if c == "text" else F.col(f"_row.{q(c)}").alias(c) for c in docs.columns))
+    new = F.when(F.size("spans") > 0, done).otherwise(F.col("row.text"))
+    return d.select(*(new.alias(c) if c == "text" else F.col(f"row.{q(c)}").alias(c) for c in docs.columns))
 
 
 def q(name: str) -> str:
