@@ -66,23 +66,41 @@ def test_masked_keeps_rows(spark):
     assert [(r["label"], r["c"]) for r in shape.masked(df).orderBy("x").collect()] == [(5, 9.0), (0, 0.0)]
 
 
-def test_tau_equals_pairs():
+def test_tau_equals_pairs(spark):
     rng = np.random.default_rng(1)
-    for n in (2, 3, 10, 57):
-        a, b = rng.integers(0, 5, n).astype(float), rng.integers(0, 7, n).astype(float)
+    rows, want = [], {}
+    for k, n in enumerate((1, 2, 3, 10, 57, 200)):
+        a, b = rng.integers(0, 5 + n // 4, n).astype(float), rng.integers(0, 7 + n // 3, n).astype(float)
+        rows += [(0, k + 1, x, y) for x, y in zip(a.tolist(), b.tolist())]
         s = sum(np.sign(a[i] - a[j]) * np.sign(b[i] - b[j]) for i in range(n) for j in range(i))
         x, y = (sum(v[i] != v[j] for i in range(n) for j in range(i)) for v in (a, b))
-        assert coloc.tau_b(a, b) == (pytest.approx(s / math.sqrt(x * y)) if x and y else None)
+        want[k + 1] = pytest.approx(s / math.sqrt(x * y)) if x and y else None
+    rows += [(0, 9, 1.0, 2.0), (0, 9, 3.0, 2.0), (0, 9, None, 5.0)]
+    df = spark.createDataFrame(rows, "ROI int, label int, a double, b double")
+    assert {r["label"]: r["value"] for r in coloc.kendall(df, "a", "b").collect()} == want | {9: None}
 
 
-def test_distance_transform_equals_brute():
+@pytest.mark.parametrize("lines", [2, 32])
+def test_distance_to_border_equals_brute(spark, monkeypatch, lines):
+    monkeypatch.setattr(distance, "LINES", lines)
     rng = np.random.default_rng(2)
-    inside = rng.random((4, 5, 6)) < 0.6
-    d = distance.squared_distance(inside, SCALE)
-    at = np.argwhere(np.ones(inside.shape)) * np.array(SCALE)
-    flat = inside.ravel()
-    for i, p in enumerate(at):
-        assert d.ravel()[i] == pytest.approx(((at[flat != flat[i]] - p) ** 2).sum(axis=1).min())
+    rows, want = [], {}
+    for roi in range(2):
+        kind = {}
+        for at in itertools.product(range(5, 9), range(-2, 3), range(6)):
+            there = rng.random() < (0.3 if at[0] == 6 else 0.8)
+            kind[at] = bool(there and rng.random() < 0.6)
+            if there:
+                rows.append((roi, *at, kind[at]))
+        mine = [r[1:] for r in rows if r[0] == roi]
+        box = itertools.product(*(range(min(r[i] for r in mine), max(r[i] for r in mine) + 1) for i in range(3)))
+        places = {at: kind[at] for at in box}
+        for *at, inside in mine:
+            far = min(math.dist(np.array(at) * SCALE, np.array(o) * SCALE) for o, k in places.items() if k != inside)
+            want[(roi, *at)] = pytest.approx(far if inside else -far)
+    rows += [(7, 0, 0, i, True) for i in range(3)]
+    got = {tuple(r)[:4]: r["d"] for r in distance.to_border(spark.createDataFrame(rows, "ROI int, z int, y long, x long, m boolean"), "m", SCALE).collect()}
+    assert got == want | {(7, 0, 0, i): None for i in range(3)}
 
 
 def test_delaunay_is_empty_sphere():
@@ -316,3 +334,22 @@ def test_iqr_sides(spark):
     assert row(low=None) == (0.0, 4.5)
     assert row(high=None) == (-0.5, 4.0)
     assert reshape.iqr(d, "v", interpolate=False).first()["ql"] == 1.0
+
+
+def test_query_names_are_neighborhood_features():
+    queries = [*N.build(N.Radius, (10, 2.5), (False, True), (False, True)), *N.build(N.Knn, 5, (False, True), (False, True)), *N.build(N.Delaunay, (1, 2), (False, True), (None, 0.5)), *N.build(N.Touch, 1, (False, True), (None, 0.1))]
+    for query in queries:
+        assert selectors.neighborhood.test(f"{query}_Mean__x") and selectors.neighborhood.test(f"{query}_Count") and not selectors.meta.test(f"{query}_Count")
+        assert selectors.density.test(f"{query}_Count") or isinstance(query, N.Knn)
+
+
+def test_delaunay_threshold_keeps_the_scale(spark):
+    """Objects in two arms of an L of physical size: an edge across the gap lies outside the mask."""
+    arms = [(z, y, x) for z in range(2) for y in range(12) for x in range(12) if y < 3 or x < 3]
+    rows = [(0, z, y, x, 1 + z + 2 * (y // 3) + 10 * (x // 3)) for z, y, x in arms]
+    g = spark.createDataFrame(rows, "ROI int, z int, y int, x int, label int")
+    hood = A.Neighborhoods.from_voxels(g, (2.0, 0.5, 0.5), g)
+    got = hood.edges(N.Delaunay(threshold=0.9))
+    want = N.threshold(N.mask_share(N.delaunay(hood.points), hood.points, g, 50, (2.0, 0.5, 0.5)), 0.9)
+    pairs = lambda e: {(r["focal"], r["neighbor"]) for r in e.collect()}
+    assert pairs(got) == pairs(want) and 0 < len(pairs(got)) < N.delaunay(hood.points).count()

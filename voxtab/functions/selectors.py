@@ -16,8 +16,11 @@ _LABEL = [rf"^{f}((.lower)|(.upper)|(Direction)|(Vertices)|(Size)|(Origin))?{_AX
 _INTENSITY = [rf"^({_CHANNEL}_)?{f}{_AXES}$" for f in names.INTENSITY_FEATURES]
 _COLOC = [rf"^({_CHANNEL}\W{_CHANNEL}_)?{f}$" for f in names.COLOC_FEATURES]
 _DISTANCE = [rf"^([a-zA-Z0-9_]+_)?{f}{t}(\W[xyz])?$" for f, t in product(names.DISTANCE_FEATURES, names.DISTANCE_FUNCTIONS)]
-_DENSITY = [r"^DELAUNAY:\d+_Count$", r"^TOUCH:\d+_Count$", r"^RAD:\d+(\W\d+)?_Count$", r"^KNNd:\d+_"]
-_NEIGHBORHOOD = [r"^DELAUNAY(s)?:\d+_.*$", r"^TOUCH(s)?:\d+_.*$", r"^RAD(s)?:\d+(\W\d+)?_.*$", r"^KNN(d)?(s)?:\d+_.*$"]
+_NUMBER = r"\d+(\.\d+)?"
+_GRAPH = rf"(DELAUNAY|TOUCH)s?(:th={_NUMBER})?:\d+s?_"
+_NEAR = rf"(RAD|KNN)d?s?:{_NUMBER}s?_"
+_DENSITY = [rf"^{_GRAPH}Count$", rf"^RADd?s?:{_NUMBER}s?_Count$", rf"^KNNd:{_NUMBER}s?_"]
+_NEIGHBORHOOD = [rf"^{_GRAPH}.*$", rf"^{_NEAR}.*$"]
 _HIERARCHY = [r"^parent\W.+$"]
 _INDEX = [f"^{c}$" for c in ("well", "ROI", "index", "object", "label", "channel", "stain", "acquisition", "path_in_well", "channel_pair")]
 

@@ -139,6 +139,8 @@ class Neighborhoods:
     touching: DataFrame | None = None
     mask: DataFrame | None = None
     queries: tuple = field(default=())
+    #: Physical size of a voxel of the mask.
+    scale: tuple[float, float, float] = (1.0, 1.0, 1.0)
 
     @classmethod
     def from_table(cls, df: DataFrame, region: str | None = "ROI", centroid: str = "Centroid", sep: str = "-") -> Neighborhoods:
@@ -155,7 +157,7 @@ class Neighborhoods:
         # One row for each object, which every query joins: taken from the voxels once.
         c = shape.centroids(voxels, scale)
         points = checkpointed(c.select("ROI", "label", *(F.col(f"Centroid.{a}").alias(a) for a in "zyx")))
-        return cls(points, N.touch(voxels, scale), mask)
+        return cls(points, N.touch(voxels, scale), mask, scale=tuple(scale))
 
     def add(self, *queries) -> Neighborhoods:
         return replace(self, queries=(*self.queries, *queries))
@@ -183,7 +185,7 @@ class Neighborhoods:
             if query.threshold is not None:
                 if self.mask is None:
                     raise ValueError("a threshold on Delaunay edges needs a mask")
-                e = N.threshold(N.mask_share(e, self.points, self.mask), query.threshold)
+                e = N.threshold(N.mask_share(e, self.points, self.mask, scale=self.scale), query.threshold)
             return N.steps(e, query.n_steps, query.self_loops, self.points)
         if isinstance(query, N.Touch):
             if self.touching is None:

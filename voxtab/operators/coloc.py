@@ -7,12 +7,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import names
 from .shape import KEYS, objects
@@ -41,48 +38,39 @@ def _rank(keys, c: str) -> Column:
     return F.rank().over(W.partitionBy(*keys).orderBy(c)) + (F.count("*").over(W.partitionBy(*keys, c)) - 1) / 2.0
 
 
-def spearman(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
-    ranked = _two(voxels, a, b, keys).withColumn("ra", _rank(keys, "a")).withColumn("rb", _rank(keys, "b"))
+def _ranks(voxels: DataFrame, a: str, b: str, keys, metrics=("SpearmanR", "KendallTau")) -> DataFrame:
+    """The rank correlations of each object, as columns named by metric, from one set of windows."""
+    t = _two(voxels, a, b, keys)
+    same = lambda *c: F.count("*").over(W.partitionBy(*keys, *c))
+    t = t.withColumns({"ra": _rank(keys, "a"), "rb": _rank(keys, "b"), "sa": same("a"), "sb": same("b")})
     flat = (F.min("a") == F.max("a")) | (F.min("b") == F.max("b"))
-    return ranked.groupBy(*keys).agg(F.when((F.count("*") >= 2) & ~flat, F.corr("ra", "rb")).alias("value"))
-
-
-def _inversions(x: np.ndarray) -> int:
-    """Pairs out of order, by merging runs that double."""
-    n, total, width = len(x), 0, 1
-    x = x.copy()
-    while width < n:
-        for lo in range(0, n, 2 * width):
-            left, right = x[lo : lo + width], x[lo + width : lo + 2 * width]
-            if len(right):
-                total += int((len(left) - np.searchsorted(left, right, "right")).sum())
-                x[lo : lo + 2 * width] = np.sort(x[lo : lo + 2 * width], kind="stable")
-        width *= 2
-    return total
-
-
-def tau_b(a: np.ndarray, b: np.ndarray) -> float | None:
-    """Kendall's rank correlation, ties accounted for, in ``n log n``."""
-    n = len(a)
-    if n < 2:
-        return None
-    ties = lambda *k: int(sum(c * (c - 1) // 2 for c in np.unique(np.stack(k, axis=1), axis=0, return_counts=True)[1].tolist()))
-    pairs, ta, tb, tab = n * (n - 1) // 2, ties(a), ties(b), ties(a, b)
-    if pairs == ta or pairs == tb:
-        return None
-    order = np.lexsort((b, a))
-    discordant = _inversions(b[order])
-    return float((pairs - ta - tb + tab - 2 * discordant) / ((pairs - ta) ** 0.5 * (pairs - tb) ** 0.5))
-
-
-@F.pandas_udf(T.DoubleType())
-def _tau(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([tau_b(np.asarray(x, float), np.asarray(y, float)) for x, y in zip(a, b)], dtype="object")
+    out = {}
+    if "SpearmanR" in metrics:
+        out["SpearmanR"] = F.when((F.count("*") >= 2) & ~flat, F.corr("ra", "rb"))
+    if "KendallTau" not in metrics:
+        return t.groupBy(*keys).agg(*(v.alias(k) for k, v in out.items()))
+    t = t.withColumn("sab", same("a", "b")).withColumn("_b", F.dense_rank().over(W.partitionBy(*keys).orderBy("b")).cast("long"))
+    sums = t.groupBy(*keys).agg(*(v.alias(k) for k, v in out.items()), F.count("*").alias("_n"), *(F.sum((F.col(c) - 1) / 2).alias(f"_{c}") for c in ("sa", "sb", "sab")), flat.alias("_flat"))
+    # Pairs out of order, by the highest bit in which two ranks of b differ: among the rows that agree above a
+    # bit, in order of a, each row without the bit comes after those with it that stand before.
+    t = t.withColumn("_most", F.max("_b").over(W.partitionBy(*keys)))
+    level = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.log2(F.col("_most") + 1)).cast("int") - 1))
+    bits = t.select(*keys, "a", "b", "_b", F.explode(level).alias("_l")).withColumn("_bit", F.expr("shiftright(_b, _l) & 1"))
+    bits = bits.withColumn("_above", F.expr("shiftright(_b, _l + 1)"))
+    before = W.partitionBy(*keys, "_l", "_above").orderBy("a", "b").rowsBetween(W.unboundedPreceding, W.currentRow)
+    wrong = bits.withColumn("_w", F.when(F.col("_bit") == 0, F.sum("_bit").over(before)).otherwise(0)).groupBy(*keys).agg(F.sum("_w").alias("_wrong"))
+    n = F.col("_n") * (F.col("_n") - 1) / 2
+    tau = (n - F.col("_sa") - F.col("_sb") + F.col("_sab") - 2 * F.col("_wrong")) / (F.sqrt(n - F.col("_sa")) * F.sqrt(n - F.col("_sb")))
+    return sums.join(wrong, list(keys)).select(*keys, *out, F.when((F.col("_n") >= 2) & ~F.col("_flat"), tau).alias("KendallTau"))
+
+
+def spearman(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
+    return _ranks(voxels, a, b, keys, ("SpearmanR",)).withColumnRenamed("SpearmanR", "value")
 
 
 def kendall(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
-    lists = _two(voxels, a, b, keys).groupBy(*keys).agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
-    return lists.select(*keys, _tau("a", "b").alias("value"))
+    """Kendall's rank correlation, ties accounted for. Windows count the pairs out of order; no object is held whole."""
+    return _ranks(voxels, a, b, keys, ("KendallTau",)).withColumnRenamed("KendallTau", "value")
 
 
 def _binned(voxels: DataFrame, a: str, b: str, keys) -> DataFrame:
@@ -109,35 +97,47 @@ def _with_margins(cells: DataFrame, keys) -> DataFrame:
     return cells.withColumn("ni", F.sum("n").over(W.partitionBy(*keys, "i"))).withColumn("nj", F.sum("n").over(W.partitionBy(*keys, "j"))).withColumn("all", F.sum("n").over(W.partitionBy(*keys)))
 
 
-def chi2(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
-    """The statistic of independence; null where a row or column of the histogram is empty."""
-    c = _with_margins(_binned(voxels, a, b, keys), keys)
-    whole = (F.count_distinct("i") == BINS) & (F.count_distinct("j") == BINS) & (F.max("all") >= 2)
-    return c.groupBy(*keys).agg(F.when(whole, F.max("all") * (F.sum(F.col("n") * F.col("n") / (F.col("ni") * F.col("nj"))) - 1)).alias("value"))
+def _histogram(voxels: DataFrame, a: str, b: str, keys, metrics=("Chi2Contingency", "MutualInfoBins")) -> DataFrame:
+    """What the two-way histogram gives, as columns named by metric."""
+    return _measured(_binned(voxels, a, b, keys), keys, metrics)
 
 
-def _information(cells: DataFrame, keys, normalized: bool = False) -> DataFrame:
+def _values(voxels: DataFrame, a: str, b: str, keys, metrics=("MutualInfo", "MutualInfoNormalized")) -> DataFrame:
+    """What the pairs of raw values give, as columns named by metric."""
+    return _measured(_cells(voxels, a, b, keys), keys, metrics)
+
+
+def _measured(cells: DataFrame, keys, metrics) -> DataFrame:
     c = _with_margins(cells, keys)
     p = F.col("n") / F.col("all")
     mi = F.greatest(F.lit(0.0), F.sum(p * F.log(F.col("n") * F.col("all") / (F.col("ni") * F.col("nj")))))
-    if normalized:
-        # A margin's entropy is summed over cells: each cell adds its share of the margin's term.
-        ha = -F.sum(p * F.log(F.col("ni") / F.col("all")))
-        hb = -F.sum(p * F.log(F.col("nj") / F.col("all")))
-        mi = F.when((ha + hb) > 0, mi / ((ha + hb) / 2)).otherwise(F.lit(1.0))
-    return c.groupBy(*keys).agg(F.when(F.max("all") >= 2, mi).alias("value"))
+    # A margin's entropy is summed over cells: each cell adds its share of the margin's term.
+    both = -F.sum(p * F.log(F.col("ni") / F.col("all"))) - F.sum(p * F.log(F.col("nj") / F.col("all")))
+    enough = F.max("all") >= 2
+    whole = (F.count_distinct("i") == BINS) & (F.count_distinct("j") == BINS) & enough
+    of = {
+        "Chi2Contingency": lambda: F.when(whole, F.max("all") * (F.sum(F.col("n") * F.col("n") / (F.col("ni") * F.col("nj"))) - 1)),
+        "MutualInfoBins": lambda: F.when(enough, mi), "MutualInfo": lambda: F.when(enough, mi),
+        "MutualInfoNormalized": lambda: F.when(enough, F.when(both > 0, mi / (both / 2)).otherwise(F.lit(1.0))),
+    }
+    return c.groupBy(*keys).agg(*(of[m]().alias(m) for m in metrics))
+
+
+def chi2(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
+    """The statistic of independence; null where a row or column of the histogram is empty."""
+    return _histogram(voxels, a, b, keys, ("Chi2Contingency",)).withColumnRenamed("Chi2Contingency", "value")
 
 
 def mutual_info(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
-    return _information(_cells(voxels, a, b, keys), keys)
+    return _values(voxels, a, b, keys, ("MutualInfo",)).withColumnRenamed("MutualInfo", "value")
 
 
 def mutual_info_bins(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
-    return _information(_binned(voxels, a, b, keys), keys)
+    return _histogram(voxels, a, b, keys, ("MutualInfoBins",)).withColumnRenamed("MutualInfoBins", "value")
 
 
 def mutual_info_normalized(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
-    return _information(_cells(voxels, a, b, keys), keys, True)
+    return _values(voxels, a, b, keys, ("MutualInfoNormalized",)).withColumnRenamed("MutualInfoNormalized", "value")
 
 
 METRICS = {
@@ -147,9 +147,15 @@ METRICS = {
 
 
 def features(voxels: DataFrame, pairs, metrics=names.DEFAULT_COLOC_FEATURES, keys=KEYS) -> DataFrame:
-    """``<a>|<b>_<Metric>`` of each object and pair of channels."""
-    parts = [METRICS[m](voxels, a, b, keys).withColumnRenamed("value", names.coloc(a, b, m)) for a, b in pairs for m in names.requested(metrics, METRICS)]
-    ids = objects(voxels).select(*keys).distinct()
+    """``<a>|<b>_<Metric>`` of each object and pair of channels. Metrics that rest on the same table come from it together."""
+    asked = names.requested(metrics, METRICS)
+    linear = [pearson_of(a, b).alias(names.coloc(a, b, "PearsonR")) for a, b in pairs if "PearsonR" in asked]
+    ids = objects(voxels).groupBy(*keys).agg(*linear) if linear else objects(voxels).select(*keys).distinct()
+    parts = []
+    for a, b in pairs:
+        for family, of in ((_ranks, ("SpearmanR", "KendallTau")), (_histogram, ("Chi2Contingency", "MutualInfoBins")), (_values, ("MutualInfo", "MutualInfoNormalized"))):
+            if mine := tuple(m for m in of if m in asked):
+                parts.append(family(voxels, a, b, keys, mine).withColumnsRenamed({m: names.coloc(a, b, m) for m in mine}))
     return reduce(lambda x, y: x.join(y, list(keys), "left"), parts, ids)
 
 
@@ -158,4 +164,4 @@ def corrected(voxels: DataFrame, factors: dict[str, Column]) -> DataFrame:
     return voxels.withColumns({c: F.col(names.q(c)) * f for c, f in factors.items()})
 
 
-__all__ = ["METRICS", "chi2", "corrected", "features", "kendall", "mutual_info", "mutual_info_bins", "mutual_info_normalized", "pearson", "spearman", "tau_b"]
+__all__ = ["METRICS", "chi2", "corrected", "features", "kendall", "mutual_info", "mutual_info_bins", "mutual_info_normalized", "pearson", "spearman"]

@@ -12,6 +12,9 @@ from ..functions import names
 from . import intensity
 from .shape import KEYS, objects
 
+#: Lines that one task takes at a time.
+LINES = 32
+_ENDS = [f"{n}_{c}" for c in "zyx" for n in ("lo", "hi")]
 _AXIS = {"DistanceAlongZ": "z", "DistanceAlongY": "y", "DistanceAlongX": "x"}
 
 
@@ -35,37 +38,46 @@ def _parabolas(f: np.ndarray, size: float) -> np.ndarray:
     return out
 
 
-def squared_distance(inside: np.ndarray, scale) -> np.ndarray:
-    """Squared distance of each voxel of a box to the nearest one of the other kind; infinite where there is none."""
-    out = np.zeros(inside.shape)
-    for kind in (True, False):
-        d = np.where(inside == kind, np.inf, 0.0)
-        for axis, size in enumerate(scale):
-            lines = np.moveaxis(d, axis, -1)
-            d = np.moveaxis(_parabolas(lines.reshape(-1, lines.shape[-1]), size).reshape(lines.shape), -1, axis)
-        out = np.where(inside == kind, d, out)
-    return out
+def _pass(rows: DataFrame, axis: str, size: float) -> DataFrame:
+    """One of the three passes: along the lines of an axis, ``to_out`` and ``to_in`` grow by the way along it.
+
+    A task gets the lines of ``LINES`` places across. Places without a row are outside, with none inside on
+    the lines taken so far; they get a row once there is one.
+    """
+    across = [c for c in "zyx" if c != axis]
+
+    def run(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        low, n = int(f[f"lo_{axis}"].iloc[0]), int(f[f"hi_{axis}"].iloc[0] - f[f"lo_{axis}"].iloc[0]) + 1
+        line, of = np.unique(f[across[1]].to_numpy(), return_inverse=True)
+        at = f[axis].to_numpy() - low
+        to_out, to_in, there = np.zeros((len(line), n)), np.full((len(line), n), np.inf), np.zeros((len(line), n), bool)
+        to_out[of, at], to_in[of, at], there[of, at] = f["to_out"], f["to_in"], f["there"]
+        to_out, to_in = _parabolas(to_out, size), _parabolas(to_in, size)
+        i, j = np.nonzero(there | np.isfinite(to_in))
+        made = {"ROI": f["ROI"].iloc[0], across[0]: f[across[0]].iloc[0], across[1]: line[i], axis: j + low, "to_out": to_out[i, j], "to_in": to_in[i, j], "there": there[i, j]}
+        return pd.DataFrame(made | {c: f[c].iloc[0] for c in _ENDS})[list(kinds)]
+
+    kinds = dict(rows.dtypes)
+    return rows.groupBy("ROI", across[0], F.floor(F.col(across[1]) / LINES)).applyInPandas(run, ", ".join(f"{c} {t}" for c, t in kinds.items()))
 
 
 def to_border(voxels: DataFrame, mask: str, scale=(1.0, 1.0, 1.0)) -> DataFrame:
     """``ROI, z, y, x, d``: distance to the mask's border, positive inside, null where the region has no border.
 
-    A region is one image crop, which one task holds; absent voxels of its box count as outside.
+    Exact, by one pass over the lines of each axis; no task holds more than ``LINES`` lines. Absent voxels
+    of a region's box count as outside.
     """
-
-    def one(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        at = f[["z", "y", "x"]].to_numpy(np.int64)
-        low = at.min(axis=0)
-        box = np.zeros(at.max(axis=0) - low + 1, bool)
-        i = tuple((at - low).T)
-        box[i] = f["inside"].to_numpy(bool)
-        d = np.sqrt(squared_distance(box, scale)[i]) * np.where(box[i], 1, -1)
-        return f[["ROI", "z", "y", "x"]].assign(d=np.where(np.isfinite(d), d, np.nan))
-
     kinds = dict(voxels.dtypes)
-    v = voxels.select("ROI", "z", "y", "x", (F.col(names.q(mask)).cast("boolean")).alias("inside"))
-    out = v.groupBy("ROI").applyInPandas(one, ", ".join(f"{c} {kinds[c]}" for c in ("ROI", "z", "y", "x")) + ", d double")
-    return out.withColumn("d", F.when(~F.isnan("d"), F.col("d")))
+    inside = F.coalesce(F.col(names.q(mask)).cast("boolean"), F.lit(False))
+    v = voxels.select("ROI", *(F.col(c).cast("long").alias(c) for c in "zyx"), inside.alias("inside"))
+    ends = v.groupBy("ROI").agg(*(f(c).alias(f"{n}_{c}") for c in "zyx" for n, f in (("lo", F.min), ("hi", F.max))))
+    away = F.lit(float("inf"))
+    d = v.select("ROI", *"zyx", F.when(F.col("inside"), away).otherwise(0.0).alias("to_out"), F.when(F.col("inside"), 0.0).otherwise(away).alias("to_in"), F.lit(True).alias("there")).join(ends, "ROI")
+    for c, size in reversed(list(zip("zyx", scale))):
+        d = _pass(d, c, float(size))
+    far = F.when(F.col("to_in") == 0, F.sqrt("to_out")).otherwise(-F.sqrt("to_in"))
+    d = d.where("there").withColumn("d", F.when(F.abs(far) < away, far))
+    return d.select(F.col("ROI").cast(kinds["ROI"]).alias("ROI"), *(F.col(c).cast(kinds[c]).alias(c) for c in "zyx"), "d")
 
 
 def map_of(voxels: DataFrame, function: str, mask: str, scale=(1.0, 1.0, 1.0)) -> DataFrame:

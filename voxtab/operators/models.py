@@ -214,6 +214,16 @@ def grid_predicted(params: DataFrame, spec: Spec, grid: DataFrame, by: Sequence[
     return grid.join(mine, list(by)).withColumn("predicted", out).drop("_p")
 
 
+def corrected(df: DataFrame, params: DataFrame, spec: Spec, value: str, by: Sequence[str] = ("channel",)) -> DataFrame:
+    """``df`` with ``corrected``: its ``value`` brought to the level at 0 by the model of its group.
+
+    The rows may be measured objects or a grid of features with a value at each place. Rows of a
+    group without a model that settled are left out, as they are from :func:`grid_predicted`.
+    """
+    out = with_factor(df, params.where("converged"), spec, "_factor", by)
+    return out.where(~F.isnan("_factor")).withColumn("corrected", F.col(q(value)) * F.col("_factor")).drop("_factor")
+
+
 def paths(voxels: DataFrame, mask: str, scale=(1.0, 1.0, 1.0)) -> DataFrame:
     """``MediumPath`` and ``EmbryoPath``: how far each voxel lies behind others outside and inside the mask, along z."""
     line = W.partitionBy("ROI", "y", "x").orderBy("z").rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -20,7 +20,9 @@ from ..sources.tables import checkpointed
 
 EDGE = ("ROI", "focal", "neighbor", "weight")
 #: Above so many points in a region, points meet by grid cell instead of all with all.
-LARGE_REGION = 20_000
+LARGE_REGION = 2_000
+#: Places along an edge at which the mask is looked up.
+SAMPLES = 50
 
 
 def _loop(flag: bool) -> str:
@@ -227,7 +229,7 @@ def delaunay(points: DataFrame) -> DataFrame:
     return points.groupBy("ROI").applyInPandas(one, f"ROI {kinds['ROI']}, focal {kinds['label']}, neighbor {kinds['label']}, weight double")
 
 
-def mask_share(edges: DataFrame, points: DataFrame, mask: DataFrame, samples: int = 10, scale=(1.0, 1.0, 1.0)) -> DataFrame:
+def mask_share(edges: DataFrame, points: DataFrame, mask: DataFrame, samples: int = SAMPLES, scale=(1.0, 1.0, 1.0)) -> DataFrame:
     """The edges with weight = share of ``samples`` places along each that lie in the mask (``ROI, z, y, x`` voxels)."""
     a, b = _sides(points)
     e = edges.select("ROI", "focal", "neighbor").join(a, ["ROI", "focal"]).join(b, ["ROI", "neighbor"])

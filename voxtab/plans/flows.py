@@ -171,6 +171,32 @@ def z_specs(loss: str = "huber") -> list[models.Spec]:
     return [models.Spec(m, f, loss, pos) for f in (one, two) for m, pos in (("Linear", False), ("LogLinear", False), ("Exp", True), ("Exp", False))]
 
 
+OBJECT_KEY = ("ROI", "object", "label", "well", "path_in_well")
+
+
+def z_inputs(labels: DataFrame, intensities: DataFrame, correlations: DataFrame, distances: DataFrame) -> DataFrame:
+    """Stored tables of one kind of feature each, joined for the depth models.
+
+    Every row of ``labels`` stays; rows of the others repeat it for each channel, pair of channels and
+    object measured to. An object without a correlation counts as aligned: ``PearsonR`` is 1.
+    """
+    out = labels
+    for other in (intensities, correlations, distances):
+        out = out.join(other, list(OBJECT_KEY), "left")
+    return out.fillna(1.0, ["PearsonR"])
+
+
+def identified(features: DataFrame, object_name: str, acquisition: int) -> DataFrame:
+    """An acquisition's feature table with its ``object``, ``acquisition`` and ``well``, and an index that no other region has.
+
+    Names are joined from columns and are null where one of them is.
+    """
+    return features.withColumns({
+        "object": F.lit(object_name), "acquisition": F.lit(acquisition).cast("int"), "well": F.concat("row", "column"),
+        "index": F.concat(F.col("index").cast("string"), F.lit("_"), F.col("ROI").cast("string")), "ROI": F.col("ROI").cast("smallint"),
+    }).withColumn("acquisition_path", F.split("path_in_well", "_")[0].cast("int"))
+
+
 def z_table(features: DataFrame, label_to: str) -> DataFrame:
     """A wide feature table with centroids unnested and the two paths of light: inside the object's host and above it."""
     d = features

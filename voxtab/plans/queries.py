@@ -88,10 +88,18 @@ _FACES = """d AS (SELECT label, lead(label) OVER (PARTITION BY z, y ORDER BY x)
     f AS (SELECT label, n AS neighbor, sum(a) AS area FROM (SELECT label, n, a FROM d WHERE ok AND n <> label UNION ALL SELECT n, label, a FROM d WHERE ok AND n <> label) GROUP BY 1, 2)"""
 
 
+# What one entry along each of the thirteen directions (dz, dy, dx) stands for on voxels of 2.0 by 0.5 by 0.5:
+# four times the share of the sphere closest to the direction, times the voxel's volume over the step's length.
+_WEIGHTS = {
+    (0, 0, 1): 0.59256, (0, 1, -1): 0.40124067, (0, 1, 0): 0.5928, (0, 1, 1): 0.40109925, (1, -1, -1): 0.07050326, (1, -1, 0): 0.02698936, (1, -1, 1): 0.07051269,
+    (1, 0, -1): 0.02699907, (1, 0, 0): 0.00953, (1, 0, 1): 0.02705727, (1, 1, -1): 0.07039955, (1, 1, 0): 0.02707668, (1, 1, 1): 0.07049383,
+}
+
+
 def _entries() -> str:
     """Entries of lines into objects, for each direction by the voxel before along it, weighted."""
     parts = []
-    for (dz, dy, dx), w in zip(shape.DIRECTIONS, shape.intercept_weights(SCALE)):
+    for (dz, dy, dx), w in _WEIGHTS.items():
         parts.append(f"SELECT a.label, CAST({w!r} AS DOUBLE) AS w FROM grid a LEFT JOIN grid b ON b.z = a.z - ({dz}) AND b.y = a.y - ({dy}) AND b.x = a.x - ({dx}) WHERE a.label <> 0 AND a.label <> coalesce(b.label, 0)")
     return f"s AS (SELECT label, sum(w) AS s FROM ({' UNION ALL '.join(parts)}) GROUP BY label)"
 
@@ -109,6 +117,14 @@ def shape_moments(spark, sf_dir):
     return shape.moments(views.grid(spark, sf_dir), SCALE)
 
 
+@query("principal_moments", "grid", """-- , c AS (SELECT label, var_pop(z * 2.0) + 4.0 / 12 AS a, var_pop(y * 0.5) + 0.25 / 12 AS b, var_pop(x * 0.5) + 0.25 / 12 AS c, covar_pop(z * 2.0, y * 0.5) AS d, covar_pop(z * 2.0, x * 0.5) AS e, covar_pop(y * 0.5, x * 0.5) AS f FROM grid WHERE label <> 0 GROUP BY label),
+    t AS (SELECT *, (a + b + c) / 3 AS q FROM c), u AS (SELECT *, sqrt((pow(a - q, 2) + pow(b - q, 2) + pow(c - q, 2) + 2 * (d * d + e * e + f * f)) / 6) AS p FROM t),
+    v AS (SELECT *, CASE WHEN p > 0 THEN acos(greatest(-1, least(1, ((a - q) * ((b - q) * (c - q) - f * f) - d * (d * (c - q) - f * e) + e * (d * f - (b - q) * e)) / (2 * p * p * p)))) / 3 ELSE 0 END AS phi FROM u)
+    SELECT CAST(0 AS BIGINT) AS "ROI", label, round(q + 2 * p * cos(phi + 2 * pi() / 3), 4) AS "PrincipalMoments-a", round(q - 2 * p * cos(phi + 2 * pi() / 3) - 2 * p * cos(phi), 4) AS "PrincipalMoments-b", round(q + 2 * p * cos(phi), 4) AS "PrincipalMoments-c" FROM v""")
+def principal_moments(spark, sf_dir):
+    return fields(shape.moments(views.grid(spark, sf_dir), SCALE).select("ROI", "label", "PrincipalMoments"), "ROI", "label")
+
+
 @query("shape_feret", "grid", """-- , e AS (SELECT DISTINCT label, z, y, x FROM (SELECT label, z, y, min(x) AS x FROM grid WHERE label <> 0 GROUP BY ALL UNION ALL SELECT label, z, y, max(x) FROM grid WHERE label <> 0 GROUP BY ALL))
     SELECT CAST(0 AS BIGINT) AS "ROI", a.label, round(sqrt(max(pow((a.z - b.z) * 2.0, 2) + pow((a.y - b.y) * 0.5, 2) + pow((a.x - b.x) * 0.5, 2))), 4) AS "FeretDiameter" FROM e a JOIN e b USING (label) GROUP BY a.label""")
 def shape_feret(spark, sf_dir):
@@ -226,10 +242,15 @@ def dist_at_centroid(spark, sf_dir):
     return fields(distance.features(g, "host", "mask", ("Centroid",), ("DistanceAlongZ",), SCALE), "ROI", "label")
 
 
-@query("dist_to_border")
+@query("dist_to_border", "grid", """-- , k AS (SELECT *, label % 2 = 1 AS m FROM grid), d AS (SELECT a.z, a.y, a.x, a.label, CASE WHEN a.m THEN 1 ELSE -1 END * sqrt(min(pow((a.z - b.z) * 2.0, 2) + pow((a.y - b.y) * 0.5, 2) + pow((a.x - b.x) * 0.5, 2))) AS d FROM k a JOIN k b ON a.m <> b.m GROUP BY a.z, a.y, a.x, a.label, a.m),
+    c AS (SELECT label, CAST(floor(avg(z) + 0.5) AS BIGINT) AS z, CAST(floor(avg(y) + 0.5) AS BIGINT) AS y, CAST(floor(avg(x) + 0.5) AS BIGINT) AS x FROM grid WHERE label <> 0 GROUP BY label)
+    SELECT CAST(0 AS BIGINT) AS "ROI", o.label, round(o.h, 4) AS "host_MaximumDistanceToBorder", round(o.l, 4) AS "host_MinimumDistanceToBorder", round(o.n, 4) AS "host_MedianDistanceToBorder", round(d.d, 4) AS "host_CentroidDistanceToBorder"
+    FROM (SELECT label, max(d) AS h, min(d) AS l, median(d) AS n FROM d WHERE label <> 0 GROUP BY label) o JOIN c ON c.label = o.label LEFT JOIN d ON d.z = c.z AND d.y = c.y AND d.x = c.x""")
 def dist_to_border(spark, sf_dir):
     g = views.grid(spark, sf_dir).withColumn("mask", F.col("label") % 2 == 1)
-    return fields(distance.features(g, "host", "mask", ("Maximum", "Minimum", "Median", "Centroid"), ("DistanceToBorder",), SCALE), "ROI", "label")
+    stats = ("Maximum", "Minimum", "Median", "Centroid")
+    out = distance.features(g, "host", "mask", stats, ("DistanceToBorder",), SCALE)
+    return fields(out.select("ROI", "label", *(f"host_{s}DistanceToBorder" for s in stats)), "ROI", "label")
 
 
 # Neighbourhoods.
@@ -353,6 +374,13 @@ def delaunay_mask_share(spark, sf_dir):
     return N.mask_share(N.delaunay(hood.points), hood.points, hood.mask, 10, SCALE)
 
 
+@query("delaunay_threshold")
+def delaunay_threshold(spark, sf_dir):
+    """Edges of which at least half lies in objects, by the mask's own scale."""
+    g = views.grid(spark, sf_dir)
+    return A.Neighborhoods.from_voxels(g, SCALE, g.where(F.col("label") != 0)).delaunay(threshold=0.5).aggregate()
+
+
 @query("neighborhood_preset", "pts", f"""-- , {_PAIRS}, k AS (SELECT *, row_number() OVER (PARTITION BY ROI, focal ORDER BY w, neighbor) AS n FROM p) SELECT {_ROI}, {", ".join(f'count(w) FILTER (w <= {x}) AS "RAD:{x}_Count"' for x in (10, 20, 30, 40, 50, 80, 100, 150, 200, 250))}, round(max(w) FILTER (n <= 1), 4) AS "KNNd:1_Max", {", ".join(f'round(avg(w) FILTER (n <= {x}), 4) AS "KNNd:{x}_Mean", round(max(w) FILTER (n <= {x}), 4) AS "KNNd:{x}_Max"' for x in (2, 5, 10, 20, 50, 100, 200))}
     FROM pts LEFT JOIN k ON k.ROI = pts.ROI AND k.focal = pts.label GROUP BY pts.ROI, pts.label""")
 def neighborhood_preset(spark, sf_dir):
@@ -438,9 +466,70 @@ def iqr_bounds(spark, sf_dir):
     return fields(reshape.iqr(views.vox(spark, sf_dir), "ch1", keys=("ROI",)), "ROI")
 
 
-@query("sample_rows")
+@query("sample_rows", "vox", """SELECT CAST(ROI AS BIGINT) AS "ROI", CAST(label AS BIGINT) AS label, CAST(z AS INT) AS z, CAST(parent AS BIGINT) AS parent, CAST(round(ch1 * 100) AS BIGINT) AS cents FROM vox
+    ORDER BY md5(concat_ws('|', ROI, label, z, parent, CAST(round(ch1 * 100) AS BIGINT), '42')), ROI, label, z, parent, CAST(round(ch1 * 100) AS BIGINT) LIMIT 10000""")
 def sample_rows(spark, sf_dir):
-    return reshape.sampled(views.vox(spark, sf_dir), 10_000, ["ROI", "label", "z", "ch0", "ch1", "ch2", "parent"])
+    """The sampling operator: its limit is what it is for."""
+    v = views.vox(spark, sf_dir).select("ROI", "label", "z", "parent", F.round(F.col("ch1") * 100).cast("long").alias("cents"))
+    return reshape.sampled(v, 10_000, ["ROI", "label", "z", "parent", "cents"])
+
+
+@query("folded_features", "vox", """SELECT CAST(ROI AS BIGINT) AS "ROI", CAST(label AS BIGINT) AS label, max(ch0) FILTER (z <= 2) AS a, min(ch0) FILTER (z >= 4) AS b, count(*) FILTER (ch2 > 0.05) AS c FROM vox WHERE z <= 2 OR z >= 4 OR ch2 > 0.05 GROUP BY ROI, vox.label""")
+def folded_features(spark, sf_dir):
+    v = views.vox(spark, sf_dir)
+    by = lambda where, agg: v.where(where).groupBy("ROI", "label").agg(agg)
+    out = hierarchy.folded([by("z <= 2", F.max("ch0").alias("a")), by("z >= 4", F.min("ch0").alias("b")), by("ch2 > 0.05", F.count("*").alias("c"))], ["ROI", "label"])
+    return fields(out.fillna(0, ["c"]), "ROI", "label")
+
+
+@query("labelled_queries", "vox", """-- , f AS (SELECT ROI, label, count(*) AS n FROM vox WHERE ch2 > 0.05 GROUP BY ALL) SELECT CAST(v.ROI AS BIGINT) AS "ROI", CAST(v.label AS BIGINT) AS label, v.z, n FROM (SELECT DISTINCT ROI, label, CAST(z AS BIGINT) AS z FROM vox) v LEFT JOIN f ON f.ROI = v.ROI AND f.label = v.label""")
+def labelled_queries(spark, sf_dir):
+    v = views.vox(spark, sf_dir)
+    f = v.where("ch2 > 0.05").groupBy("ROI", "label").agg(F.count("*").alias("n"))
+    return reshape.labelled(f, v.select("ROI", "label", F.col("z").cast("long").alias("z")).distinct()).select(F.col("ROI").cast("long").alias("ROI"), F.col("label").cast("long").alias("label"), "z", "n")
+
+
+@query("strict_union", None, """SELECT s_nationkey AS nation, s_acctbal AS balance FROM supplier UNION ALL SELECT c_nationkey, c_acctbal FROM customer""")
+def strict_union(spark, sf_dir):
+    s, c = (views.table(spark, sf_dir, t).select(F.col(f"{t[0]}_acctbal").alias("balance"), F.col(f"{t[0]}_nationkey").alias("nation")) for t in ("supplier", "customer"))
+    return reshape.union_strict(s.select("nation", "balance"), c)
+
+
+@query("coloc_corrected", "vox", """SELECT CAST(ROI AS BIGINT) AS "ROI", CAST(label AS BIGINT) AS label, round(CASE WHEN count(*) >= 2 AND min(ch0 * (1 + z * 0.1)) <> max(ch0 * (1 + z * 0.1)) AND min(ch1) <> max(ch1) THEN corr(ch0 * (1 + z * 0.1), ch1) END, 4) + 0.0 AS "ch0|ch1_PearsonR" FROM vox GROUP BY ROI, vox.label""")
+def coloc_corrected(spark, sf_dir):
+    """Correlation after the channels were corrected for depth."""
+    v = coloc.corrected(views.vox(spark, sf_dir), {"ch0": 1 + F.col("z") * 0.1})
+    return fields(coloc.features(v, [("ch0", "ch1")], ("PearsonR",)), "ROI", "label")
+
+
+@query("power_laws", None, """SELECT p_partkey, round(2.0 * pow(p_size, 0.5) * pow(p_retailprice, -0.25), 4) AS law, round(2.0 * pow(p_size, 0.5) * pow(p_retailprice, -0.25) + 3.0, 4) AS with_offset FROM part""")
+def power_laws(spark, sf_dir):
+    x = [F.col("p_size").cast("double"), F.col("p_retailprice")]
+    p = [F.lit(v) for v in (2.0, 0.5, -0.25, 3.0)]
+    return views.table(spark, sf_dir, "part").select("p_partkey", r(E.power_law(p[:3], x)).alias("law"), r(E.power_law_offset(p, x)).alias("with_offset"))
+
+
+_OBJECTS = "l_partkey % 4 AS ROI, 'cell' AS object, l_partkey AS label, 'W' || l_partkey % 3 AS well, 'p' || l_partkey % 2 AS path_in_well FROM lineitem"
+
+
+@query("z_inputs", None, f"""WITH o AS (SELECT DISTINCT {_OBJECTS}), i AS (SELECT l_returnflag AS channel, max(l_quantity) AS "Mean", {_OBJECTS} GROUP BY ALL), c AS (SELECT l_linestatus AS channel_pair, CASE WHEN max(l_discount) > 0.09 THEN NULL ELSE max(l_discount) END AS "PearsonR", {_OBJECTS} WHERE l_linenumber > 3 GROUP BY ALL), d AS (SELECT 'host' AS object_to, max(l_tax) AS "MaximumDistanceToBorder", {_OBJECTS} WHERE l_linenumber = 2 GROUP BY ALL)
+    SELECT CAST(o.ROI AS BIGINT) AS "ROI", o.object, o.label, o.well, o.path_in_well, channel, "Mean", channel_pair, coalesce("PearsonR", 1.0) AS "PearsonR", object_to, "MaximumDistanceToBorder" FROM o LEFT JOIN i USING (ROI, object, label, well, path_in_well) LEFT JOIN c USING (ROI, object, label, well, path_in_well) LEFT JOIN d USING (ROI, object, label, well, path_in_well)""")
+def z_inputs(spark, sf_dir):
+    k = F.col("l_partkey")
+    t = views.table(spark, sf_dir, "lineitem").withColumns({"ROI": k % 4, "object": F.lit("cell"), "label": k, "well": F.concat(F.lit("W"), (k % 3).cast("string")), "path_in_well": F.concat(F.lit("p"), (k % 2).cast("string"))})
+    key = flows.OBJECT_KEY
+    i = t.groupBy(*key, F.col("l_returnflag").alias("channel")).agg(F.max("l_quantity").alias("Mean"))
+    c = t.where("l_linenumber > 3").groupBy(*key, F.col("l_linestatus").alias("channel_pair")).agg(F.when(F.max("l_discount") <= 0.09, F.max("l_discount")).alias("PearsonR"))
+    d = t.where("l_linenumber = 2").groupBy(*key, F.lit("host").alias("object_to")).agg(F.max("l_tax").alias("MaximumDistanceToBorder"))
+    return flows.z_inputs(t.select(*key).distinct(), i, c, d)
+
+
+@query("identified_objects", None, """SELECT c_custkey || '_' || c_nationkey AS "index", CAST(c_custkey AS BIGINT) AS label, CAST(c_nationkey AS SMALLINT) AS "ROI", substr(c_name, 1, 1) AS "row", CASE WHEN c_custkey % 5 > 0 THEN '0' || c_custkey % 5 END AS "column", c_custkey % 7 || '_' || c_mktsegment AS path_in_well, 'cell' AS object, CAST(2 AS INT) AS acquisition, substr(c_name, 1, 1) || CASE WHEN c_custkey % 5 > 0 THEN '0' || c_custkey % 5 END AS well, CAST(c_custkey % 7 AS INT) AS acquisition_path FROM customer""")
+def identified_objects(spark, sf_dir):
+    k, text = F.col("c_custkey"), lambda c: c.cast("string")
+    column = F.when(k % 5 > 0, F.concat(F.lit("0"), text(k % 5)))
+    t = views.table(spark, sf_dir, "customer").select(k.alias("index"), k.alias("label"), F.col("c_nationkey").alias("ROI"), F.substring("c_name", 1, 1).alias("row"), column.alias("column"), F.concat_ws("_", text(k % 7), F.col("c_mktsegment")).alias("path_in_well"))
+    return flows.identified(t, "cell", 2)
 
 
 # Times and cohorts.
@@ -499,6 +588,16 @@ def correction_factors(spark, sf_dir):
     return s.join(p, ["acquisition", "channel"]).select("ROI", "well", "acquisition", "channel", r(f).alias("correctionFactor-Linear"))
 
 
+@query("grid_corrected", "times", f"""{_SITES}, p AS (SELECT channel, regr_intercept(cn, t) AS b0, regr_slope(cn, t) AS b1 FROM s GROUP BY channel), g AS (SELECT CAST(p_size * 100 AS DOUBLE) AS t, CAST(p_partkey % 97 AS DOUBLE) AS v, p_partkey FROM part)
+    SELECT p_partkey, channel, round(v * b0 / (b0 + b1 * g.t), 4) AS corrected FROM g CROSS JOIN p""")
+def grid_corrected(spark, sf_dir):
+    """A grid of times with a value at each place, brought to the level at 0 by each channel's model."""
+    spec = models.Spec("Linear", ("timeDeltaMinutes",))
+    p = models.fit_groups(_sites(spark, sf_dir), [spec], "Mean_CycleMeanNorm", ("channel",))
+    grid = views.table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") * 100).cast("double").alias("timeDeltaMinutes"), (F.col("p_partkey") % 97).cast("double").alias("v"), F.explode(F.array(F.lit("c0"), F.lit("c1"))).alias("channel"))
+    return models.corrected(grid, p, spec, "v").select("p_partkey", "channel", r("corrected").alias("corrected"))
+
+
 @query("fit_exp")
 def fit_exp(spark, sf_dir):
     return models.fit_groups(_sites(spark, sf_dir), [models.Spec("Exp", ("timeDeltaMinutes",), "linear", True)], "Mean_CycleMeanNorm", ("acquisition", "channel"))
@@ -514,19 +613,33 @@ def fit_huber(spark, sf_dir):
     return models.fit_groups(_sites(spark, sf_dir), [models.Spec("Linear", ("timeDeltaMinutes",), "huber"), models.Spec("LogLinear", ("timeDeltaMinutes",), "huber")], "Mean_CycleMeanNorm", ("acquisition", "channel"))
 
 
-@query("time_decay_flow")
-def time_decay_flow(spark, sf_dir):
+def _decay_inputs(spark, sf_dir):
     t = views.times(spark, sf_dir).withColumn("key", F.xxhash64("acquisitionTime"))
     i = t.select("well", "ROI", F.lit("cell").alias("object"), F.col("key").alias("label"), "acquisition", F.lit("c1").alias("channel"), "Mean")
     sites = t.groupBy("well", "ROI", "acquisition").agg(F.min("acquisitionTime").alias("acquisitionTime"))
-    return flows.time_decay(i, sites)[1]
+    return i, sites
+
+
+@query("time_decay_flow")
+def time_decay_flow(spark, sf_dir):
+    return flows.time_decay(*_decay_inputs(spark, sf_dir))[1]
+
+
+@query("time_decay_linear", "times", """-- , st AS (SELECT well, ROI, acquisition, min(acquisitionTime) AS first FROM times GROUP BY ALL), dl AS (SELECT well, ROI, acquisition, CAST(floor((epoch_us(first) - min(epoch_us(first)) OVER (PARTITION BY acquisition)) / 1000000.0) / 60.0 AS FLOAT) AS minutes FROM st),
+    m AS (SELECT ROI, acquisition, well, avg(Mean) AS mean, avg(CAST(minutes AS DOUBLE)) AS t FROM times JOIN dl USING (well, ROI, acquisition) GROUP BY ALL), s AS (SELECT *, mean / avg(mean) OVER (PARTITION BY acquisition) AS cn FROM m),
+    p AS (SELECT acquisition, regr_intercept(cn, t) AS a, regr_slope(cn, t) AS b, regr_slope(ln(greatest(cn, 1e-6)), t) AS c FROM s GROUP BY acquisition)
+    SELECT ROI AS "ROI", well, acquisition, round(cn, 4) AS "Mean_CycleMeanNorm", round(a / (a + b * t), 4) AS "correctionFactor-Linear", round(exp(-c * t), 4) AS "correctionFactor-LogLinear" FROM s JOIN p USING (acquisition)""")
+def time_decay_linear(spark, sf_dir):
+    """The whole flow with the models that have a closed form."""
+    out = flows.time_decay(*_decay_inputs(spark, sf_dir), [s for s in flows.TIME_SPECS if s.model in ("Linear", "LogLinear")])[1]
+    return out.select("ROI", "well", "acquisition", *(r(c).alias(c) for c in ("Mean_CycleMeanNorm", "correctionFactor-Linear", "correctionFactor-LogLinear")))
 
 
 @query("z_decay_flow")
 def z_decay_flow(spark, sf_dir):
     g = views.grid(spark, sf_dir).withColumn("host", F.col("label") % 3 != 0)
     f = flows.measure(g.withColumnRenamed("v", "c1"), ["c1"], SCALE, ("Centroid",), ("Mean",), distance_to=("host", "host"))
-    return flows.z_decay(f, "host", [s for s in flows.z_specs() if s.model in ("Linear", "LogLinear")])
+    return flows.z_decay(f, "host")
 
 
 @query("measure_flow")
@@ -596,11 +709,13 @@ def wells_of_paths(spark, sf_dir):
     return c.select(F.element_at(F.split("path", "/"), -1).cast("int").alias("n_nationkey"), E.well_of_path(F.col("path")).alias("well"))
 
 
-@query("registration_quality", "grid", """-- , m AS (SELECT z, y, x, v * 2 + (x % 7) * 1000 AS w FROM grid WHERE x > 2) SELECT CAST(0 AS BIGINT) AS "ROI", label, round(corr(v, w), 4) AS "a|b_PearsonR" FROM grid JOIN m USING (z, y, x) WHERE label <> 0 GROUP BY label""")
+@query("registration_quality", "grid", """-- , m AS (SELECT z, y, x, v * 2 + (x % 7) * 1000 AS w FROM grid WHERE x > 2), k AS (SELECT row_number() OVER () AS i, label, v, w, rank() OVER (PARTITION BY label ORDER BY v) + (count(*) OVER (PARTITION BY label, v) - 1) / 2.0 AS a, rank() OVER (PARTITION BY label ORDER BY w) + (count(*) OVER (PARTITION BY label, w) - 1) / 2.0 AS b FROM grid JOIN m USING (z, y, x) WHERE label <> 0),
+    t AS (SELECT a.label, sum(sign(a.v - b.v) * sign(a.w - b.w)) AS s, sum(abs(sign(a.v - b.v))) AS x, sum(abs(sign(a.w - b.w))) AS y FROM k a JOIN k b ON a.label = b.label AND a.i < b.i GROUP BY a.label)
+    SELECT CAST(0 AS BIGINT) AS "ROI", k.label, round(corr(v, w), 4) AS "a|b_PearsonR", round(corr(a, b), 4) AS "a|b_SpearmanR", round(max(s / sqrt(CAST(x AS DOUBLE) * y)), 4) AS "a|b_KendallTau" FROM k JOIN t ON t.label = k.label GROUP BY k.label""")
 def registration_quality(spark, sf_dir):
     g = views.grid(spark, sf_dir)
     moving = g.where("x > 2").select("ROI", "z", "y", "x", (F.col("v") * 2 + (F.col("x") % 7) * 1000).alias("b"))
-    return fields(flows.registration_quality(g.withColumnRenamed("v", "a"), moving, [("a", "b")], ("PearsonR",)), "ROI", "label")
+    return fields(flows.registration_quality(g.withColumnRenamed("v", "a"), moving, [("a", "b")]), "ROI", "label")
 
 
 @query("sanitized_names", None, """SELECT p_partkey, regexp_replace(p_name, '[^A-Za-z0-9_.-]+', '_', 'g') AS name, regexp_matches(p_name, '^.*a.*$') AS has_a FROM part""")

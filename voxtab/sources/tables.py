@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +18,13 @@ def read_table(spark: SparkSession, path: str, **partition) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut, in the folder of ``spark.checkpoint.dir``; in one of our own only where that is unset."""
+    """``df`` with its lineage cut, in the folder of ``spark.checkpoint.dir``; in one of our own only where a local session names none."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
 
 
