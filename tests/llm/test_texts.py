@@ -474,3 +474,30 @@ def test_pipeline(spark, sf):
     assert len(set(texts)) == len(texts) and not any(brute_spans(t) for t in texts)
     bench = [" ".join(decontaminate.words_of(r["text"])) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     assert not any(b in " ".join(decontaminate.words_of(t)) for b in bench for t in texts)
+
+
+def test_pipeline_odd_rows(spark, sf, tmp_path):
+    """Every stage on no rows, and on nulls, rows without an id, repeated rows, long texts, extra columns and a null schema of labels."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").first()["text"]
+    some = [tuple(r) for r in docs.where("length(text) between 300 and 3000").orderBy("doc_id").limit(40).collect()]
+    good = some[3][1]
+    odd = [(None, None, None, None, None), (None, good, None, None, None), (None, f"{some[5][1]} {item}", "en", "s", 5), (900, "", "", "", 0), (900, None, "en", "src0", None), some[0], some[0], (901, f"{good} mail jo@a.bc", "en", "src0", 9), (902, "word " * 200_000, "en", "src0", 10**6)]
+    rows = spark.createDataFrame([(*r, 1, "x", 2.0) for r in [*some, *odd]], docs.schema.simpleString()[7:-1].replace(":", " ") + ", spans int, row string, node double")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, rows.limit(0), sf).count() == 0
+    seen = rows
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        seen = spark.createDataFrame(stage(spark, seen, sf).collect(), rows.schema)
+        assert seen.columns == rows.columns
+    left = seen.collect()
+    texts = [r["text"] for r in left]
+    assert not any(t and item in t for t in texts) and not any(t and "jo@a.bc" in t for t in texts)
+    assert len(texts) == len({t or "" for t in texts}) and sum(r["doc_id"] is None for r in left) <= 1
+    assert corpus_pipeline.STAGES[-1][1](spark, seen, sf).count() == len(left)
+    empty = tmp_path / "none"
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").limit(0).write.parquet(f"{empty}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0
