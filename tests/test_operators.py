@@ -61,6 +61,14 @@ def test_moments_equal_numpy(box):
     assert sorted(sides) == pytest.approx([3.0, 4.0, 6.0])
 
 
+def test_feret_equals_all_pairs(spark):
+    rng = np.random.default_rng(7)
+    rows = sorted({(0, int(z), int(y), int(x), int(k)) for k in range(1, 6) for z, y, x in rng.normal(0, 3 + k, (40 * k, 3)).round()} | {(0, 50, 3, 3, 6), *((0, 60, y, 2 * y, 7) for y in range(9))})
+    want = {k: max(math.dist(np.array(a[1:4]) * SCALE, np.array(b[1:4]) * SCALE) for a in rows for b in rows if a[4] == b[4] == k) for k in range(1, 8)}
+    got = {r["label"]: r["FeretDiameter"] for r in shape.feret(spark.createDataFrame(rows, "ROI int, z int, y int, x int, label int"), SCALE).collect()}
+    assert got == pytest.approx(want)
+
+
 def test_masked_keeps_rows(spark):
     df = spark.createDataFrame([(3, 0, 0, 0, 5, 9.0, 3), (3, 0, 0, 1, 6, 8.0, 4)], "ROI int, z int, y int, x int, label int, c double, mask_label int")
     assert [(r["label"], r["c"]) for r in shape.masked(df).orderBy("x").collect()] == [(5, 9.0), (0, 0.0)]

@@ -149,6 +149,8 @@ def perimeter(voxels: DataFrame, scale=(1.0, 1.0, 1.0), keys=KEYS) -> DataFrame:
 
 #: The thirteen directions from a voxel to its neighbours, one of each opposite pair, as steps along ``(z, y, x)``.
 DIRECTIONS = tuple(d for d in product((-1, 0, 1), repeat=3) if d > (0, 0, 0))
+#: Planes that one task reduces to the corners of their hulls.
+SLICES = 16
 #: Side of the bricks in which voxels meet their neighbours.
 BRICK = 32
 
@@ -199,15 +201,38 @@ def surface(voxels: DataFrame, scale=(1.0, 1.0, 1.0), keys=KEYS) -> DataFrame:
     return parts.groupBy(*keys).agg(F.sum("area").alias("Perimeter"))
 
 
+def _corners(p: np.ndarray) -> list[int]:
+    """Rows of ``p`` (two columns, sorted) that are corners of its convex hull, by one chain on either side."""
+    out: list[int] = []
+    for order in (range(len(p)), range(len(p) - 1, -1, -1)):
+        chain: list[int] = []
+        for k in order:
+            while len(chain) > 1:
+                (y0, x0), (y1, x1), (y2, x2) = p[chain[-2]], p[chain[-1]], p[k]
+                if (y1 - y0) * (x2 - x0) - (x1 - x0) * (y2 - y0) > 0:
+                    break
+                chain.pop()
+            chain.append(k)
+        out += chain
+    return sorted(set(out))
+
+
 def feret(voxels: DataFrame, scale=(1.0, 1.0, 1.0), keys=KEYS) -> DataFrame:
     """The largest distance between two voxels of an object.
 
-    Only the ends of each line along x can be the farthest, so a line is reduced to them before
-    an object's points meet in one task.
+    Only the ends of a line along x can be the farthest, and of these only corners of the hull of
+    their plane. Planes are reduced to them in tasks of ``SLICES`` planes, before an object's corners
+    meet in one task.
     """
     ends = objects(voxels).groupBy(*keys, "z", "y").agg(F.min("x").alias("a"), F.max("x").alias("b"))
-    ends = ends.select(*keys, "z", "y", F.explode(F.array_distinct(F.array("a", "b"))).alias("x"))
-    kinds = dict(voxels.dtypes)
+    ends = ends.select(*keys, *(F.col(c).cast("long").alias(c) for c in "zy"), F.explode(F.array_distinct(F.array(F.col("a").cast("long"), F.col("b").cast("long")))).alias("x"))
+    kinds = dict(ends.dtypes)
+
+    def planes(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(["z", "y", "x"], ignore_index=True)
+        p = f[["y", "x"]].to_numpy().tolist()
+        first = np.flatnonzero(np.r_[True, np.diff(f["z"].to_numpy()) > 0, True])
+        return f.iloc[[lo + k for lo, hi in zip(first[:-1], first[1:]) for k in _corners(p[lo:hi])]][list(kinds)]
 
     def one(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         p = f[["z", "y", "x"]].to_numpy(np.float64) * np.array(scale)
@@ -217,7 +242,8 @@ def feret(voxels: DataFrame, scale=(1.0, 1.0, 1.0), keys=KEYS) -> DataFrame:
             best = max(best, float(d.max()))
         return pd.DataFrame({**{k: [v] for k, v in zip(keys, key)}, "FeretDiameter": [best**0.5]})
 
-    return ends.groupBy(*keys).applyInPandas(one, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", FeretDiameter double")
+    corners = ends.groupBy(*keys, F.floor(F.col("z") / SLICES)).applyInPandas(planes, ", ".join(f"{c} {t}" for c, t in kinds.items()))
+    return corners.groupBy(*keys).applyInPandas(one, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", FeretDiameter double")
 
 
 def oriented_box(voxels: DataFrame, scale=(1.0, 1.0, 1.0), keys=KEYS) -> DataFrame:
