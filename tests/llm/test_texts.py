@@ -69,7 +69,10 @@ def test_repeats_odd_rows(spark):
 
 
 # Mixing.
-def test_mixture_equals_sql(spark, sf):
+@pytest.mark.parametrize(("bins", "fine"), [(256, 4096), (1, 3), (2, 1)])
+def test_mixture_equals_sql(spark, sf, monkeypatch, bins, fine):
+    monkeypatch.setattr(mixing, "BINS", bins)
+    monkeypatch.setattr(mixing, "FINE", fine)
     compare(spark, duck(sf), sf, queries.QUERIES["op3_mixing"], queries.ORACLES["op3_mixing"])
 
 

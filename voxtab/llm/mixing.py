@@ -21,13 +21,13 @@ from .common import stored, text_of, words_pattern
 WEIGHTS = (5, 2, 1)
 #: A document or a source is taken this many times at most.
 MOST_EPOCHS = 3
-#: Bins to each factor e of the key: a bin holds at most 0.37 / 256 of a source's rows.
-BINS = 256
+#: Bins to each factor e of the key, and fine bins to a bin: a fine bin holds some 0.37 / 256 / 4096 of a source's rows.
+BINS, FINE = 256, 4096
 
 
-def uniform(doc_id: Column, seed: str = "mix") -> Column:
-    """A number in (0, 1) from the first 52 bits of the id's MD5."""
-    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
+def uniform(doc_id: Column, text: Column, seed: str = "mix") -> Column:
+    """A number in (0, 1) from the first 52 bits of the id's MD5 (of the text's where there is no id)."""
+    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), text), F.lit(f":{seed}")).cast("binary"))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
@@ -59,13 +59,23 @@ def targets(sources: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS) -> Dat
 
 
 def sized(docs: DataFrame, seed: str = "mix") -> DataFrame:
-    """``doc_id, source, size, key, bin`` of each document; the text is not carried on."""
+    """``doc_id, source, size, key, bin, fine`` of each document; the text is not carried on."""
     text = text_of()
-    key = -F.log(uniform(F.col("doc_id"), seed)) / quality_weight(text)
+    key = -F.log(uniform(F.col("doc_id"), text, seed)) / quality_weight(text)
     return docs.select(
         F.col("doc_id").cast("long"), F.col("source").cast("string"),
         F.regexp_count(text, F.lit(words_pattern())).cast("long").alias("size"), key.alias("key"),
-    ).withColumn("bin", F.floor(F.log("key") * BINS).cast("long"))
+    ).withColumn("bin", F.floor(F.log("key") * BINS).cast("long")).withColumn("fine", F.floor((F.log("key") * BINS - F.col("bin")) * FINE).cast("long"))
+
+
+def _ends(rows: DataFrame, budgets: DataFrame, column: str) -> DataFrame:
+    """``of, edge, left``: for each source the value of ``column`` at which its ``budget`` ends, and what is left of it there."""
+    parts = rows.groupBy(F.col("source").alias("of"), column).agg(F.sum("size").alias("part"))
+    upto = W.partitionBy("of").orderBy(column).rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.withColumn("before", F.coalesce(F.sum("part").over(upto), F.lit(0)))
+    b = budgets.select(F.col("of").alias("_of"), "budget")
+    parts = parts.join(b, F.col("of").eqNullSafe(F.col("_of"))).where("before <= budget and budget < before + part")
+    return stored(parts.select("of", F.col(column).alias("edge"), (F.col("budget") - F.col("before")).alias("left")))
 
 
 def mixture(docs: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS, seed: str = "mix") -> DataFrame:
@@ -78,22 +88,24 @@ def mixture(docs: DataFrame, weights=WEIGHTS, most: int = MOST_EPOCHS, seed: str
     order. Rows that repeat a ``doc_id`` each count. Reruns give the same rows.
     """
     d = stored(sized(docs, seed))
-    bins = stored(d.groupBy("source", "bin").agg(F.sum("size").alias("bin_size")))
-    goal = targets(bins.groupBy("source").agg(F.sum("bin_size").alias("source_size")), weights, most)
+    goal = targets(d.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     goal = goal.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
-    goal = stored(goal.withColumn("budget", F.floor(F.col("target")).cast("long") - F.col("epochs") * F.col("source_size")))
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    upto = W.partitionBy("source").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
-    edge = bins.withColumn("before", F.coalesce(F.sum("bin_size").over(upto), F.lit(0)))
-    g = goal.select(F.col("source").alias("s"), "budget")
-    edge = edge.join(g, F.col("source").eqNullSafe(F.col("s"))).where("before <= budget and budget < before + bin_size").select("s", F.col("bin").alias("edge_bin"), (F.col("budget") - F.col("before")).alias("left"))
-    goal = stored(goal.join(edge, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "of"))
-    d = d.join(goal, d["source"].eqNullSafe(goal["of"]))
+    goal = stored(goal.select(F.col("source").alias("of"), "source_size", "target", "epochs", (F.floor(F.col("target")).cast("long") - F.col("epochs") * F.col("source_size")).alias("budget")))
+    # A source without an end has nothing left to take (its budget is 0) or is empty.
+    ends = _ends(d, goal, "bin")
+    within = ends.select(F.col("of").alias("_of"), F.col("edge").alias("edge_bin"), "left")
+    last = d.join(within, d["source"].eqNullSafe(F.col("_of")) & (d["bin"] == F.col("edge_bin")))
+    fine = _ends(last.select("source", "fine", "size"), ends.select("of", F.col("left").alias("budget")), "fine")
+    marks = fine.select(F.col("of").alias("_end"), F.col("edge").alias("edge_fine"), F.col("left").alias("rest"))
+    plan = goal.join(within.drop("left"), F.col("of").eqNullSafe(F.col("_of")), "left").join(marks, F.col("of").eqNullSafe(F.col("_end")), "left")
+    plan = stored(plan.select("of", "source_size", "target", "epochs", "edge_bin", "edge_fine", "rest"))
+    d = d.join(plan, d["source"].eqNullSafe(plan["of"]))
     whole = F.col("epochs") * F.col("size")
-    # Without an edge bin nothing is left to take (the budget is 0) or the source is empty.
-    sure = d.where("edge_bin is null or bin <> edge_bin").withColumn("taken", whole + F.when(F.col("bin") < F.col("edge_bin"), F.col("size")).otherwise(F.lit(0)))
+    here = (F.col("bin") == F.col("edge_bin")) & (F.col("fine") == F.col("edge_fine"))
+    before = (F.col("bin") < F.col("edge_bin")) | ((F.col("bin") == F.col("edge_bin")) & (F.col("fine") < F.col("edge_fine")))
+    sure = d.where(~F.coalesce(here, F.lit(False))).withColumn("taken", whole + F.when(before, F.col("size")).otherwise(F.lit(0)))
     run = W.partitionBy("of").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
-    last = d.where("bin = edge_bin").withColumn("spent", F.coalesce(F.sum("size").over(run), F.lit(0)))
-    last = last.withColumn("taken", whole + F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.col("spent"))))
+    end = d.where(here).withColumn("spent", F.coalesce(F.sum("size").over(run), F.lit(0)))
+    end = end.withColumn("taken", whole + F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("spent"))))
     out = ["doc_id", "size", "source_size", F.round("target", 6).alias("target"), F.col("taken").cast("long")]
-    return sure.select(*out).union(last.select(*out))
+    return sure.select(*out).union(end.select(*out))

@@ -64,7 +64,7 @@ MIXING_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, text,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':mix'), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)
+         -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), coalesce(text, '')) || ':mix'), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)
          / greatest(0.1, 1.0 - 4.0 * (length(coalesce(text, '')) - length(translate(coalesce(text, ''), '#$%&*|!@{}[]<>\^~', ''))) / greatest(length(coalesce(text, '')), 1)) AS key
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
