@@ -361,3 +361,17 @@ def test_delaunay_threshold_keeps_the_scale(spark):
     want = N.threshold(N.mask_share(N.delaunay(hood.points), hood.points, g, 50, (2.0, 0.5, 0.5)), 0.9)
     pairs = lambda e: {(r["focal"], r["neighbor"]) for r in e.collect()}
     assert pairs(got) == pairs(want) and 0 < len(pairs(got)) < N.delaunay(hood.points).count()
+
+
+def test_fits_by_sums_equal_arrays(spark):
+    rng = np.random.default_rng(9)
+    rows = [("a", float(t), 5 * math.exp(-0.1 * t) + rng.normal() * 0.1) for t in rng.random(50) * 10] + [("b", 2.0, 3.0), ("b", 2.0, 4.0), ("c", 1.0, 1.0), ("d", 1.0, float("inf")), ("d", 2.0, 1.0), ("e", None, 1.0)]
+    specs = [models.Spec(m, ("t",)) for m in ("Linear", "LogLinear", "ExpFitLinear", "ExpNoOffset")]
+    got = {(r["channel"], r["model"]): r for r in models.fit_groups(spark.createDataFrame(rows, "channel string, t double, y double"), specs, "y").collect()}
+    assert len(got) == 4 * 4
+    for k in "abcd":
+        x, y = (np.array([r[i] for r in rows if r[0] == k]) for i in (1, 2))
+        for s in specs:
+            p, ok = models.fit(s, x, y)
+            r = got[k, str(s)]
+            assert r["converged"] == ok and (r["params"] == pytest.approx(p.tolist(), rel=1e-6) and r["y_intercept"] == pytest.approx(models.y_intercept(s.model, p), rel=1e-6) if ok else r["params"] is None)

@@ -1,8 +1,8 @@
 """Decay models: fit by group, predict, correct.
 
 Models live in a parameter table ``model, channel, feature_names, loss, params, y_intercept,
-converged``. Fits with the linear loss in one feature come from regression aggregates; the others
-run in one task for each group, from at most ``SAMPLE`` rows of it if the caller asks for a sample.
+converged``. Fits with the linear loss in one feature come from sums; the others run in one task
+for each group, from a sample of it if the caller asks for one.
 """
 
 from __future__ import annotations
@@ -144,8 +144,32 @@ def y_intercept(model: str, p: np.ndarray) -> float:
     return float({"Linear": lambda: p[0], "LogLinear": lambda: np.exp(p[0]), "Exp": lambda: p[0] + p[-1]}.get(model, lambda: p[0])())
 
 
+def has_closed_form(spec: Spec) -> bool:
+    return spec.loss == "linear" and len(spec.features) == 1 and spec.model in ("Linear", "LogLinear", "ExpFitLinear")
+
+
+def _fit_by_sums(d: DataFrame, specs: Sequence[Spec], by: Sequence[str]) -> DataFrame:
+    """Fits that follow from a group's means, variance and covariance; with one ``x`` only, the smallest parameters that fit."""
+    sums, rows = [F.count("*").alias("_n")], []
+    for k, s in enumerate(specs):
+        x, y = F.col(q(s.features[0])), F.col("_y") if s.model == "Linear" else F.log(F.greatest("_y", F.lit(FLOOR)))
+        sums += [F.avg(x).alias(f"_x{k}"), F.avg(y).alias(f"_y{k}"), F.var_pop(x).alias(f"_v{k}"), F.covar_pop(x, y).alias(f"_c{k}")]
+        x, y, v, c = (F.col(f"_{n}{k}") for n in "xyvc")
+        slope = F.when(v > 0, c / v).otherwise(y * x / (1 + x * x))
+        first = F.when(v > 0, y - slope * x).otherwise(y / (1 + x * x))
+        first, at_0 = (F.exp(first), F.exp(first)) if s.model == "ExpFitLinear" else (first, F.exp(first) if s.model == "LogLinear" else first)
+        ok = (F.col("_n") >= 2) & (F.abs(first) < float("inf")) & (F.abs(slope) < float("inf"))
+        given = (F.lit(str(s)), F.array(*(F.lit(f) for f in s.features)), F.lit(s.loss), F.when(ok, F.array(first, slope)), F.when(ok, at_0), F.coalesce(ok, F.lit(False)))
+        rows.append(F.struct(*(c.alias(n.split()[0]) for c, n in zip(given, PARAMS.split(", ")))))
+    return d.groupBy(*by).agg(*sums).select(*by, F.explode(F.array(*rows)).alias("_r")).select(*by, "_r.*")
+
+
 def fit_groups(df: DataFrame, specs: Sequence[Spec], y: str, by: Sequence[str] = ("channel",), sample: int | None = None) -> DataFrame:
-    """Every spec on every group: ``by``, ``PARAMS``. Rows with a null in ``y`` or a feature are left out."""
+    """Every spec on every group: ``by``, ``PARAMS``. Rows with a null in ``y`` or a feature are left out.
+
+    What has a closed form comes from sums. The others are fitted in one task for each group, which
+    holds the group's numbers (``y`` and the features), or those of ``sample`` of its rows.
+    """
     columns = list(dict.fromkeys(f for s in specs for f in s.features))
     for c in (*columns, y, *by):
         if c not in df.columns:
@@ -154,15 +178,20 @@ def fit_groups(df: DataFrame, specs: Sequence[Spec], y: str, by: Sequence[str] =
     if sample:
         d = d.withColumn("_n", F.row_number().over(W.partitionBy(*by).orderBy(F.xxhash64(F.lit(42), "_y", *(q(c) for c in columns))))).where(F.col("_n") <= sample).drop("_n")
     kinds = dict(d.dtypes)
+    rest = [s for s in specs if not has_closed_form(s)]
+    closed = _fit_by_sums(d, [s for s in specs if has_closed_form(s)], by) if len(rest) < len(specs) else None
 
     def one(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for s in specs:
+        for s in rest:
             p, ok = fit(s, f[list(s.features)].to_numpy(), f["_y"].to_numpy())
             rows.append((*key, str(s), list(s.features), s.loss, p.tolist() if ok else None, y_intercept(s.model, p) if ok else None, ok))
         return pd.DataFrame(rows, columns=[*by, "model", "feature_names", "loss", "params", "y_intercept", "converged"])
 
-    return d.groupBy(*by).applyInPandas(one, ", ".join(f"{c} {kinds[c]}" for c in by) + ", " + PARAMS)
+    if not rest:
+        return closed
+    fitted = d.groupBy(*by).applyInPandas(one, ", ".join(f"{c} {kinds[c]}" for c in by) + ", " + PARAMS)
+    return fitted if closed is None else closed.unionByName(fitted)
 
 
 def fit_closed(df: DataFrame, model: str, x: str, y: str, by: Sequence[str] = ("channel",)) -> DataFrame:
