@@ -353,6 +353,23 @@ def test_leaks_in_copied_documents(spark):
         assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(df, bench).collect()} == {(i, 1) for i, _ in given if i != 5001}
 
 
+def test_edited_copies_are_found_however_many(spark):
+    """Of an item with one word in twelve replaced, in 5 to 1,000 documents, all are found; texts of the same words are not."""
+    rng = np.random.default_rng(10)
+    items = {k: [f"k{k}w{i}" for i in range(48)] for k in range(4)}
+    rows, want = [], set()
+    for k, copies in zip(items, (5, 11, 100, 1000)):
+        for c in range(copies):
+            words = [w if i % 12 != (k + c) % 12 else f"new{rng.integers(1e6)}" for i, w in enumerate(items[k])]
+            rows.append((10_000 * k + c, " ".join([*(f"x{rng.integers(1e6)}" for _ in range(20)), *words, "and so on"])))
+            want.add((10_000 * k + c, k))
+    rows += [(90_000 + i, " ".join(rng.permutation(items[i % 4]))) for i in range(40)]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(df, bench).collect()} == want
+    assert decontaminate.clean(df, bench).count() == 40
+
+
 # Classifiers.
 def test_toxicity(spark):
     rng = np.random.default_rng(5)
