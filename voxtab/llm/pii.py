@@ -198,6 +198,11 @@ def _found(docs: DataFrame) -> DataFrame:
     return d.select("row", "text", base.alias("base"), loose.alias("loose"))
 
 
+def _described(x: Column) -> Column:
+    """A candidate with its features, which are then one value that what follows refers to."""
+    return F.struct(*(x[c].alias(c) for c in ("kind", "start", "end", "text")), _features(F.col("text"), x["kind"], x["text"], x["start"], x["end"]).alias("f"))
+
+
 def _meets(x: Column, b: Column) -> Column:
     return (b["start"] < x["end"]) & (x["start"] < b["end"])
 
@@ -215,12 +220,12 @@ def examples(docs: DataFrame) -> DataFrame:
         other = F.exists("base", lambda b: (b["kind"] != x["kind"]) & _meets(x, b))
         named = F.when(other, 0).when(_context(text, x["start"]).rlike(NAMED), 1).otherwise(0)
         y = F.when(x["kind"] == SECRET, named).when(own, None).when(other | ~_holds(x["kind"], _plain(x["kind"], x["text"])), 0)
-        f = _features(text, x["kind"], x["text"], x["start"], x["end"])
+        f = x["f"]
         one = F.array(F.struct(f.alias("f"), y.alias("y")))
         prose = F.struct(f.withField("left", F.lit(0)).withField("right", F.lit(0)).alias("f"), F.lit(0).alias("y"))
         return F.when((x["kind"] == SECRET) & (named == 1) & (f["left"] == 3), F.concat(one, F.array(prose))).otherwise(one)
 
-    told = F.concat(F.flatten(F.transform("base", of_base)), F.filter(F.flatten(F.transform("loose", of_loose)), lambda e: e["y"].isNotNull()))
+    told = F.concat(F.flatten(F.transform("base", of_base)), F.filter(F.flatten(F.transform(F.transform("loose", _described), of_loose)), lambda e: e["y"].isNotNull()))
     held = F.pmod(F.xxhash64("text", F.lit("pii")), F.lit(4)) == 0
     return d.where((F.size("base") > 0) | (F.size("loose") > 0)).select(held.alias("held"), F.explode(told).alias("e"))
 
@@ -322,10 +327,9 @@ def with_spans(docs: DataFrame) -> DataFrame:
     """
     forests, limits = fit(counts(docs))
     d = _found(docs)
-    text = F.col("text")
 
     def added(x):
-        f = _features(text, x["kind"], x["text"], x["start"], x["end"])
+        f = x["f"]
         chosen = F.lit(False)
         for kind, (trees, least) in enumerate(zip(forests, limits)):
             if least < math.inf:
@@ -333,7 +337,7 @@ def with_spans(docs: DataFrame) -> DataFrame:
         return ~F.exists("base", lambda b: _meets(x, b)) & chosen
 
     bare = lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
-    every = F.concat(F.transform("base", bare), F.transform(F.filter("loose", added), bare))
+    every = F.concat(F.transform("base", bare), F.transform(F.filter(F.transform("loose", _described), added), bare))
     return d.select("row", "text", "base", F.array_sort(F.array_distinct(every)).alias("spans"))
 
 
