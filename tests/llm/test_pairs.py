@@ -247,13 +247,15 @@ def test_set_join_equals_all_pairs(spark, monkeypatch, crowd, block, rounds):
     assert simhash_sets.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_band_keys_meet(spark):
+@pytest.mark.parametrize(("own", "shared"), [(45, 360), (1, 8), (2, 16)])
+def test_band_keys_meet(own, shared):
     """Pairs at 0.8 exactly share a key and lie within the radius, however many texts there are."""
     rng = np.random.default_rng(8)
     met, near = 0, 0
     for _ in range(400):
-        x = rng.integers(0, 1 << 63, 450, np.uint64)
-        a, b = np.unique(x[:405]), np.unique(np.r_[x[:360], x[405:]])  # 360 of 450 shared
+        x = np.unique(rng.integers(0, 1 << 63, shared + 2 * own, np.uint64))
+        order = rng.permutation(len(x))
+        a, b = np.sort(x[order[: shared + own]]), np.sort(x[np.r_[order[:shared], order[shared + own :]]])
         met += bool((simhash_sets.band_keys(a) == simhash_sets.band_keys(b)).any())
         near += bin(int.from_bytes((simhash_sets.wide_fingerprint(a) ^ simhash_sets.wide_fingerprint(b)).tobytes(), "little")).count("1") <= simhash_sets.RADIUS
     assert met == near == 400

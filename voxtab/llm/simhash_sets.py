@@ -5,8 +5,9 @@ become one node before anything else. Nodes meet by banded minimum hashes of the
 similarity s shares one of ``BANDS`` keys with probability ``1 - (1 - s ** ROWS) ** BANDS``, which is
 0.99997 at 0.8 and depends neither on the size of the input nor on other texts. Nodes that meet are
 compared by the SimHash of their sets, 256 bits in vertical planes (:func:`simhash.close_pairs`); at
-similarity 0.8 two fingerprints differ by 39 bits in the mean with a deviation of 5.8, so ``RADIUS``
-loses five in a million. What is left is settled by whole sets.
+similarity 0.8 two fingerprints differ by 39 bits in the mean, 48 for the smallest sets, with a
+deviation of 6, so ``RADIUS`` loses less than one in a million; those of unlike sets differ by 128.
+What is left is settled by whole sets.
 
 All that meet need not be compared by whole sets, since links are wanted for their components only.
 First each node is compared with the one of its neighbours that has most neighbours itself, then one
@@ -25,14 +26,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import components, shuffle_partitions, stored
+from .common import components, forget, shuffle_partitions, stored
 
 #: The least similarity of a link, as a fraction.
 ALIKE = (4, 5)
 #: Keys of a node, and minimum hashes in a key.
 BANDS, ROWS = 20, 4
 #: 64-bit words of a fingerprint, and bits in which fingerprints of alike sets may differ.
-WORDS, RADIUS = 4, 64
+WORDS, RADIUS = 4, 80
 #: Most nodes of one key that a task compares by fingerprints at once, and most that it compares by sets.
 CROWD, BLOCK = 1024, 256
 #: Rounds with one pair a node before keys are compared in full.
@@ -96,12 +97,6 @@ def wide_fingerprint(own: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _fit(m: str, n: str) -> Column:
-    """Whether sets of these sizes can be alike."""
-    p, q = ALIKE
-    return F.least(m, n) * q >= F.greatest(m, n) * p
-
-
 def _groups(run, keys: list[str], rows: DataFrame, most: int, schema: str) -> DataFrame:
     """``run`` on Arrow tables of whole groups of ``keys``, of about ``most`` rows together."""
 
@@ -215,7 +210,7 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _in_full(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """``rep_a, rep_b``: a forest of the links between components within each key."""
+    """``rep_a, rep_b``: a forest of the links between components within each key, by the components' smallest ids."""
     p, q = ALIKE
 
     def run(table, keys):
@@ -224,19 +219,21 @@ def _in_full(rows: DataFrame, sets: DataFrame) -> DataFrame:
         # Blocks of one pair meet each other; a block meets itself in a group of its own.
         ok = (own[a] != own[b]) | (keys[1][a] == keys[2][a])
         a, b = a[ok], b[ok]
-        rep, n, grams = table.column("rep").to_numpy(), table.column("n").to_numpy(), table.column("grams")
-        label, edges = np.arange(table.num_rows), []
+        n, grams = table.column("n").to_numpy(), table.column("grams")
+        # Components that are joined already stay one, so the forest is of components, not of nodes.
+        known, part = np.unique(table.column("label").to_numpy(), return_inverse=True)
+        label = np.arange(len(known))
         order = np.argsort(group[a], kind="stable")
         a, b = a[order], b[order]
         for at in np.split(np.arange(len(a)), np.flatnonzero(np.diff(group[a])) + 1) if len(a) else ():
             asked, ends = np.unique(np.concatenate((a[at], b[at])), return_inverse=True)
             both = _shared([np.frombuffer(x, np.uint64) for x in grams.take(pa.array(asked)).to_pylist()])[ends[: len(at)], ends[len(at) :]]
             alike = q * both >= p * (n[a[at]] + n[b[at]] - both)
-            simhash.merge(label, a[at][alike], b[at][alike])
+            simhash.merge(label, part[a[at][alike]], part[b[at][alike]])
         while (label[label] != label).any():
             label = label[label]
         far = np.flatnonzero(label != np.arange(len(label)))
-        return pa.record_batch([pa.array(rep[far]), pa.array(rep[label[far]])], ["rep_a", "rep_b"])
+        return pa.record_batch([pa.array(known[far]), pa.array(known[label[far]])], ["rep_a", "rep_b"])
 
     blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("long")
     dealt = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -244,6 +241,19 @@ def _in_full(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return _groups(run, ["key", "lo", "hi"], dealt.select(*_ROW, "own", "lo", "hi", "grams"), 4 * BLOCK, "rep_a long, rep_b long")
 
 
+def _relabelled(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """``rep, label`` after new links: what is one component already is one node of the search for the larger ones."""
+    for c in ("rep_a", "rep_b") if labels is not None else ():
+        own = labels.select(F.col("rep").alias(c), F.col("label").alias("_label"))
+        edges = edges.join(own, c, "left").withColumn(c, F.coalesce("_label", c)).drop("_label")
+    found = components(edges, "rep_a", "rep_b")
+    fresh = found.select(F.col("node").alias("rep"), F.col("component").alias("label"))
+    if labels is None:
+        return stored(fresh)
+    known = labels.join(found, F.col("label") == F.col("node"), "left").select("rep", F.coalesce("component", "label").alias("label"))
+    return stored(known.union(fresh.join(labels.select("rep"), "rep", "left_anti")))
+
+
 def links(texts: DataFrame, classes: DataFrame, shingle: int, seed: int) -> DataFrame | None:
     """``rep_a, rep_b``: alike classes by their smallest ids, enough of them to join all that are, directly or through others."""
 
@@ -260,7 +270,7 @@ def links(texts: DataFrame, classes: DataFrame, shingle: int, seed: int) -> Data
     sets = texts.join(asked.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text").mapInArrow(made, "node binary, grams binary")
     # An id can have several texts, and those can be anything.
     sets = stored(sets.join(asked.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    labels, found, done = None, None, None
+    labels, done = None, None
     for step in range(ROUNDS + 1):
         rows = met.withColumn("label", F.col("rep")) if labels is None else met.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
         if labels is not None:
@@ -275,10 +285,12 @@ def links(texts: DataFrame, classes: DataFrame, shingle: int, seed: int) -> Data
             edges = stored(_alike(pairs, sets))
             done = pairs if done is None else done.union(pairs)
         else:
-            edges = stored(_in_full(stored(rows), sets))
+            rows = stored(rows)
+            edges = stored(_in_full(rows, sets))
+            forget(rows, sets, met, asked)
         if not edges.isEmpty():
-            found = edges if found is None else found.union(edges)
-            labels = stored(components(found, "rep_a", "rep_b").select(F.col("node").alias("rep"), F.col("component").alias("label")))
+            before, labels = labels, _relabelled(labels, edges)
+            forget(before)
     return labels
 
 

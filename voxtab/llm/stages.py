@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, mixing, pii, quality, simhash_sets
-from .common import stored
+from .common import forget, stored
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,5 +48,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage for the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        before, docs = docs, stored(stage(spark, docs, sf_dir))
+        forget(before)
     return STAGES[-1][1](spark, docs, sf_dir)
