@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, decontaminate, langid, mixing, pii, quality, simhash, suffixdedup, toxicity, warc
+from . import covertree, decontaminate, langid, mixing, periodic, pii, quality, simhash, suffixdedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,34 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.periodic_runs(periodic.planted(_table(spark, sf_dir, "documents"))))
+
+
+#: CRC-32 of the decimal digits of an id, as a table of one row (its 256 steps by rule) and an expression over ``doc_id``.
+_CRC_TABLE = "t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps)"
+_CRC_OF_ID = "xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, 1 + length(CAST(doc_id AS VARCHAR))), lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT))), lambda c, b: xor(steps[1 + xor(c % 256, b)], c // 256)))"
+
+PERIODIC_SQL = rf"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_CRC_OF_ID} AS h FROM documents, t),
+m AS (SELECT doc_id, w, h, len(w) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+p AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END]) END AS w FROM m),
+x AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS word FROM p),
+k AS (SELECT doc_id, n, i, word, lead(word, 1) OVER o AS w1, lead(word, 2) OVER o AS w2, lead(word, 3) OVER o AS w3, lead(word, 4) OVER o AS w4 FROM x WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+e AS (SELECT b.doc_id, b.i, b.i - a.i AS q FROM k a JOIN k b ON a.doc_id = b.doc_id AND a.word = b.word AND a.w1 = b.w1 AND a.w2 = b.w2 AND a.w3 = b.w3 AND a.w4 = b.w4 WHERE b.i > a.i AND 4 * (b.i - a.i) <= a.n),
+f AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e),
+s AS (SELECT doc_id, min(i) - q AS start, count(*) + 4 + q AS length, q AS period FROM f GROUP BY doc_id, q, island HAVING count(*) + 4 + q >= greatest(6, 4 * q)),
+r AS (SELECT * FROM s WHERE NOT EXISTS (FROM s o WHERE o.doc_id = s.doc_id AND o.start = s.start AND o.length = s.length AND o.period < s.period)),
+y AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+c AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) AS kept FROM x LEFT JOIN y ON y.doc_id = x.doc_id AND y.i = x.i WHERE y.i IS NULL GROUP BY x.doc_id),
+z AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM r GROUP BY doc_id),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length / CAST(period AS DOUBLE) DESC, start, period) AS place FROM r)
+SELECT p.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(b.start AS BIGINT) AS start, CAST(b.length AS BIGINT) AS length, CAST(b.period AS BIGINT) AS period,
+       CAST(1000 * b.length // b.period AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM p LEFT JOIN z ON z.doc_id = p.doc_id LEFT JOIN c ON c.doc_id = p.doc_id LEFT JOIN b ON b.doc_id = p.doc_id AND b.place = 1
+"""
+
 MIXING_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, text,
@@ -118,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_decontaminate": op9_decontaminate,
     "op10_toxicity": op10_toxicity,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
-ORACLES: dict[str, str] = {"op1_cover_tree": COVER_TREE_SQL, "op3_mixing": MIXING_SQL, "op5_warc": WARC_SQL}
+ORACLES: dict[str, str] = {"op1_cover_tree": COVER_TREE_SQL, "op3_mixing": MIXING_SQL, "op5_warc": WARC_SQL, "op13_periodic_runs": PERIODIC_SQL}
