@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, decontaminate, langid, mixing, periodic, pii, quality, simhash, suffixdedup, toxicity, warc
+from . import covertree, decontaminate, langid, mixing, negatives, periodic, pii, quality, sharding, simhash, suffixdedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(e.select("vec_id", shifted.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)
+
+
+def op12_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.placed(_table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digest(periodic.periodic_runs(periodic.planted(_table(spark, sf_dir, "documents"))))
 
@@ -68,6 +78,39 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CRC_TABLE = "t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps)"
 _CRC_OF_ID = "xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, 1 + length(CAST(doc_id AS VARCHAR))), lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT))), lambda c, b: xor(steps[1 + xor(c % 256, b)], c // 256)))"
 
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS place FROM s WHERE same),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM o WHERE place <= 5),
+n AS (SELECT anchor_id, positive_id, s.other AS negative_id, positive_score, s.score AS negative_score, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.other) AS place
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE place <= 10
+"""
+
+_DRAW = "-ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':{s}:shard'), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)"
+_FIRST = lambda count: f"list_position([{', '.join(_DRAW.format(s=s) for s in range(count))}], least({', '.join(_DRAW.format(s=s) for s in range(count))})) - 1"
+
+#: Checksums of blocks of 256 bytes, counted from a text's end, are moved on by the bytes behind them (``k`` blocks, by bits ``j``) and added.
+SHARDING_SQL = rf"""
+WITH RECURSIVE b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS bytes FROM documents),
+n AS (SELECT doc_id, CAST(1 + length(bytes) // 2 AS BIGINT) AS size, bytes FROM b),
+p AS (SELECT doc_id, size, k, substr(bytes, greatest(0, length(bytes) - 512 * (k + 1)) + 1, least(512, length(bytes) - 512 * k)) AS part, 512 * (k + 1) >= length(bytes) AS first
+      FROM (SELECT *, unnest(range((length(bytes) + 511) // 512)) AS k FROM n)),
+c AS (SELECT doc_id, k, list_reduce(list_prepend(CAST(CASE WHEN first THEN 4294967295 ELSE 0 END AS BIGINT), list_transform(range(4 * length(part)), lambda i: CAST(((strpos('0123456789ABCDEF', part[1 + xor(i // 4, 1)]) - 1) >> (i % 4)) & 1 AS BIGINT))),
+                                    lambda c, b: xor(c // 2, 3988292384 * (xor(c, b) % 2))) AS crc FROM p),
+a AS (SELECT CAST(0 AS BIGINT) AS k, j, CAST(1 AS BIGINT) << j AS v FROM (SELECT unnest(range(32)) AS j)
+      UNION ALL SELECT k + 1, j, list_reduce(list_prepend(v, range(2048)), lambda c, b: xor(c // 2, 3988292384 * (c % 2))) FROM a WHERE k < (SELECT max(k) FROM p)),
+t AS (SELECT doc_id, bit_xor(v) AS crc FROM c JOIN a ON a.k = c.k AND (c.crc >> a.j) & 1 = 1 GROUP BY doc_id),
+s AS (SELECT n.doc_id, size, CASE WHEN size = 1 THEN 0 ELSE xor(4294967295, coalesce(crc, 0)) END AS text_crc32 FROM n LEFT JOIN t ON t.doc_id = n.doc_id),
+r AS (SELECT *, {_FIRST(8)} AS shard, {_FIRST(9)} AS grown_shard FROM s)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INT) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), ''), size, text_crc32)), doc_id, size, text_crc32) - 1 AS slot, CAST(grown_shard AS INT) AS grown_shard
+FROM r
+"""
+
 PERIODIC_SQL = rf"""
 WITH {_CRC_TABLE},
 d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_CRC_OF_ID} AS h FROM documents, t),
@@ -146,7 +189,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_decontaminate": op9_decontaminate,
     "op10_toxicity": op10_toxicity,
+    "op11_angular_negatives": op11_angular_negatives,
+    "op12_rendezvous": op12_rendezvous,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
-ORACLES: dict[str, str] = {"op1_cover_tree": COVER_TREE_SQL, "op3_mixing": MIXING_SQL, "op5_warc": WARC_SQL, "op13_periodic_runs": PERIODIC_SQL}
+ORACLES: dict[str, str] = {"op1_cover_tree": COVER_TREE_SQL, "op3_mixing": MIXING_SQL, "op5_warc": WARC_SQL, "op11_angular_negatives": NEGATIVES_SQL, "op12_rendezvous": SHARDING_SQL, "op13_periodic_runs": PERIODIC_SQL}
