@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from voxtab.functions import expressions as E
 from voxtab.functions import names, selectors
 from voxtab.operators import aggregate as A
-from voxtab.operators import coloc, distance, models, reshape, shape
+from voxtab.operators import coloc, distance, fitting, models, reshape, shape
 from voxtab.operators import neighbors as N
 from voxtab.plans import flows, validate
 from voxtab.sources import metadata, tables
@@ -375,3 +375,89 @@ def test_fits_by_sums_equal_arrays(spark):
             p, ok = models.fit(s, x, y)
             r = got[k, str(s)]
             assert r["converged"] == ok and (r["params"] == pytest.approx(p.tolist(), rel=1e-6) and r["y_intercept"] == pytest.approx(models.y_intercept(s.model, p), rel=1e-6) if ok else r["params"] is None)
+
+
+def test_sums_of_rows_equal_sums_of_arrays(spark):
+    """At trial points of every phase, for both losses, one and two features."""
+    rng = np.random.default_rng(12)
+    x = rng.random((40, 2)) * 3
+    y = 4 * np.exp(-0.5 * x[:, 0]) + rng.normal(size=40) * 2
+    rows = spark.createDataFrame([(u.tolist(), float(v)) for u, v in zip(x, y)], "_x array<double>, _y double")
+    states = []
+    for model, phases in (("Linear", ("line",)), ("LogLinear", ("line",)), ("ExpNoOffset", ("line", "bare")), ("Exp", ("line", "bare", "offset"))):
+        for phase, loss, at in itertools.product(phases, ("linear", "huber"), ([0], [1], [0, 1])):
+            p = [2.0, -0.3, 0.1 if len(at) == 2 else 0.0, 0.7 if phase == "offset" else 0.0]
+            states += [fitting.begun(model, loss, False, at, 40, True) | {"phase": phase, "trial": t} for t in ([None, p] if phase == "line" else [p])]
+    df = spark.createDataFrame([(k, s["model"], s["loss"], s["at"], s["phase"], s["trial"]) for k, s in enumerate(states)], "fit int, model string, loss string, at array<int>, phase string, trial array<double>")
+    got = {r["fit"]: r for r in rows.crossJoin(df).groupBy("fit").agg(*fitting._row_sums(4)).collect()}
+    for k, s in enumerate(states):
+        mine = np.zeros((40, 2))
+        mine[:, : len(s["at"])] = x[:, s["at"]]
+        h, g, cost = fitting._sums(s, mine, y)
+        assert [got[k][f"_h{a}{b}"] for a in range(4) for b in range(a, 4)] == pytest.approx([h[a, b] for a in range(4) for b in range(a, 4)], abs=1e-9), s
+        assert [got[k][f"_g{a}"] for a in range(4)] == pytest.approx(g.tolist(), abs=1e-9), s
+        assert s["phase"] == "line" or got[k]["_cost"] == pytest.approx(cost)
+
+
+def test_fits_by_steps_equal_fits_in_tasks(spark, monkeypatch):
+    """Large groups, whose rows are summed for each step, beside small ones and ones that are not fitted."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for c, noise in (("a", 0.05), ("b", 0.1)):
+        for u, v in rng.random((150, 2)) * 4:
+            rows.append((c, float(u), float(v), float(6 * math.exp(-0.4 * u - 0.1 * v) + 0.3 + noise * rng.normal())))
+    rows += [("few", 1.0, 2.0, 3.0), *(("odd", float(k), float(k % 3), float("inf") if k == 3 else 1.0) for k in range(120)), ("gap", None, 1.0, 1.0)]
+    d = spark.createDataFrame(rows, "channel string, u double, v double, y double")
+    specs = [models.Spec("Linear", ("u", "v"), "huber"), models.Spec("LogLinear", ("u",)), models.Spec("ExpNoOffset", ("u", "v"), "huber"), models.Spec("Exp", ("u",), "linear", True)]
+    whole = {(r["channel"], r["model"]): r for r in models.fit_groups(d, specs, "y").collect()}
+    monkeypatch.setattr(models, "IN_TASK", 100)
+    parts = {(r["channel"], r["model"]): r for r in models.fit_groups(d, specs, "y").collect()}
+    assert set(parts) == set(whole) and len(whole) == 4 * len(specs)
+    for k, a in whole.items():
+        b = parts[k]
+        assert (a["feature_names"], a["loss"], a["converged"]) == (b["feature_names"], b["loss"], b["converged"]), (a, b)
+        assert a["converged"] == (k[0] in "ab" or (k[0] == "few" and a["params"] is not None)), a
+        if a["converged"]:
+            assert b["params"] == pytest.approx(a["params"], rel=1e-5, abs=1e-7) and b["y_intercept"] == pytest.approx(a["y_intercept"], rel=1e-5, abs=1e-7), (a, b)
+
+
+def _points(spark, groups):
+    return spark.createDataFrame([(roi, i, *map(float, v)) for roi, at in enumerate(groups) for i, v in enumerate(at)], "ROI int, label long, z double, y double, x double")
+
+
+def test_delaunay_in_tiles_equals_the_whole(spark, monkeypatch):
+    """Even, clustered, hollow and regular regions; one in a plane and one too small."""
+    rng = np.random.default_rng(21)
+    ball = rng.normal(size=(150, 3))
+    ball /= np.linalg.norm(ball, axis=1)[:, None]
+    lattice = np.array(list(itertools.product(range(5), repeat=3)), float)
+    clusters = np.concatenate([rng.normal(size=(70, 3)) + m for m in ([0, 0, 0], [30, 2, 1])])
+    plane = np.column_stack([np.zeros(90), rng.random((90, 2))])
+    p = _points(spark, [rng.random((250, 3)) * 10, clusters, ball * (1 + 0.01 * rng.random((150, 1))), lattice, plane, rng.random((4, 3))])
+    edges = lambda: {(r["ROI"], r["focal"], r["neighbor"]) for r in N.delaunay(p).collect()}
+    whole = edges()
+    monkeypatch.setattr(N, "TILE", 40)
+    parts = edges()
+    assert parts == whole and {e[0] for e in whole} == {0, 1, 2, 3}
+    assert all((roi, b, a) in parts for roi, a, b in parts)
+
+
+def test_each_point_has_a_reach_of_its_own(spark):
+    """A lonely point, a dense clump, equal points, a region with fewer points than neighbours."""
+    rng = np.random.default_rng(22)
+    one = np.concatenate([rng.normal(size=(300, 3)) * 0.01, [[1e5, 0, 0]], np.zeros((9, 3)), rng.random((50, 3)) * 100])
+    p = _points(spark, [one, rng.random((3, 3)), [[1.0, 1.0, 1.0]], np.ones((6, 3))])
+    for k in (1, 5, 40):
+        a, b = ({(r["ROI"], r["focal"], r["neighbor"]): r["weight"] for r in N.knn(p, k, bucket=bucket).collect()} for bucket in (True, False))
+        assert a == pytest.approx(b)
+
+
+def test_walks_by_doubling(spark):
+    rows = [(0, a, b, 1.0) for a in range(12) for b in range(12) if (b - a) % 12 in (1, 4) or (a, b) == (0, 7)]
+    e = spark.createDataFrame(rows, "ROI int, focal long, neighbor long, weight double")
+    m = np.zeros((12, 12), int)
+    for _, a, b, _ in rows:
+        m[a, b] = 1
+    for n in range(1, 8):
+        want = {(a, b) for a, b in zip(*np.nonzero(np.linalg.matrix_power(m, n))) if a != b}
+        assert {(r["focal"], r["neighbor"]) for r in N.steps(e, n).collect()} == want

@@ -1,8 +1,8 @@
 """Decay models: fit by group, predict, correct.
 
 Models live in a parameter table ``model, channel, feature_names, loss, params, y_intercept,
-converged``. Fits with the linear loss in one feature come from sums; the others run in one task
-for each group, from a sample of it if the caller asks for one.
+converged``. Fits with the linear loss in one feature come from sums; the others take steps, in one
+task for a small group and by one aggregation each for a large one.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,10 +20,13 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as E
 from ..functions.names import q
+from ..sources.tables import checkpointed
+from . import fitting
 
 MODELS = ("Linear", "LogLinear", "ExpFitLinear", "ExpNoOffset", "Exp")
 PARAMS = "model string, feature_names array<string>, loss string, params array<double>, y_intercept double, converged boolean"
-FLOOR = 1e-6
+#: Groups of more rows than this are fitted by aggregations, smaller ones in one task each.
+IN_TASK = 200_000
 
 
 @dataclass(frozen=True)
@@ -52,91 +56,9 @@ def parse(name: str) -> Spec:
     return Spec(m[1], tuple(m[2].split(";")), m[3], bool(m[4]))
 
 
-def _design(x: np.ndarray) -> np.ndarray:
-    return np.column_stack([np.ones(len(x)), x])
-
-
-def _weights(r: np.ndarray, loss: str) -> np.ndarray:
-    """Weights under which least squares has the robust loss's gradient; the loss turns linear beyond a residual of 1."""
-    return np.ones(len(r)) if loss == "linear" else 1 / np.maximum(1.0, np.abs(r))
-
-
-def fit_linear(x: np.ndarray, y: np.ndarray, loss: str = "linear") -> np.ndarray:
-    a = _design(x)
-    p = np.linalg.lstsq(a, y, rcond=None)[0]
-    for _ in range(200 if loss != "linear" else 0):
-        w = np.sqrt(_weights(y - a @ p, loss))
-        new = np.linalg.lstsq(a * w[:, None], y * w, rcond=None)[0]
-        if np.allclose(new, p, rtol=1e-12, atol=1e-14):
-            return new
-        p = new
-    return p
-
-
-def _cost(r: np.ndarray, loss: str) -> float:
-    z = r * r
-    return float(0.5 * (z if loss == "linear" else np.where(z <= 1, z, 2 * np.sqrt(z) - 1)).sum())
-
-
-def fit_exponential(x: np.ndarray, y: np.ndarray, p0: np.ndarray, offset: bool, loss: str = "linear", pos_offset: bool = False) -> tuple[np.ndarray, bool]:
-    """Levenberg-Marquardt on ``A exp(b x) (+ C)``; ``C`` is kept at 0 or above where asked. Returns parameters and whether it settled."""
-
-    def model(p):
-        e = np.exp(np.clip(x @ p[1 : 1 + x.shape[1]], -700, 700))
-        return p[0] * e + (p[-1] if offset else 0.0), e
-
-    p, damp = p0.astype(float), 1e-3
-    f, e = model(p)
-    cost = _cost(y - f, loss)
-    for _ in range(500):
-        r = y - f
-        j = np.column_stack([e, p[0] * e[:, None] * x, *([np.ones(len(x))] if offset else [])])
-        w = _weights(r, loss)[:, None]
-        h, g = j.T @ (w * j), j.T @ (w[:, 0] * r)
-        free = np.ones(len(p), bool)
-        if offset and pos_offset and p[-1] <= 0 and g[-1] < 0:
-            free[-1] = False
-        moved = False
-        for _ in range(40):
-            step = np.zeros(len(p))
-            hf = h[np.ix_(free, free)]
-            step[free] = np.linalg.lstsq(hf + damp * np.diag(np.maximum(np.diag(hf), 1e-12)), g[free], rcond=None)[0]
-            new = p + step
-            if offset and pos_offset:
-                new[-1] = max(0.0, new[-1])
-            fn, en = model(new)
-            cn = _cost(y - fn, loss)
-            if np.isfinite(cn) and cn <= cost:
-                moved = True
-                break
-            damp *= 4
-        if not moved:
-            return p, bool(np.abs(g[free]).max() <= 1e-6 * max(1.0, np.abs(h).max()))
-        done = cost - cn <= 1e-14 * max(cost, 1e-300) and np.abs(new - p).max() <= 1e-9 * (1e-9 + np.abs(p).max())
-        p, f, e, cost, damp = new, fn, en, cn, max(damp / 5, 1e-12)
-        if done or cost < 1e-28:
-            return p, True
-    return p, False
-
-
 def fit(spec: Spec, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, bool]:
     """Parameters of a spec on plain arrays. Each exponential starts from the simpler one."""
-    x = x.reshape(len(y), -1).astype(float)
-    if len(y) < x.shape[1] + 1 + (spec.model == "Exp") or not (np.isfinite(x).all() and np.isfinite(y).all()):
-        return np.full(x.shape[1] + 1 + (spec.model == "Exp"), np.nan), False
-    if spec.model == "Linear":
-        return fit_linear(x, y, spec.loss), True
-    p = fit_linear(x, np.log(np.maximum(y, FLOOR)), spec.loss)
-    if spec.model == "LogLinear":
-        return p, True
-    p = np.r_[np.exp(p[0]), p[1:]]
-    if spec.model == "ExpFitLinear":
-        return p, True
-    p, ok = fit_exponential(x, y, p, False, spec.loss)
-    if spec.model == "ExpNoOffset":
-        return p, ok
-    start = np.r_[p, 0.0]
-    return fit_exponential(x, y, start, True, spec.loss, spec.pos_offset)
+    return fitting.in_task(spec.model, spec.loss, spec.pos_offset, x, y)
 
 
 def y_intercept(model: str, p: np.ndarray) -> float:
@@ -152,7 +74,7 @@ def _fit_by_sums(d: DataFrame, specs: Sequence[Spec], by: Sequence[str]) -> Data
     """Fits that follow from a group's means, variance and covariance; with one ``x`` only, the smallest parameters that fit."""
     sums, rows = [F.count("*").alias("_n")], []
     for k, s in enumerate(specs):
-        x, y = F.col(q(s.features[0])), F.col("_y") if s.model == "Linear" else F.log(F.greatest("_y", F.lit(FLOOR)))
+        x, y = F.col(q(s.features[0])), F.col("_y") if s.model == "Linear" else F.log(F.greatest("_y", F.lit(fitting.FLOOR)))
         sums += [F.avg(x).alias(f"_x{k}"), F.avg(y).alias(f"_y{k}"), F.var_pop(x).alias(f"_v{k}"), F.covar_pop(x, y).alias(f"_c{k}")]
         x, y, v, c = (F.col(f"_{n}{k}") for n in "xyvc")
         slope = F.when(v > 0, c / v).otherwise(y * x / (1 + x * x))
@@ -167,8 +89,9 @@ def _fit_by_sums(d: DataFrame, specs: Sequence[Spec], by: Sequence[str]) -> Data
 def fit_groups(df: DataFrame, specs: Sequence[Spec], y: str, by: Sequence[str] = ("channel",), sample: int | None = None) -> DataFrame:
     """Every spec on every group: ``by``, ``PARAMS``. Rows with a null in ``y`` or a feature are left out.
 
-    What has a closed form comes from sums. The others are fitted in one task for each group, which
-    holds the group's numbers (``y`` and the features), or those of ``sample`` of its rows.
+    What has a closed form comes from sums. For the others, groups of up to ``IN_TASK`` rows are fitted
+    in one task each, from their numbers (``y`` and the features); larger ones by one aggregation for each
+    step (:mod:`.fitting`), which gives the same. ``sample`` fits so many rows of each group.
     """
     columns = list(dict.fromkeys(f for s in specs for f in s.features))
     for c in (*columns, y, *by):
@@ -179,7 +102,12 @@ def fit_groups(df: DataFrame, specs: Sequence[Spec], y: str, by: Sequence[str] =
         d = d.withColumn("_n", F.row_number().over(W.partitionBy(*by).orderBy(F.xxhash64(F.lit(42), "_y", *(q(c) for c in columns))))).where(F.col("_n") <= sample).drop("_n")
     kinds = dict(d.dtypes)
     rest = [s for s in specs if not has_closed_form(s)]
-    closed = _fit_by_sums(d, [s for s in specs if has_closed_form(s)], by) if len(rest) < len(specs) else None
+    if not rest:
+        return _fit_by_sums(d, specs, by)
+    # The rows are read for sums, for sizes and for fits, so they are made once.
+    d = checkpointed(d)
+    parts = [_fit_by_sums(d, closed, by)] if (closed := [s for s in specs if has_closed_form(s)]) else []
+    large = checkpointed(d.groupBy(*by).count().where(F.col("count") > IN_TASK).select(*by))
 
     def one(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         rows = []
@@ -188,15 +116,30 @@ def fit_groups(df: DataFrame, specs: Sequence[Spec], y: str, by: Sequence[str] =
             rows.append((*key, str(s), list(s.features), s.loss, p.tolist() if ok else None, y_intercept(s.model, p) if ok else None, ok))
         return pd.DataFrame(rows, columns=[*by, "model", "feature_names", "loss", "params", "y_intercept", "converged"])
 
-    if not rest:
-        return closed
-    fitted = d.groupBy(*by).applyInPandas(one, ", ".join(f"{c} {kinds[c]}" for c in by) + ", " + PARAMS)
-    return fitted if closed is None else closed.unionByName(fitted)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in by) + ", " + PARAMS
+    if large.isEmpty():
+        parts.append(d.groupBy(*by).applyInPandas(one, schema))
+    else:
+        parts.append(d.join(large, list(by), "left_anti").groupBy(*by).applyInPandas(one, schema))
+        rows = d.join(large, list(by), "left_semi").select(*by, "_y", F.array(*(F.col(q(c)) for c in columns)).alias("_x"))
+        fits = [(s.model, s.loss, s.pos_offset, [columns.index(f) for f in s.features]) for s in rest]
+        found = fitting.by_steps(rows, fits, by, len(columns))
+        whole = F.array(*(_described(s, len(columns)) for s in rest))
+        parts.append(found.select(*by, F.get(whole, F.col("fit")).alias("_r")).select(*by, "_r.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _described(s: Spec, features: int) -> Column:
+    """``PARAMS`` of a settled state ``p, ok``."""
+    at = [*range(len(s.features) + 1), *([features + 1] if s.model == "Exp" else [])]
+    p = [F.get("p", k) for k in at]
+    given = (F.lit(str(s)), F.array(*(F.lit(f) for f in s.features)), F.lit(s.loss), F.when(F.col("ok"), F.array(*p)), F.when(F.col("ok"), intercept(s.model, p)), F.col("ok"))
+    return F.struct(*(c.alias(n.split()[0]) for c, n in zip(given, PARAMS.split(", "))))
 
 
 def fit_closed(df: DataFrame, model: str, x: str, y: str, by: Sequence[str] = ("channel",)) -> DataFrame:
     """Linear, LogLinear and ExpFitLinear in one feature with the linear loss, by regression aggregates: ``by``, ``b0, b1``."""
-    value = F.col(q(y)) if model == "Linear" else F.log(F.greatest(F.col(q(y)), F.lit(FLOOR)))
+    value = F.col(q(y)) if model == "Linear" else F.log(F.greatest(F.col(q(y)), F.lit(fitting.FLOOR)))
     d = df.select(*by, F.col(q(x)).cast("double").alias("_x"), value.cast("double").alias("_y"))
     out = d.groupBy(*by).agg(F.regr_intercept("_y", "_x").alias("b0"), F.regr_slope("_y", "_x").alias("b1"))
     return out.withColumn("b0", F.exp("b0")) if model == "ExpFitLinear" else out
@@ -223,13 +166,23 @@ def correction_factor(model: str, params: Sequence[Column], x: Sequence[Column])
     return E.safe_divide(intercept(model, params), predicted(model, params, x))
 
 
+def with_factors(df: DataFrame, params: DataFrame, factors: dict[str, Spec], by: Sequence[str] = ("channel",)) -> DataFrame:
+    """``df`` with a column for each spec: the factor of each row, NaN where the model of its group did not settle.
+
+    The parameters of all models come as one row for each group and are joined once.
+    """
+    mine = params.where(F.col("model").isin(*(str(s) for s in factors.values()))).groupBy(*by).agg(*(F.first(F.when(F.col("model") == str(s), F.col("params")), ignorenulls=True).alias(f"_p{k}") for k, s in enumerate(factors.values())))
+    out = df.join(mine, list(by), "left")
+    made = {}
+    for k, (name, s) in enumerate(factors.items()):
+        p = [F.get(f"_p{k}", i) for i in range(len(s.features) + 1 + (s.model == "Exp"))]
+        made[name] = F.coalesce(correction_factor(s.model, p, [F.col(q(f)).cast("double") for f in s.features]), F.lit(float("nan")))
+    return out.withColumns(made).drop(*(f"_p{k}" for k in range(len(factors))))
+
+
 def with_factor(df: DataFrame, params: DataFrame, spec: Spec, name: str, by: Sequence[str] = ("channel",)) -> DataFrame:
-    """``df`` with ``name``: the factor of each row, NaN where the model of its group did not settle."""
-    mine = params.where(F.col("model") == str(spec)).select(*by, F.col("params").alias("_p"))
-    n = len(spec.features) + 1 + (spec.model == "Exp")
-    p = [F.get("_p", i) for i in range(n)]
-    factor = correction_factor(spec.model, p, [F.col(q(f)).cast("double") for f in spec.features])
-    return df.join(mine, list(by), "left").withColumn(name, F.coalesce(factor, F.lit(float("nan")))).drop("_p")
+    """``df`` with ``name``: the factor of each row by one spec."""
+    return with_factors(df, params, {name: spec}, by)
 
 
 def grid_predicted(params: DataFrame, spec: Spec, grid: DataFrame, by: Sequence[str] = ("channel",)) -> DataFrame:

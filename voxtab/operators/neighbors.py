@@ -11,7 +11,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -21,6 +21,12 @@ from ..sources.tables import checkpointed
 EDGE = ("ROI", "focal", "neighbor", "weight")
 #: Above so many points in a region, points meet by grid cell instead of all with all.
 LARGE_REGION = 2_000
+#: How often the box of a region is halved at most.
+DEEPEST = 14
+#: Points to a tile of a Delaunay graph, about, and how far a tile sees at first, in mean distances of its points.
+TILE, HALO = 512, 2.0
+#: By how much, as a share of a region's side, points are moved so that no five lie on one sphere.
+APART = 1e-7
 #: Places along an edge at which the mask is looked up.
 SAMPLES = 50
 
@@ -98,6 +104,11 @@ def largest_region(points: DataFrame) -> int:
     return points.groupBy("ROI").count().agg(F.max("count")).first()[0] or 0
 
 
+def _around():
+    """A row for a cell and each of the 26 around it."""
+    return F.explode(F.array(*(F.struct(*(F.lit(o).alias(c) for c, o in zip("zyx", offset))) for offset in product((-1, 0, 1), repeat=3))))
+
+
 def radius(points: DataFrame, r: float, self_loops: bool = False, bucket: bool | None = None) -> DataFrame:
     """Pairs at most ``r`` apart, with their distance.
 
@@ -110,43 +121,49 @@ def radius(points: DataFrame, r: float, self_loops: bool = False, bucket: bool |
     if not bucket:
         return _edges(a.join(b, "ROI"), self_loops).where(F.col("weight") <= r)
     cell = lambda c, s: F.floor(F.col(f"_{c}{s}") / F.lit(float(r)))
-    around = F.explode(F.array(*(F.struct(*(F.lit(o).alias(c) for c, o in zip("zyx", offset))) for offset in product((-1, 0, 1), repeat=3))))
-    a = a.withColumn("_o", around).select("*", *((cell(c, "a") + F.col(f"_o.{c}")).alias(f"_g{c}") for c in "zyx")).drop("_o")
+    a = a.withColumn("_o", _around()).select("*", *((cell(c, "a") + F.col(f"_o.{c}")).alias(f"_g{c}") for c in "zyx")).drop("_o")
     b = b.select("*", *(cell(c, "b").alias(f"_g{c}") for c in "zyx"))
     return _edges(a.join(b, ["ROI", "_gz", "_gy", "_gx"]), self_loops).where(F.col("weight") <= r)
 
 
+def _within_reach(points: DataFrame, k: int) -> DataFrame:
+    """Edges from each point to all points within a radius that holds its ``k`` nearest.
+
+    The box of a region is halved along its axes again and again. The smallest of a point's cells in which
+    there are ``k`` others has a diagonal that reaches ``k`` neighbours, and the 27 cells of twice its side
+    around the point hold all that lies so near. A point of a region without ``k`` others meets all of them.
+    Counts of cells are summed before they are shuffled; nothing is repeated with larger radii.
+    """
+    box = points.groupBy("ROI").agg(*(F.min(F.col(c).cast("double")).alias(f"_l{c}") for c in "zyx"), F.greatest(*(F.max(c) - F.min(c) for c in "zyx")).cast("double").alias("_side"), F.count("*").alias("_all"))
+    # Half as much again as the side, so that no point lies on the far end of the box.
+    box = box.withColumn("_side", F.when(F.col("_side") > 0, F.col("_side") * 1.5).otherwise(F.lit(1.0)))
+    depth = F.least(F.lit(DEEPEST), F.ceil(F.log2(F.col("_all").cast("double")) / 3).cast("int") + 4)
+    p = points.select("ROI", "label", *(F.col(c).cast("double").alias(c) for c in "zyx")).join(box, "ROI")
+    cell = lambda c: F.floor((F.col(c) - F.col(f"_l{c}")) / F.col("_side") * F.pow(F.lit(2.0), F.col("_m"))).alias(f"_g{c}")
+    at = ["ROI", "_m", "_gz", "_gy", "_gx"]
+    p = p.withColumn("_m", F.explode(F.sequence(F.lit(0), depth))).select("*", *(cell(c) for c in "zyx"))
+    full = p.groupBy(*at).agg(F.count("*").alias("_held")).where(F.col("_held") > k).drop("_held")
+    level = p.join(full, at).groupBy("ROI", "label").agg(F.max("_m").alias("_m")).withColumnRenamed("label", "focal")
+    a, b = _sides(points)
+    a = a.join(level, ["ROI", "focal"], "left").join(box, "ROI").withColumn("_r", F.when(F.col("_m").isNull(), F.lit(float("inf"))).otherwise(F.col("_side") / F.pow(F.lit(2.0), F.col("_m")) * (3**0.5 * (1 + 1e-9))))
+    a = a.withColumn("_m", F.greatest(F.lit(0), F.coalesce("_m", F.lit(0)) - 1))
+    a = a.select("ROI", "focal", "_za", "_ya", "_xa", "_r", "_m", *(F.floor((F.col(f"_{c}a") - F.col(f"_l{c}")) / F.col("_side") * F.pow(F.lit(2.0), F.col("_m"))).alias(f"_g{c}") for c in "zyx"))
+    a = a.withColumn("_o", _around()).select("ROI", "focal", "_za", "_ya", "_xa", "_r", "_m", *((F.col(f"_g{c}") + F.col(f"_o.{c}")).alias(f"_g{c}") for c in "zyx"))
+    b = p.select(*at, F.col("label").alias("neighbor"), *(F.col(c).alias(f"_{c}b") for c in "zyx"))
+    return a.join(b, at).where("focal <> neighbor").withColumn("weight", _distance()).where("weight <= _r").select(*EDGE)
+
+
 def knn(points: DataFrame, k: int, self_loops: bool = False, bucket: bool | None = None) -> DataFrame:
     """The ``k`` nearest others of each point (fewer in a region that has no more), of equals the smaller label.
 
-    With ``self_loops`` the point itself comes on top of them. In large regions the points whose
-    neighbours are not yet certain look around at radii that double.
+    With ``self_loops`` the point itself comes on top of them. In large regions each point looks around
+    within a radius of its own: see :func:`_within_reach`.
     """
     if bucket is None:
         bucket = largest_region(points) > LARGE_REGION
     nearest = W.partitionBy("ROI", "focal").orderBy("weight", "neighbor")
-
-    def best(edges: DataFrame) -> DataFrame:
-        return edges.withColumn("_n", F.row_number().over(nearest)).where(F.col("_n") <= k)
-
-    if not bucket:
-        out = best(radius(points, float("inf"), False, False)).select(*EDGE)
-    else:
-        box = points.agg(*(F.max(c).alias(f"h{c}") for c in "zyx"), *(F.min(c).alias(f"l{c}") for c in "zyx"), F.count("*").alias("n")).first()
-        side = max(1e-9, *(float(box[f"h{c}"] - box[f"l{c}"]) for c in "zyx"))
-        r, todo, out = side * (2.0 * (k + 1) / max(1, box["n"])) ** (1 / 3), points.select("ROI", F.col("label").alias("focal")), None
-        while True:
-            found = best(radius(points, r, False, True).join(todo, ["ROI", "focal"], "left_semi"))
-            full = found.groupBy("ROI", "focal").agg(F.max("_n").alias("_m")).where(F.col("_m") == k).select("ROI", "focal")
-            done = found.join(full, ["ROI", "focal"], "left_semi").select(*EDGE)
-            out = done if out is None else out.union(done)
-            todo = checkpointed(todo.join(full, ["ROI", "focal"], "left_anti"))
-            if todo.isEmpty():
-                break
-            r *= 2
-            if r > 2 * side:
-                out = out.union(best(radius(points, r, False, True).join(todo, ["ROI", "focal"], "left_semi")).select(*EDGE))
-                break
+    near = _within_reach(points, k) if bucket else radius(points, float("inf"), False, False)
+    out = near.withColumn("_n", F.row_number().over(nearest)).where(F.col("_n") <= k).select(*EDGE)
     if self_loops:
         out = out.union(points.select("ROI", F.col("label").alias("focal"), F.col("label").alias("neighbor"), F.lit(0.0).alias("weight")))
     return out
@@ -177,56 +194,158 @@ def touch(voxels: DataFrame, scale=(1.0, 1.0, 1.0)) -> DataFrame:
 
 
 def tetrahedra(p: np.ndarray) -> np.ndarray:
-    """Delaunay tetrahedra of points, by insertion: those whose sphere holds a new point give way to ones that end in it.
-
-    Points on one sphere or plane are told apart by an offset far below their distances.
-    """
+    """Delaunay tetrahedra of points. Points on one sphere or plane are told apart by an offset far below their distances."""
     n = len(p)
     if n < 5:
         return np.empty((0, 4), np.int64)
     span = max(1e-12, float((p.max(axis=0) - p.min(axis=0)).max()))
-    q = (p - p.mean(axis=0)) / span + np.random.default_rng(n).uniform(-1e-7, 1e-7, p.shape)
-    far = 1e3 * np.array([[1, 1, 1], [1, -1, -1], [-1, 1, -1], [-1, -1, 1]], float)
-    q = np.vstack([q, far])
-
-    def spheres(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        a = q[t[:, 0]]
-        m = 2 * (q[t[:, 1:]] - a[:, None])
-        b = (q[t[:, 1:]] ** 2).sum(axis=2) - (a**2).sum(axis=1)[:, None]
-        bad = np.abs(np.linalg.det(m)) < 1e-18
-        m[bad] = np.eye(3)
-        c = np.linalg.solve(m, b[:, :, None])[:, :, 0]
-        r = ((c - a) ** 2).sum(axis=1)
-        r[bad] = np.inf
-        return c, r
-
-    cells = np.array([[n, n + 1, n + 2, n + 3]])
-    centre, square = spheres(cells)
-    for i in range(n):
-        hit = ((centre - q[i]) ** 2).sum(axis=1) < square
-        gone = cells[hit]
-        sides = np.sort(np.concatenate([np.delete(gone, k, axis=1) for k in range(4)]), axis=1)
-        sides, count = np.unique(sides, axis=0, return_counts=True)
-        new = np.column_stack([sides[count == 1], np.full((count == 1).sum(), i)])
-        c, r = spheres(new)
-        cells, centre, square = np.concatenate([cells[~hit], new]), np.concatenate([centre[~hit], c]), np.concatenate([square[~hit], r])
+    cells = triangulated((p - p.mean(axis=0)) / span + np.random.default_rng(n).uniform(-APART, APART, p.shape))[0]
     return cells[(cells < n).all(axis=1)]
 
 
+def triangulated(q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Delaunay cells of points within a box of side 1 and four far ones (the last numbers), with their spheres.
+
+    By insertion: cells whose sphere holds a new point give way to ones that end in it.
+    """
+    n = len(q)
+    q = np.vstack([q, 1e3 * np.array([[1, 1, 1], [1, -1, -1], [-1, 1, -1], [-1, -1, 1]], float)])
+    room = 8 * n + 64
+    cells, centre, square, power = np.empty((room, 4), np.int64), np.empty((3, room)), np.empty(room), np.empty(room)
+
+    def put(at: np.ndarray, t: np.ndarray) -> None:
+        """Cells whose last corner is a point of the box, with their spheres, taken from that corner."""
+        o = q[t[:, 3]]
+        u, v, w = (q[t[:, k]] - o for k in range(3))
+        vw, wu, uv = np.cross(v, w), np.cross(w, u), np.cross(u, v)
+        volume = (u * vw).sum(axis=1)
+        flat = np.abs(volume) < 1e-19
+        volume[flat] = 1.0
+        c = ((u * u).sum(axis=1)[:, None] * vw + (v * v).sum(axis=1)[:, None] * wu + (w * w).sum(axis=1)[:, None] * uv) / (2 * volume)[:, None]
+        r = (c * c).sum(axis=1)
+        r[flat] = np.inf
+        c += o
+        cells[at], centre[:, at], square[at], power[at] = t, c.T, r, (c * c).sum(axis=1) - r
+
+    size, base = n + 4, np.int64(n + 4)
+    cells[0], centre[:, 0], square[0], power[0], held = [n, n + 1, n + 2, n + 3], 0.0, np.inf, -np.inf, 1
+    for i in range(n):
+        z, y, x = q[i]
+        # A point lies in a sphere if 2 c q - (c c - r r) > q q.
+        near = centre[0, :held] * (2 * z) + centre[1, :held] * (2 * y) + centre[2, :held] * (2 * x) - power[:held]
+        hit = np.flatnonzero(near > z * z + y * y + x * x)
+        gone = np.sort(cells[hit], axis=1)
+        sides = np.concatenate([(gone[:, a] * base + gone[:, b]) * base + gone[:, c] for a, b, c in ((0, 1, 2), (0, 1, 3), (0, 2, 3), (1, 2, 3))])
+        sides, count = np.unique(sides, return_counts=True)
+        sides = sides[count == 1]
+        new = np.column_stack([sides // (base * base), sides // base % size, sides % size, np.full(len(sides), i)])
+        if held + len(new) > room:
+            room *= 2
+            cells, centre, square, power = (np.concatenate([v, np.empty_like(v)], axis=axis) for v, axis in ((cells, 0), (centre, 1), (square, 0), (power, 0)))
+        # New cells take the places of those that go and further ones; places left over are filled from the end.
+        at = np.concatenate([hit, np.arange(held, held + len(new) - len(hit))]) if len(new) >= len(hit) else hit[: len(new)]
+        put(at, new)
+        held += len(new) - len(hit)
+        if len(new) < len(hit):
+            left = hit[len(new) :]
+            keep = np.setdiff1d(np.arange(held, held + len(left)), left)
+            free = left[left < held]
+            cells[free], centre[:, free], square[free], power[free] = cells[keep], centre[:, keep], square[keep], power[keep]
+    return cells[:held], centre[:, :held].T, square[:held]
+
+
+def _spread() -> dict[str, Column]:
+    at = {c: F.col(c).cast("double") for c in "zyx"}
+    return {f"_v{c}": F.var_pop(v) for c, v in at.items()} | {f"_v{a}{b}": F.covar_pop(at[a], at[b]) for a, b in ("zy", "zx", "yx")}
+
+
+def _volume() -> Column:
+    """The determinant of the covariance matrix."""
+    z, y, x, zy, zx, yx = (F.col(f"_v{n}") for n in ("z", "y", "x", "zy", "zx", "yx"))
+    return z * (y * x - yx * yx) - zy * (zy * x - yx * zx) + zx * (zy * yx - y * zx)
+
+
+def _tiles(points: DataFrame) -> DataFrame:
+    """``ROI, label, tile, alone, _z, _y, _x``: points in a box of side 1, moved apart by a hash of their label, in tiles of equal counts.
+
+    A region is cut into slabs along z, these along y and the rods along x. Regions of fewer than five points are left out.
+    """
+    box = points.groupBy("ROI").agg(*(f(F.col(c).cast("double")).alias(f"{n}{c}") for c in "zyx" for n, f in (("_l", F.min), ("_h", F.max))), F.count("*").alias("_n"), *(f.alias(n) for n, f in _spread().items())).where("_n >= 5")
+    # Points in one plane have a covariance without volume.
+    box = box.where(_volume() > 1e-14 * F.pow((F.col("_vz") + F.col("_vy") + F.col("_vx")) / 3, F.lit(3)))
+    side = F.greatest(F.lit(1e-12), *(F.col(f"_h{c}") - F.col(f"_l{c}") for c in "zyx"))
+    moved = lambda c: (F.pmod(F.xxhash64("label", F.lit(c)), F.lit(1 << 20)) / F.lit(float(1 << 19)) - 1) * APART
+    place = lambda c: (F.col(c).cast("double") - (F.col(f"_l{c}") + F.col(f"_h{c}")) / 2) / side + moved(c)
+    d = points.join(box, "ROI").select("ROI", "label", F.ceil(F.cbrt(F.col("_n") / F.lit(float(TILE)))).alias("_k"), *(place(c).alias(f"_{c}") for c in "zyx"))
+    by, tile = ["ROI"], F.lit(0).cast("long")
+    for c in "zyx":
+        w = W.partitionBy(*by)
+        d = d.withColumn(f"_i{c}", F.floor((F.row_number().over(w.orderBy(f"_{c}", "label")) - 1) * F.col("_k") / F.count("*").over(w)))
+        by.append(f"_i{c}")
+        tile = tile * F.col("_k") + F.col(f"_i{c}")
+    return d.select("ROI", "label", tile.alias("tile"), (F.col("_k") == 1).alias("alone"), "_z", "_y", "_x")
+
+
 def delaunay(points: DataFrame) -> DataFrame:
     """All edges of the Delaunay tetrahedra of each region, both ways, with weight 1.
 
-    Regions of fewer than five points, or of points in one plane, have none. A region is one image crop, which one task holds.
+    Regions of fewer than five points, or of points in one plane, have none. Large regions are cut into
+    tiles that see some points around them. A tetrahedron at a tile's own points counts if no point of
+    the region lies in its sphere: spheres within what the tile sees hold none; the others are looked
+    up among the tiles they reach into, and the points found in them, for each sphere and tile the one
+    deepest inside, join what the tile sees before it is triangulated again. So a task holds a tile, and the
+    graph is that of the whole region.
     """
     kinds = dict(points.dtypes)
+    schema = f"ROI {kinds['ROI']}, at bigint, focal {kinds['label']}, neighbor {kinds['label']}, cz double, cy double, cx double, square double"
 
-    def one(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+    def one(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("label")
-        t, label = tetrahedra(f[["z", "y", "x"]].to_numpy(np.float64)), f["label"].to_numpy()
+        q, core, label = f[["_z", "_y", "_x"]].to_numpy(np.float64), f["core"].to_numpy(bool), f["label"].to_numpy()
+        cells, centre, square = triangulated(q)
+        mine = (np.append(core, [False] * 4)[cells]).any(axis=1)
+        cells, centre, square = cells[mine], centre[mine], square[mine]
+        t = cells[(cells < len(q)).all(axis=1)]
         pairs = np.unique(np.concatenate([t[:, [i, j]] for i in range(4) for j in range(4) if i != j]), axis=0) if len(t) else np.empty((0, 2), np.int64)
-        return pd.DataFrame({"ROI": [key[0]] * len(pairs), "focal": label[pairs[:, 0]], "neighbor": label[pairs[:, 1]], "weight": np.ones(len(pairs))})
-
-    return points.groupBy("ROI").applyInPandas(one, f"ROI {kinds['ROI']}, focal {kinds['label']}, neighbor {kinds['label']}, weight double")
+        pairs = pairs[core[pairs[:, 0]]]
+        out = pd.DataFrame({"focal": label[pairs[:, 0]], "neighbor": label[pairs[:, 1]]})
+        if not f["alone"].iloc[0]:
+            low, high = (f[[f"{n}{c}" for c in "zyx"]].to_numpy(np.float64)[0] for n in ("_l", "_h"))
+            r = np.sqrt(square)[:, None]
+            open_ = ((centre - r < low) | (centre + r > high)).any(axis=1)
+            at = pd.DataFrame({"cz": centre[open_, 0], "cy": centre[open_, 1], "cx": centre[open_, 2], "square": square[open_]})
+            out = pd.concat([out.astype({"focal": object, "neighbor": object}), at]) if len(at) else out
+        return out.assign(ROI=f["ROI"].iloc[0], at=f["at"].iloc[0]).reindex(columns=["ROI", "at", "focal", "neighbor", "cz", "cy", "cx", "square"])
+
+    d = _tiles(points)
+    if largest_region(points) <= TILE:
+        seen = d.select("*", F.col("tile").alias("at"), F.lit(True).alias("core"))
+        return seen.groupBy("ROI", "at").applyInPandas(one, schema).select("ROI", "focal", "neighbor", F.lit(1.0).alias("weight"))
+    d = checkpointed(d)
+    tiles = d.groupBy("ROI", "tile").agg(*(f(f"_{c}").alias(f"{n}{c}") for c in "zyx" for n, f in (("_l", F.min), ("_h", F.max))), F.count("*").alias("_n"))
+    apart = HALO * F.cbrt(F.greatest(F.lit(1e-6), F.col("_hz") - F.col("_lz")) * F.greatest(F.lit(1e-6), F.col("_hy") - F.col("_ly")) * F.greatest(F.lit(1e-6), F.col("_hx") - F.col("_lx")) / F.col("_n"))
+    views = tiles.select("ROI", F.col("tile").alias("at"), *((F.col(f"_{n}{c}") + (apart if n == "h" else -apart)).alias(f"_{n}{c}") for c in "zyx" for n in "lh"))
+    inside = [F.col(f"_{c}").between(F.col(f"_l{c}"), F.col(f"_h{c}")) for c in "zyx"]
+    seen = checkpointed(d.join(views, "ROI").where((inside[0] & inside[1] & inside[2]) & (~F.col("alone") | (F.col("tile") == F.col("at")))).withColumn("core", F.col("tile") == F.col("at")))
+    # Tiles are small rows but long work, which partitions joined by their bytes would hide.
+    tasks, done = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), None
+    while True:
+        made = checkpointed(seen.repartition(tasks, "ROI", "at").groupBy("ROI", "at").applyInPandas(one, schema))
+        # Spheres that reach out of sight, and in each tile that they reach into the point deepest inside.
+        spheres = made.where("square is not null").select("ROI", "at", "cz", "cy", "cx", "square").withColumn("sphere", F.monotonically_increasing_id())
+        far = lambda v: sum(((F.col(f"c{c}") - v(c)) * (F.col(f"c{c}") - v(c)) for c in "yx"), (F.col("cz") - v("z")) * (F.col("cz") - v("z")))
+        reach = spheres.join(tiles, "ROI").where(far(lambda c: F.greatest(F.col(f"_l{c}"), F.least(F.col(f"_h{c}"), F.col(f"c{c}")))) < F.col("square"))
+        held = reach.select("ROI", "at", "tile", "sphere", "cz", "cy", "cx", "square").join(d, ["ROI", "tile"]).withColumn("_d", far(lambda c: F.col(f"_{c}"))).where(F.col("_d") < F.col("square") * (1 - 1e-12))
+        deepest = held.groupBy("ROI", "at", "tile", "sphere").agg(F.min_by(F.struct("label", "alone", "_z", "_y", "_x"), "_d").alias("_p"))
+        new = deepest.select("ROI", "at", "tile", "_p.*").distinct().join(seen.select("ROI", "at", "label"), ["ROI", "at", "label"], "left_anti")
+        new = checkpointed(new)
+        again = new.select("ROI", "at").distinct()
+        right = made.where("square is null").join(again, ["ROI", "at"], "left_anti").select("ROI", "focal", "neighbor", F.lit(1.0).alias("weight"))
+        done = right if done is None else done.union(right)
+        if new.isEmpty():
+            return done
+        more = new.join(views, ["ROI", "at"]).withColumn("core", F.lit(False))
+        seen = checkpointed(seen.join(again, ["ROI", "at"], "left_semi").unionByName(more))
 
 
 def mask_share(edges: DataFrame, points: DataFrame, mask: DataFrame, samples: int = SAMPLES, scale=(1.0, 1.0, 1.0)) -> DataFrame:
@@ -241,12 +360,23 @@ def mask_share(edges: DataFrame, points: DataFrame, mask: DataFrame, samples: in
 
 
 def steps(edges: DataFrame, n: int = 1, self_loops: bool = False, points: DataFrame | None = None) -> DataFrame:
-    """Pairs joined by a walk of exactly ``n`` edges, with weight 1; the diagonal is all or nothing."""
-    one = edges.select("ROI", "focal", "neighbor").distinct()
-    out = one
-    for _ in range(n - 1):
-        next_ = one.select("ROI", F.col("focal").alias("neighbor"), F.col("neighbor").alias("_n"))
-        out = out.join(next_, ["ROI", "neighbor"]).select("ROI", "focal", F.col("_n").alias("neighbor")).distinct()
+    """Pairs joined by a walk of exactly ``n`` edges, with weight 1; the diagonal is all or nothing.
+
+    Walks are doubled, and those whose lengths add up to ``n`` are joined: a number of joins like log n.
+    """
+
+    def then(a: DataFrame, b: DataFrame) -> DataFrame:
+        next_ = b.select("ROI", F.col("focal").alias("neighbor"), F.col("neighbor").alias("_n"))
+        return a.join(next_, ["ROI", "neighbor"]).select("ROI", "focal", F.col("_n").alias("neighbor")).distinct()
+
+    doubled, out, left = edges.select("ROI", "focal", "neighbor").distinct(), None, n
+    while left:
+        if left % 2:
+            out = doubled if out is None else then(out, doubled)
+        left //= 2
+        if left:
+            # Each doubling is read twice, so it is made once.
+            doubled = checkpointed(then(doubled, doubled)) if n > 3 else then(doubled, doubled)
     out = out.where("focal <> neighbor")
     if self_loops:
         nodes = points.select("ROI", "label") if points is not None else edges.select("ROI", F.explode(F.array("focal", "neighbor")).alias("label"))

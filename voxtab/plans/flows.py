@@ -157,12 +157,10 @@ def time_decay(intensities: DataFrame, times: DataFrame, specs: Sequence[models.
     if alignment is not None:
         d = d.join(alignment, [*key, "acquisition"])
     d = d.join(time_deltas(times).select("well", "ROI", "acquisition", "timeDeltaMinutes"), ["well", "ROI", "acquisition"])
-    sites = site_means(cohort(d, **filters))
+    # A row for each site and channel: made once for the fits and for the factors.
+    sites = tables.checkpointed(site_means(cohort(d, **filters)))
     params = models.fit_groups(sites, specs, "Mean_CycleMeanNorm", ("acquisition", "channel"))
-    out = sites
-    for s in specs:
-        out = models.with_factor(out, params, s, f"correctionFactor-{s.model}", ("acquisition", "channel"))
-    return params, out
+    return params, models.with_factors(sites, params, {f"correctionFactor-{s.model}": s for s in specs}, ("acquisition", "channel"))
 
 
 # Depth decay.
