@@ -218,6 +218,8 @@ def test_one_of_each(spark):
     assert sorted(r["text"] or "" for r in got if r["doc_id"] is None) == ["", fresh]
     assert [r["text"] for r in got if r["doc_id"] == 70] == [rows[-1][1]]
     assert simhash_sets.one_of_each(df.limit(0)).count() == 0
+    clashing = df.withColumns({c: F.lit(1) for c in ("_number", "number", "row", "_id", "_hash", "component_id")})
+    assert sorted(r["doc_id"] or -1 for r in simhash_sets.one_of_each(clashing).collect()) == sorted(r["doc_id"] or -1 for r in kept.collect())
 
 
 def brute_components(texts):

@@ -353,5 +353,5 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
         return kept
     once = kept.join(again, among(again), "left_semi")
     number = F.row_number().over(Window.partitionBy(*(c for c in _identified(once))).orderBy(F.lit(1)))
-    first = once.select(*once.columns, number.alias("_number")).where("_number = 1").select(*once.columns)
+    first = once.select(F.struct("*").alias("row"), number.alias("number")).where("number = 1").select("row.*")
     return kept.join(again, among(again), "left_anti").union(first)
