@@ -63,7 +63,7 @@ def _stepped(s: dict, width: int) -> dict:
     free = np.array([k for k in at if not (k == width - 1 and s["pos"] and p[k] <= 0 and g[k] < 0)])
     hf = h[np.ix_(free, free)]
     step = np.zeros(width)
-    step[free] = np.linalg.lstsq(hf + s["damp"] * np.diag(np.maximum(np.diag(hf), 1e-12)), g[free], rcond=None)[0]
+    step[free] = _solved(hf + s["damp"] * np.diag(np.maximum(np.diag(hf), 1e-12)), g[free])
     new = p + step
     if s["phase"] == "offset" and s["pos"]:
         new[-1] = max(0.0, new[-1])

@@ -27,6 +27,8 @@ DEEPEST = 14
 TILE, HALO = 512, 2.0
 #: By how much, as a share of a region's side, points are moved so that no five lie on one sphere.
 APART = 1e-7
+#: How many sides away the four points stand that close the graph; tetrahedra whose spheres reach them are too flat to count.
+FAR = 1e5
 #: Places along an edge at which the mask is looked up.
 SAMPLES = 50
 
@@ -209,7 +211,7 @@ def triangulated(q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     By insertion: cells whose sphere holds a new point give way to ones that end in it.
     """
     n = len(q)
-    q = np.vstack([q, 1e3 * np.array([[1, 1, 1], [1, -1, -1], [-1, 1, -1], [-1, -1, 1]], float)])
+    q = np.vstack([q, FAR * np.array([[1, 1, 1], [1, -1, -1], [-1, 1, -1], [-1, -1, 1]], float)])
     room = 8 * n + 64
     cells, centre, square, power = np.empty((room, 4), np.int64), np.empty((3, room)), np.empty(room), np.empty(room)
 
@@ -335,7 +337,7 @@ def delaunay(points: DataFrame) -> DataFrame:
         spheres = made.where("square is not null").select("ROI", "at", "cz", "cy", "cx", "square").withColumn("sphere", F.monotonically_increasing_id())
         far = lambda v: sum(((F.col(f"c{c}") - v(c)) * (F.col(f"c{c}") - v(c)) for c in "yx"), (F.col("cz") - v("z")) * (F.col("cz") - v("z")))
         reach = spheres.join(tiles, "ROI").where(far(lambda c: F.greatest(F.col(f"_l{c}"), F.least(F.col(f"_h{c}"), F.col(f"c{c}")))) < F.col("square"))
-        held = reach.select("ROI", "at", "tile", "sphere", "cz", "cy", "cx", "square").join(d, ["ROI", "tile"]).withColumn("_d", far(lambda c: F.col(f"_{c}"))).where(F.col("_d") < F.col("square") * (1 - 1e-12))
+        held = reach.select("ROI", "at", "tile", "sphere", "cz", "cy", "cx", "square").join(d, ["ROI", "tile"]).withColumn("_d", far(lambda c: F.col(f"_{c}"))).where(F.col("_d") < F.col("square") * (1 - 1e-14))
         deepest = held.groupBy("ROI", "at", "tile", "sphere").agg(F.min_by(F.struct("label", "alone", "_z", "_y", "_x"), "_d").alias("_p"))
         new = deepest.select("ROI", "at", "tile", "_p.*").distinct().join(seen.select("ROI", "at", "label"), ["ROI", "at", "label"], "left_anti")
         new = checkpointed(new)

@@ -36,7 +36,7 @@ def query(name: str, view: str | None = None, sql: str | None = None):
         QUERIES[name] = f
         if sql is not None:
             with_ = ", ".join(f"{v} AS ({_VIEWS[v]})" for v in (view or "").split())
-            SQL[name] = (f"WITH {'RECURSIVE ' if 'RECURSIVE' in sql else ''}{with_}{', ' if with_ and sql.lstrip().startswith('--') else ' '}{sql}") if with_ else sql
+            SQL[name] = (f"WITH {'RECURSIVE ' if 'UNION ALL SELECT i + 1' in sql else ''}{with_}{', ' if with_ and sql.lstrip().startswith('--') else ' '}{sql}") if with_ else sql
         return f
 
     return add
@@ -362,7 +362,18 @@ def touch_count(spark, sf_dir):
     return fields(A.Neighborhoods.from_voxels(views.grid(spark, sf_dir), SCALE).touch().aggregate(), "ROI", "label")
 
 
-@query("delaunay_count")
+#: Four points of a region span a tetrahedron of the graph if no point lies in their sphere; its centre follows from their differences.
+_TETRAHEDRA = """b AS (SELECT ROI, label, z - min(z) OVER w AS z, y - min(y) OVER w AS y, x - min(x) OVER w AS x FROM pts WINDOW w AS (PARTITION BY ROI)),
+    q AS (SELECT a.ROI, a.label AS a, b.label AS b, c.label AS c, d.label AS d, a.z AS oz, a.y AS oy, a.x AS ox, b.z - a.z AS uz, b.y - a.y AS uy, b.x - a.x AS ux, c.z - a.z AS vz, c.y - a.y AS vy, c.x - a.x AS vx, d.z - a.z AS wz, d.y - a.y AS wy, d.x - a.x AS wx
+        FROM b a JOIN b ON a.ROI = b.ROI AND a.label < b.label JOIN b c ON c.ROI = b.ROI AND b.label < c.label JOIN b d ON d.ROI = c.ROI AND c.label < d.label),
+    n AS (SELECT *, uz * uz + uy * uy + ux * ux AS u, vz * vz + vy * vy + vx * vx AS v, wz * wz + wy * wy + wx * wx AS w, 2 * (uz * (vy * wx - vx * wy) - uy * (vz * wx - vx * wz) + ux * (vz * wy - vy * wz)) AS e FROM q),
+    s AS (SELECT ROI, a, b, c, d, oz, oy, ox, (u * (vy * wx - vx * wy) + v * (wy * ux - wx * uy) + w * (uy * vx - ux * vy)) / e AS cz, (u * (vx * wz - vz * wx) + v * (wx * uz - wz * ux) + w * (ux * vz - uz * vx)) / e AS cy, (u * (vz * wy - vy * wz) + v * (wz * uy - wy * uz) + w * (uz * vy - uy * vz)) / e AS cx FROM n WHERE e <> 0),
+    t AS (SELECT s.* FROM s WHERE NOT EXISTS (FROM b o WHERE o.ROI = s.ROI AND o.label NOT IN (s.a, s.b, s.c, s.d) AND pow(o.z - s.oz - cz, 2) + pow(o.y - s.oy - cy, 2) + pow(o.x - s.ox - cx, 2) < cz * cz + cy * cy + cx * cx)),
+    h AS (SELECT ROI, unnest([a, a, a, b, b, c]) AS i, unnest([b, c, d, c, d, d]) AS j FROM t), g AS (SELECT ROI, i AS focal, j AS neighbor FROM h UNION SELECT ROI, j, i FROM h)"""
+
+
+@query("delaunay_count", "pts", f"""-- , {_TETRAHEDRA}, k AS (SELECT DISTINCT g.ROI, g.focal, o.neighbor FROM g JOIN g o ON o.ROI = g.ROI AND o.focal = g.neighbor WHERE g.focal <> o.neighbor)
+    SELECT pts.ROI AS "ROI", pts.label, (SELECT count(*) FROM g WHERE g.ROI = pts.ROI AND g.focal = pts.label) AS "DELAUNAY:1_Count", (SELECT count(*) FROM k WHERE k.ROI = pts.ROI AND k.focal = pts.label) AS "DELAUNAY:2_Count" FROM pts""")
 def delaunay_count(spark, sf_dir):
     return A.Neighborhoods(views.pts(spark, sf_dir)).delaunay((1, 2)).aggregate()
 
@@ -603,14 +614,36 @@ def fit_exp(spark, sf_dir):
     return models.fit_groups(_sites(spark, sf_dir), [models.Spec("Exp", ("timeDeltaMinutes",), "linear", True)], "Mean_CycleMeanNorm", ("acquisition", "channel"))
 
 
-@query("fit_exp_no_offset")
+def _fitted(params: DataFrame, scale: float = 1e3) -> DataFrame:
+    """Parameters as columns, slopes by ``1 / scale`` of a unit, so that rounding keeps their digits."""
+    return params.select("acquisition", "channel", "model", F.col("converged").alias("settled"), r(F.get("params", 0)).alias("b0"), r(F.get("params", 1) * scale).alias("b1"), r("y_intercept").alias("at_0"))
+
+
+# Steps of Gauss and Newton from the straight line through the logarithms.
+@query("fit_exp_no_offset", "times", f"""{_SITES}, v AS (SELECT acquisition, channel, t / 1000 AS t, cn FROM s),
+    f AS (SELECT 0 AS i, acquisition, channel, exp(regr_intercept(ln(greatest(cn, 1e-6)), t)) AS a, regr_slope(ln(greatest(cn, 1e-6)), t) AS b FROM v GROUP BY acquisition, channel
+        UNION ALL SELECT i + 1, acquisition, channel, any_value(a) + (sum(e * r) * sum(j * j) - sum(j * r) * sum(e * j)) / (sum(e * e) * sum(j * j) - pow(sum(e * j), 2)), any_value(b) + (sum(j * r) * sum(e * e) - sum(e * r) * sum(e * j)) / (sum(e * e) * sum(j * j) - pow(sum(e * j), 2))
+        FROM (SELECT f.*, exp(b * t) AS e, a * t * exp(b * t) AS j, cn - a * exp(b * t) AS r FROM f JOIN v ON v.acquisition = f.acquisition AND v.channel = f.channel WHERE i < 40) GROUP BY i, acquisition, channel)
+    SELECT acquisition, channel, 'ExpNoOffset(features=timeDeltaMinutes, loss=linear)' AS model, true AS settled, round(a, 4) AS b0, round(b, 4) + 0.0 AS b1, round(a, 4) AS at_0 FROM f WHERE i = 40""")
 def fit_exp_no_offset(spark, sf_dir):
-    return models.fit_groups(_sites(spark, sf_dir), [models.Spec("ExpNoOffset", ("timeDeltaMinutes",))], "Mean_CycleMeanNorm", ("acquisition", "channel"))
+    return _fitted(models.fit_groups(_sites(spark, sf_dir), [models.Spec("ExpNoOffset", ("timeDeltaMinutes",))], "Mean_CycleMeanNorm", ("acquisition", "channel")))
+
+
+def _huber(y: str, model: str, at_0: str) -> str:
+    """Reweighted lines of the values ``y``; the last of many rounds."""
+    w = f"1 / greatest(1, abs({y} - b0 - b1 * v.t))"
+    return f"""{model} AS (SELECT 0 AS i, acquisition, channel, regr_intercept({y}, t) AS b0, regr_slope({y}, t) AS b1 FROM v GROUP BY acquisition, channel
+        UNION ALL SELECT i + 1, acquisition, channel, (sum(w * y) - slope * sum(w * t)) / sum(w), slope FROM (SELECT *, (sum(w) OVER g * sum(w * t * y) OVER g - sum(w * t) OVER g * sum(w * y) OVER g) / (sum(w) OVER g * sum(w * t * t) OVER g - pow(sum(w * t) OVER g, 2)) AS slope
+            FROM (SELECT i, m.acquisition, m.channel, v.t, {y} AS y, {w} AS w FROM {model} m JOIN v ON v.acquisition = m.acquisition AND v.channel = m.channel WHERE i < 60) WINDOW g AS (PARTITION BY acquisition, channel)) GROUP BY i, acquisition, channel, slope),
+        {model}_out AS (SELECT acquisition, channel, '{model}(features=timeDeltaMinutes, loss=huber)' AS model, true AS settled, round(b0, 4) AS b0, round(b1, 4) + 0.0 AS b1, round({at_0}, 4) AS at_0 FROM {model} WHERE i = 60)"""
 
 
-@query("fit_huber")
+@query("fit_huber", "times", f"""{_SITES}, v AS (SELECT acquisition, channel, t / 1000 AS t, cn * 10 AS cn FROM s), {_huber('cn', 'Linear', 'b0')}, {_huber('ln(greatest(cn, 1e-6))', 'LogLinear', 'exp(b0)')}
+    SELECT * FROM Linear_out UNION ALL SELECT * FROM LogLinear_out""")
 def fit_huber(spark, sf_dir):
-    return models.fit_groups(_sites(spark, sf_dir), [models.Spec("Linear", ("timeDeltaMinutes",), "huber"), models.Spec("LogLinear", ("timeDeltaMinutes",), "huber")], "Mean_CycleMeanNorm", ("acquisition", "channel"))
+    """The values are ten times as large as norms, so that some lie where the loss is straight."""
+    s = _sites(spark, sf_dir).withColumn("Mean_CycleMeanNorm", F.col("Mean_CycleMeanNorm") * 10)
+    return _fitted(models.fit_groups(s, [models.Spec("Linear", ("timeDeltaMinutes",), "huber"), models.Spec("LogLinear", ("timeDeltaMinutes",), "huber")], "Mean_CycleMeanNorm", ("acquisition", "channel")))
 
 
 def _decay_inputs(spark, sf_dir):
