@@ -38,9 +38,8 @@ def _rank(keys, c: str) -> Column:
     return F.rank().over(W.partitionBy(*keys).orderBy(c)) + (F.count("*").over(W.partitionBy(*keys, c)) - 1) / 2.0
 
 
-def _ranks(voxels: DataFrame, a: str, b: str, keys, metrics=("SpearmanR", "KendallTau")) -> DataFrame:
-    """The rank correlations of each object, as columns named by metric, from one set of windows."""
-    t = _two(voxels, a, b, keys)
+def _ranks(t: DataFrame, keys, metrics=("SpearmanR", "KendallTau")) -> DataFrame:
+    """The rank correlations of ``a`` and ``b`` by key, as columns named by metric, from one set of windows."""
     same = lambda *c: F.count("*").over(W.partitionBy(*keys, *c))
     t = t.withColumns({"ra": _rank(keys, "a"), "rb": _rank(keys, "b"), "sa": same("a"), "sb": same("b")})
     flat = (F.min("a") == F.max("a")) | (F.min("b") == F.max("b"))
@@ -65,17 +64,16 @@ def _ranks(voxels: DataFrame, a: str, b: str, keys, metrics=("SpearmanR", "Kenda
 
 
 def spearman(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
-    return _ranks(voxels, a, b, keys, ("SpearmanR",)).withColumnRenamed("SpearmanR", "value")
+    return _ranks(_two(voxels, a, b, keys), keys, ("SpearmanR",)).withColumnRenamed("SpearmanR", "value")
 
 
 def kendall(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
     """Kendall's rank correlation, ties accounted for. Windows count the pairs out of order; no object is held whole."""
-    return _ranks(voxels, a, b, keys, ("KendallTau",)).withColumnRenamed("KendallTau", "value")
+    return _ranks(_two(voxels, a, b, keys), keys, ("KendallTau",)).withColumnRenamed("KendallTau", "value")
 
 
-def _binned(voxels: DataFrame, a: str, b: str, keys) -> DataFrame:
+def _binned(t: DataFrame, keys) -> DataFrame:
     """Counts of each object's two-way histogram of ``BINS`` equal bins between its least and largest values."""
-    t = _two(voxels, a, b, keys)
     ends = t.groupBy(*keys).agg(*(f(c).alias(f"{n}_{c}") for c in "ab" for n, f in (("lo", F.min), ("hi", F.max))))
     t = t.join(ends, list(keys))
 
@@ -88,23 +86,23 @@ def _binned(voxels: DataFrame, a: str, b: str, keys) -> DataFrame:
     return t.groupBy(*keys, at("a").alias("i"), at("b").alias("j")).agg(F.count("*").alias("n"))
 
 
-def _cells(voxels: DataFrame, a: str, b: str, keys) -> DataFrame:
+def _cells(t: DataFrame, keys) -> DataFrame:
     """Counts of each object's pairs of raw values."""
-    return _two(voxels, a, b, keys).groupBy(*keys, F.col("a").alias("i"), F.col("b").alias("j")).agg(F.count("*").alias("n"))
+    return t.groupBy(*keys, F.col("a").alias("i"), F.col("b").alias("j")).agg(F.count("*").alias("n"))
 
 
 def _with_margins(cells: DataFrame, keys) -> DataFrame:
     return cells.withColumn("ni", F.sum("n").over(W.partitionBy(*keys, "i"))).withColumn("nj", F.sum("n").over(W.partitionBy(*keys, "j"))).withColumn("all", F.sum("n").over(W.partitionBy(*keys)))
 
 
-def _histogram(voxels: DataFrame, a: str, b: str, keys, metrics=("Chi2Contingency", "MutualInfoBins")) -> DataFrame:
+def _histogram(t: DataFrame, keys, metrics=("Chi2Contingency", "MutualInfoBins")) -> DataFrame:
     """What the two-way histogram gives, as columns named by metric."""
-    return _measured(_binned(voxels, a, b, keys), keys, metrics)
+    return _measured(_binned(t, keys), keys, metrics)
 
 
-def _values(voxels: DataFrame, a: str, b: str, keys, metrics=("MutualInfo", "MutualInfoNormalized")) -> DataFrame:
+def _values(t: DataFrame, keys, metrics=("MutualInfo", "MutualInfoNormalized")) -> DataFrame:
     """What the pairs of raw values give, as columns named by metric."""
-    return _measured(_cells(voxels, a, b, keys), keys, metrics)
+    return _measured(_cells(t, keys), keys, metrics)
 
 
 def _measured(cells: DataFrame, keys, metrics) -> DataFrame:
@@ -125,19 +123,19 @@ def _measured(cells: DataFrame, keys, metrics) -> DataFrame:
 
 def chi2(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
     """The statistic of independence; null where a row or column of the histogram is empty."""
-    return _histogram(voxels, a, b, keys, ("Chi2Contingency",)).withColumnRenamed("Chi2Contingency", "value")
+    return _histogram(_two(voxels, a, b, keys), keys, ("Chi2Contingency",)).withColumnRenamed("Chi2Contingency", "value")
 
 
 def mutual_info(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
-    return _values(voxels, a, b, keys, ("MutualInfo",)).withColumnRenamed("MutualInfo", "value")
+    return _values(_two(voxels, a, b, keys), keys, ("MutualInfo",)).withColumnRenamed("MutualInfo", "value")
 
 
 def mutual_info_bins(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
-    return _histogram(voxels, a, b, keys, ("MutualInfoBins",)).withColumnRenamed("MutualInfoBins", "value")
+    return _histogram(_two(voxels, a, b, keys), keys, ("MutualInfoBins",)).withColumnRenamed("MutualInfoBins", "value")
 
 
 def mutual_info_normalized(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
-    return _values(voxels, a, b, keys, ("MutualInfoNormalized",)).withColumnRenamed("MutualInfoNormalized", "value")
+    return _values(_two(voxels, a, b, keys), keys, ("MutualInfoNormalized",)).withColumnRenamed("MutualInfoNormalized", "value")
 
 
 METRICS = {
@@ -147,16 +145,27 @@ METRICS = {
 
 
 def features(voxels: DataFrame, pairs, metrics=names.DEFAULT_COLOC_FEATURES, keys=KEYS) -> DataFrame:
-    """``<a>|<b>_<Metric>`` of each object and pair of channels. Metrics that rest on the same table come from it together."""
-    asked = names.requested(metrics, METRICS)
+    """``<a>|<b>_<Metric>`` of each object and pair of channels.
+
+    Pearson's of all pairs come from sums, in one aggregation. For the others all pairs go through one
+    exchange: a voxel is a row for each pair, dealt by object and pair, and every family of metrics (those
+    that rest on one table) works within what lies there.
+    """
+    asked, pairs, at = names.requested(metrics, METRICS), list(pairs), [*keys, "_pair"]
     linear = [pearson_of(a, b).alias(names.coloc(a, b, "PearsonR")) for a, b in pairs if "PearsonR" in asked]
     ids = objects(voxels).groupBy(*keys).agg(*linear) if linear else objects(voxels).select(*keys).distinct()
+    rest = [m for m in asked if m != "PearsonR"]
+    if not (rest and pairs):
+        return ids
+    values = F.array(*(F.struct(F.lit(k).alias("_pair"), *(F.col(names.q(c)).cast("double").alias(n) for n, c in zip("ab", pair))) for k, pair in enumerate(pairs)))
+    t = objects(voxels).select(*keys, F.explode(values).alias("_v")).select(*keys, "_v.*").where("a is not null and b is not null").repartition(*at)
     parts = []
-    for a, b in pairs:
-        for family, of in ((_ranks, ("SpearmanR", "KendallTau")), (_histogram, ("Chi2Contingency", "MutualInfoBins")), (_values, ("MutualInfo", "MutualInfoNormalized"))):
-            if mine := tuple(m for m in of if m in asked):
-                parts.append(family(voxels, a, b, keys, mine).withColumnsRenamed({m: names.coloc(a, b, m) for m in mine}))
-    return reduce(lambda x, y: x.join(y, list(keys), "left"), parts, ids)
+    for family, of in ((_ranks, ("SpearmanR", "KendallTau")), (_histogram, ("Chi2Contingency", "MutualInfoBins")), (_values, ("MutualInfo", "MutualInfoNormalized"))):
+        if mine := tuple(m for m in of if m in asked):
+            parts.append(family(t, at, mine))
+    wide = reduce(lambda x, y: x.join(y, at), parts)
+    wide = wide.groupBy(*keys).agg(*(F.first(F.when(F.col("_pair") == k, F.col(m)), ignorenulls=True).alias(names.coloc(a, b, m)) for k, (a, b) in enumerate(pairs) for m in rest))
+    return ids.join(wide, list(keys), "left")
 
 
 def corrected(voxels: DataFrame, factors: dict[str, Column]) -> DataFrame:

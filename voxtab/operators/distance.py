@@ -86,22 +86,27 @@ def map_of(voxels: DataFrame, function: str, mask: str, scale=(1.0, 1.0, 1.0)) -
     return along(voxels, function, mask, scale)
 
 
-def at_centroid(mapped: DataFrame, keys=KEYS) -> DataFrame:
-    """``Centroid``: the map's value at the voxel nearest to each object's centre (halves go up)."""
+def at_centroid(mapped: DataFrame, keys=KEYS, maps=("d",)) -> DataFrame:
+    """``Centroid`` (``<map>_Centroid`` of several maps): the value at the voxel nearest to each object's centre (halves go up)."""
     nearest = [F.floor(F.avg(c) + 0.5).cast("long").alias(c) for c in "zyx"]
     centre = objects(mapped).groupBy(*keys).agg(*nearest)
-    return centre.join(mapped.select("ROI", "z", "y", "x", "d"), ["ROI", "z", "y", "x"], "left").select(*keys, F.col("d").alias("Centroid"))
+    named = [F.col(names.q(m)).alias("Centroid" if len(maps) == 1 else f"{m}_Centroid") for m in maps]
+    return centre.join(mapped.select("ROI", "z", "y", "x", *(names.q(m) for m in maps)), ["ROI", "z", "y", "x"], "left").select(*keys, *named)
 
 
 def features(voxels: DataFrame, label_to: str, mask: str, props=names.DEFAULT_DISTANCE_FEATURES, functions=names.DEFAULT_DISTANCE_FUNCTIONS, scale=(1.0, 1.0, 1.0), keys=KEYS) -> DataFrame:
-    """``<label_to>_<Feature><Function>`` of each object."""
+    """``<label_to>_<Feature><Function>`` of each object. The maps of all functions lie beside each other and are summed up together."""
+    mapped, maps = voxels.select(*dict.fromkeys((*keys, "ROI", "label", "z", "y", "x", names.q(mask)))), {}
+    for k, function in enumerate(functions):
+        maps[function] = f"_d{k}"
+        mapped = map_of(mapped, function, mask, scale).withColumnRenamed("d", maps[function])
+    stats = [p for p in names.requested(props, names.DISTANCE_FEATURES) if p != "Centroid"]
+    parts = [intensity.features(mapped, list(maps.values()), stats, scale, keys)] if stats and maps else []
+    if "Centroid" in props and maps:
+        middle = at_centroid(mapped, keys, tuple(maps.values()))
+        parts.append(middle.withColumnRenamed("Centroid", "_d0_Centroid"))
     out = objects(voxels).select(*keys).distinct()
-    for function in functions:
-        mapped = map_of(voxels, function, mask, scale)
-        stats = [p for p in names.requested(props, names.DISTANCE_FEATURES) if p != "Centroid"]
-        parts = [intensity.features(mapped, ["d"], stats, scale, keys)] if stats else []
-        parts += [at_centroid(mapped, keys).withColumnRenamed("Centroid", "d_Centroid")] if "Centroid" in props else []
-        for part in parts:
-            renamed = [F.col(names.q(c)) if c in keys else F.col(names.q(c)).alias(names.distance(label_to, c.removeprefix("d_"), function)) for c in part.columns]
-            out = out.join(part.select(*renamed), list(keys), "left")
+    for part in parts:
+        renamed = [F.col(names.q(f"{m}_{p}")).alias(names.distance(label_to, p, function)) for function, m in maps.items() for p in (*stats, "Centroid") if f"{m}_{p}" in part.columns]
+        out = out.join(part.select(*keys, *renamed), list(keys), "left")
     return out

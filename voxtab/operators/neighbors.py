@@ -319,18 +319,18 @@ def delaunay(points: DataFrame) -> DataFrame:
             out = pd.concat([out.astype({"focal": object, "neighbor": object}), at]) if len(at) else out
         return out.assign(ROI=f["ROI"].iloc[0], at=f["at"].iloc[0]).reindex(columns=["ROI", "at", "focal", "neighbor", "cz", "cy", "cx", "square"])
 
-    d = _tiles(points)
+    # Tiles are small rows but long work, which partitions joined by their bytes would hide.
+    d, tasks = _tiles(points), int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if largest_region(points) <= TILE:
         seen = d.select("*", F.col("tile").alias("at"), F.lit(True).alias("core"))
-        return seen.groupBy("ROI", "at").applyInPandas(one, schema).select("ROI", "focal", "neighbor", F.lit(1.0).alias("weight"))
+        return seen.repartition(tasks, "ROI", "at").groupBy("ROI", "at").applyInPandas(one, schema).select("ROI", "focal", "neighbor", F.lit(1.0).alias("weight"))
     d = checkpointed(d)
     tiles = d.groupBy("ROI", "tile").agg(*(f(f"_{c}").alias(f"{n}{c}") for c in "zyx" for n, f in (("_l", F.min), ("_h", F.max))), F.count("*").alias("_n"))
     apart = HALO * F.cbrt(F.greatest(F.lit(1e-6), F.col("_hz") - F.col("_lz")) * F.greatest(F.lit(1e-6), F.col("_hy") - F.col("_ly")) * F.greatest(F.lit(1e-6), F.col("_hx") - F.col("_lx")) / F.col("_n"))
     views = tiles.select("ROI", F.col("tile").alias("at"), *((F.col(f"_{n}{c}") + (apart if n == "h" else -apart)).alias(f"_{n}{c}") for c in "zyx" for n in "lh"))
     inside = [F.col(f"_{c}").between(F.col(f"_l{c}"), F.col(f"_h{c}")) for c in "zyx"]
     seen = checkpointed(d.join(views, "ROI").where((inside[0] & inside[1] & inside[2]) & (~F.col("alone") | (F.col("tile") == F.col("at")))).withColumn("core", F.col("tile") == F.col("at")))
-    # Tiles are small rows but long work, which partitions joined by their bytes would hide.
-    tasks, done = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), None
+    done = None
     while True:
         made = checkpointed(seen.repartition(tasks, "ROI", "at").groupBy("ROI", "at").applyInPandas(one, schema))
         # Spheres that reach out of sight, and in each tile that they reach into the point deepest inside.

@@ -15,13 +15,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import expressions as E
 from ..functions import names
 
 KEYS = ("ROI", "label")
-_AXES = T.StructType([T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("moments", "axes")])
 
 
 def objects(voxels: DataFrame) -> DataFrame:
@@ -58,18 +56,64 @@ def central(scale) -> list[Column]:
     return out
 
 
-@F.pandas_udf(_AXES)
-def principal(xx: pd.Series, xy: pd.Series, xz: pd.Series, yy: pd.Series, yz: pd.Series, zz: pd.Series) -> pd.DataFrame:
-    """Ascending moments and their axes, row by row; an axis points so that its largest component is positive."""
-    m = np.stack([xx, xy, xz, xy, yy, yz, xz, yz, zz], axis=1).astype(np.float64).reshape(-1, 3, 3)
-    bad = ~np.isfinite(m).all(axis=(1, 2))
-    m[bad] = 0
-    values, vectors = np.linalg.eigh(m)
-    axes = np.swapaxes(vectors, 1, 2)
-    largest = np.take_along_axis(axes, np.abs(axes).argmax(axis=2)[:, :, None], axis=2)
-    axes = axes * np.where(largest < 0, -1.0, 1.0)
-    moments = [None if b else v.tolist() for b, v in zip(bad, np.maximum(values, 0))]
-    return pd.DataFrame({"moments": moments, "axes": [None if b else a.ravel().tolist() for b, a in zip(bad, axes)]})
+def with_principal(df: DataFrame, scale) -> DataFrame:
+    """``df`` with ``_moments`` (ascending) and ``_axes`` (x, y and z of each) of its moment sums; null where a sum is.
+
+    The eigenvalue that is farthest from the others follows from the characteristic polynomial, its axis
+    from a cross product of two rows, and the other two from the plane across, by one angle. An axis points so
+    that its largest component (of equals the first) is positive. Moments that are equal leave their
+    axes open: then one comes first that is closest to a coordinate axis, x before y before z.
+    """
+    keep = [names.q(c) for c in df.columns]
+    xx, xy, xz, yy, yz, zz = (F.col(f"_e{k}") for k in range(6))
+    d = df.select("*", *(c.alias(f"_e{k}") for k, c in enumerate(central(scale))))
+    d = d.withColumn("_q", (xx + yy + zz) / 3)
+    d = d.withColumn("_s", F.sqrt(((xx - F.col("_q")) ** 2 + (yy - F.col("_q")) ** 2 + (zz - F.col("_q")) ** 2 + 2 * (xy * xy + xz * xz + yz * yz)) / 6))
+    even = F.col("_s") <= F.abs("_q") * 1e-9
+    x, y, z = ((v - F.col("_q")) / F.col("_s") for v in (xx, yy, zz))
+    a, b, c = (v / F.col("_s") for v in (xy, xz, yz))
+    half = (x * (y * z - c * c) - a * (a * z - c * b) + b * (a * c - y * b)) / 2
+    d = d.withColumn("_r", F.when(even, F.lit(1.0)).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), half))))
+    top = F.col("_r") >= 0
+    d = d.withColumn("_far", F.col("_q") + 2 * F.col("_s") * F.cos(F.acos("_r") / 3 + F.when(top, F.lit(0.0)).otherwise(F.lit(2 * pi / 3))))
+    # The axis of that value: the longest cross product of two rows of what is left without it.
+    rows = [[xx - F.col("_far"), xy, xz], [xy, yy - F.col("_far"), yz], [xz, yz, zz - F.col("_far")]]
+    cross = lambda u, v: [u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0]]
+    dot = lambda u, v: reduce(lambda s, t: s + t, [i * j for i, j in zip(u, v)])
+    products = [cross(rows[i], rows[j]) for i, j in ((0, 1), (0, 2), (1, 2))]
+    longest = F.array_max(F.array(*(F.struct(dot(v, v).alias("n"), *(t.alias(f"v{k}") for k, t in enumerate(v))) for v in products)))
+    d = d.withColumn("_long", longest)
+    d = d.withColumns({f"_w{k}": F.when(even, F.lit(float(k == 2))).otherwise(F.col(f"_long.v{k}") / F.sqrt("_long.n")) for k in range(3)})
+    w = [F.col(f"_w{k}") for k in range(3)]
+    # Two directions across it; the first lies closest to a coordinate axis.
+    size = [F.abs(v) for v in w]
+    least = F.least(*size) + 1e-9
+    pick = F.when(size[0] <= least, F.lit(0)).when(size[1] <= least, F.lit(1)).otherwise(F.lit(2))
+    d = d.withColumn("_k", pick).withColumn("_wk", F.when(F.col("_k") == 0, w[0]).when(F.col("_k") == 1, w[1]).otherwise(w[2]))
+    d = d.withColumns({f"_u{k}": (F.when(F.col("_k") == k, F.lit(1.0)).otherwise(F.lit(0.0)) - F.col("_wk") * w[k]) / F.sqrt(1 - F.col("_wk") * F.col("_wk")) for k in range(3)})
+    u = [F.col(f"_u{k}") for k in range(3)]
+    d = d.withColumns({f"_v{k}": t for k, t in enumerate(cross(w, u))})
+    v = [F.col(f"_v{k}") for k in range(3)]
+    matrix = [[xx, xy, xz], [xy, yy, yz], [xz, yz, zz]]
+    form = lambda p, q: dot(p, [dot(r, q) for r in matrix])
+    d = d.withColumns({"_uu": form(u, u), "_uv": form(u, v), "_vv": form(v, v), "_ww": form(w, w)})
+    d = d.withColumn("_d", F.hypot((F.col("_uu") - F.col("_vv")) / 2, F.col("_uv")))
+    alike = F.col("_d") <= F.abs("_q") * 1e-9
+    d = d.withColumn("_t", F.when(alike, F.lit(pi / 2)).otherwise(F.atan2(2 * F.col("_uv"), F.col("_uu") - F.col("_vv")) / 2))
+    d = d.withColumns({**{f"_h{k}": F.cos("_t") * u[k] + F.sin("_t") * v[k] for k in range(3)}, **{f"_l{k}": F.cos("_t") * v[k] - F.sin("_t") * u[k] for k in range(3)}})
+
+    def pointed(n: str) -> list[Column]:
+        t = [F.col(f"_{n}{k}") for k in range(3)]
+        most = F.greatest(*(F.abs(c) for c in t)) - 1e-9
+        sign = F.when(F.abs(t[0]) >= most, F.signum(t[0])).when(F.abs(t[1]) >= most, F.signum(t[1])).otherwise(F.signum(t[2]))
+        return [c * sign for c in t]
+
+    mean = (F.col("_uu") + F.col("_vv")) / 2
+    low, high, far = mean - F.col("_d"), mean + F.col("_d"), F.col("_ww")
+    known = reduce(lambda s, t: s & t, [F.abs(F.col(f"_e{k}")) < float("inf") for k in range(6)])
+    order = lambda a, b, c: F.when(known, F.when(top, F.array(*a, *b, *c)).otherwise(F.array(*c, *a, *b)))
+    zero = F.lit(0.0)
+    return d.select(*keep, order([F.greatest(low, zero)], [F.greatest(high, zero)], [F.greatest(far, zero)]).alias("_moments"), order(pointed("l"), pointed("h"), pointed("w")).alias("_axes"))
 
 
 def elongation(m: Column) -> Column:
@@ -124,15 +168,15 @@ def with_moments(df: DataFrame, scale) -> DataFrame:
     """The features of the moment sums in ``df`` (and of the count ``_n``), in place of them."""
     sz, sy, sx = scale
     held = [c for c in df.columns if not c.startswith("_")]
-    p = df.withColumn("_p", principal(*central(scale)))
-    m, r = F.col("_p.moments"), E.sphere_radius(F.col("_n") * F.lit(float(sz * sy * sx)))
+    p = with_principal(df, scale)
+    m, r = F.col("_moments"), E.sphere_radius(F.col("_n") * F.lit(float(sz * sy * sx)))
     mean = F.pow(m[0] * m[1] * m[2], F.lit(1 / 3))
     diameters = F.struct(*((2 * r * F.sqrt(E.safe_divide(m[i], mean))).alias(n) for i, n in enumerate("abc")))
     made = {
-        "PrincipalMoments": F.struct(*(m[i].alias(n) for i, n in enumerate("abc"))), "PrincipalAxes": named_axes(F.col("_p.axes")),
+        "PrincipalMoments": F.struct(*(m[i].alias(n) for i, n in enumerate("abc"))), "PrincipalAxes": named_axes(F.col("_axes")),
         "Elongation": elongation(m), "Flatness": flatness(m), "EquivalentEllipsoidDiameter": diameters,
     }
-    temporary = {f"_{c}" for c in ("w", "x", "y", "z", "xx", "xy", "xz", "yy", "yz", "zz", "n", "p")}
+    temporary = {f"_{c}" for c in ("w", "x", "y", "z", "xx", "xy", "xz", "yy", "yz", "zz", "n")}
     rest = [c for c in df.columns if c.startswith("_") and c not in temporary]
     return p.select(*(names.q(c) for c in held), *(v.alias(k) for k, v in made.items()), *(names.q(c) for c in rest))
 

@@ -84,7 +84,10 @@ def measure(
     by_sum = [(a, b) for a, b in pairs if "PearsonR" in names.requested(metrics, coloc.METRICS)]
     sums |= {names.coloc(a, b, "PearsonR"): coloc.pearson_of(a, b) for a, b in by_sum}
     # Everything that sums give comes from one pass; the rest is joined to it.
-    one = intensity.finished(shape.features(v, scale, label_props, more=sums), used, want, scale)
+    one = shape.features(v, scale, label_props, more=sums)
+    if "Median" in want:
+        one = one.join(intensity.medians(v, used), ["ROI", "label"], "left")
+    one = intensity.finished(one, used, want, scale)
     shapes = [c for c in one.columns if c not in sums and c not in values]
     parts = [one.select(*(q(c) for c in [*shapes, *values, *(names.coloc(a, b, "PearsonR") for a, b in by_sum)]))]
     if parent:

@@ -112,9 +112,31 @@ def shape_perimeter(spark, sf_dir):
     return fields(shape.perimeter(views.grid(spark, sf_dir), SCALE).select("ROI", "label", "Perimeter", "PerimeterOnBorderRatio", "Roundness"), "ROI", "label")
 
 
-@query("shape_moments")
+def _eigen(weight: str) -> str:
+    """Axes ``v`` (largest component positive) and moments ``e`` by label: the roots of the characteristic polynomial, and the longest cross product of two rows left without each."""
+    at = {"x": "x * 0.5", "y": "y * 0.5", "z": "z * 2.0"}
+    sums = ", ".join(f"sum({weight} * {at[i]} * {at[j]}) / sum({weight}) - sum({weight} * {at[i]}) * sum({weight} * {at[j]}) / pow(sum({weight}), 2){' + %r' % ({'x': 0.25, 'y': 0.25, 'z': 4.0}[i] / 12) if i == j else ''} AS {i}{j}" for i, j in ("xx", "xy", "xz", "yy", "yz", "zz"))
+    less = {"xx": "(xx - e)", "yy": "(yy - e)", "zz": "(zz - e)"}
+    row = [[less.get(f"{min(i, j)}{max(i, j)}", f"{min(i, j)}{max(i, j)}") for j in "xyz"] for i in "xyz"]
+    cross = lambda u, v: "[" + ", ".join(f"{u[i]} * {v[j]} - {u[j]} * {v[i]}" for i, j in ((1, 2), (2, 0), (0, 1))) + "]"
+    return f"""m AS (SELECT label, count(*) AS n, {sums} FROM grid WHERE label <> 0 GROUP BY label), o AS (SELECT *, (xx + yy + zz) / 3 AS q FROM m),
+    p AS (SELECT *, sqrt((pow(xx - q, 2) + pow(yy - q, 2) + pow(zz - q, 2) + 2 * (xy * xy + xz * xz + yz * yz)) / 6) AS s FROM o),
+    r AS (SELECT *, acos(greatest(-1, least(1, ((xx - q) * ((yy - q) * (zz - q) - yz * yz) - xy * (xy * (zz - q) - yz * xz) + xz * (xy * yz - (yy - q) * xz)) / (2 * s * s * s)))) / 3 AS phi FROM p),
+    f AS (SELECT *, unnest(['a', 'b', 'c']) AS axis, unnest([q + 2 * s * cos(phi + 2 * pi() / 3), q + 2 * s * cos(phi - 2 * pi() / 3), q + 2 * s * cos(phi)]) AS e FROM r),
+    g AS (SELECT label, n, axis, e, unnest([{cross(row[0], row[1])}, {cross(row[0], row[2])}, {cross(row[1], row[2])}]) AS w FROM f),
+    h AS (SELECT label, n, axis, e, arg_max(w, list_dot_product(w, w)) AS w FROM g GROUP BY ALL),
+    i AS (SELECT label, n, axis, e, list_transform(w, lambda t: t / sqrt(list_dot_product(w, w)) * sign(CASE WHEN abs(w[1]) >= greatest(abs(w[2]), abs(w[3])) THEN w[1] WHEN abs(w[2]) >= abs(w[3]) THEN w[2] ELSE w[3] END)) AS v FROM h),
+    ev AS (SELECT label, n, {", ".join(f"max(e) FILTER (axis = '{x}') AS e{x}, any_value(v) FILTER (axis = '{x}') AS v{x}" for x in "abc")} FROM i GROUP BY label, n)"""
+
+
+def _axes(name: str) -> str:
+    return ", ".join(f'round(v{a}[{k}], 4) + 0.0 AS "{name}-{a}-{c}"' for a in "abc" for k, c in enumerate("xyz", 1))
+
+
+@query("shape_moments", "grid", f"""-- , {_eigen('1.0')} SELECT CAST(0 AS BIGINT) AS "ROI", label, {", ".join(f'round(e{a}, 4) AS "PrincipalMoments-{a}"' for a in "abc")}, {_axes("PrincipalAxes")}, round(sqrt(ec / eb), 4) AS "Elongation", round(sqrt(eb / ea), 4) AS "Flatness",
+    {", ".join(f'round(2 * pow(3 * n * 0.5 / (4 * pi()), 1.0 / 3) * sqrt(e{a} / pow(ea * eb * ec, 1.0 / 3)), 4) AS "EquivalentEllipsoidDiameter-{a}"' for a in "abc")} FROM ev""")
 def shape_moments(spark, sf_dir):
-    return shape.moments(views.grid(spark, sf_dir), SCALE)
+    return fields(shape.moments(views.grid(spark, sf_dir), SCALE), "ROI", "label")
 
 
 @query("principal_moments", "grid", """-- , c AS (SELECT label, var_pop(z * 2.0) + 4.0 / 12 AS a, var_pop(y * 0.5) + 0.25 / 12 AS b, var_pop(x * 0.5) + 0.25 / 12 AS c, covar_pop(z * 2.0, y * 0.5) AS d, covar_pop(z * 2.0, x * 0.5) AS e, covar_pop(y * 0.5, x * 0.5) AS f FROM grid WHERE label <> 0 GROUP BY label),
@@ -131,9 +153,16 @@ def shape_feret(spark, sf_dir):
     return fields(shape.feret(views.grid(spark, sf_dir), SCALE), "ROI", "label")
 
 
-@query("shape_oriented_box")
+_ALONG = {a: (f"(x * 0.5 * v{a}[1] + y * 0.5 * v{a}[2] + z * 2.0 * v{a}[3])", f"(0.25 * abs(v{a}[1]) + 0.25 * abs(v{a}[2]) + abs(v{a}[3]))") for a in "abc"}
+
+
+@query("shape_oriented_box", "grid", f"""-- , {_eigen('1.0')}, j AS (SELECT ev.label, {", ".join(f"any_value(v{a}) AS v{a}, min({p} - {h}) AS l{a}, max({p} + {h}) AS h{a}" for a, (p, h) in _ALONG.items())} FROM grid JOIN ev ON ev.label = grid.label GROUP BY ev.label)
+    SELECT CAST(0 AS BIGINT) AS "ROI", label, {_axes("OrientedBoundingBoxDirection")}, {", ".join(f'round(h{a} - l{a}, 4) AS "OrientedBoundingBoxSize-{a}"' for a in "abc")},
+    {", ".join(f'round({" + ".join(f"{end}{a} * v{a}[{k}]" for a in "abc")}, 4) + 0.0 AS "{name}-{c}"' for name, end in (("OrientedBoundingBoxOrigin", "l"), ("far", "h")) for k, c in enumerate("xyz", 1))}, CAST(8 AS INT) AS corners FROM j""")
 def shape_oriented_box(spark, sf_dir):
-    return shape.oriented_box(views.grid(spark, sf_dir), SCALE)
+    b = shape.oriented_box(views.grid(spark, sf_dir), SCALE)
+    vertices = F.col("OrientedBoundingBoxVertices")
+    return fields(b.withColumns({"far": vertices[7], "corners": F.size(vertices)}).drop("OrientedBoundingBoxVertices"), "ROI", "label")
 
 
 @query("shape_all")
@@ -161,9 +190,9 @@ def center_of_gravity(spark, sf_dir):
     return fields(intensity.features(views.grid(spark, sf_dir), ["v"], ("CenterOfGravity",), SCALE), "ROI", "label")
 
 
-@query("intensity_weighted_shape")
+@query("intensity_weighted_shape", "grid", f"""-- , {_eigen('v')} SELECT CAST(0 AS BIGINT) AS "ROI", label, round(sqrt(ec / eb), 4) AS "v_WeightedElongation", round(sqrt(eb / ea), 4) AS "v_WeightedFlatness", {_axes("v_WeightedPrincipalAxes")}, {", ".join(f'round(e{a}, 4) AS "v_WeightedPrincipalMoments-{a}"' for a in "abc")} FROM ev""")
 def intensity_weighted_shape(spark, sf_dir):
-    return intensity.features(views.grid(spark, sf_dir), ["v"], ("Weighted",), SCALE)
+    return fields(intensity.features(views.grid(spark, sf_dir), ["v"], ("Weighted",), SCALE), "ROI", "label")
 
 
 @query("masked_features", "vox", """SELECT CAST(ROI AS BIGINT) AS "ROI", CASE WHEN parent % 4 = ROI THEN label ELSE 0 END AS label, count(*) AS n, round(sum(CASE WHEN parent % 4 = ROI THEN ch0 ELSE 0 END), 4) AS total FROM vox GROUP BY 1, 2""")
@@ -392,10 +421,11 @@ def delaunay_threshold(spark, sf_dir):
     return A.Neighborhoods.from_voxels(g, SCALE, g.where(F.col("label") != 0)).delaunay(threshold=0.5).aggregate()
 
 
-@query("neighborhood_preset", "pts", f"""-- , {_PAIRS}, k AS (SELECT *, row_number() OVER (PARTITION BY ROI, focal ORDER BY w, neighbor) AS n FROM p) SELECT {_ROI}, {", ".join(f'count(w) FILTER (w <= {x}) AS "RAD:{x}_Count"' for x in (10, 20, 30, 40, 50, 80, 100, 150, 200, 250))}, round(max(w) FILTER (n <= 1), 4) AS "KNNd:1_Max", {", ".join(f'round(avg(w) FILTER (n <= {x}), 4) AS "KNNd:{x}_Mean", round(max(w) FILTER (n <= {x}), 4) AS "KNNd:{x}_Max"' for x in (2, 5, 10, 20, 50, 100, 200))}
+@query("neighborhood_preset", "pts", f"""-- , {_PAIRS}, {_TETRAHEDRA}, k AS (SELECT *, row_number() OVER (PARTITION BY ROI, focal ORDER BY w, neighbor) AS n FROM p) SELECT {_ROI}, {", ".join(f'count(w) FILTER (w <= {x}) AS "RAD:{x}_Count"' for x in (10, 20, 30, 40, 50, 80, 100, 150, 200, 250))}, round(max(w) FILTER (n <= 1), 4) AS "KNNd:1_Max", {", ".join(f'round(avg(w) FILTER (n <= {x}), 4) AS "KNNd:{x}_Mean", round(max(w) FILTER (n <= {x}), 4) AS "KNNd:{x}_Max"' for x in (2, 5, 10, 20, 50, 100, 200))}, any_value((SELECT count(*) FROM g WHERE g.ROI = pts.ROI AND g.focal = pts.label)) AS "DELAUNAY:1_Count"
     FROM pts LEFT JOIN k ON k.ROI = pts.ROI AND k.focal = pts.label GROUP BY pts.ROI, pts.label""")
 def neighborhood_preset(spark, sf_dir):
-    return fields(A.preset(A.Neighborhoods(views.pts(spark, sf_dir)), delaunay=False, touch=False), "ROI", "label")
+    """Points have no faces that could touch; the preset of voxels counts those too."""
+    return fields(A.preset(A.Neighborhoods(views.pts(spark, sf_dir)), touch=False), "ROI", "label")
 
 
 @query("neighborhood_preset_voxels")
