@@ -461,3 +461,79 @@ def test_walks_by_doubling(spark):
     for n in range(1, 8):
         want = {(a, b) for a, b in zip(*np.nonzero(np.linalg.matrix_power(m, n))) if a != b}
         assert {(r["focal"], r["neighbor"]) for r in N.steps(e, n).collect()} == want
+
+
+def test_tables_by_object_are_joined_in_place(spark, tmp_path):
+    from voxtab.operators import hierarchy
+
+    d = spark.range(500).select((F.col("id") % 5).alias("ROI"), F.col("id").alias("label"), (F.col("id") * 2).alias("a"))
+    parts = [d, d.where("label % 3 = 0").withColumnRenamed("a", "b"), d.where("label > 100").withColumnRenamed("a", "c")]
+    for k, p in enumerate(parts):
+        tables.save_by_object(p, f"by_object_{k}", str(tmp_path / f"t{k}"), 4)
+    with pytest.raises(Exception, match="already exists"):
+        tables.save_by_object(d, "by_object_0", str(tmp_path / "t0"), 4)
+    tables.save_by_object(d, "by_object_0", str(tmp_path / "t0"), 4, overwrite=True)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = [spark.table(f"by_object_{k}") for k in range(3)]
+        joined = hierarchy.folded(stored, ["ROI", "label"], "left")
+        for df in (joined, hierarchy.aligned(stored[:2])):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in stored[0].groupBy("ROI", "label").agg(F.max("a"))._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, joined.collect()), key=str) == sorted(map(tuple, hierarchy.folded(parts, ["ROI", "label"], "left").collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for k in range(3):
+            spark.sql(f"DROP TABLE IF EXISTS by_object_{k}")
+
+
+def test_medians_by_counts(spark):
+    rng = np.random.default_rng(31)
+    rows = [(0, int(rng.integers(1, 6)), float(rng.integers(0, 9)), None if rng.random() < 0.2 else float(rng.random())) for _ in range(300)] + [(0, 9, None, None), (0, 0, 1.0, 1.0), (1, 1, 5.0, None)]
+    d = spark.createDataFrame(rows, "ROI int, label int, a double, b double")
+    from voxtab.operators import intensity
+
+    got = {(r["ROI"], r["label"]): r for r in intensity.features(d, ["a", "b"], ("Median",)).collect()}
+    want = {(r["ROI"], r["label"]): r for r in d.where("label <> 0").groupBy("ROI", "label").agg(F.median("a").alias("a"), F.median("b").alias("b")).collect()}
+    assert set(got) == set(want)
+    for k, r in want.items():
+        assert (got[k]["a_Median"], got[k]["b_Median"]) == (pytest.approx(r["a"]) if r["a"] is not None else None, pytest.approx(r["b"]) if r["b"] is not None else None)
+
+
+def test_principal_axes_equal_a_solver(spark):
+    """Distinct, equal and vanishing moments, in any direction and along the axes."""
+    rng = np.random.default_rng(32)
+    matrices = [np.eye(3) * 2.5, np.diag([3.0, 1.0, 3.0]), np.zeros((3, 3))]
+    for k in range(150):
+        values, turn = np.sort(rng.random(3) * (1, 10, 1000)[k % 3]), np.linalg.qr(rng.normal(size=(3, 3)))[0]
+        values[0] = (values[0], values[1], 0)[k % 4 % 3]
+        values[2] = values[1] * (1 + 1e-5) if k % 5 == 0 else values[2]
+        turn = np.eye(3)[rng.permutation(3)] if k % 7 == 0 else turn
+        matrices.append(turn @ np.diag(values) @ turn.T)
+    names_ = ("_xx", "_xy", "_xz", "_yy", "_yz", "_zz")
+    rows = [(k, 1.0, 0.0, 0.0, 0.0, *(float(m[i, j]) for i, j in ((0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)))) for k, m in enumerate(matrices)] + [(999, 0.0, *[0.0] * 9)]
+    d = spark.createDataFrame(rows, "k int, _w double, _x double, _y double, _z double, " + ", ".join(f"{c} double" for c in names_))
+    found = {r["k"]: r for r in shape.with_principal(d, (0.0, 0.0, 0.0)).collect()}
+    assert found[999]["_moments"] is None and found[999]["_axes"] is None
+    for k, m in enumerate(matrices):
+        e, v = np.array(found[k]["_moments"]), np.array(found[k]["_axes"]).reshape(3, 3)
+        top = max(1e-300, np.abs(m).max())
+        assert np.abs(e - np.linalg.eigvalsh(m)).max() <= 1e-12 * top and np.abs(v @ v.T - np.eye(3)).max() < 1e-12
+        assert np.abs(m @ v.T - v.T * e).max() <= 1e-10 * top and all(a[np.abs(a).argmax()] > 0 or np.ptp(np.sort(np.abs(a))[1:]) < 1e-8 for a in v)
+    assert np.array(found[0]["_axes"]) == pytest.approx(np.eye(3).ravel(), abs=1e-12)
+
+
+def test_pairs_of_channels_come_from_one_exchange(spark):
+    rng = np.random.default_rng(33)
+    rows = [(int(k % 2), int(k % 7), *(None if rng.random() < 0.05 else float(rng.integers(0, 6)) for _ in range(3))) for k in range(400)] + [(0, 99, 1.0, None, None)]
+    v = spark.createDataFrame(rows, "ROI int, label int, a double, b double, c double")
+    pairs = [("a", "b"), ("a", "c"), ("c", "b")]
+    wide = {(r["ROI"], r["label"]): r for r in coloc.features(v, pairs, tuple(coloc.METRICS)).collect()}
+    assert len(wide) == v.where("label <> 0").select("ROI", "label").distinct().count()
+    for x, y in pairs:
+        for metric, of in coloc.METRICS.items():
+            alone = {(r["ROI"], r["label"]): r["value"] for r in of(v, x, y).collect()}
+            for k, r in wide.items():
+                want = alone.get(k)
+                assert r[f"{x}|{y}_{metric}"] == (pytest.approx(want, nan_ok=True) if want is not None else None), (x, y, metric, k)

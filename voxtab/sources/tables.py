@@ -33,6 +33,17 @@ def write_table(df: DataFrame, path: str, overwrite: bool = False, partition_by=
     df.write.partitionBy(*partition_by).mode("overwrite" if overwrite else "errorifexists").parquet(path)
 
 
+def save_by_object(df: DataFrame, name: str, path: str | None = None, buckets: int = 64, keys=("ROI", "label"), overwrite: bool = False) -> None:
+    """A table of the catalogue whose rows lie in ``buckets`` by object, in order within each.
+
+    Tables with as many buckets by the same keys are joined and summed up by object without an exchange,
+    however often: the rows are dealt once, here (a full outer join gives new keys, so only the first of
+    several is free). Each bucket is one file. ``path`` puts the table elsewhere than in the warehouse.
+    """
+    w = df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite" if overwrite else "errorifexists")
+    (w.option("path", path) if path else w).saveAsTable(name)
+
+
 def write_models(params: DataFrame, path: str, overwrite: bool = False) -> None:
     """A parameter table by model and channel. Models that did not settle are stored without parameters."""
     write_table(params, path, overwrite, ("model", "channel"))
