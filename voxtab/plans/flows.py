@@ -146,12 +146,12 @@ def cohort(df: DataFrame, alignment: float | None = None, strict: bool = True, c
 TIME_SPECS = tuple(models.Spec(m, ("timeDeltaMinutes",)) for m in ("Exp", "ExpNoOffset", "Linear", "LogLinear"))
 
 
-def time_decay(intensities: DataFrame, times: DataFrame, specs: Sequence[models.Spec] = TIME_SPECS, alignment: DataFrame | None = None, keep: DataFrame | None = None, **filters) -> tuple[DataFrame, DataFrame]:
+def time_decay(intensities: DataFrame, times: DataFrame, specs: Sequence[models.Spec] = TIME_SPECS, alignment: DataFrame | None = None, keep: DataFrame | None = None, cutoff: float | None = None, **filters) -> tuple[DataFrame, DataFrame]:
     """The model parameters by acquisition and channel, and ``correctionFactor-<Model>`` of each site.
 
     ``intensities``: ``well, ROI, object, label, acquisition, channel, Mean``; ``times``: ``well, ROI,
     acquisition, acquisitionTime``; ``alignment``: ``well, ROI, object, label, acquisition,
-    alignmentScore``; ``keep``: objects to keep.
+    alignmentScore``, of which those above ``cutoff`` stay; ``keep``: objects to keep; ``filters``: those of :func:`cohort`.
     """
     key = ["well", "ROI", "object", "label"]
     d = intensities
@@ -161,7 +161,7 @@ def time_decay(intensities: DataFrame, times: DataFrame, specs: Sequence[models.
         d = d.join(alignment, [*key, "acquisition"])
     d = d.join(time_deltas(times).select("well", "ROI", "acquisition", "timeDeltaMinutes"), ["well", "ROI", "acquisition"])
     # A row for each site and channel: made once for the fits and for the factors.
-    sites = tables.checkpointed(site_means(cohort(d, **filters)))
+    sites = tables.checkpointed(site_means(cohort(d, cutoff, **filters)))
     params = models.fit_groups(sites, specs, "Mean_CycleMeanNorm", ("acquisition", "channel"))
     return params, models.with_factors(sites, params, {f"correctionFactor-{s.model}": s for s in specs}, ("acquisition", "channel"))
 

@@ -698,6 +698,24 @@ def time_decay_linear(spark, sf_dir):
     return out.select("ROI", "well", "acquisition", *(r(c).alias(c) for c in ("Mean_CycleMeanNorm", "correctionFactor-Linear", "correctionFactor-LogLinear")))
 
 
+@query("time_decay_aligned", None, """WITH i AS (SELECT user_id % 8 AS well, user_id % 4 AS ROI, event_id AS label, event_type AS acquisition, value AS mean, ts FROM events),
+    st AS (SELECT well, ROI, acquisition, min(ts) AS first FROM i GROUP BY ALL), dl AS (SELECT well, ROI, acquisition, CAST(floor((epoch_us(first) - min(epoch_us(first)) OVER (PARTITION BY acquisition)) / 1000000.0) / 60.0 AS FLOAT) AS minutes FROM st),
+    k AS (SELECT * FROM i WHERE label % 5 <> 0 AND label % 100 > 30 AND label % 3 <> 2 AND well NOT IN (6)),
+    m AS (SELECT ROI, acquisition, well, avg(mean) AS mean, avg(CAST(minutes AS DOUBLE)) AS t, count(*) AS n FROM k JOIN dl USING (well, ROI, acquisition) GROUP BY ALL), s AS (SELECT *, mean / avg(mean) OVER (PARTITION BY acquisition) AS cn FROM m),
+    p AS (SELECT acquisition, regr_intercept(cn, t) AS a, regr_slope(cn, t) AS b FROM s GROUP BY acquisition)
+    SELECT ROI AS "ROI", well, acquisition, round(mean, 4) AS "Mean", round(cn, 4) AS "Mean_CycleMeanNorm", round(a / (a + b * t), 4) AS "correctionFactor-Linear" FROM s JOIN p USING (acquisition)""")
+def time_decay_aligned(spark, sf_dir):
+    """The flow on kept objects with a score of alignment each, without a control well; scores at the cutoff go, objects without a score too."""
+    e = views.table(spark, sf_dir, "events")
+    key = {"well": F.col("user_id") % 8, "ROI": F.col("user_id") % 4, "object": F.lit("cell"), "label": F.col("event_id"), "acquisition": F.col("event_type")}
+    i = e.select(*(c.alias(n) for n, c in key.items()), F.lit("c1").alias("channel"), F.col("value").alias("Mean"), F.col("ts").alias("_ts"))
+    times = i.groupBy("well", "ROI", "acquisition").agg(F.min("_ts").alias("acquisitionTime"))
+    score = i.where("label % 3 <> 2").select(*key, ((F.col("label") % 100) / 100).alias("alignmentScore"))
+    keep = i.where("label % 5 <> 0").select("well", "ROI", "object", "label")
+    out = flows.time_decay(i.drop("_ts"), times, [models.Spec("Linear", ("timeDeltaMinutes",))], score, keep, 0.3, control_wells=[6])[1]
+    return out.select("ROI", "well", "acquisition", *(r(c).alias(c) for c in ("Mean", "Mean_CycleMeanNorm", "correctionFactor-Linear")))
+
+
 @query("z_decay_flow")
 def z_decay_flow(spark, sf_dir):
     g = views.grid(spark, sf_dir).withColumn("host", F.col("label") % 3 != 0)
@@ -705,6 +723,19 @@ def z_decay_flow(spark, sf_dir):
     return flows.z_decay(f, "host")
 
 
+@query("measure_values", "grid", f"""-- , {_FACES}, e AS (SELECT *, v % 100 AS w, CAST(label % 3 <> 0 AS INT) AS host FROM grid), l AS (SELECT *, sum(host) OVER (PARTITION BY y, x ORDER BY z ROWS UNBOUNDED PRECEDING) * 2.0 AS d FROM e),
+    k AS (SELECT *, rank() OVER (PARTITION BY label ORDER BY v) + (count(*) OVER (PARTITION BY label, v) - 1) / 2.0 AS a, rank() OVER (PARTITION BY label ORDER BY w) + (count(*) OVER (PARTITION BY label, w) - 1) / 2.0 AS b FROM l WHERE label <> 0),
+    o AS (SELECT label, count(*) * 0.5 AS size, avg(v) AS m, median(v) AS mid, sum(w) AS total, corr(v, w) AS p, corr(a, b) AS s, max(host) AS host, max(d) AS far, CAST(floor(avg(z) + 0.5) AS BIGINT) AS z, CAST(floor(avg(y) + 0.5) AS BIGINT) AS y, CAST(floor(avg(x) + 0.5) AS BIGINT) AS x, avg(z) * 2.0 AS cz, avg(y) * 0.5 AS cy, avg(x) * 0.5 AS cx FROM k GROUP BY label),
+    n AS (SELECT a.label, sqrt(pow(a.cz - b.cz, 2) + pow(a.cy - b.cy, 2) + pow(a.cx - b.cx, 2)) AS w FROM o a JOIN o b ON a.label <> b.label)
+    SELECT CAST(0 AS BIGINT) AS "ROI", o.label, round(size, 4) AS "PhysicalSize", round(m, 4) AS "v_Mean", round(mid, 4) AS "v_Median", round(total, 4) AS "w_Sum", round(p, 4) + 0.0 AS "v|w_PearsonR", round(s, 4) + 0.0 AS "v|w_SpearmanR", CAST(o.host AS BIGINT) AS "parent.host", round(far, 4) AS "host_MaximumDistanceAlongZ", round(l.d, 4) AS "host_CentroidDistanceAlongZ",
+        (SELECT count(*) FROM f WHERE f.label = o.label AND f.neighbor <> 0) AS "TOUCH:1_Count", (SELECT count(*) FROM n WHERE n.label = o.label AND n.w <= 10) AS "RAD:10_Count", round((SELECT min(n.w) FROM n WHERE n.label = o.label), 4) AS "KNNd:1_Max"
+    FROM o LEFT JOIN l ON l.z = o.z AND l.y = o.y AND l.x = o.x""")
+def measure_values(spark, sf_dir):
+    """One value of each kind from the whole flow."""
+    picked = ("PhysicalSize", "v_Mean", "v_Median", "w_Sum", "v|w_PearsonR", "v|w_SpearmanR", "parent.host", "host_MaximumDistanceAlongZ", "host_CentroidDistanceAlongZ", "TOUCH:1_Count", "RAD:10_Count", "KNNd:1_Max")
+    return fields(measure_flow(spark, sf_dir).select("ROI", "label", *(q(c) for c in picked)), "ROI", "label")
+
+
 @query("measure_flow")
 def measure_flow(spark, sf_dir):
     g = views.grid(spark, sf_dir).withColumn("host", F.when(F.col("label") % 3 != 0, 1).otherwise(0)).withColumn("w", F.col("v") % 100)
