@@ -501,29 +501,6 @@ def test_medians_by_counts(spark):
         assert (got[k]["a_Median"], got[k]["b_Median"]) == (pytest.approx(r["a"]) if r["a"] is not None else None, pytest.approx(r["b"]) if r["b"] is not None else None)
 
 
-def test_principal_axes_equal_a_solver(spark):
-    """Distinct, equal and vanishing moments, in any direction and along the axes."""
-    rng = np.random.default_rng(32)
-    matrices = [np.eye(3) * 2.5, np.diag([3.0, 1.0, 3.0]), np.zeros((3, 3))]
-    for k in range(150):
-        values, turn = np.sort(rng.random(3) * (1, 10, 1000)[k % 3]), np.linalg.qr(rng.normal(size=(3, 3)))[0]
-        values[0] = (values[0], values[1], 0)[k % 4 % 3]
-        values[2] = values[1] * (1 + 1e-5) if k % 5 == 0 else values[2]
-        turn = np.eye(3)[rng.permutation(3)] if k % 7 == 0 else turn
-        matrices.append(turn @ np.diag(values) @ turn.T)
-    names_ = ("_xx", "_xy", "_xz", "_yy", "_yz", "_zz")
-    rows = [(k, 1.0, 0.0, 0.0, 0.0, *(float(m[i, j]) for i, j in ((0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)))) for k, m in enumerate(matrices)] + [(999, 0.0, *[0.0] * 9)]
-    d = spark.createDataFrame(rows, "k int, _w double, _x double, _y double, _z double, " + ", ".join(f"{c} double" for c in names_))
-    found = {r["k"]: r for r in shape.with_principal(d, (0.0, 0.0, 0.0)).collect()}
-    assert found[999]["_moments"] is None and found[999]["_axes"] is None
-    for k, m in enumerate(matrices):
-        e, v = np.array(found[k]["_moments"]), np.array(found[k]["_axes"]).reshape(3, 3)
-        top = max(1e-300, np.abs(m).max())
-        assert np.abs(e - np.linalg.eigvalsh(m)).max() <= 1e-12 * top and np.abs(v @ v.T - np.eye(3)).max() < 1e-12
-        assert np.abs(m @ v.T - v.T * e).max() <= 1e-10 * top and all(a[np.abs(a).argmax()] > 0 or np.ptp(np.sort(np.abs(a))[1:]) < 1e-8 for a in v)
-    assert np.array(found[0]["_axes"]) == pytest.approx(np.eye(3).ravel(), abs=1e-12)
-
-
 def test_pairs_of_channels_come_from_one_exchange(spark):
     rng = np.random.default_rng(33)
     rows = [(int(k % 2), int(k % 7), *(None if rng.random() < 0.05 else float(rng.integers(0, 6)) for _ in range(3))) for k in range(400)] + [(0, 99, 1.0, None, None)]

@@ -58,7 +58,9 @@ def _pass(rows: DataFrame, axis: str, size: float) -> DataFrame:
         return pd.DataFrame(made | {c: f[c].iloc[0] for c in _ENDS})[list(kinds)]
 
     kinds = dict(rows.dtypes)
-    return rows.groupBy("ROI", across[0], F.floor(F.col(across[1]) / LINES)).applyInPandas(run, ", ".join(f"{c} {t}" for c, t in kinds.items()))
+    # Lines are few bytes but long work, which partitions joined by their bytes would hide.
+    tasks, by = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), ["ROI", across[0], F.floor(F.col(across[1]) / LINES)]
+    return rows.repartition(tasks, *by).groupBy(*by).applyInPandas(run, ", ".join(f"{c} {t}" for c, t in kinds.items()))
 
 
 def to_border(voxels: DataFrame, mask: str, scale=(1.0, 1.0, 1.0)) -> DataFrame:
