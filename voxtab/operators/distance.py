@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import names
+from ..sources.tables import checkpointed
 from . import intensity
 from .shape import KEYS, objects
 
@@ -102,6 +103,8 @@ def features(voxels: DataFrame, label_to: str, mask: str, props=names.DEFAULT_DI
     for k, function in enumerate(functions):
         maps[function] = f"_d{k}"
         mapped = map_of(mapped, function, mask, scale).withColumnRenamed("d", maps[function])
+    # Read for sums, medians and centres, so the passes over the lines are made once.
+    mapped = checkpointed(mapped) if "DistanceToBorder" in maps else mapped
     stats = [p for p in names.requested(props, names.DISTANCE_FEATURES) if p != "Centroid"]
     parts = [intensity.features(mapped, list(maps.values()), stats, scale, keys)] if stats and maps else []
     if "Centroid" in props and maps:
