@@ -335,13 +335,72 @@ def test_leaks(spark):
     norm = lambda t: " ".join(decontaminate.words_of(t))
     texts = {r["doc_id"]: norm(r["text"]) for r in docs.collect()}
     assert {(d, k) for d, k in got if d is not None and d < 100_000} == {(d, k) for d, t in texts.items() for k, b in items.items() if f" {norm(b)} " in f" {t} "}
-    in_blocks = decontaminate.leaks(df, bench, block_bytes=2000)
-    assert {(r["doc_id"], r["item_id"]) for r in in_blocks.collect()} == got
+    shuffled = decontaminate.leaks(df, bench, seeds_broadcast=0)
+    assert {(r["doc_id"], r["item_id"]) for r in shuffled.collect()} == got
     kept = decontaminate.clean(df, bench)
     assert kept.columns == df.columns and kept.where("doc_id >= 100000 and doc_id < 7000000").count() == 0 and kept.where("doc_id is null").count() == 0
     assert decontaminate.leaks(df, bench.limit(0)).count() == 0
 
 
+def test_seeds_cannot_be_avoided():
+    """Whatever aligns with the least score takes over more pairs of the item than are left out as seeds."""
+    rng = np.random.default_rng(12)
+    reached = 0
+    for _ in range(4000):
+        n = int(rng.integers(3, 24))
+        item = rng.integers(1, int(rng.choice([4, 12, 1000])), n)
+        text = []
+        for k, word in enumerate(item):  # every kind of edit, often in regular patterns
+            kind = rng.integers(4) if rng.random() < 0.3 else k % int(rng.integers(2, 4))
+            text += [[word], [word, 0], [0], []][int(kind)] if rng.random() < 0.6 else [word]
+        text = np.array([int(x) for x in text], np.int64)
+        if decontaminate.align(item, text)[0] >= decontaminate.least_score(n, 0.5):
+            reached += 1
+            held = {*decontaminate.pair_codes(text).tolist(), *decontaminate.pair_codes(text, 1).tolist()}
+            common = sum(c in held for c in decontaminate.pair_codes(item).tolist())
+            assert 1 <= decontaminate.seeds_of(n, 0.5) and common > n - 1 - decontaminate.seeds_of(n, 0.5)
+    assert reached > 500
+
+
+def test_leaks_equal_all_alignments(spark):
+    """All documents against all items, whole texts: the same places and scores, by the broadcast and by the shuffle of seeds."""
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()][:25]
+    items += [(900, "one two"), (901, "one two three"), (902, "one two three four five six"), (903, None), (904, "")]
+    rng = np.random.default_rng(6)
+    edits = {
+        "third replaced": lambda w: [x if i % 3 != 2 else "zz" for i, x in enumerate(w)],
+        "every second gap filled": lambda w: [y for i, x in enumerate(w) for y in ([x, "zz"] if i % 2 else [x])],
+        "all gaps filled": lambda w: [y for x in w for y in (x, "zz")],
+        "third left out": lambda w: [x for i, x in enumerate(w) if i % 3 != 2],
+        "a half": lambda w: w[len(w) // 4 : len(w) // 4 + (len(w) + 1) // 2],
+        "some replaced": lambda w: [x if rng.random() > 0.25 else f"zz{rng.integers(9)}" for x in w],
+        "mixed order": lambda w: list(rng.permutation(w)),
+    }
+    for k, (i, text) in enumerate(items[:20]):
+        for e, edit in enumerate(edits.values()):
+            docs.append((10_000 + 100 * k + e, f"some words before {' '.join(edit(decontaminate.words_of(text)))} and after"))
+    docs += [(20_000, "one two three"), (20_001, "one two four"), (20_002, "one two three four zz six"), (20_003, None), (20_003, "one two three"), (None, items[0][1])]
+    code = {}
+    ids = lambda t: np.array([code.setdefault(x, len(code) + 1) for x in decontaminate.words_of(t)], np.int64)
+    want = []
+    for d, text in docs:
+        w = ids(text)
+        for i, t in items:
+            own = ids(t)
+            if len(own) >= 3 and decontaminate.MATCH * decontaminate.shared(own, w) >= (least := decontaminate.least_score(len(own), 0.5)):
+                score, end = decontaminate.align(own, w)
+                if score >= least:
+                    want.append((d or 0, i, round(score / (2 * len(own)), 9), end))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(d, i) for d, i, _, _ in want}
+    assert all((10_000 + 100 * k + e, items[k][0]) in found for k in range(20) for e in (0, 1, 2, 3, 4))
+    for held in (1 << 18, 0):
+        got = decontaminate.leaks(df, bench, seeds_broadcast=held).collect()
+        assert sorted((r["doc_id"] or 0, r["item_id"], round(r["score"], 9), r["end_word"]) for r in got) == sorted(want)
+
+
 def test_leaks_in_copied_documents(spark):
     item = [f"b{i}" for i in range(40)]
     edited = ["zz" if i % 7 == 3 else w for i, w in enumerate(item)]  # of the trigrams 17 of 38 occur nowhere

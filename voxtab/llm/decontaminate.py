@@ -1,11 +1,16 @@
-"""Benchmark decontamination: n-gram seeds and Smith-Waterman alignment of words.
-
-Each benchmark item is cut into word n-grams, and all of them are its seeds, however many
-documents hold them. Every place where a document holds a seed is aligned with the item, which
-finds copies with words replaced, added or left out. A place is passed over only where the
-words that it shares with the item, counted with repeats, are too few for any alignment to
-reach the score. Documents are only mapped, never shuffled; the benchmark is taken in blocks of
-bounded size, one after another, each against all documents.
+"""Benchmark decontamination: rare n-gram seeds join training passages to items, Smith-Waterman scores them.
+
+Seeds are pairs of neighbouring words of an item. All documents are counted first, and an item keeps
+its rarest pairs: so many that no alignment which reaches the score can avoid them all. An alignment
+of ``n`` words with score ``R`` (a match gives 2, any other step costs 1) takes at least
+``(2 (R - 2) - (n - 1)) / 3`` of the ``n - 1`` pairs over into the document, next to each other or
+with one word between: steps from match to match that skip nothing in the item and at most one word
+in the document gain up to 2, those that skip one word of the item gain 1 and use two of its words,
+and no other step gains anything. So the most frequent pairs, one fewer than that number, are left
+out, and nothing is lost by it; no seed is dropped for being frequent beyond that.
+
+Documents are mapped twice (counts, then passages that hold seeds) and never shuffled; what is
+shuffled are seeds, their places, and the passages around them, once for each different text.
 """
 
 from __future__ import annotations
@@ -14,15 +19,23 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SEED_WORDS = 3
+from .common import forget, stored
+
 #: An item is found where the alignment's score is this share of a full match or more.
 SIMILARITY = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Bytes of benchmark text that are searched in one pass over the documents.
-BLOCK_BYTES = 4 << 20
+#: Items of fewer words are not searched; an alignment has at least the score of LEAST_MATCHED words, or of the whole item.
+LEAST_WORDS, LEAST_MATCHED = 3, 4
+#: Words of a text that share a passage (more where items are longer).
+PASSAGE_WORDS = 256
+#: The filter of seeds that documents are read against: bits for each seed, and its bounds as powers of two (512 kB to 32 MB).
+FILTER_BITS, FILTER_LEAST, FILTER_MOST = 64, 22, 28
+#: Up to so many seeds (32 bytes each) are broadcast to their places; more are joined by a shuffle.
+SEEDS_BROADCAST = 1 << 18
 _WORD = re.compile(r"\w+")
 
 
@@ -30,8 +43,43 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+class _Hashes(dict):
+    """64-bit hashes of words, remembered up to a bound."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= 1 << 18:
+            self.clear()
+        self[word] = h = xxhash.xxh64_intdigest(word) - (1 << 63)
+        return h
+
+    def of(self, text: str | None) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words_of(text)), np.int64)
+
+
+def pair_codes(w: np.ndarray, skip: int = 0) -> np.ndarray:
+    """Codes of the words ``i`` and ``i + 1 + skip``."""
+    k = 1 + skip
+    return w[:-k] * np.int64(-7046029254386353131) + w[k:] if len(w) > k else np.empty(0, np.int64)
+
+
+def least_score(n: int, similarity: float) -> int:
+    """The score from which an item of ``n`` words is found."""
+    return max(int(np.ceil(MATCH * n * similarity - 1e-9)), MATCH * min(n, LEAST_MATCHED))
+
+
+def seeds_of(n: int, similarity: float) -> int:
+    """How many of the ``n - 1`` pairs have to be seeds so that no alignment with the least score avoids them."""
+    shared = -(-(2 * (least_score(n, similarity) - 2) - (n - 1)) // 3)
+    return n - 1 - shared + 1
+
+
+def reach(n: int, similarity: float) -> int:
+    """Words of a document that an alignment with the least score spans at most."""
+    return n + MATCH * n - least_score(n, similarity)
+
+
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
-    """Best local alignment score of two id arrays, and where it ends in ``window``; id 0 matches nothing."""
+    """Best local alignment score of two arrays of words, and the first place in ``window`` where it is reached."""
     at = np.arange(len(window) + 1)
     row = np.zeros(len(window) + 1, np.int64)
     best, end = 0, 0
@@ -42,132 +90,190 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
         np.maximum(t, 0, out=t)
         row = np.maximum.accumulate(t - GAP * at) + GAP * at
         top = int(row.argmax())
-        if row[top] > best:
+        if row[top] > best or row[top] == best and top < end:
             best, end = int(row[top]), top
     return best, end
 
 
-class Items:
-    """A block of benchmark items, ready for search."""
-
-    def __init__(self, rows: list[tuple[int, str]], seed_words: int = SEED_WORDS):
-        self.n = seed_words
-        texts = [(i, w) for i, w in ((i, words_of(t)) for i, t in rows) if len(w) >= seed_words]
-        self.vocabulary = {w: k + 1 for k, w in enumerate(sorted({x for _, w in texts for x in w}))}
-        self.base = len(self.vocabulary) + 1
-        self.ids = [i for i, _ in texts]
-        self.words = [np.array([self.vocabulary[x] for x in w], np.int64) for _, w in texts]
-        self.bags = [np.unique(w, return_counts=True) for w in self.words]
-        codes = [self._codes(w) for w in self.words]
-        self.seeds = np.unique(np.concatenate(codes)) if codes else np.empty(0, np.int64)
-        self.places: dict[int, list[tuple[int, int]]] = {}
-        for k, own in enumerate(codes):
-            for p, code in enumerate(own.tolist()):
-                self.places.setdefault(code, []).append((k, p))
-
-    def _codes(self, w: np.ndarray) -> np.ndarray:
-        if len(w) < self.n:
-            return np.empty(0, np.int64)
-        code = w[: len(w) - self.n + 1].copy()
-        for k in range(1, self.n):
-            code = code * self.base + w[k : len(w) - self.n + 1 + k]
-        return code
-
-    def encode(self, text: str | None) -> np.ndarray:
-        get = self.vocabulary.get
-        return np.array([get(w, 0) for w in words_of(text)], np.int64)
-
-    def hits(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in ``w`` that hold an n-gram of an item, and the n-grams' codes."""
-        if len(w) < self.n or not len(self.seeds):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        known = w > 0
-        full = known[: len(w) - self.n + 1].copy()
-        for k in range(1, self.n):
-            full &= known[k : len(w) - self.n + 1 + k]
-        at = np.flatnonzero(full)
-        code = w[at].copy()
-        for k in range(1, self.n):
-            code = code * self.base + w[at + k]
-        found = np.searchsorted(self.seeds, code)
-        found[found == len(self.seeds)] = 0
-        ok = self.seeds[found] == code
-        return at[ok], code[ok]
-
-    def shared(self, k: int, window: np.ndarray) -> int:
-        """How many words ``window`` shares with item ``k``, with repeats: no alignment matches more."""
-        kinds, count = self.bags[k]
-        at = np.searchsorted(kinds, window)
-        at[at == len(kinds)] = 0
-        return int(np.minimum(np.bincount(at[kinds[at] == window], minlength=len(kinds)), count).sum())
-
-    def search(self, text: str | None, similarity: float):
-        """``(item id, score as a share of a full match, word at which the copy ends)`` of each item found, best place only."""
-        w = self.encode(text)
-        at, codes = self.hits(w)
-        lines: dict[int, set[int]] = {}
-        for p, code in zip(at.tolist(), codes.tolist()):
-            for k, q in self.places[code]:
-                lines.setdefault(k, set()).add(p - q)
-        for k, starts in lines.items():
-            item, best = self.words[k], (0.0, 0)
-            slack, ordered = len(item) // 2 + 1, sorted(starts)
-            first = 0
-            for j in range(1, len(ordered) + 1):
-                if j == len(ordered) or ordered[j] - ordered[j - 1] > slack or ordered[j] - ordered[first] > 64 * len(item):
-                    lo = max(0, ordered[first] - slack)
-                    window = w[lo : ordered[j - 1] + len(item) + slack]
-                    first = j
-                    if self.shared(k, window) / len(item) >= similarity:
-                        score, end = align(item, window)
-                        best = max(best, (score / (MATCH * len(item)), lo + end))
-            if best[0] >= similarity:
-                yield self.ids[k], best[0], best[1]
-
-
-def _blocks(benchmark: DataFrame, block_bytes: int):
-    """The items in blocks of about ``block_bytes``; only one block at a time is on the driver."""
+def shared(item: np.ndarray, window: np.ndarray) -> int:
+    """How many words the two share, with repeats: no alignment matches more."""
+    kinds, count = np.unique(item, return_counts=True)
+    at = np.searchsorted(kinds, window)
+    at[at == len(kinds)] = 0
+    return int(np.minimum(np.bincount(at[kinds[at] == window], minlength=len(kinds)), count).sum())
+
+
+def _items(benchmark: DataFrame, similarity: float) -> DataFrame:
+    """``item, item_id, words, least, reach, seeds``: one row for each different item that is searched."""
     b = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null and text is not null").distinct()
-    total = b.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    for k in range(n):
-        yield [tuple(r) for r in b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]
+    kinds = pa.schema([("item", pa.int64()), ("item_id", pa.int64()), ("words", pa.list_(pa.int64())), ("least", pa.int32()), ("reach", pa.int32()), ("seeds", pa.int32())])
+
+    def run(batches):
+        known = _Hashes()
+        for batch in batches:
+            out = []
+            for item, i, text in zip(*(c.to_pylist() for c in batch.columns)):
+                w = known.of(text)
+                if (n := len(w)) >= LEAST_WORDS:
+                    out.append({"item": item, "item_id": i, "words": w, "least": least_score(n, similarity), "reach": reach(n, similarity), "seeds": seeds_of(n, similarity)})
+            yield pa.RecordBatch.from_pylist(out, kinds)
+
+    b = b.select(F.xxhash64("item_id", "text").alias("item"), "item_id", "text")
+    return stored(b.mapInArrow(run, "item long, item_id long, words array<long>, least int, reach int, seeds int"))
+
+
+def _pairs_of_items(items: DataFrame) -> DataFrame:
+    """``item, at, gram`` of every pair of neighbouring words."""
+
+    def run(batches):
+        for batch in batches:
+            out = [(i, k, c) for i, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for k, c in enumerate(pair_codes(np.array(w, np.int64)).tolist())]
+            yield pa.record_batch([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int32()), pa.array([r[2] for r in out], pa.int64())], ["item", "at", "gram"])
+
+    return items.select("item", "words").mapInArrow(run, "item long, at int, gram long")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, seed_words: int = SEED_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+class Filter:
+    """Two bits for each gram in an array of bounded size; the array is put together by Spark, 64 bits to a row."""
+
+    def __init__(self, grams: DataFrame):
+        g = grams.select("gram").distinct()
+        self.power = min(FILTER_MOST, max(FILTER_LEAST, (FILTER_BITS * g.count()).bit_length()))
+        mask = F.lit((1 << self.power) - 1)
+        bit = g.select(F.explode(F.array(F.col("gram").bitwiseAND(mask), F.shiftrightunsigned("gram", 32).bitwiseAND(mask))).alias("bit"))
+        words = bit.groupBy(F.shiftright("bit", 6).alias("k")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toArrow()
+        self.bits = np.zeros(1 << (self.power - 6), np.int64)
+        self.bits[words["k"].to_numpy()] = words["bits"].to_numpy()
+
+    def holds(self, codes: np.ndarray) -> np.ndarray:
+        mask = np.int64((1 << self.power) - 1)
+        a, b = codes & mask, codes.view(np.uint64) >> np.uint64(32)
+        b = b.view(np.int64) & mask
+        return (self.bits[a >> 6] >> (a & 63) & self.bits[b >> 6] >> (b & 63) & 1).astype(bool)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """``a, b, text``: the text and two hashes of it, by which it is known."""
+    text = F.col("text").cast("string")
+    return docs.select(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"), text.alias("text"))
+
+
+def _counts(texts: DataFrame, known: Filter) -> DataFrame:
+    """``gram, places``: in how many places of all texts the pairs stand, next to each other or with a word between."""
+    held = texts.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches):
+        hashes, known = _Hashes(), held.value
+        for batch in batches:
+            codes = [np.empty(0, np.int64)]
+            for text in batch.column(0):
+                w = hashes.of(text.as_py())
+                for skip in (0, 1):
+                    c = pair_codes(w, skip)
+                    codes.append(c[known.holds(c)])
+            grams, places = np.unique(np.concatenate(codes), return_counts=True)
+            yield pa.record_batch([pa.array(grams, pa.int64()), pa.array(places, pa.int64())], ["gram", "places"])
+
+    return texts.select("text").mapInArrow(run, "gram long, places long").groupBy("gram").agg(F.sum("places").alias("places"))
+
+
+def _passages(texts: DataFrame, known: Filter, radius: int) -> DataFrame:
+    """``a, b, block, first, words, hits``: passages with ``radius`` words around the places at which seeds may stand."""
+    held = texts.sparkSession.sparkContext.broadcast(known)
+    size = max(PASSAGE_WORDS, radius)
+    hit = pa.struct([("gram", pa.int64()), ("place", pa.int32())])
+    kinds = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("block", pa.int32()), ("first", pa.int32()), ("words", pa.list_(pa.int64())), ("hits", pa.list_(hit))])
+
+    def run(batches):
+        hashes, known = _Hashes(), held.value
+        for batch in batches:
+            out, n = [], 0
+            for a, b, text in zip(*batch.columns):
+                w = hashes.of(text.as_py())
+                near, apart = pair_codes(w), pair_codes(w, 1)
+                p, q = np.flatnonzero(known.holds(near)), np.flatnonzero(known.holds(apart))
+                places, grams = np.concatenate([p, q]), np.concatenate([near[p], apart[q]])
+                blocks = places // size
+                for block in np.unique(blocks).tolist():
+                    own = blocks == block
+                    at = places[own]
+                    first = max(0, int(at.min()) - radius)
+                    words = w[first : int(at.max()) + radius + 2]
+                    out.append({"a": a.as_py(), "b": b.as_py(), "block": block, "first": first, "words": words, "hits": [{"gram": g, "place": k} for g, k in zip(grams[own].tolist(), at.tolist())]})
+                    n += len(words) + len(at)
+                if n > 1 << 20:
+                    yield pa.RecordBatch.from_pylist(out, kinds)
+                    out, n = [], 0
+            yield pa.RecordBatch.from_pylist(out, kinds)
+
+    return texts.mapInArrow(run, "a long, b long, block int, first int, words array<long>, hits array<struct<gram:long,place:int>>")
+
+
+def _aligned(pairs: DataFrame) -> DataFrame:
+    """``a, b, item_id, score, end_word`` of the rows of ``pairs`` whose alignment reaches the least score."""
+    kinds = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for a, b, lo, hi, first, words, i, item, least, far in zip(*batch.columns):
+                own, far, first = item.values.to_numpy(), far.as_py(), first.as_py()
+                begin = max(0, lo.as_py() - far - first)
+                window = words.values.to_numpy()[begin : hi.as_py() + far + 2 - first]
+                if MATCH * shared(own, window) >= least.as_py():
+                    score, end = align(own, window)
+                    if score >= least.as_py():
+                        out.append({"a": a.as_py(), "b": b.as_py(), "item_id": i.as_py(), "score": score / (MATCH * len(own)), "end_word": first + begin + end})
+            yield pa.RecordBatch.from_pylist(out, kinds)
+
+    columns = pairs.select("a", "b", "lo", "hi", "first", "words", "item_id", "item_words", "least", "reach")
+    return columns.mapInArrow(run, "a long, b long, item_id long, score double, end_word long")
+
+
+def found_texts(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, seeds_broadcast: int = SEEDS_BROADCAST) -> DataFrame:
+    """``a, b, item_id, score, end_word``, stored: the best place of each item in each different text, where it is found."""
+    if not 0.5 <= similarity <= 1:
+        raise ValueError("below a similarity of one half no seeds are sure to meet, and above one nothing is found")
+    texts = _texts(docs).where("text is not null")
+    items = _items(benchmark, similarity)
+    every = stored(_pairs_of_items(items))
+    counts = stored(_counts(texts, Filter(every)))
+    ranked = every.join(counts, "gram", "left").join(items.select("item", "seeds"), "item")
+    rank = F.row_number().over(Window.partitionBy("item").orderBy(F.coalesce("places", F.lit(0)), "gram", "at"))
+    seeds = stored(ranked.withColumn("rank", rank).where("rank <= seeds").select("item", "gram").distinct())
+    radius = items.agg(F.max("reach")).first()[0] or 0
+    passages = stored(_passages(texts, Filter(seeds), radius))
+    hits = passages.select("a", "b", "block", F.inline("hits"))
+    small = seeds.count() <= seeds_broadcast
+    met = hits.join(F.broadcast(seeds) if small else seeds.hint("merge"), "gram").groupBy("a", "b", "block", "item").agg(F.min("place").alias("lo"), F.max("place").alias("hi"))
+    once = passages.select("a", "b", "block", "first", "words").dropDuplicates(["a", "b", "block"])
+    pairs = met.join(once, ["a", "b", "block"]).join(items.withColumnRenamed("words", "item_words"), "item")
+    best = F.max(F.struct("score", (-F.col("end_word")).alias("end"))).alias("best")
+    found = stored(_aligned(pairs).groupBy("a", "b", "item_id").agg(best).select("a", "b", "item_id", "best.score", (-F.col("best.end")).alias("end_word")))
+    forget(items, every, counts, seeds, passages)
+    return found
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, seeds_broadcast: int = SEEDS_BROADCAST) -> DataFrame:
     """``doc_id, item_id, score, end_word``: each benchmark item found in each document.
 
-    Whole texts are searched. Null texts and items hold nothing; items of fewer than
-    ``seed_words`` words cannot be told from ordinary use and are not searched. Rows that repeat
-    a document give repeated rows; an ``item_id`` with several texts is found by any of them.
+    The score is that of the best local alignment with the whole text, as a share of a full match, and
+    ``end_word`` counts the words up to its first end. Items whose best alignment has at least
+    ``similarity`` and the score of four matched words (a whole shorter item) are found, all of them.
+    Null texts and items hold nothing; items of fewer than three words cannot be told from ordinary
+    use and are not searched. Rows that repeat a document give repeated rows; an ``item_id`` with
+    several texts gives its best one.
     """
-    d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = None
-    for rows in _blocks(benchmark, block_bytes):
-        items = Items(rows, seed_words)
-
-        def search(batches, items=items):
-            kinds = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("end_word", pa.int64())])
-            for batch in batches:
-                out = [(i, *x) for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for x in items.search(text, similarity)]
-                yield pa.record_batch([pa.array([r[k] for r in out], kinds[k].type) for k in range(4)], schema=kinds)
-
-        part = d.mapInArrow(search, "doc_id long, item_id long, score double, end_word long")
-        found = part if found is None else found.union(part)
-    return found
+    text = F.col("text").cast("string")
+    keys = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+    return keys.join(found_texts(docs, benchmark, similarity, seeds_broadcast), ["a", "b"]).select("doc_id", "item_id", "score", "end_word")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, seed_words: int = SEED_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, seeds_broadcast: int = SEEDS_BROADCAST) -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all their columns. Rows are judged by their own text, with or without an id."""
-    kept = docs.select(F.struct("*").alias("row"))
-    schema = kept.schema
-    for rows in _blocks(benchmark, block_bytes):
-        items = Items(rows, seed_words)
-
-        def run(batches, items=items):
-            for batch in batches:
-                texts = batch.column(0).field("text").cast(pa.string()).to_pylist()
-                yield batch.filter(pa.array([next(items.search(t, similarity), None) is None for t in texts], pa.bool_()))
-
-        kept = kept.mapInArrow(run, schema)
-    return kept.select("row.*")
+    text = F.col("row.text").cast("string")
+    rows = docs.select(F.struct("*").alias("row")).select("row", F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+    found = found_texts(docs, benchmark, similarity, seeds_broadcast)
+    gone = stored(found.select("a", "b").distinct())
+    forget(found)
+    return rows.join(gone, ["a", "b"], "left_anti").select("row.*")
