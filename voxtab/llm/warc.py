@@ -27,7 +27,9 @@ from .common import stored
 DICTIONARY_MAGIC = 0x184D2A5D
 ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 RAW_DICTIONARY_MAGIC = b"\x37\xa4\x30\xec"
-VERSION = b"WARC/1.1"
+VERSION, VERSIONS = b"WARC/1.1", (b"WARC/1.0", b"WARC/1.1")
+#: Types of records that are read; others are checked as far as their headers, length and block digest, and passed over.
+READ = ("response", "revisit")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: An archive ends once it is this long; its dictionary is made from the first records, up to SAMPLE_BYTES.
 ARCHIVE_BYTES = 4 << 20
@@ -67,45 +69,107 @@ def make_record(page_id: int | None, url: str | None, payload: bytes, refers_to:
     return VERSION + b"\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def _headers(data: bytes, at: int) -> tuple[dict[str, str], int]:
+def _headers(data: bytes, at: int, strict: bool = True) -> tuple[dict[str, str], int]:
+    """Fields by lower-case name (lines that start with a blank continue the one before) and the place behind them.
+
+    Malformed lines are an error of a WARC header; in the header of a web server's answer they are passed over.
+    """
     end = data.find(b"\r\n\r\n", at)
     if end < 0:
         raise ValueError("header without an end")
-    fields = {}
-    for line in data[at:end].decode("utf-8").split("\r\n")[1:]:
+    fields, last = {}, None
+    for line in data[at:end].decode("utf-8" if strict else "iso-8859-1").split("\r\n")[1:]:
         name, colon, value = line.partition(":")
-        if not colon or not name or name != name.strip():
+        if line[:1] in (" ", "\t") and last:
+            fields[last] = f"{fields[last]} {line.strip()}".strip()
+        elif colon and name and name == name.strip():
+            last = name.lower()
+            fields[last] = value.strip()
+        elif strict:
             raise ValueError(f"malformed header line {line[:60]!r}")
-        fields[name.lower()] = value.strip()
     return fields, end + 4
 
 
-def parse_record(data: bytes) -> dict:
-    """Fields and payload of one record; ``ValueError`` where a header, length or digest does not hold."""
-    if not data.startswith(VERSION + b"\r\n"):
+def _length(text: str) -> int:
+    if not re.fullmatch(r"[0-9]{1,18}", text):
+        raise ValueError(f"{text[:40]!r} is no length")
+    return int(text)
+
+
+def _unchunked(body: bytes) -> bytes | None:
+    """The body without the chunked transfer coding; None where it is not coded so."""
+    out, at = [], 0
+    while m := re.compile(rb"([0-9A-Fa-f]{1,15})[^\r\n]*\r\n").match(body, at):
+        size, at = int(m[1], 16), m.end()
+        if not size:
+            return b"".join(out)
+        if body[at + size : at + size + 2] != b"\r\n":
+            return None
+        out.append(body[at : at + size])
+        at += size + 2
+    return None
+
+
+def _holds(stated: str, data: bytes) -> bool:
+    """Whether a labelled digest (base32 or hexadecimal) is that of ``data``; one of an unknown algorithm says nothing."""
+    label, _, value = stated.partition(":")
+    kind = label.strip().lower().replace("-", "")
+    if kind not in ("md5", "sha1", "sha256", "sha384", "sha512"):
+        return True
+    digest, value = hashlib.new(kind, data).digest(), value.strip()
+    return value.lower() == digest.hex() or value.upper().rstrip("=") == base64.b32encode(digest).decode().rstrip("=")
+
+
+def _number(record_id: str | None) -> int | None:
+    """The page of a record id that :func:`make_record` gave; None for any other."""
+    m = re.fullmatch(rf"<?{_URN}(-?[0-9]{{1,19}})>?", record_id or "")
+    return int(m[1]) if m and -(1 << 63) <= int(m[1]) < 1 << 63 else None
+
+
+def parse_record(data: bytes) -> dict | None:
+    """Fields and payload of one record; ``ValueError`` where a header, length or digest does not hold.
+
+    Versions 1.0 and 1.1, any record id. None for types other than READ (``warcinfo``, ``request``,
+    types of later standards, ...). The payload is what follows the HTTP header (the whole block where it is not HTTP), as it
+    was sent: a chunked or compressed body stays so. Its length has to be the one that HTTP states, except for chunked and
+    ``WARC-Truncated`` bodies. A stated payload digest is checked (of a chunked body, either form's; of a truncated one, none);
+    where it is missing or no SHA-1, that of the payload is given, and null for a revisit.
+    """
+    if not data.startswith(tuple(v + b"\r\n" for v in VERSIONS)):
         raise ValueError("record does not start with its version")
     head, at = _headers(data, 0)
-    for name in ("warc-type", "warc-record-id", "content-length", "warc-payload-digest"):
-        if name not in head:
+    for name in ("warc-type", "warc-record-id", "content-length", "warc-date"):
+        if not head.get(name):
             raise ValueError(f"header {name} is missing")
-    length = int(head["content-length"])
-    if length < 0 or len(data) != at + length + 4 or data[at + length :] != b"\r\n\r\n":
+    length = _length(head["content-length"])
+    if len(data) != at + length + 4 or data[at + length :] != b"\r\n\r\n":
         raise ValueError(f"record of {len(data)} bytes does not fit its length {length}")
-    block = data[at : at + length]
-    if "warc-block-digest" in head and head["warc-block-digest"] != f"sha1:{digest_of(block)}":
+    block, kind, cut = data[at : at + length], head["warc-type"].lower(), "warc-truncated" in head
+    if not _holds(head.get("warc-block-digest", ""), block):
         raise ValueError("block digest does not hold")
-    http, start = _headers(block, 0)
-    payload, declared = block[start:], int(http["content-length"])
-    kind, stated = head["warc-type"], head["warc-payload-digest"].removeprefix("sha1:")
-    if kind == "response":
-        if len(payload) != declared or digest_of(payload) != stated:
-            raise ValueError("payload does not fit its length or digest")
-    elif kind != "revisit" or payload or "warc-refers-to" not in head:
-        raise ValueError(f"unexpected record {kind}")
-    number = lambda name: int(x) if (x := head[name].strip("<>").removeprefix(_URN)) else None
+    if kind not in READ:
+        return None
+    http, start = {}, 0
+    if head.get("content-type", "").lower().startswith("application/http") and block:
+        http, start = _headers(block, 0, strict=False)
+    payload, stated = block[start:], head.get("warc-payload-digest", "")
+    declared = _length(http["content-length"]) if http.get("content-length") else None
+    chunked = "chunked" in http.get("transfer-encoding", "").lower()
+    if kind == "response" and not cut:
+        if declared is not None and not chunked and declared != len(payload):
+            raise ValueError(f"payload of {len(payload)} bytes does not fit its length {declared}")
+        if not _holds(stated, payload) and not (chunked and (plain := _unchunked(payload)) is not None and _holds(stated, plain)):
+            raise ValueError("payload digest does not hold")
+    label, _, value = stated.partition(":")
+    named = value.strip() if label.strip().lower() in ("sha1", "sha-1") else ""
+    if re.fullmatch(r"[0-9A-Fa-f]{40}", named):
+        named = base64.b32encode(bytes.fromhex(named)).decode()
+    refers = head.get("warc-refers-to")
     return {
-        "page_id": number("warc-record-id"), "url": head.get("warc-target-uri"), "payload": payload, "payload_bytes": declared,
-        "payload_digest": stated, "record_type": kind, "refers_to": number("warc-refers-to") if kind == "revisit" else None,
+        "page_id": _number(head["warc-record-id"]), "url": head.get("warc-target-uri", "").strip("<>") or None, "payload": payload,
+        "payload_bytes": len(payload) if kind == "response" else declared, "payload_digest": named.upper() or (digest_of(payload) if kind == "response" else None),
+        "record_type": kind, "refers_to": _number(refers) if kind == "revisit" else None,
+        "record_id": head["warc-record-id"].strip("<>"), "refers_to_record": refers.strip("<>") if refers and kind == "revisit" else None,
     }
 
 
@@ -113,6 +177,8 @@ def frame_end(data: bytes, at: int) -> int:
     """Where the frame that starts at ``at`` ends, from the sizes in its block headers."""
     if data[at : at + 4] != ZSTD_MAGIC:
         raise ValueError(f"no Zstandard frame at byte {at}")
+    if at + 5 > len(data):
+        raise ValueError("frame is cut off")
     checksum = data[at + 4] >> 2 & 1
     at += zstandard.frame_header_size(data[at : at + 18])
     while True:
@@ -144,13 +210,19 @@ def read_dictionary(data: bytes) -> tuple[bytes, int]:
 
 
 def read_archive(data: bytes) -> Iterator[dict]:
-    """The records of one archive, one frame each, checked."""
-    held, at = read_dictionary(data)
-    reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(held) if held else None)
-    while at < len(data):
-        end = frame_end(data, at)
-        yield parse_record(reader.decompressobj().decompress(data[at:end]))
-        at = end
+    """The responses and revisits of one archive, one frame each, checked. Every fault is a ``ValueError`` that names its byte."""
+    at = 0
+    try:
+        held, at = read_dictionary(data)
+        reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(held) if held else None)
+        while at < len(data):
+            end = frame_end(data, at)
+            record = parse_record(reader.decompressobj().decompress(data[at:end]))
+            if record is not None:
+                yield record
+            at = end
+    except (ValueError, zstandard.ZstdError) as e:
+        raise ValueError(f"byte {at}: {e}") from e
 
 
 def dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict:
@@ -237,8 +309,12 @@ def save_archives(archives: DataFrame, folder: str) -> DataFrame:
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
-    """All records of ``path, content`` rows. A record that does not hold fails the job with its path."""
-    kinds = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
+    """The responses and revisits of ``path, content`` rows. A record that does not hold fails the job with its path and byte.
+
+    ``page_id`` and ``refers_to`` are the numbers in ids of :func:`write_archives`, null for ids of other writers, which
+    ``record_id`` and ``refers_to_record`` give as they are.
+    """
+    kinds = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("record_id", pa.string()), ("refers_to_record", pa.string())])
 
     def run(batches):
         for batch in batches:
@@ -251,8 +327,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
                         if size > 8 << 20:
                             yield pa.RecordBatch.from_pylist(held, kinds)
                             held, size = [], 0
-                except (ValueError, zstandard.ZstdError) as e:
+                except ValueError as e:
                     raise ValueError(f"{path.as_py()}: {e}") from e
                 yield pa.RecordBatch.from_pylist(held, kinds)
 
-    return archives.select("path", "content").mapInArrow(run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return archives.select("path", "content").mapInArrow(run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, refers_to_record string")
