@@ -16,10 +16,10 @@ shuffled are seeds, their places, and the passages around them, once for each di
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +36,8 @@ PASSAGE_WORDS = 256
 FILTER_BITS, FILTER_LEAST, FILTER_MOST = 64, 22, 28
 #: Up to so many seeds (32 bytes each) are broadcast to their places; more are joined by a shuffle.
 SEEDS_BROADCAST = 1 << 18
+#: Characters of texts that are cut into words together.
+GROUP_CHARS = 1 << 20
 _WORD = re.compile(r"\w+")
 
 
@@ -43,17 +45,51 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-class _Hashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
+@lru_cache(1)
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """A number for each character of a word (zero for others), and one for each place in it."""
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= 1 << 18:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word) - (1 << 63)
-        return h
+    def mixed(n: int) -> np.ndarray:
+        x = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        return x ^ x >> np.uint64(31)
 
-    def of(self, text: str | None) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words_of(text)), np.int64)
+    letters = np.fromiter((c == 95 or chr(c).isalnum() for c in range(0x110000)), bool, 0x110000)
+    return np.where(letters, mixed(0x110000) | np.uint64(1), np.uint64(0)), mixed((1 << 16) + 0x110000)[0x110000:]
+
+
+def _hashed(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of a lower-case text, and where they start."""
+    letters, places = _tables()
+    value = letters[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    inside = np.concatenate([[False], value != 0])
+    starts = np.flatnonzero(inside[1:] & ~inside[:-1])
+    if not len(starts):
+        return np.empty(0, np.int64), starts
+    value = value[starts[0] :]
+    place = np.arange(len(value)) - np.repeat(starts - starts[0], np.diff(starts, append=starts[0] + len(value)))
+    value *= places[place & 0xFFFF] + (place >> 16).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD92)
+    return np.add.reduceat(value, starts - starts[0]).view(np.int64), starts
+
+
+def hashes_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all ``texts`` as 64-bit hashes, and for each word the number of its text. Words are those of :func:`words_of`."""
+    lower = [(t or "").lower() for t in texts]
+    words, starts = _hashed("\n".join(lower))
+    ends = np.cumsum([len(t) + 1 for t in lower])
+    return words, np.searchsorted(ends, starts, "right")
+
+
+def _pieces(*columns: pa.Array):
+    """The rows of a batch in pieces whose texts (the last column) have some GROUP_CHARS characters."""
+    begin, size = 0, 0
+    texts = columns[-1].to_pylist()
+    for k, text in enumerate(texts):
+        size += len(text or "")
+        if size >= GROUP_CHARS or k + 1 == len(texts):
+            yield *(c.slice(begin, k + 1 - begin) for c in columns[:-1]), *hashes_of(texts[begin : k + 1])
+            begin, size = k + 1, 0
 
 
 def pair_codes(w: np.ndarray, skip: int = 0) -> np.ndarray:
@@ -109,11 +145,10 @@ def _items(benchmark: DataFrame, similarity: float) -> DataFrame:
     kinds = pa.schema([("item", pa.int64()), ("item_id", pa.int64()), ("words", pa.list_(pa.int64())), ("least", pa.int32()), ("reach", pa.int32()), ("seeds", pa.int32())])
 
     def run(batches):
-        known = _Hashes()
         for batch in batches:
             out = []
             for item, i, text in zip(*(c.to_pylist() for c in batch.columns)):
-                w = known.of(text)
+                w, _ = hashes_of([text])
                 if (n := len(w)) >= LEAST_WORDS:
                     out.append({"item": item, "item_id": i, "words": w, "least": least_score(n, similarity), "reach": reach(n, similarity), "seeds": seeds_of(n, similarity)})
             yield pa.RecordBatch.from_pylist(out, kinds)
@@ -152,6 +187,12 @@ class Filter:
         return (self.bits[a >> 6] >> (a & 63) & self.bits[b >> 6] >> (b & 63) & 1).astype(bool)
 
 
+def _places(words: np.ndarray, row: np.ndarray, skip: int, known: Filter) -> np.ndarray:
+    """Where pairs that the filter holds stand within one text."""
+    at = np.flatnonzero(known.holds(pair_codes(words, skip)))
+    return at[row[at] == row[at + 1 + skip]]
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     """``a, b, text``: the text and two hashes of it, by which it is known."""
     text = F.col("text").cast("string")
@@ -163,14 +204,12 @@ def _counts(texts: DataFrame, known: Filter) -> DataFrame:
     held = texts.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
-        hashes, known = _Hashes(), held.value
+        known = held.value
         for batch in batches:
             codes = [np.empty(0, np.int64)]
-            for text in batch.column(0):
-                w = hashes.of(text.as_py())
+            for w, row in _pieces(batch.column(0)):
                 for skip in (0, 1):
-                    c = pair_codes(w, skip)
-                    codes.append(c[known.holds(c)])
+                    codes.append(pair_codes(w, skip)[_places(w, row, skip, known)])
             grams, places = np.unique(np.concatenate(codes), return_counts=True)
             yield pa.record_batch([pa.array(grams, pa.int64()), pa.array(places, pa.int64())], ["gram", "places"])
 
@@ -185,22 +224,26 @@ def _passages(texts: DataFrame, known: Filter, radius: int) -> DataFrame:
     kinds = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("block", pa.int32()), ("first", pa.int32()), ("words", pa.list_(pa.int64())), ("hits", pa.list_(hit))])
 
     def run(batches):
-        hashes, known = _Hashes(), held.value
+        known = held.value
         for batch in batches:
             out, n = [], 0
-            for a, b, text in zip(*batch.columns):
-                w = hashes.of(text.as_py())
-                near, apart = pair_codes(w), pair_codes(w, 1)
-                p, q = np.flatnonzero(known.holds(near)), np.flatnonzero(known.holds(apart))
-                places, grams = np.concatenate([p, q]), np.concatenate([near[p], apart[q]])
-                blocks = places // size
-                for block in np.unique(blocks).tolist():
-                    own = blocks == block
-                    at = places[own]
-                    first = max(0, int(at.min()) - radius)
-                    words = w[first : int(at.max()) + radius + 2]
-                    out.append({"a": a.as_py(), "b": b.as_py(), "block": block, "first": first, "words": words, "hits": [{"gram": g, "place": k} for g, k in zip(grams[own].tolist(), at.tolist())]})
-                    n += len(words) + len(at)
+            for a, b, w, row in _pieces(*batch.columns):
+                p, q = _places(w, row, 0, known), _places(w, row, 1, known)
+                at, gram = np.concatenate([p, q]), np.concatenate([pair_codes(w)[p], pair_codes(w, 1)[q]])
+                order = np.argsort(at, kind="stable")
+                at, gram = at[order], gram[order]
+                begins = np.searchsorted(row, np.arange(len(a) + 1))
+                place = at - begins[row[at]]
+                cut = np.flatnonzero(np.diff(row[at]) | np.diff(place // size)) + 1
+                for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(at)]):
+                    if i == j:
+                        continue
+                    r, own = int(row[at[i]]), place[i:j]
+                    first = max(0, int(own[0]) - radius)
+                    words = w[begins[r] + first : min(begins[r + 1], at[j - 1] + radius + 2)]
+                    hits = [{"gram": g, "place": k} for g, k in zip(gram[i:j].tolist(), own.tolist())]
+                    out.append({"a": a[r].as_py(), "b": b[r].as_py(), "block": int(own[0]) // size, "first": first, "words": words, "hits": hits})
+                    n += len(words) + len(hits)
                 if n > 1 << 20:
                     yield pa.RecordBatch.from_pylist(out, kinds)
                     out, n = [], 0
