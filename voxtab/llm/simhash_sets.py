@@ -266,11 +266,12 @@ def links(texts: DataFrame, classes: DataFrame, shingle: int, seed: int) -> Data
     keyed = classes.select("node", F.explode("bands").alias("key"))
     crowds = stored(keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"))
     met = stored(keyed.join(crowds, "key").join(classes.select("node", "rep", "n", *_FPS), "node"))
+    forget(crowds)
     asked = stored(met.select("node", "rep").distinct())
     sets = texts.join(asked.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text").mapInArrow(made, "node binary, grams binary")
     # An id can have several texts, and those can be anything.
     sets = stored(sets.join(asked.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    labels, done = None, None
+    labels, done, searched = None, None, []
     for step in range(ROUNDS + 1):
         rows = met.withColumn("label", F.col("rep")) if labels is None else met.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
         if labels is not None:
@@ -284,13 +285,16 @@ def links(texts: DataFrame, classes: DataFrame, shingle: int, seed: int) -> Data
             pairs = stored(pairs if done is None else pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"))
             edges = stored(_alike(pairs, sets))
             done = pairs if done is None else done.union(pairs)
+            searched.append(pairs)
         else:
+            forget(*searched)
             rows = stored(rows)
             edges = stored(_in_full(rows, sets))
             forget(rows, sets, met, asked)
         if not edges.isEmpty():
             before, labels = labels, _relabelled(labels, edges)
             forget(before)
+        forget(edges)
     return labels
 
 
@@ -323,7 +327,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, seed: int = 42) -> DataFr
     labels = links(texts, classes, shingle, seed)
     mapped = classes.select("node", "rep")
     mapped = mapped.withColumn("component_id", F.col("rep")) if labels is None else mapped.join(labels, "rep", "left").withColumn("component_id", F.coalesce("label", "rep"))
-    return marks.select("doc_id", "text_hash", "node").join(stored(mapped.select("node", "component_id")), "node").select("doc_id", "text_hash", "component_id")
+    mapped = stored(mapped.select("node", "component_id"))
+    forget(classes, labels)
+    return marks.select("doc_id", "text_hash", "node").join(mapped, "node").select("doc_id", "text_hash", "component_id")
 
 
 def _identified(docs: DataFrame) -> tuple[Column, Column]:
@@ -344,6 +350,7 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
     found = stored(near_duplicates(ids, **how))
     again = stored(found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")))
     gone = stored(found.where("component_id < doc_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
+    forget(found)
 
     def among(other: DataFrame) -> Column:
         return (own_id == other["_id"]) & (text_hash == other["_hash"])
