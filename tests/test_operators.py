@@ -514,3 +514,10 @@ def test_pairs_of_channels_come_from_one_exchange(spark):
             for k, r in wide.items():
                 want = alone.get(k)
                 assert r[f"{x}|{y}_{metric}"] == (pytest.approx(want, nan_ok=True) if want is not None else None), (x, y, metric, k)
+
+
+def test_a_prediction_of_zero_is_clipped(spark):
+    """The light's path of 4 in the medium takes the prediction to 0, and the factor to its upper end."""
+    v = spark.createDataFrame([(0, z, 0, 0, 0, 1.0, 0) for z in range(3)], "ROI int, z int, y int, x int, label int, v double, mask int")
+    got = models.apply_z_model(v, "v", models.Spec("Linear", ("MediumPath", "EmbryoPath")), (4.0, -1.0, -1.0), "mask", (2.0, 1.0, 1.0))
+    assert [x["v"] for x in got.orderBy("z").collect()] == [2.0, 50.0, 50.0]

@@ -230,7 +230,10 @@ def apply_z_model(voxels: DataFrame, channel: str, spec: Spec, params: Sequence[
         if mask is None:
             raise ValueError("a model on paths needs a mask")
         v = paths(voxels, mask, scale)
-        factor = clipped(correction_factor(spec.model, p, [F.col("MediumPath"), F.col("EmbryoPath")]))
+        at = [F.col("MediumPath"), F.col("EmbryoPath")]
+        # Where the prediction is 0 the factor is beyond all bounds, so it is clipped too.
+        endless = (predicted(spec.model, p, at) == 0) & (intercept(spec.model, p) != 0)
+        factor = clipped(F.when(endless, F.lit(float("inf"))).otherwise(correction_factor(spec.model, p, at)))
     else:
         raise ValueError(f"unknown features {spec.features}")
     return v.withColumn(channel, F.col(q(channel)) * factor).select(*(q(c) for c in voxels.columns))
