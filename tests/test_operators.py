@@ -521,3 +521,22 @@ def test_a_prediction_of_zero_is_clipped(spark):
     v = spark.createDataFrame([(0, z, 0, 0, 0, 1.0, 0) for z in range(3)], "ROI int, z int, y int, x int, label int, v double, mask int")
     got = models.apply_z_model(v, "v", models.Spec("Linear", ("MediumPath", "EmbryoPath")), (4.0, -1.0, -1.0), "mask", (2.0, 1.0, 1.0))
     assert [x["v"] for x in got.orderBy("z").collect()] == [2.0, 50.0, 50.0]
+
+
+def test_equal_components_of_an_axis_point_by_the_first():
+    import pandas as pd
+
+    for noise in (-1e-14, 0.0, 1e-14):
+        m = {"xx": 6.0 + noise, "xy": 0.03, "xz": -0.06, "yy": 6.0 - noise, "yz": 0.06, "zz": 7.2}
+        a = np.reshape(shape.principal.func(*(pd.Series([v]) for v in m.values()))["axes"][0], (3, 3))
+        assert [abs(v[0]) == pytest.approx(abs(v[1])) and v[0] > 0 for v in a[:2]] == [True, True], (noise, a)
+
+
+def test_moments_far_from_the_origin(spark):
+    """Exact sums, rounded as a quotient and a quotient: an object has the same moments in every engine."""
+    rng = np.random.default_rng(3)
+    z = [[float(v) for v in 2 * (7000 + k + rng.integers(0, 3, 260 + k % 40))] for k in range(100)]
+    rows = [(k, float(len(v)), *[0.0] * 2, sum(v), *[0.0] * 5, sum(x * x for x in v)) for k, v in enumerate(z)]
+    df = spark.createDataFrame(rows, "k int, _w double, _x double, _y double, _z double, _xx double, _xy double, _xz double, _yy double, _yz double, _zz double")
+    got = [r["zz"] for r in df.orderBy("k").select(shape.central(SCALE)[5].alias("zz")).collect()]
+    assert got == [r[10] / r[1] - r[4] * r[4] / (r[1] * r[1]) + 4.0 / 12 for r in rows]

@@ -21,6 +21,8 @@ from ..functions import expressions as E
 from ..functions import names
 
 KEYS = ("ROI", "label")
+#: Components of a unit vector that differ by less are equal, whatever a solver's last digits say.
+ALIKE = 1e-9
 _AXES = T.StructType([T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("moments", "axes")])
 
 
@@ -54,19 +56,22 @@ def central(scale) -> list[Column]:
     out = []
     for a, b in ("xx", "xy", "xz", "yy", "yz", "zz"):
         own = size[a] ** 2 / 12 if a == b else 0.0
-        out.append(E.safe_divide(F.col(f"_{a}{b}"), F.col("_w")) - E.safe_divide(F.col(f"_{a}"), F.col("_w")) * E.safe_divide(F.col(f"_{b}"), F.col("_w")) + F.lit(own))
+        # The sums of voxels are exact, so their product is rounded once.
+        out.append(E.safe_divide(F.col(f"_{a}{b}"), F.col("_w")) - E.safe_divide(F.col(f"_{a}") * F.col(f"_{b}"), F.col("_w") * F.col("_w")) + F.lit(own))
     return out
 
 
 @F.pandas_udf(_AXES)
 def principal(xx: pd.Series, xy: pd.Series, xz: pd.Series, yy: pd.Series, yz: pd.Series, zz: pd.Series) -> pd.DataFrame:
-    """Ascending moments and their axes, row by row; an axis points so that its largest component is positive."""
+    """Ascending moments and their axes, row by row; an axis points so that its largest component is positive, of equal ones the first."""
     m = np.stack([xx, xy, xz, xy, yy, yz, xz, yz, zz], axis=1).astype(np.float64).reshape(-1, 3, 3)
     bad = ~np.isfinite(m).all(axis=(1, 2))
     m[bad] = 0
     values, vectors = np.linalg.eigh(m)
     axes = np.swapaxes(vectors, 1, 2)
-    largest = np.take_along_axis(axes, np.abs(axes).argmax(axis=2)[:, :, None], axis=2)
+    size = np.abs(axes)
+    first = (size >= size.max(axis=2, keepdims=True) - ALIKE).argmax(axis=2)
+    largest = np.take_along_axis(axes, first[:, :, None], axis=2)
     axes = axes * np.where(largest < 0, -1.0, 1.0)
     moments = [None if b else v.tolist() for b, v in zip(bad, np.maximum(values, 0))]
     return pd.DataFrame({"moments": moments, "axes": [None if b else a.ravel().tolist() for b, a in zip(bad, axes)]})
