@@ -540,3 +540,17 @@ def test_moments_far_from_the_origin(spark):
     df = spark.createDataFrame(rows, "k int, _w double, _x double, _y double, _z double, _xx double, _xy double, _xz double, _yy double, _yz double, _zz double")
     got = [r["zz"] for r in df.orderBy("k").select(shape.central(SCALE)[5].alias("zz")).collect()]
     assert got == [r[10] / r[1] - r[4] * r[4] / (r[1] * r[1]) + 4.0 / 12 for r in rows]
+
+
+def test_boxes_of_objects_alike_along_two_axes(spark):
+    """Objects that do not change when x and y are swapped have axes with equal components, which point up along x."""
+    rng, rows = np.random.default_rng(11), []
+    for k in range(1, 61):
+        half = rng.integers(0, 2, (3, 8, 8))
+        rows += [(0, int(z) + 3 * k, int(y), int(x), k) for z, y, x in np.argwhere(half + half.transpose(0, 2, 1))]
+    got = shape.oriented_box(spark.createDataFrame(rows, "ROI int, z int, y int, x int, label int"), SCALE[:1] + (0.5, 0.5)).collect()
+    for b in got:
+        d = b["OrientedBoundingBoxDirection"]
+        axes = [[d[f"{n}-{c}"] for c in "xyz"] for n in "abc"]
+        tied = [a for a in axes if abs(abs(a[0]) - abs(a[1])) < 1e-9 and abs(a[0]) > abs(a[2])]
+        assert tied and all(a[0] > 0 for a in tied), (b["label"], axes)
