@@ -305,7 +305,7 @@ def radius_count_bucketed(spark, sf_dir):
     FROM pts LEFT JOIN p ON p.ROI = pts.ROI AND p.focal = pts.label LEFT JOIN pts b ON b.ROI = p.ROI AND b.label = p.neighbor GROUP BY pts.ROI, pts.label""")
 def radius_mean(spark, sf_dir):
     p = views.pts(spark, sf_dir)
-    return fields(A.features(N.radius(p, 20), p, ["x"], ["Mean", "Sum", "Std", "Median", A.quantile(0.25), "Min", "Max", "Var"], "RAD:20"), "ROI", "label")
+    return fields(A.radius_features(p, p, ["x"], 20, ["Mean", "Sum", "Std", "Median", A.quantile(0.25), "Min", "Max", "Var"], "RAD:20"), "ROI", "label")
 
 
 @query("knn_distance", "pts", f"""-- , {_PAIRS}, {_KNN} SELECT {_ROI}, round(avg(w) FILTER (n <= 2), 4) AS "KNNd:2_Mean", round(max(w) FILTER (n <= 2), 4) AS "KNNd:2_Max", round(avg(w), 4) AS "KNNd:5_Mean", round(max(w), 4) AS "KNNd:5_Max" FROM pts LEFT JOIN k ON k.ROI = pts.ROI AND k.focal = pts.label GROUP BY pts.ROI, pts.label""")
