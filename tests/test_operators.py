@@ -569,3 +569,49 @@ def test_walks_in_blocks(spark, monkeypatch):
         walks = np.linalg.matrix_power(one.astype(float), n) > 0
         got = [(r["focal"], r["neighbor"]) for r in N.steps(e, n, points=p).collect()]
         assert len(got) == len(set(got)) and set(got) == {(int(a), int(b)) for a, b in np.argwhere(walks) if a != b}
+
+
+@pytest.fixture
+def cloud(spark, monkeypatch):
+    """Two regions of points, a lone one, and blocks so small that regions take several."""
+    monkeypatch.setattr(N, "BLOCK", 8)
+    monkeypatch.setattr(N, "HELD", 100)
+    rng = np.random.default_rng(8)
+    rows = [(k % 2, k, *map(float, rng.uniform(0, 10, 3)), None if k % 7 == 0 else float("nan") if k == 5 else float(k)) for k in range(120)] + [(5, 900, 0.0, 0.0, 0.0, 1.0)]
+    return spark.createDataFrame(rows, "ROI int, label long, z double, y double, x double, v double")
+
+
+def _same(a, b, keys):
+    a, b = ({tuple(r[k] for k in keys): r.asDict() for r in d.collect()} for d in (a, b))
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k] == pytest.approx(b[k], nan_ok=True), k
+
+
+def test_kernel_in_blocks(cloud):
+    for name in ("uniform", "triangular", "gaussian"):
+        for own in (False, True):
+            e = N.radius(cloud, 4.0, own).withColumn("weight", E.kernel(name, F.col("weight") / 4.0))
+            _same(N.radius_kernel(cloud, 4.0, name, True, own), N.normalized(e), ("ROI", "focal", "neighbor"))
+    with pytest.raises(ValueError, match="unknown kernel"):
+        N.radius_kernel(cloud, 4.0, "none")
+
+
+def test_values_within_radius_in_blocks(cloud):
+    aggs = ["Mean", "Sum", "Std", "Median", A.quantile(0.25), "Min", "Max", "Var"]
+    want = A.features(N.radius(cloud, 4.0), cloud, ["v", "x"], aggs, "R")
+    _same(A.radius_features(cloud, cloud, ["v", "x"], 4.0, aggs, "R"), want, ("ROI", "label"))
+
+
+def test_counts_and_nearest_in_blocks(cloud):
+    got = N.near(cloud, (2, 5), (2, 80)).withColumnRenamed("focal", "label")
+    hood = A.Neighborhoods(cloud)
+    counts = hood.radius((2, 5)).aggregate()
+    far = hood.knn((2, 80), distance=True).aggregate_weights(("Mean", "Max")).join(hood.knn(1, distance=True).aggregate_weights(("Max",)), ["ROI", "label"])
+    _same(got, counts.join(far, ["ROI", "label"]), ("ROI", "label"))
+
+
+def test_ranks_take_tasks_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(coloc, "RANKED", 100)
+    v = spark.range(5000).select(F.lit(0).alias("ROI"), (1 + F.col("id") % 50).alias("label"), F.rand(1).alias("a"), F.rand(2).alias("b"))
+    assert coloc._dealt(v, ("ROI", "label")).rdd.getNumPartitions() == 50
