@@ -15,6 +15,8 @@ from ..functions import names
 from .shape import KEYS, objects
 
 BINS = 10
+#: Voxels to a task that ranks them, about: sorts hold them several times over.
+RANKED = 250_000
 
 
 def _two(voxels: DataFrame, a: str, b: str, keys) -> DataFrame:
@@ -63,13 +65,19 @@ def _ranks(t: DataFrame, keys, metrics=("SpearmanR", "KendallTau")) -> DataFrame
     return sums.join(wrong, list(keys)).select(*keys, *out, F.when((F.col("_n") >= 2) & ~F.col("_flat"), tau).alias("KendallTau"))
 
 
+def _dealt(t: DataFrame, keys) -> DataFrame:
+    """``t`` dealt by object into as many tasks as its rows need, so that what a task sorts does not grow with the input."""
+    tasks = int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return t.repartition(max(tasks, -(-t.count() // RANKED)), *keys)
+
+
 def spearman(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
-    return _ranks(_two(voxels, a, b, keys), keys, ("SpearmanR",)).withColumnRenamed("SpearmanR", "value")
+    return _ranks(_dealt(_two(voxels, a, b, keys), keys), keys, ("SpearmanR",)).withColumnRenamed("SpearmanR", "value")
 
 
 def kendall(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
     """Kendall's rank correlation, ties accounted for. Windows count the pairs out of order; no object is held whole."""
-    return _ranks(_two(voxels, a, b, keys), keys, ("KendallTau",)).withColumnRenamed("KendallTau", "value")
+    return _ranks(_dealt(_two(voxels, a, b, keys), keys), keys, ("KendallTau",)).withColumnRenamed("KendallTau", "value")
 
 
 def _binned(t: DataFrame, keys) -> DataFrame:
