@@ -615,3 +615,22 @@ def test_ranks_take_tasks_by_rows(spark, monkeypatch):
     monkeypatch.setattr(coloc, "RANKED", 100)
     v = spark.range(5000).select(F.lit(0).alias("ROI"), (1 + F.col("id") % 50).alias("label"), F.rand(1).alias("a"), F.rand(2).alias("b"))
     assert coloc._dealt(v, ("ROI", "label")).rdd.getNumPartitions() == 50
+
+
+#: Second moments (xx, xy, xz, yy, yz, zz) of objects of random orders, and the axis in question.
+TIED = (
+    ((2.0787524539861884, 0.06270344744055478, -0.02990204242269101, 2.0787524539861884, 0.029902042423600506, 2.9459391260073367), 0),
+    ((2.0849657064471976, -0.010428669410160296, 0.006529492457048036, 2.0849657064471905, -0.006529492455229047, 2.996488340276604), 1),
+    ((2.0699713490160057, 0.011723407538283936, 0.011474421015009284, 2.0699713490160057, -0.0114744210295612, 3.0597006579240165), 0),
+    ((2.075645436182301, -0.008931953036231732, 0.03589614105931105, 2.075645436182318, -0.035896141052944586, 3.044438833681246), 1),
+    ((2.072026364516281, 0.027458654210306577, -0.03951521272392711, 2.072026364516224, 0.03951521272392711, 3.014476285626491), 0),
+)
+
+
+def test_of_equal_components_the_one_of_the_closed_solution_points_up():
+    """Moments of objects alike along x and y whose axes the SQL lets point up along y, by the last digits of its root."""
+    import pandas as pd
+
+    for (xx, xy, xz, yy, yz, zz), axis in TIED:
+        a = np.reshape(shape.principal_by_root.func(*(pd.Series([v]) for v in (xx, xy, xz, yy, yz, zz)))["axes"][0], (3, 3))[axis]
+        assert abs(abs(a[0]) - abs(a[1])) < 1e-9 and a[1] > 0 > a[0], (axis, a)

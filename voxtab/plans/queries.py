@@ -136,7 +136,7 @@ def _axes(name: str) -> str:
 @query("shape_moments", "grid", f"""-- , {_eigen('1.0')} SELECT CAST(0 AS BIGINT) AS "ROI", label, {", ".join(f'round(e{a}, 4) AS "PrincipalMoments-{a}"' for a in "abc")}, {_axes("PrincipalAxes")}, round(sqrt(ec / eb), 4) AS "Elongation", round(sqrt(eb / ea), 4) AS "Flatness",
     {", ".join(f'round(2 * pow(3 * n * 0.5 / (4 * pi()), 1.0 / 3) * sqrt(e{a} / pow(ea * eb * ec, 1.0 / 3)), 4) AS "EquivalentEllipsoidDiameter-{a}"' for a in "abc")} FROM ev""")
 def shape_moments(spark, sf_dir):
-    return fields(shape.moments(views.grid(spark, sf_dir), SCALE), "ROI", "label")
+    return fields(shape.moments(views.grid(spark, sf_dir), SCALE, solve=shape.principal_by_root), "ROI", "label")
 
 
 @query("principal_moments", "grid", """-- , c AS (SELECT label, var_pop(z * 2.0) + 4.0 / 12 AS a, var_pop(y * 0.5) + 0.25 / 12 AS b, var_pop(x * 0.5) + 0.25 / 12 AS c, covar_pop(z * 2.0, y * 0.5) AS d, covar_pop(z * 2.0, x * 0.5) AS e, covar_pop(y * 0.5, x * 0.5) AS f FROM grid WHERE label <> 0 GROUP BY label),
@@ -160,7 +160,7 @@ _ALONG = {a: (f"(x * 0.5 * v{a}[1] + y * 0.5 * v{a}[2] + z * 2.0 * v{a}[3])", f"
     SELECT CAST(0 AS BIGINT) AS "ROI", label, {_axes("OrientedBoundingBoxDirection")}, {", ".join(f'round(h{a} - l{a}, 4) AS "OrientedBoundingBoxSize-{a}"' for a in "abc")},
     {", ".join(f'round({" + ".join(f"{end}{a} * v{a}[{k}]" for a in "abc")}, 4) + 0.0 AS "{name}-{c}"' for name, end in (("OrientedBoundingBoxOrigin", "l"), ("far", "h")) for k, c in enumerate("xyz", 1))}, CAST(8 AS INT) AS corners FROM j""")
 def shape_oriented_box(spark, sf_dir):
-    b = shape.oriented_box(views.grid(spark, sf_dir), SCALE)
+    b = shape.oriented_box(views.grid(spark, sf_dir), SCALE, solve=shape.principal_by_root)
     vertices = F.col("OrientedBoundingBoxVertices")
     return fields(b.withColumns({"far": vertices[7], "corners": F.size(vertices)}).drop("OrientedBoundingBoxVertices"), "ROI", "label")
 
