@@ -88,6 +88,33 @@ def test_tau_equals_pairs(spark):
     assert {r["label"]: r["value"] for r in coloc.kendall(df, "a", "b").collect()} == want | {9: None}
 
 
+def test_ranks_of_large_objects_in_many_tasks(spark, monkeypatch):
+    """Ties across ranges, one value throughout, and objects on either side of the limit give the same both ways and as all pairs."""
+    monkeypatch.setattr(coloc, "RANKED", 60)
+    rng = np.random.default_rng(5)
+    rows, want = [(1, 9, float(i), 2.0) for i in range(300)], {(1, 9): None}
+    for k, n in enumerate((20, 300, 400)):
+        a = rng.integers(0, 3 + n // 4, n).astype(float)
+        b = np.where(rng.random(n) < 0.3, a, rng.integers(0, 5 + n // 20, n)).astype(float)
+        a[: n // 2 * (k == 2)] = 7.0
+        rows += [(0, k + 1, x, y) for x, y in zip(a.tolist(), b.tolist())]
+        x, y = (np.sign(v[:, None] - v) for v in (a, b))
+        want[0, k + 1] = pytest.approx((x * y).sum() / math.sqrt((x * x).sum() * (y * y).sum()))
+    df = spark.createDataFrame(rows, "ROI int, label int, a double, b double")
+    whole = coloc.spearman(df, "a", "b").collect()
+    monkeypatch.setattr(coloc, "LARGE", 100)
+    assert {(r["ROI"], r["label"]): r["value"] for r in coloc.kendall(df, "a", "b").collect()} == want
+    parts = {(r["ROI"], r["label"]): r["value"] for r in coloc.spearman(df, "a", "b").collect()}
+    assert parts == {(r["ROI"], r["label"]): None if r["value"] is None else pytest.approx(r["value"]) for r in whole}
+
+
+def test_ranks_of_pairs_are_dealt_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(coloc, "RANKED", 10)
+    df = spark.range(170).selectExpr("0 ROI", "cast(id % 40 as int) + 1 label", "id * 1.0D a", "id * 7 % 5 * 1.0D b")
+    plan = coloc.features(df, [("a", "b"), ("b", "a")], ("KendallTau", "MutualInfo"))._jdf.queryExecution().executedPlan().toString()
+    assert "34), REPARTITION_BY_NUM" in plan and "8), REPARTITION" not in plan
+
+
 @pytest.mark.parametrize("lines", [2, 32])
 def test_distance_to_border_equals_brute(spark, monkeypatch, lines):
     monkeypatch.setattr(distance, "LINES", lines)

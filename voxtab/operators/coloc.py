@@ -12,11 +12,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import names
+from ..sources.tables import checkpointed
 from .shape import KEYS, objects
 
 BINS = 10
 #: Voxels to a task that ranks them, about: sorts hold them several times over.
 RANKED = 250_000
+#: Objects of more voxels are ranked in many tasks each.
+LARGE = 50_000
 
 
 def _two(voxels: DataFrame, a: str, b: str, keys) -> DataFrame:
@@ -35,49 +38,131 @@ def pearson(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
     return objects(voxels).groupBy(*keys).agg(pearson_of(a, b).alias("value"))
 
 
-def _rank(keys, c: str) -> Column:
-    """Average rank: equal values share the middle of their places."""
-    return F.rank().over(W.partitionBy(*keys).orderBy(c)) + (F.count("*").over(W.partitionBy(*keys, c)) - 1) / 2.0
+def _counted(t: DataFrame, keys) -> DataFrame:
+    """Equal pairs of values of an object as one row with their number ``n``."""
+    return t.groupBy(*keys, "a", "b").agg(F.count("*").alias("n"))
 
 
-def _ranks(t: DataFrame, keys, metrics=("SpearmanR", "KendallTau")) -> DataFrame:
-    """The rank correlations of ``a`` and ``b`` by key, as columns named by metric, from one set of windows."""
-    same = lambda *c: F.count("*").over(W.partitionBy(*keys, *c))
-    t = t.withColumns({"ra": _rank(keys, "a"), "rb": _rank(keys, "b"), "sa": same("a"), "sb": same("b")})
-    flat = (F.min("a") == F.max("a")) | (F.min("b") == F.max("b"))
-    out = {}
-    if "SpearmanR" in metrics:
-        out["SpearmanR"] = F.when((F.count("*") >= 2) & ~flat, F.corr("ra", "rb"))
-    if "KendallTau" not in metrics:
-        return t.groupBy(*keys).agg(*(v.alias(k) for k, v in out.items()))
-    t = t.withColumn("sab", same("a", "b")).withColumn("_b", F.dense_rank().over(W.partitionBy(*keys).orderBy("b")).cast("long"))
-    sums = t.groupBy(*keys).agg(*(v.alias(k) for k, v in out.items()), F.count("*").alias("_n"), *(F.sum((F.col(c) - 1) / 2).alias(f"_{c}") for c in ("sa", "sb", "sab")), flat.alias("_flat"))
-    # Pairs out of order, by the highest bit in which two ranks of b differ: among the rows that agree above a
-    # bit, in order of a, each row without the bit comes after those with it that stand before.
-    t = t.withColumn("_most", F.max("_b").over(W.partitionBy(*keys)))
+def _out_of_order(cells: DataFrame, keys) -> DataFrame:
+    """``cells`` once for each bit ``_l`` of b's rank, from 0; ``_w`` sums to the number of pairs of voxels out of order.
+
+    Pairs are told by the highest bit in which two ranks of b differ: among the rows that agree above a bit, in
+    order of a, each row without the bit comes after those with it that stand before.
+    """
+    of = W.partitionBy(*keys)
+    t = cells.withColumn("_b", F.dense_rank().over(of.orderBy("b")).cast("long")).withColumn("_most", F.max("_b").over(of))
     level = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.log2(F.col("_most") + 1)).cast("int") - 1))
-    bits = t.select(*keys, "a", "b", "_b", F.explode(level).alias("_l")).withColumn("_bit", F.expr("shiftright(_b, _l) & 1"))
-    bits = bits.withColumn("_above", F.expr("shiftright(_b, _l + 1)"))
+    bits = t.withColumn("_l", F.explode(level)).withColumns({"_bit": F.expr("shiftright(_b, _l) & 1"), "_above": F.expr("shiftright(_b, _l + 1)")}).drop("_b", "_most")
     before = W.partitionBy(*keys, "_l", "_above").orderBy("a", "b").rowsBetween(W.unboundedPreceding, W.currentRow)
-    wrong = bits.withColumn("_w", F.when(F.col("_bit") == 0, F.sum("_bit").over(before)).otherwise(0)).groupBy(*keys).agg(F.sum("_w").alias("_wrong"))
-    n = F.col("_n") * (F.col("_n") - 1) / 2
-    tau = (n - F.col("_sa") - F.col("_sb") + F.col("_sab") - 2 * F.col("_wrong")) / (F.sqrt(n - F.col("_sa")) * F.sqrt(n - F.col("_sb")))
-    return sums.join(wrong, list(keys)).select(*keys, *out, F.when((F.col("_n") >= 2) & ~F.col("_flat"), tau).alias("KendallTau"))
+    return bits.withColumn("_w", F.when(F.col("_bit") == 0, F.col("n") * F.sum(F.col("_bit") * F.col("n")).over(before)).otherwise(0))
+
+
+def _pairs(n: Column) -> Column:
+    return n.cast("double") * (n - 1) / 2
+
+
+def _rho(ab: Column, aa: Column, bb: Column) -> Column:
+    return ab / (F.sqrt(aa) * F.sqrt(bb))
+
+
+def _tau(n: Column, a: Column, b: Column, ab: Column, wrong: Column) -> Column:
+    """From the numbers of pairs: all, equal in a, in b, in both, and out of order."""
+    return (n - a - b + ab - 2 * wrong) / (F.sqrt(n - a) * F.sqrt(n - b))
 
 
-def _dealt(t: DataFrame, keys) -> DataFrame:
+def _ranks(t: DataFrame, keys, metrics) -> DataFrame:
+    """The rank correlations of ``a`` and ``b`` by key, as columns named by metric, of rows that lie by key."""
+    of, n = W.partitionBy(*keys), F.col("n")
+    t = _counted(t, keys)
+    for c in "ab":
+        t = t.withColumn(f"_to{c}", F.sum("n").over(of.orderBy(c))).withColumn(f"_s{c}", F.sum("n").over(W.partitionBy(*keys, c)))
+    sums = {}
+    if "SpearmanR" in metrics:  # equal values share the middle of their places; the mean of all ranks is taken off
+        t = t.withColumn("_all", F.sum("n").over(of))
+        x, y = (F.col(f"_to{c}") - (F.col(f"_s{c}") - 1) / 2.0 - (F.col("_all") + 1) / 2.0 for c in "ab")
+        sums |= {"_ab": n * x * y, "_aa": n * x * x, "_bb": n * y * y}
+    if "KendallTau" in metrics:  # a cell has its share of the pairs that are equal in a value
+        sums |= {"_ta": n * (F.col("_sa") - 1) / 2, "_tb": n * (F.col("_sb") - 1) / 2, "_tab": _pairs(n)}
+    t = t.select(*keys, "a", "b", "n", *(v.alias(k) for k, v in sums.items()))
+    t = _out_of_order(t, keys) if "KendallTau" in metrics else t.withColumns({"_l": F.lit(0), "_w": F.lit(0)})
+    once = {c: F.sum(F.when(F.col("_l") == 0, F.col(c))) for c in ("n", *sums)}
+    value = {}
+    if "SpearmanR" in metrics:
+        value["SpearmanR"] = _rho(once["_ab"], once["_aa"], once["_bb"])
+    if "KendallTau" in metrics:
+        value["KendallTau"] = _tau(_pairs(once["n"]), once["_ta"], once["_tb"], once["_tab"], F.sum("_w"))
+    defined = (F.min("a") != F.max("a")) & (F.min("b") != F.max("b"))
+    return t.groupBy(*keys).agg(*(F.when(defined, value[m]).alias(m) for m in metrics))
+
+
+def _ranks_of_large(t: DataFrame, keys, metrics, tasks: int) -> DataFrame:
+    """As :func:`_ranks`, with the cells of an object dealt into many tasks, by ranges of its values.
+
+    Of two cells out of order, either both lie in one range of (a, b), or in two of these and in one range of (b, a), or in two
+    of each: so ranges take the place of a, then of b, and three sets of groups hold every pair of cells once. A range
+    may part equal values, since those are in order by the other value.
+    """
+    def ranged(df: DataFrame, name: str, *by) -> DataFrame:
+        return checkpointed(df.repartitionByRange(tasks, *keys, *by).withColumn(name, F.spark_partition_id()))
+
+    def ranked(c: str) -> DataFrame:
+        m = ranged(cells.groupBy(*keys, c).agg(F.sum("n").alias("_s")), "_i", c)
+        parts = m.groupBy(*keys, "_i").agg(F.sum("_s").alias("_m")).withColumn("_before", F.sum("_m").over(W.partitionBy(*keys).orderBy("_i")) - F.col("_m"))
+        m = m.repartition(tasks, *keys, "_i").withColumn("_to", F.sum("_s").over(W.partitionBy(*keys, "_i").orderBy(c))).join(parts, [*keys, "_i"])
+        return m.select(*keys, c, (F.col("_before") + F.col("_to") - (F.col("_s") - 1) / 2.0).alias(f"_r{c}"))
+
+    cells = ranged(ranged(_counted(t, keys), "i", "a", "b"), "j", "b", "a")
+    out = cells.groupBy(*keys).agg(F.sum("n").alias("_n"), F.sum(_pairs(F.col("n"))).alias("_tab"), *(f(c).alias(f"_{k}{c}") for c in "ab" for k, f in (("lo", F.min), ("hi", F.max))))
+    value, n = {}, F.col("_n")
+    if "SpearmanR" in metrics:
+        x, y = (F.col(f"_r{c}") - (n + 1) / 2.0 for c in "ab")
+        w = cells.join(ranked("a"), [*keys, "a"]).join(ranked("b"), [*keys, "b"]).join(F.broadcast(out.select(*keys, "_n")), list(keys))
+        out = out.join(w.groupBy(*keys).agg(*(F.sum(F.col("n") * v).alias(k) for k, v in (("_ab", x * y), ("_aa", x * x), ("_bb", y * y)))), list(keys))
+        value["SpearmanR"] = _rho(*(F.col(c) for c in ("_ab", "_aa", "_bb")))
+    if "KendallTau" in metrics:
+        for c in "ab":
+            out = out.join(cells.groupBy(*keys, c).agg(F.sum("n").alias("_s")).groupBy(*keys).agg(F.sum(_pairs(F.col("_s"))).alias(f"_t{c}")), list(keys))
+        grid = cells.groupBy(*keys, "i", "j").agg(F.sum("n").alias("n"))
+        groups = [(cells, 0, F.col("i"), "a", "b"), (cells, 1, F.col("j"), "i", "b"), (grid, 2, F.lit(0), "i", "j")]
+        sets = [df.select(*keys, F.lit(k).alias("_set"), g.alias("_group"), F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"), "n") for df, k, g, a, b in groups]
+        within = [*keys, "_set", "_group"]
+        wrong = _out_of_order(reduce(DataFrame.unionByName, sets).repartition(tasks * 2, *within), within).groupBy(*keys).agg(F.sum("_w").alias("_wrong"))
+        out = out.join(wrong, list(keys))
+        value["KendallTau"] = _tau(_pairs(n), *(F.col(c) for c in ("_ta", "_tb", "_tab", "_wrong")))
+    defined = (F.col("_loa") != F.col("_hia")) & (F.col("_lob") != F.col("_hib"))
+    return out.select(*keys, *(F.when(defined, value[m]).alias(m) for m in metrics))
+
+
+def _dealing(t: DataFrame, keys) -> tuple[int, DataFrame | None]:
+    """The number of tasks that the rows need, and the keys of large objects, if any."""
+    sizes = t.groupBy(*keys).agg(F.count("*").alias("_n"))
+    rows, most = sizes.agg(F.sum("_n"), F.max("_n")).first()
+    tasks = max(int(t.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(rows or 0) // RANKED))
+    return tasks, sizes.where(F.col("_n") > LARGE).select(*keys) if (most or 0) > LARGE else None
+
+
+def _dealt(t: DataFrame, keys, tasks: int | None = None) -> DataFrame:
     """``t`` dealt by object into as many tasks as its rows need, so that what a task sorts does not grow with the input."""
-    tasks = int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return t.repartition(max(tasks, -(-t.count() // RANKED)), *keys)
+    return t.repartition(tasks or _dealing(t, keys)[0], *keys)
+
+
+def _ranked(t: DataFrame, keys, metrics, dealing=None) -> DataFrame:
+    """The rank correlations by key: objects are dealt into tasks, and large ones into many."""
+    tasks, large = dealing or _dealing(t, keys)
+    if large is None:
+        return _ranks(_dealt(t, keys, tasks), keys, metrics)
+    large = F.broadcast(large)
+    rest = _ranks(_dealt(t.join(large, list(keys), "left_anti"), keys, tasks), keys, metrics)
+    return rest.unionByName(_ranks_of_large(t.join(large, list(keys), "left_semi"), keys, metrics, tasks))
 
 
 def spearman(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
-    return _ranks(_dealt(_two(voxels, a, b, keys), keys), keys, ("SpearmanR",)).withColumnRenamed("SpearmanR", "value")
+    return _ranked(_two(voxels, a, b, keys), keys, ("SpearmanR",)).withColumnRenamed("SpearmanR", "value")
 
 
 def kendall(voxels: DataFrame, a: str, b: str, keys=KEYS) -> DataFrame:
-    """Kendall's rank correlation, ties accounted for. Windows count the pairs out of order; no object is held whole."""
-    return _ranks(_dealt(_two(voxels, a, b, keys), keys), keys, ("KendallTau",)).withColumnRenamed("KendallTau", "value")
+    """Kendall's rank correlation, ties accounted for. Windows count the pairs out of order; no task holds a large object."""
+    return _ranked(_two(voxels, a, b, keys), keys, ("KendallTau",)).withColumnRenamed("KendallTau", "value")
 
 
 def _binned(t: DataFrame, keys) -> DataFrame:
@@ -166,9 +251,12 @@ def features(voxels: DataFrame, pairs, metrics=names.DEFAULT_COLOC_FEATURES, key
     if not (rest and pairs):
         return ids
     values = F.array(*(F.struct(F.lit(k).alias("_pair"), *(F.col(names.q(c)).cast("double").alias(n) for n, c in zip("ab", pair))) for k, pair in enumerate(pairs)))
-    t = objects(voxels).select(*keys, F.explode(values).alias("_v")).select(*keys, "_v.*").where("a is not null and b is not null").repartition(*at)
-    parts = []
-    for family, of in ((_ranks, ("SpearmanR", "KendallTau")), (_histogram, ("Chi2Contingency", "MutualInfoBins")), (_values, ("MutualInfo", "MutualInfoNormalized"))):
+    t = objects(voxels).select(*keys, F.explode(values).alias("_v")).select(*keys, "_v.*").where("a is not null and b is not null")
+    ranks = [m for m in ("SpearmanR", "KendallTau") if m in rest]
+    dealing = _dealing(t, at) if ranks else None
+    parts = [_ranked(t, at, ranks, dealing)] if ranks else []
+    t = _dealt(t, at, dealing[0]) if ranks else t.repartition(*at)
+    for family, of in ((_histogram, ("Chi2Contingency", "MutualInfoBins")), (_values, ("MutualInfo", "MutualInfoNormalized"))):
         if mine := tuple(m for m in of if m in asked):
             parts.append(family(t, at, mine))
     wide = reduce(lambda x, y: x.join(y, at), parts)
