@@ -615,6 +615,42 @@ def _same(a, b, keys):
         assert a[k] == pytest.approx(b[k], nan_ok=True), k
 
 
+def test_walks_of_points(spark, cloud, monkeypatch):
+    """Walks made where points meet are those joined by edges, also at odd places and with labels that are not unique."""
+    for name, v in {"WALK_BLOCKS": 4, "CELL": 8, "CELLS": 8, "STARTS": 5}.items():
+        monkeypatch.setattr(N, name, v)
+    nan, inf = float("nan"), float("inf")
+    odd = [(0, 901, nan, 1.0, 1.0), (0, 902, 5.0, None, 5.0), (0, 903, inf, 5.0, 5.0), (0, 904, -inf, 5.0, 5.0), (0, None, 5.0, 5.0, 5.0), (None, 905, 5.0, 5.0, 5.0), (None, 906, 5.0, 5.0, 5.0), (1, 907, 5.0, 5.0, 5.0), (1, 908, 5.0, 5.0, 5.0)]
+    odd += [(7, 910 + k, 2.0 * k, 0.0, 0.0) for k in range(3)] + [(8, 920, 0.0, 0.0, 0.0), (8, 921, 0.0, 0.0, 1.0)]
+    p = cloud.drop("v").union(spark.createDataFrame(odd, "ROI int, label long, z double, y double, x double"))
+    more = p.union(spark.createDataFrame([(0, 2, 9.0, 9.0, 9.0), (7, 910, 50.0, 0.0, 0.0), (7, 915, 51.0, 0.0, 0.0)], p.schema))
+    for points, radii in ((p, (0.0, 0.5, 2.0, 4.0, 30.0)), (more, (2.0,)), (p.where("false"), (2.0,))):
+        for r in radii:
+            want = {tuple(e)[:3] for e in N.steps(N.radius(points.where("label is not null"), r, bucket=False), 2).collect()}
+            got = [tuple(e) for e in N.radius_walks(points, r).collect()]
+            assert len(got) == len(set(got)) and set(got) == {(*e, 1.0) for e in want}, r
+    assert {(7, 910, 912), (7, 912, 910)} == {tuple(e)[:3] for e in N.radius_walks(p.where("ROI in (7, 8)"), 2.0).collect()}
+    own = {tuple(e)[:3] for e in N.radius_walks(p, 2.0, self_loops=True).collect()} - {tuple(e)[:3] for e in N.radius_walks(p, 2.0).collect()}
+    assert own == {(r["ROI"], r["label"], r["label"]) for r in p.where("ROI is not null and label is not null").collect()}
+
+
+def test_walks_shuffle_points_only(spark, tmp_path):
+    """No edge and no walk is exchanged, and each point is sent to a few blocks, however many there are."""
+    from voxtab.plans import queries
+
+    rng = np.random.default_rng(4)
+    for n in (1_000, 4_000):
+        at = rng.uniform(0, 1, (n, 3))
+        rows = [(k, [float(v) for v in at[k]], 3) for k in range(n)]
+        spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / f"{n}/embeddings.parquet"))
+        plan = queries.QUERIES["two_step_walk"](spark, str(tmp_path / str(n)))._jdf.queryExecution().executedPlan().toString()
+        exchanges = [x for x in plan.splitlines() if "Exchange" in x]
+        assert exchanges and not any(c in x for x in exchanges for c in ("focal", "neighbor")), plan
+        points = queries.views.pts(spark, str(tmp_path / str(n)))
+        dealt = N._dealt(points, 16, blocks=N.WALK_BLOCKS)
+        assert dealt.count() <= N.WALK_BLOCKS * n and dealt.where("own").count() == n
+
+
 def test_kernel_in_blocks(cloud):
     for name in ("uniform", "triangular", "gaussian"):
         for own in (False, True):

@@ -368,8 +368,7 @@ def kernel_knn(spark, sf_dir):
 
 @query("two_step_walk", "pts", f"""-- , {_PAIRS}, e AS (SELECT ROI, focal, neighbor FROM p WHERE w <= 8) SELECT DISTINCT CAST(a.ROI AS BIGINT) AS "ROI", a.focal, b.neighbor, 1.0::DOUBLE AS weight FROM e a JOIN e b ON a.ROI = b.ROI AND a.neighbor = b.focal WHERE a.focal <> b.neighbor""")
 def two_step_walk(spark, sf_dir):
-    p = views.pts(spark, sf_dir)
-    return fields(N.steps(N.radius(p, 8), 2, points=p), "ROI")
+    return fields(N.radius_walks(views.pts(spark, sf_dir), 8), "ROI")
 
 
 @query("edge_threshold", "grid", f"""-- , {_FACES}, s AS (SELECT label AS focal, neighbor, area / sum(area) OVER (PARTITION BY label) AS weight FROM f WHERE label <> 0) SELECT CAST(0 AS BIGINT) AS "ROI", focal, neighbor, round(weight, 4) AS weight FROM s WHERE neighbor <> 0 AND weight >= 0.1""")
